@@ -32,8 +32,8 @@ def clamp(value: Column, low: Column, high: Column, replacement: Column) -> Colu
     return F.when((value < low) | (value > high), replacement).otherwise(value)
 
 
-def utc_day(column: str, data_type: str) -> Column:
+def utc_day(value: Column, data_type: str) -> Column:
     """Calendar day that does not depend on the session time zone (used as partition value)."""
     if data_type == "timestamp":
-        return F.date_from_unix_date(F.floor(F.unix_seconds(column) / 86400).cast("int"))
-    return F.to_date(F.col(column))
+        return F.date_from_unix_date(F.floor(F.unix_seconds(value) / 86400).cast("int"))
+    return F.to_date(value)

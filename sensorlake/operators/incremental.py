@@ -1,6 +1,6 @@
 """Batch-incremental loading by an arrival-time high-watermark."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake.functions import utc_day
@@ -22,11 +22,11 @@ def newer_than_target(
     """Rows that arrived strictly after everything in `target`.
 
     The watermark is a scalar subquery, so the comparison reaches the file scan. `day` names the
-    partition column of `df` holding the UTC day of arrival: older partitions are then not listed.
+    partition column of `df` holding the UTC day of arrival: older partitions are then skipped.
     """
-    watermark = high_watermark(target, column=column)
-    newer: Column = F.col(column) > watermark.scalar()
+    watermark = high_watermark(target, column=column).scalar()
+    newer = F.col(column) > watermark
     if day is not None:
         data_type = df.schema[column].dataType.simpleString()
-        newer = newer & (F.col(day) >= watermark.select(utc_day(column, data_type)).scalar())
+        newer = newer & (F.col(day) >= utc_day(watermark, data_type))
     return df.where(newer)

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake.functions import reading
@@ -14,7 +14,7 @@ from sensorlake.operators.quality.cleaning import (
     with_sigma_band,
     with_z_score,
 )
-from sensorlake.operators.quality.quantiles import quartiles
+from sensorlake.operators.quality.quantiles import QUARTILES, quartiles
 from sensorlake.schema import READINGS, SENSOR
 
 
@@ -50,16 +50,29 @@ def sigma_outliers(
 def _with_fences(
     df: DataFrame, column: str, keys: Sequence[str], reach: float, **limits: int
 ) -> DataFrame:
+    """Quartiles and fences on every row: `__q1`, `__median`, `__q3`, `__low`, `__high`."""
     box = quartiles(df, column, keys, **limits)
     spread = (F.col("q3") - F.col("q1")) * F.lit(reach)
     fences = box.select(
         *keys,
         ROWS,
-        *[F.col(name).alias(f"__{name}") for name in ("q1", "median", "q3")],
-        (F.col("q1") - spread).alias("__fence_low"),
-        (F.col("q3") + spread).alias("__fence_high"),
+        *[F.col(name).alias(f"__{name}") for name in QUARTILES],
+        (F.col("q1") - spread).alias("__low"),
+        (F.col("q3") + spread).alias("__high"),
     )
-    return attach(df, fences, keys)
+    if keys:
+        return attach(df, fences, keys)
+    # One row for the whole table: as literals, the fences can be compared in the file scan.
+    row = fences.drop(ROWS).first()
+    return df.withColumns({name: F.lit(row[name]).cast("double") for name in row.asDict()})
+
+
+def _beyond(df: DataFrame, column: str) -> Column:
+    """Outside the fences. Spelled with bare comparisons so that it can be pushed down."""
+    above = F.col(column) > F.col("__high")
+    if df.schema[column].dataType.simpleString() in ("float", "double"):
+        above = above & (F.col(column) <= F.lit(float("inf")))  # NaN, a missing reading, is not
+    return (F.col(column) < F.col("__low")) | above
 
 
 def iqr_outliers(
@@ -72,9 +85,7 @@ def iqr_outliers(
 ) -> DataFrame:
     """Rows beyond `reach` inter-quartile ranges of the quartiles, over all rows by default."""
     fenced = _with_fences(df, column, keys, reach, **limits)
-    value = reading(df, column)
-    outside = fenced.where((value < F.col("__fence_low")) | (value > F.col("__fence_high")))
-    return outside.select(*df.columns)
+    return fenced.where(_beyond(df, column)).select(*df.columns)
 
 
 def iqr_summary(
@@ -105,12 +116,12 @@ def box_stats(
     """Quartiles, whisker ends (outermost readings within the fences) and number of fliers."""
     fenced = _with_fences(df, column, keys, reach, **limits)
     value = reading(df, column)
-    above_low, below_high = value >= F.col("__fence_low"), value <= F.col("__fence_high")
-    box = [F.col(f"__{name}").alias(name) for name in ("q1", "median", "q3")]
+    above_low, below_high = value >= F.col("__low"), value <= F.col("__high")
+    box = [F.col(f"__{name}").alias(name) for name in QUARTILES]
     return fenced.groupBy(*keys, *box).agg(
         F.min(F.when(above_low, value)).alias("whisker_low"),
         F.max(F.when(below_high, value)).alias("whisker_high"),
-        F.count_if(~(above_low & below_high)).alias("fliers"),
+        F.count_if(_beyond(df, column)).alias("fliers"),
     )
 
 

@@ -67,7 +67,7 @@ def day_column(spark: SparkSession, name: str) -> str | None:
 
 
 def _with_day(df: DataFrame, day_of: str) -> DataFrame:
-    return df.withColumn(DAY, utc_day(day_of, df.schema[day_of].dataType.simpleString()))
+    return df.withColumn(DAY, utc_day(F.col(day_of), df.schema[day_of].dataType.simpleString()))
 
 
 def append(
