@@ -96,6 +96,7 @@ def _by_narrowing(
             F.col("__high").alias("high"),
             F.lit(0).cast("bigint").alias("under"),
             F.col("__n").alias("inside"),
+            F.lit(False).alias("stuck"),
         )
     )
     settled = None
@@ -115,24 +116,41 @@ def _finite(value: Column) -> Column:
     return F.greatest(F.least(value, F.lit(_LARGEST)), F.lit(-_LARGEST)) / 2
 
 
+def _log(value: Column) -> Column:
+    """Signed logarithm, moved up so that the smallest magnitude is still above zero."""
+    return F.signum(value) * F.coalesce(F.log(F.abs(_finite(value))) + 750, F.lit(0.0))
+
+
 def _narrow(
     values: DataFrame, ranks: DataFrame, keys: list[str], exact_rows: int, buckets: int
 ) -> DataFrame:
-    """One pass over `values`: settle each rank or shrink its bracket to one bucket."""
-    brackets = ranks.groupBy(*keys, ROWS).agg(
-        F.collect_set(F.struct("low", "high", "inside")).alias("__brackets")
-    )
-    within = F.explode(
-        F.filter("__brackets", lambda b: F.col(_VALUE).between(b["low"], b["high"]))
-    ).alias("b")
-    rows = attach(values, brackets, keys).select(*keys, _VALUE, within).select(
-        *keys, _VALUE, "b.*"
+    """One pass over `values`: settle each rank or shrink its bracket to one bucket.
+
+    Buckets have equal width, on a logarithmic scale where the bracket spans orders of magnitude
+    and the pass before did not halve it. Both scales keep the order of values, which is all that
+    exact counts need.
+    """
+    low, high = F.col("low"), F.col("high")
+    wide = F.col("stuck") & (_log(high) - _log(low) > 5)
+    start = F.when(wide, _log(low)).otherwise(_finite(low))
+    width = F.when(wide, _log(high)).otherwise(_finite(high)) - start
+    bracket = F.struct(
+        "low",
+        "high",
+        wide.alias("wide"),
+        start.alias("start"),
+        width.alias("width"),
+        ((F.col("inside") <= exact_rows) | (width == 0)).alias("by_value"),
     )
-    width = _finite(F.col("high")) - _finite(F.col("low"))
-    place = F.floor((_finite(F.col(_VALUE)) - _finite(F.col("low"))) / width * buckets)
-    by_value = (F.col("inside") <= exact_rows) | (width == 0)
+    brackets = ranks.groupBy(*keys, ROWS).agg(F.collect_set(bracket).alias("__brackets"))
+    within = F.filter("__brackets", lambda b: F.col(_VALUE).between(b["low"], b["high"]))
+    rows = attach(values, brackets, keys).select(*keys, _VALUE, F.explode(within).alias("b"))
+    rows = rows.select(*keys, _VALUE, "b.*")
+    scaled = F.when(F.col("wide"), _log(F.col(_VALUE))).otherwise(_finite(F.col(_VALUE)))
+    place = F.floor((scaled - F.col("start")) / F.col("width") * buckets).cast("double")
+    bucket = F.when(F.col("by_value"), F.col(_VALUE)).otherwise(place)
     counted = (
-        rows.withColumn("bucket", F.when(by_value, F.col(_VALUE)).otherwise(place.cast("double")))
+        rows.withColumn("bucket", bucket)
         .groupBy(*keys, "low", "bucket")
         .agg(F.count("*").alias("c"), F.min(_VALUE).alias("first"), F.max(_VALUE).alias("last"))
     )
@@ -156,7 +174,7 @@ def _narrow(
     is_last = F.col("rank") == begin + F.col("c") - 1
     lower = F.when(is_last, F.col("last")).when(F.col("first") == F.col("last"), F.col("first"))
     upper = F.when(is_last, F.coalesce("following", "last")).otherwise(F.col("first"))
-    value = F.when(lower == upper, lower).otherwise(
+    value = F.when((F.col("share") == 0) | (lower == upper), lower).otherwise(
         lower * (1 - F.col("share")) + upper * F.col("share")
     )
     return ranks.join(histogram, hit).select(
@@ -169,5 +187,6 @@ def _narrow(
         F.col("last").alias("high"),
         begin.alias("under"),
         F.col("c").alias("inside"),
+        (F.col("c") * 2 > F.col("inside")).alias("stuck"),
         value.alias("value"),
     )
