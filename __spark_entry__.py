@@ -348,14 +348,14 @@ def _price_box_stats_narrowed(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "lineitem"),
         "l_extendedprice",
         ["l_returnflag", "l_linestatus"],
-        exact_rows=500,
+        exact_rows=50,
     )
     return _rounded(box, "q1", "median", "q3")
 
 
 def _price_iqr_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
-    return quality.iqr_outliers(lines, "l_extendedprice", reach=0.4, exact_rows=500)
+    return quality.iqr_outliers(lines, "l_extendedprice", reach=0.4, exact_rows=50)
 
 
 def queries() -> dict[str, Query]:

@@ -3,14 +3,16 @@
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorlake.staging import stage
 
 ROWS = "__rows"  # rows per group; every frame given to attach() carries it
 
-HOT_ROWS = 5_000_000  # a key with more rows than this never goes through one task
+HOT_ROWS = 5_000_000  # a key with more rows than this may be hot
+HOT_KEYS = 100_000  # a hot key also has more than 1 / HOT_KEYS of all rows: there are no more of them
+PROBE_BUCKETS = 1 << 20
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -24,30 +26,49 @@ def _marked(groups: DataFrame, keys: Sequence[str]) -> DataFrame:
     return groups.withColumnsRenamed({key: f"__key_{key}" for key in keys})
 
 
-def _lookup(df: DataFrame, groups: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+def lookup(df: DataFrame, groups: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Null-safe join of `df` with one row per key; the key columns of `df` are kept."""
     marked = _marked(groups, keys)
     joined = df.join(marked, same_keys(df, marked, keys, "__key_"), how)
     return joined.drop(*[f"__key_{key}" for key in keys])
 
 
+def _hot_limit(rows: int, hot_rows: int) -> int:
+    """Fewer than HOT_KEYS groups exceed it, whatever the data, which bounds their broadcast."""
+    return max(hot_rows, rows // HOT_KEYS)
+
+
 def hot_groups(
     df: DataFrame, keys: Sequence[str], *values: Column, hot_rows: int = HOT_ROWS
 ) -> DataFrame | None:
-    """Groups of more than `hot_rows` rows with aggregate `values`, or None.
+    """The hot groups with their aggregate `values`, or None.
 
-    There are fewer than rows / hot_rows of them, whatever the data, which bounds the broadcast.
+    Rows are first counted per hash bucket of the key, which shuffles next to nothing. Only keys
+    of a bucket with enough rows for a hot key are counted one by one.
     """
-    counted = df.groupBy(*keys).agg(F.count("*").alias(ROWS), *values)
-    hot = stage(counted.where(F.col(ROWS) > hot_rows))
-    return None if hot.isEmpty() else hot.drop(ROWS)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(PROBE_BUCKETS)).alias("__bucket")
+    counted = stage(df.groupBy(bucket).agg(F.count("*").alias(ROWS)))
+    rows = counted.agg(F.sum(ROWS)).first()[0] or 0
+    limit = _hot_limit(rows, hot_rows)
+    if rows <= limit:
+        return None
+    crowded = stage(counted.where(F.col(ROWS) > limit).select("__bucket"))
+    if crowded.isEmpty():
+        return None
+    candidates = df.withColumn("__bucket", bucket).join(
+        F.broadcast(crowded), "__bucket", "left_semi"
+    )
+    exact = candidates.groupBy(*keys).agg(F.count("*").alias(ROWS), *values)
+    hot = stage(exact.where(F.col(ROWS) > limit).drop(ROWS))
+    return None if hot.isEmpty() else hot
 
 
 def split_hot(
     df: DataFrame, hot: DataFrame, keys: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of hot groups, joined map-side with the values of `hot`, and the remaining rows."""
-    hot_part = _lookup(df, F.broadcast(hot), keys, "inner")
-    cold_part = _lookup(df, F.broadcast(hot.select(*keys)), keys, "left_anti")
+    hot_part = lookup(df, F.broadcast(hot), keys, "inner")
+    cold_part = lookup(df, F.broadcast(hot.select(*keys)), keys, "left_anti")
     return hot_part, cold_part
 
 
@@ -56,14 +77,17 @@ def attach(
     groups: DataFrame,
     keys: Sequence[str],
     *,
+    aggregates: Sequence[Column] | None = None,
     hot_rows: int = HOT_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add the columns of `groups` (one row per key, with ROWS) to every row of `df`.
 
-    The aggregate is written once and its size is checked. When it fits, `df` is joined
-    map-side and is not shuffled at all. Beyond that, hot keys are joined map-side and only
-    the rows of the others are shuffled, so that no task gets a hot key.
+    The groups are written once and their size is checked. When they fit, `df` is joined map-side
+    and is not shuffled at all. Beyond that, hot keys are joined map-side, and only the rows of
+    the others are shuffled by key, so that no task gets a hot key. `aggregates` are the
+    expressions behind `groups`, in its order of columns, when these are aggregates of `df`
+    itself: a window over the shuffled rows then saves shuffling the groups as well.
     """
     groups = stage(groups)
     values = [name for name in groups.columns if name not in keys and name != ROWS]
@@ -77,16 +101,20 @@ def attach(
     size = groups.agg(
         F.count("*").alias("groups"),
         F.sum(text_bytes).alias("key_bytes"),
-        F.max(ROWS).alias("largest"),
+        F.sum(ROWS).alias("rows"),
     ).first()
     groups_bytes = (size["key_bytes"] or 0) + size["groups"] * 16 * len(groups.columns)
     if groups_bytes <= broadcast_bytes:
-        return _lookup(df, F.broadcast(groups.drop(ROWS)), keys, "left")
-    if size["largest"] <= hot_rows:
-        return _lookup(df, groups.drop(ROWS), keys, "left")
+        return lookup(df, F.broadcast(groups.drop(ROWS)), keys, "left")
 
-    hot = groups.where(F.col(ROWS) > hot_rows).drop(ROWS)
+    def shuffled(rows: DataFrame) -> DataFrame:
+        if aggregates is None:
+            return lookup(rows, groups.drop(ROWS), keys, "left")
+        group = Window.partitionBy(*keys)
+        return rows.withColumns({n: a.over(group) for n, a in zip(values, aggregates)})
+
+    hot = groups.where(F.col(ROWS) > _hot_limit(size["rows"], hot_rows)).drop(ROWS)
+    if hot.isEmpty():
+        return shuffled(df)
     hot_part, cold_part = split_hot(df, hot, keys)
-    return hot_part.unionByName(
-        _lookup(cold_part, groups.where(F.col(ROWS) <= hot_rows).drop(ROWS), keys, "left")
-    )
+    return hot_part.unionByName(shuffled(cold_part))

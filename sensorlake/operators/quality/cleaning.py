@@ -82,11 +82,13 @@ def with_group_stats(
     One aggregate pass and a join back, instead of a window that would shuffle all rows to one
     task per group. `limits` are passed to `attach`.
     """
-    stats = [F.count("*").alias(ROWS)]
+    stats = {}
     for column in columns:
-        stats.append(F.avg(reading(df, column)).alias(_mean(column, mark)))
-        stats.append(F.stddev_samp(reading(df, column)).alias(_std_dev(column, mark)))
-    return attach(df, df.groupBy(*keys).agg(*stats), keys, **limits)
+        stats[_mean(column, mark)] = F.avg(reading(df, column))
+        stats[_std_dev(column, mark)] = F.stddev_samp(reading(df, column))
+    named = [value.alias(name) for name, value in stats.items()]
+    groups = df.groupBy(*keys).agg(F.count("*").alias(ROWS), *named)
+    return attach(df, groups, keys, aggregates=list(stats.values()), **limits)
 
 
 def impute_mean(df: DataFrame, column: str, *, mark: str = "") -> DataFrame:

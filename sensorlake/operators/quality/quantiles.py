@@ -13,12 +13,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorlake.functions import reading
-from sensorlake.operators.grouping import ROWS, attach
+from sensorlake.operators.grouping import ROWS, attach, lookup
 from sensorlake.staging import stage
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
-EXACT_ROWS = 1_000_000  # readings that one percentile buffer, or one sorted bracket, may hold
+EXACT_ROWS = 100_000  # readings of a group in a percentile buffer, when a task has many groups
+FEW_GROUPS = 8  # this many groups may be larger, up to LARGER times
+LARGER = 10
 BUCKETS = 4096
 _LARGEST = 1.7976931348623157e308
 
@@ -37,24 +39,23 @@ def quantiles(
     """One row per group: keys, one column per wanted quantile, and the row count ROWS."""
     keys = list(keys)
     values = df.select(*keys, reading(df, column).cast("double").alias(_VALUE))
-    sizes = stage(
-        values.groupBy(*keys).agg(
-            F.count("*").alias(ROWS),
-            F.count(_VALUE).alias("__n"),
-            F.min(_VALUE).alias("__low"),
-            F.max(_VALUE).alias("__high"),
-        )
+    sizes = values.groupBy(*keys).agg(
+        F.count("*").alias(ROWS),
+        F.count(_VALUE).alias("__n"),
+        F.min(_VALUE).alias("__low"),
+        F.max(_VALUE).alias("__high"),
     )
-    large = sizes.where(F.col("__n") > exact_rows)
-    if large.isEmpty():
+    large = stage(sizes.where(F.col("__n") > exact_rows))
+    found = large.agg(F.count("*").alias("groups"), F.max("__n").alias("largest")).first()
+    if found["groups"] <= FEW_GROUPS and (found["largest"] or 0) <= exact_rows * LARGER:
         return _by_percentile(values, wanted, keys)
 
-    found = _by_narrowing(values, large, wanted, keys, exact_rows, buckets)
+    narrowed = _by_narrowing(values, large, wanted, keys, exact_rows * LARGER, buckets)
     if not keys:
-        return found
-    size_of = sizes.select(*keys, ROWS, (F.col("__n") > exact_rows).alias("__large"))
-    small = attach(values, size_of, keys).where(~F.col("__large"))
-    return found.unionByName(_by_percentile(small, wanted, keys))
+        return narrowed
+    # `large` is a staged table: its file size decides whether it is broadcast.
+    small = lookup(values, large.select(*keys), keys, "left_anti")
+    return narrowed.unionByName(_by_percentile(small, wanted, keys))
 
 
 def quartiles(
@@ -75,10 +76,10 @@ def _by_narrowing(
     large: DataFrame,
     wanted: Mapping[str, float],
     keys: list[str],
-    exact_rows: int,
+    sorted_rows: int,
     buckets: int,
 ) -> DataFrame:
-    """`large` has fewer than rows / exact_rows groups; a bracket holds one wanted rank each."""
+    """Quantiles of the groups in `large`. A bracket of at most `sorted_rows` is sorted."""
     points = F.array(
         *[F.struct(F.lit(n).alias("name"), F.lit(float(p)).alias("p")) for n, p in wanted.items()]
     )
@@ -101,7 +102,7 @@ def _by_narrowing(
     )
     settled = None
     while True:
-        step = stage(_narrow(values, open_ranks, keys, exact_rows, buckets))
+        step = stage(_narrow(values, open_ranks, keys, len(wanted), sorted_rows, buckets))
         done = step.where(F.col("value").isNotNull()).select(*keys, ROWS, "name", "value")
         settled = done if settled is None else settled.unionByName(done)
         open_ranks = step.where(F.col("value").isNull()).drop("value")
@@ -122,7 +123,12 @@ def _log(value: Column) -> Column:
 
 
 def _narrow(
-    values: DataFrame, ranks: DataFrame, keys: list[str], exact_rows: int, buckets: int
+    values: DataFrame,
+    ranks: DataFrame,
+    keys: list[str],
+    most_brackets: int,
+    sorted_rows: int,
+    buckets: int,
 ) -> DataFrame:
     """One pass over `values`: settle each rank or shrink its bracket to one bucket.
 
@@ -140,12 +146,14 @@ def _narrow(
         wide.alias("wide"),
         start.alias("start"),
         width.alias("width"),
-        ((F.col("inside") <= exact_rows) | (width == 0)).alias("by_value"),
+        ((F.col("inside") <= sorted_rows) | (width == 0)).alias("by_value"),
     )
     brackets = ranks.groupBy(*keys, ROWS).agg(F.collect_set(bracket).alias("__brackets"))
-    within = F.filter("__brackets", lambda b: F.col(_VALUE).between(b["low"], b["high"]))
-    rows = attach(values, brackets, keys).select(*keys, _VALUE, F.explode(within).alias("b"))
-    rows = rows.select(*keys, _VALUE, "b.*")
+    # The brackets of a group are one and the same, or do not overlap: a value is in one at most.
+    slots = [F.get("__brackets", F.lit(i)) for i in range(most_brackets)]
+    own = F.coalesce(*[F.when(F.col(_VALUE).between(s["low"], s["high"]), s) for s in slots])
+    rows = attach(values, brackets, keys).select(*keys, _VALUE, own.alias("b"))
+    rows = rows.where(F.col("b").isNotNull()).select(*keys, _VALUE, "b.*")
     scaled = F.when(F.col("wide"), _log(F.col(_VALUE))).otherwise(_finite(F.col(_VALUE)))
     place = F.floor((scaled - F.col("start")) / F.col("width") * buckets).cast("double")
     bucket = F.when(F.col("by_value"), F.col(_VALUE)).otherwise(place)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.testing import assertDataFrameEqual
 
-from sensorlake.operators import quality
+from sensorlake.operators import grouping, quality
 
 POWER = "turbine_id int, power_output double"
 ARRIVALS = "turbine_id int, timestamp timestamp, date_created timestamp"
@@ -193,3 +193,14 @@ def test_clean_dedups_before_it_measures(spark):
         READINGS,
     )
     assert [r.power_output for r in quality.clean(df).collect()] == [2.0, 2.0]
+
+
+def test_more_hot_keys_than_are_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(grouping, "HOT_KEYS", 4)
+    df = skewed(spark)
+    plain = quality.dedup_latest(df, keys=["k"], arrival="arrived")
+    split = quality.dedup_latest(df, keys=["k"], arrival="arrived", hot_rows=10)
+    assertDataFrameEqual(split, plain)
+    stats = quality.with_group_stats(df, ["x"], ["k"])
+    split = quality.with_group_stats(df, ["x"], ["k"], broadcast_bytes=0, hot_rows=10)
+    assertDataFrameEqual(split, stats)
