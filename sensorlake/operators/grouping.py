@@ -26,7 +26,7 @@ def _marked(groups: DataFrame, keys: Sequence[str]) -> DataFrame:
     return groups.withColumnsRenamed({key: f"__key_{key}" for key in keys})
 
 
-def lookup(df: DataFrame, groups: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+def _lookup(df: DataFrame, groups: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Null-safe join of `df` with one row per key; the key columns of `df` are kept."""
     marked = _marked(groups, keys)
     joined = df.join(marked, same_keys(df, marked, keys, "__key_"), how)
@@ -67,8 +67,8 @@ def split_hot(
     df: DataFrame, hot: DataFrame, keys: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of hot groups, joined map-side with the values of `hot`, and the remaining rows."""
-    hot_part = lookup(df, F.broadcast(hot), keys, "inner")
-    cold_part = lookup(df, F.broadcast(hot.select(*keys)), keys, "left_anti")
+    hot_part = _lookup(df, F.broadcast(hot), keys, "inner")
+    cold_part = _lookup(df, F.broadcast(hot.select(*keys)), keys, "left_anti")
     return hot_part, cold_part
 
 
@@ -105,11 +105,11 @@ def attach(
     ).first()
     groups_bytes = (size["key_bytes"] or 0) + size["groups"] * 16 * len(groups.columns)
     if groups_bytes <= broadcast_bytes:
-        return lookup(df, F.broadcast(groups.drop(ROWS)), keys, "left")
+        return _lookup(df, F.broadcast(groups.drop(ROWS)), keys, "left")
 
     def shuffled(rows: DataFrame) -> DataFrame:
         if aggregates is None:
-            return lookup(rows, groups.drop(ROWS), keys, "left")
+            return _lookup(rows, groups.drop(ROWS), keys, "left")
         group = Window.partitionBy(*keys)
         return rows.withColumns({n: a.over(group) for n, a in zip(values, aggregates)})
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorlake.functions import reading
-from sensorlake.operators.grouping import ROWS, attach, lookup
+from sensorlake.operators.grouping import ROWS, attach
 from sensorlake.staging import stage
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -53,8 +53,8 @@ def quantiles(
     narrowed = _by_narrowing(values, large, wanted, keys, exact_rows * LARGER, buckets)
     if not keys:
         return narrowed
-    # `large` is a staged table: its file size decides whether it is broadcast.
-    small = lookup(values, large.select(*keys), keys, "left_anti")
+    flagged = attach(values, large.select(*keys, ROWS, F.lit(True).alias("__large")), keys)
+    small = flagged.where(F.col("__large").isNull())
     return narrowed.unionByName(_by_percentile(small, wanted, keys))
 
 

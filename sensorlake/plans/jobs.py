@@ -1,9 +1,9 @@
 """The three jobs over named tables, and their chain. The caller supplies the session."""
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake import schema, staging, tables
@@ -41,11 +41,12 @@ def clean(
     target: str = CLEANED,
     columns: Sequence[str] = ("power_output",),
     k: float = 2,
-) -> None:
+) -> list[date | None]:
     """New arrivals → latest per key → impute → replace outliers → upsert.
 
     Statistics cover the newly arrived rows only. A reading delivered twice in one run ties with
-    itself; one of the tied rows is taken, as an upsert needs one row per key.
+    itself; one of the tied rows is taken, as an upsert needs one row per key. Returns the dates
+    of the new readings.
     """
     tables.ensure(spark, target, schema.CLEAN, day_of=schema.EVENT_TIME)
     raw = spark.table(source)
@@ -57,7 +58,14 @@ def clean(
     tables.upsert(
         spark, repaired, target, [schema.EVENT_TIME, schema.SENSOR], check_unique=False
     )
+    dates = [row["date"] for row in metrics.with_date(batch).select("date").distinct().collect()]
     staging.drop(spark, path)
+    return dates
+
+
+def _any_of(column: str, dates: Collection[date | None]) -> Column:
+    wanted = F.col(column).isin([d for d in dates if d is not None])
+    return wanted | F.col(column).isNull() if None in dates else wanted
 
 
 def daily_metrics(
@@ -65,19 +73,17 @@ def daily_metrics(
     *,
     source: str = CLEANED,
     target: str = DAILY,
-    dates: Sequence[date] | None = None,
+    dates: Sequence[date | None] | None = None,
 ) -> None:
     """Roll the cleaned readings up per day and upsert them; `dates` limits the work to those."""
     readings = spark.table(source)
+    if dates is not None and tables.day_column(spark, source) is not None:
+        # Partitions hold UTC days; a date of the session time zone lies in its neighbours.
+        shifts = [timedelta(days=n) for n in (-1, 0, 1)]
+        readings = readings.where(_any_of(tables.DAY, {d and d + n for d in dates for n in shifts}))
+    dated = metrics.with_date(readings)
     if dates is not None:
-        wanted = F.col("date").isin(list(dates))
-        if tables.day_column(spark, source) is not None:
-            # Partitions hold UTC days; a date of the session time zone lies in its neighbours.
-            near = {d + timedelta(days=shift) for d in dates for shift in (-1, 0, 1)}
-            readings = readings.where(F.col(tables.DAY).isin(sorted(near)))
-        dated = metrics.with_date(readings).where(wanted)
-    else:
-        dated = metrics.with_date(readings)
+        dated = dated.where(_any_of("date", dates))
     path = staging.new_path(spark)
     daily = staging.stage(metrics.daily_metrics(dated), path)
     tables.ensure(spark, target, schema.DAILY, day_of="date")
@@ -93,8 +99,13 @@ def run_all(
     cleaned: str = CLEANED,
     daily: str = DAILY,
     arrival: datetime | None = None,
+    new_dates_only: bool = False,
 ) -> None:
-    """The three jobs in order."""
+    """The three jobs in order.
+
+    The roll-up covers the whole cleaned table, unless it is limited to the dates of the new
+    readings. The limited form relies on every earlier run having completed.
+    """
     ingest(spark, path, table=raw, arrival=arrival)
-    clean(spark, source=raw, target=cleaned)
-    daily_metrics(spark, source=cleaned, target=daily)
+    dates = clean(spark, source=raw, target=cleaned)
+    daily_metrics(spark, source=cleaned, target=daily, dates=dates if new_dates_only else None)

@@ -55,15 +55,14 @@ def ensure(
 
 
 def _detail(spark: SparkSession, name: str, field: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == field)
-    found = rows.select("data_type").first()
-    return found[0] if found else ""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    return next((row["data_type"] for row in described if row["col_name"] == field), "")
 
 
 def day_column(spark: SparkSession, name: str) -> str | None:
     """The column whose day partitions the table, or None."""
-    shown = spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key") == _DAY_OF).first()
-    return shown["value"] if shown else None
+    properties = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    return next((row["value"] for row in properties if row["key"] == _DAY_OF), None)
 
 
 def _with_day(df: DataFrame, day_of: str) -> DataFrame:

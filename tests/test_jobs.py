@@ -112,6 +112,23 @@ def test_daily_metrics_of_some_dates(spark, names, tmp_path):
     assert sources.read_table(spark, names["daily"]).count() == 3
 
 
+def test_roll_up_of_new_dates_only(spark, names, tmp_path):
+    first, second = tmp_path / "one", tmp_path / "two"
+    first.mkdir(), second.mkdir()
+    write(first, "a.csv", "2022-03-01 23:00:00,1,1.0,1,2.0", "2022-03-02 01:00:00,1,1.0,1,4.0")
+    write(second, "a.csv", "2022-03-02 02:00:00,1,1.0,1,8.0", ",1,1.0,1,8.0")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        for folder, stamp in ((first, DAY1), (second, DAY2)):
+            jobs.run_all(spark, f"{folder}/*.csv", arrival=stamp, new_dates_only=True, **names)
+        daily = sources.read_table(spark, names["daily"]).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert {(r.date, r.power_output_daily_max) for r in daily} == {
+        (date(2022, 3, 1), 2.0), (date(2022, 3, 2), 8.0), (None, 8.0),
+    }
+
+
 def test_raw_table_without_day_partitions(spark, names):
     rows = [(datetime(2022, 3, 1, 1), 1, 1.0, 1, 2.0, DAY1)]
     spark.createDataFrame(

@@ -1,5 +1,6 @@
 import os
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -165,3 +166,22 @@ def test_staged_frames(spark):
     assert staged.count() == 5
     staging.drop(spark, path)
     assert not os.path.exists(path.removeprefix("file:"))
+
+
+def session(master, configured=None):
+    """Only what staging.folder() asks of a session."""
+    made = []
+    context = SimpleNamespace(
+        master=master,
+        getCheckpointDir=lambda: made[-1] if made else None,
+        setCheckpointDir=made.append,
+    )
+    return SimpleNamespace(conf={"spark.checkpoint.dir": configured}, sparkContext=context)
+
+
+def test_staging_folder_is_the_one_the_cluster_names():
+    assert staging.folder(session("yarn", "hdfs:///shared")) == "hdfs:///shared"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.folder(session("yarn"))
+    local = session("local[2]")
+    assert staging.folder(local) == staging.folder(local)
