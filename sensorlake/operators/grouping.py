@@ -11,26 +11,17 @@ from sensorlake.staging import stage
 ROWS = "__rows"  # rows per group; every frame given to attach() carries it
 
 HOT_ROWS = 5_000_000  # a key with more rows than this may be hot
-HOT_KEYS = 100_000  # a hot key also has more than 1 / HOT_KEYS of all rows: there are no more of them
+HOT_KEYS = 100_000  # a hot key also has over 1 / HOT_KEYS of all rows: there are fewer of them
 PROBE_BUCKETS = 1 << 20
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:
-    """Null-safe equality of `keys` in left with `prefix + keys` in right."""
-    pairs = [left[key].eqNullSafe(right[prefix + key]) for key in keys]
-    return reduce(lambda a, b: a & b, pairs)
-
-
-def _marked(groups: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return groups.withColumnsRenamed({key: f"__key_{key}" for key in keys})
-
-
 def _lookup(df: DataFrame, groups: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Null-safe join of `df` with one row per key; the key columns of `df` are kept."""
-    marked = _marked(groups, keys)
-    joined = df.join(marked, same_keys(df, marked, keys, "__key_"), how)
-    return joined.drop(*[f"__key_{key}" for key in keys])
+    other = {key: f"__key_{key}" for key in keys}
+    groups = groups.withColumnsRenamed(other)
+    equal = [df[key].eqNullSafe(groups[name]) for key, name in other.items()]
+    return df.join(groups, reduce(lambda a, b: a & b, equal), how).drop(*other.values())
 
 
 def _hot_limit(rows: int, hot_rows: int) -> int:
@@ -43,8 +34,8 @@ def hot_groups(
 ) -> DataFrame | None:
     """The hot groups with their aggregate `values`, or None.
 
-    Rows are first counted per hash bucket of the key, which shuffles next to nothing. Only keys
-    of a bucket with enough rows for a hot key are counted one by one.
+    Rows are first counted per hash bucket of the key, a bounded number of counts per task. Only
+    keys of a bucket with enough rows for a hot key are counted one by one.
     """
     bucket = F.pmod(F.xxhash64(*keys), F.lit(PROBE_BUCKETS)).alias("__bucket")
     counted = stage(df.groupBy(bucket).agg(F.count("*").alias(ROWS)))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sensorlake.functions import clamp, reading, sigma_band, z_score
 from sensorlake.operators.grouping import HOT_ROWS, ROWS, attach, hot_groups, split_hot
-from sensorlake.schema import ARRIVAL, READING_KEYS, SENSOR
+from sensorlake.schema import ARRIVAL, READING_KEYS, READINGS, SENSOR
 from sensorlake.staging import stage
 
 _POSITION = "__position"
@@ -117,7 +117,7 @@ def replace_outliers(
 
 
 def drop_helpers(
-    df: DataFrame, columns: Sequence[str], *, k: float = 2, mark: str = ""
+    df: DataFrame, columns: Sequence[str] = READINGS, *, k: float = 2, mark: str = ""
 ) -> DataFrame:
     """Drop the helper columns of the named columns, and nothing else."""
     helpers = []

@@ -2,6 +2,7 @@ from datetime import date, datetime
 
 import pytest
 
+import run_jobs
 from sensorlake import sources, tables
 from sensorlake.plans import jobs
 
@@ -139,3 +140,10 @@ def test_raw_table_without_day_partitions(spark, names):
     assert tables.day_column(spark, names["raw"]) is None
     jobs.clean(spark, source=names["raw"], target=names["cleaned"])
     assert len(cleaned_rows(spark, names)) == 1
+
+
+def test_command_line(spark, names, tmp_path):
+    write(tmp_path, "a.csv", "2022-03-01 01:00:00,1,1.0,1,2.0")
+    tables_of = [f"--{layer}={table}" for layer, table in names.items()]
+    run_jobs.main([f"{tmp_path}/*.csv", *tables_of, "--new-dates-only"])
+    assert [r.power_output_daily_mean for r in sources.read_table(spark, names["daily"]).collect()] == [2.0]
