@@ -7,7 +7,7 @@ task) and keeps the bucket that holds the rank, until that is a single value. Co
 smallest and largest value of a bucket, are exact, and so is the result.
 """
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,10 +35,16 @@ def quantiles(
     *,
     exact_rows: int = EXACT_ROWS,
     buckets: int = BUCKETS,
+    approx: bool = False,
 ) -> DataFrame:
-    """One row per group: keys, one column per wanted quantile, and the row count ROWS."""
+    """One row per group: keys, one column per wanted quantile, and the row count ROWS.
+
+    `approx` takes values near the wanted ranks, in one pass and without interpolation.
+    """
     keys = list(keys)
     values = df.select(*keys, reading(df, column).cast("double").alias(_VALUE))
+    if approx:
+        return _in_one_pass(values, wanted, keys, F.percentile_approx)
     sizes = values.groupBy(*keys).agg(
         F.count("*").alias(ROWS),
         F.count(_VALUE).alias("__n"),
@@ -48,14 +54,14 @@ def quantiles(
     large = stage(sizes.where(F.col("__n") > exact_rows))
     found = large.agg(F.count("*").alias("groups"), F.max("__n").alias("largest")).first()
     if found["groups"] <= FEW_GROUPS and (found["largest"] or 0) <= exact_rows * LARGER:
-        return _by_percentile(values, wanted, keys)
+        return _in_one_pass(values, wanted, keys, F.percentile)
 
     narrowed = _by_narrowing(values, large, wanted, keys, exact_rows * LARGER, buckets)
     if not keys:
         return narrowed
     flagged = attach(values, large.select(*keys, ROWS, F.lit(True).alias("__large")), keys)
     small = flagged.where(F.col("__large").isNull())
-    return narrowed.unionByName(_by_percentile(small, wanted, keys))
+    return narrowed.unionByName(_in_one_pass(small, wanted, keys, F.percentile))
 
 
 def quartiles(
@@ -64,8 +70,13 @@ def quartiles(
     return quantiles(df, column, QUARTILES, keys, **limits)
 
 
-def _by_percentile(values: DataFrame, wanted: Mapping[str, float], keys: list[str]) -> DataFrame:
-    points = F.percentile(_VALUE, list(wanted.values())).alias("__points")
+def _in_one_pass(
+    values: DataFrame,
+    wanted: Mapping[str, float],
+    keys: list[str],
+    percentile: Callable[[str, list[float]], Column],
+) -> DataFrame:
+    points = percentile(_VALUE, list(wanted.values())).alias("__points")
     grouped = values.groupBy(*keys).agg(points, F.count("*").alias(ROWS))
     picked = [F.col("__points")[i].alias(name) for i, name in enumerate(wanted)]
     return grouped.select(*keys, *picked, ROWS)

@@ -98,3 +98,10 @@ def test_box_stats_with_test_points(spark):
     q1, median, q3 = np.quantile([1, 2, 3, 4, -6, 8], [0.25, 0.5, 0.75])
     assert (box.q1, box.median, box.q3) == (q1, median, q3)
     assert (box.whisker_low, box.whisker_high, box.fliers) == (1.0, 4.0, 2)
+
+
+def test_approximate_quartiles_are_near_the_wanted_ranks(spark):
+    values = np.sort(SHAPES["normal"])
+    got = quality.quartiles(frame(spark, values), "x", approx=True).first()
+    for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+        assert abs(np.searchsorted(values, got[name]) - p * len(values)) <= 2
