@@ -6,7 +6,6 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
-from datetime import datetime
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -26,8 +25,8 @@ KEYS = ["timestamp", "turbine_id"]
 # Two overlapping deliveries: the second one re-delivers ten days of the first.
 FIRST_UNTIL = "2024-01-20 12:30:00"
 SECOND_FROM = "2024-01-10 06:30:00"
-FIRST_STAMP = datetime(2024, 2, 1, 6, 0)
-SECOND_STAMP = datetime(2024, 2, 2, 6, 0)
+FIRST_STAMP = "2024-02-01 06:00:00"
+SECOND_STAMP = "2024-02-02 06:00:00"
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -9,8 +9,11 @@ from sensorlake.schema import ARRIVAL
 
 
 def stamp_arrival(
-    df: DataFrame, *, column: str = ARRIVAL, arrival: datetime | None = None
+    df: DataFrame, *, column: str = ARRIVAL, arrival: datetime | str | None = None
 ) -> DataFrame:
-    """One arrival time for all rows of a run: the given one, or the start of the query."""
+    """One arrival time for all rows of a run: the given one, or the start of the query.
+
+    A text is read as wall-clock time of the session.
+    """
     stamp = F.current_timestamp() if arrival is None else F.lit(arrival).cast("timestamp")
     return df.withColumn(column, stamp)

@@ -21,7 +21,7 @@ def ingest(
     path: str | list[str],
     *,
     table: str = RAW,
-    arrival: datetime | None = None,
+    arrival: datetime | str | None = None,
     location: str | None = None,
     infer: bool = False,
 ) -> None:
@@ -98,7 +98,7 @@ def run_all(
     raw: str = RAW,
     cleaned: str = CLEANED,
     daily: str = DAILY,
-    arrival: datetime | None = None,
+    arrival: datetime | str | None = None,
     new_dates_only: bool = False,
 ) -> None:
     """The three jobs in order.

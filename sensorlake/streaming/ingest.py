@@ -20,7 +20,7 @@ def ingest_new_files(
     checkpoint: str,
     *,
     table: str = RAW,
-    arrival: datetime | None = None,
+    arrival: datetime | str | None = None,
     max_files: int | None = None,
 ) -> None:
     """Append the files of the glob that no earlier run with this checkpoint has read."""
