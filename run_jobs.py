@@ -5,6 +5,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from sensorlake import staging
 from sensorlake.plans import jobs
 
 
@@ -16,7 +17,11 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--daily", default=jobs.DAILY, help="table of daily metrics")
     parser.add_argument("--new-dates-only", action="store_true", help="limit the roll-up")
     options = parser.parse_args(arguments)
-    jobs.run_all(SparkSession.builder.getOrCreate(), **vars(options))
+    spark = SparkSession.builder.getOrCreate()
+    try:
+        jobs.run_all(spark, **vars(options))
+    finally:
+        staging.sweep(spark)
 
 
 if __name__ == "__main__":

@@ -21,8 +21,12 @@ def folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{folder(spark).rstrip('/')}/sensorlake-{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession) -> str:
-    return f"{folder(spark).rstrip('/')}/sensorlake-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, path: str | None = None) -> DataFrame:
@@ -36,3 +40,8 @@ def drop(spark: SparkSession, path: str) -> None:
     """Delete a staged frame that nothing reads any more."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Delete all that this application staged; for the end of a program."""
+    drop(spark, _own_folder(spark))

@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from sensorlake import staging  # noqa: E402
+
 TESTDATA = os.environ.get("TESTDATA_DIR", "/root/testdata")
 
 
@@ -22,6 +24,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    staging.sweep(session)
     session.stop()
 
 

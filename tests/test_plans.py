@@ -1,0 +1,74 @@
+"""What the physical plans must show, whatever the size of the data."""
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from sensorlake import tables
+from sensorlake.operators import incremental, metrics, quality
+from sensorlake.schema import CLEAN
+
+DAY = datetime(2024, 3, 1)
+
+
+def plan(df):
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("plans") / "readings")
+    rows = [
+        (DAY + timedelta(hours=n), n % 4, float(n), n, float(n % 7), DAY + timedelta(days=n // 10))
+        for n in range(40)
+    ]
+    spark.createDataFrame(rows, CLEAN).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_group_statistics_do_not_shuffle_the_rows(stored):
+    shown = plan(quality.with_group_stats(stored, ["power_output"]))
+    assert "BroadcastHashJoin" in shown
+    assert "Exchange hashpartitioning" not in shown and "SortMergeJoin" not in shown
+
+
+def test_dedup_drops_rows_before_the_shuffle(stored):
+    for keep_ties in (True, False):
+        shown = plan(quality.dedup_latest(stored, keep_ties=keep_ties))
+        partial = shown.rindex("Partial")
+        assert "WindowGroupLimit" in shown and partial > 0
+
+
+def test_daily_metrics_reads_three_columns_and_shuffles_once(stored):
+    shown = plan(metrics.daily_metrics(metrics.with_date(stored)))
+    assert "ReadSchema: struct<timestamp:timestamp,turbine_id:int,power_output:double>" in shown
+    assert shown.count("Arguments: hashpartitioning") == 1
+
+
+def test_fences_reach_the_scan(stored):
+    shown = plan(quality.iqr_outliers(stored, "power_output"))
+    assert "PushedFilters: [Or(LessThan(power_output," in shown
+
+
+def test_watermark_reaches_the_scan_and_prunes_days(spark, stored, name):
+    tables.append(stored, name, day_of="date_created")
+    held = stored.where(F.col("date_created") < DAY + timedelta(days=2))
+    newer = incremental.newer_than_target(spark.table(name), held, day=tables.DAY)
+    shown = plan(newer)
+    assert "GreaterThan(date_created,ScalarSubquery" in shown
+    filters = next(line for line in shown.splitlines() if "PartitionFilters" in line)
+    assert "_day" in filters
+    assert newer.count() == 20
+    files = {row[0] for row in newer.select(F.input_file_name()).distinct().collect()}
+    assert files and all("_day=2024-03-03" in f or "_day=2024-03-04" in f for f in files)
+
+
+def test_upsert_reads_touched_days_only(spark, stored, name):
+    tables.ensure(spark, name, CLEAN, day_of="timestamp")
+    tables.upsert(spark, stored, name, ["timestamp", "turbine_id"])
+    touched = spark.table(name).where(F.col(tables.DAY).isin([DAY.date()]))
+    merged = tables.upsert_frame(touched, touched.limit(1), ["timestamp", "turbine_id"])
+    assert "PartitionFilters" in plan(merged)

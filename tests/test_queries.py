@@ -35,6 +35,8 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("query", QUERIES)
 def test_query(spark, duck, query):
     df = QUERIES[query](spark, SF_DIR)
+    shown = df._jdf.queryExecution().toString()
+    assert not any(node in shown for node in ("CartesianProduct", "NestedLoop", "Python"))
     columns = sorted(df.columns)
     got = sorted(tuple(map(plain, row)) for row in df.select(*[f"`{c}`" for c in columns]).collect())
     result = duck.execute(f"SELECT * FROM ({SQL[query]})")

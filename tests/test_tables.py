@@ -166,6 +166,10 @@ def test_staged_frames(spark):
     assert staged.count() == 5
     staging.drop(spark, path)
     assert not os.path.exists(path.removeprefix("file:"))
+    kept = staging.new_path(spark)
+    staging.stage(spark.range(5).toDF("n"), kept)
+    staging.sweep(spark)
+    assert not os.path.exists(kept.removeprefix("file:"))
 
 
 def session(master, configured=None):
