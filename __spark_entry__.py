@@ -19,6 +19,11 @@ from sensorlake.operators import incremental, ingest, metrics, quality
 from sensorlake.plans import jobs
 from sensorlake.sources import preview, read_measurements_csv, read_path, read_table
 
+try:
+    from sensorlake.llm import queries as llm
+except ImportError:  # the subpackage is not installed
+    llm = None
+
 READINGS = list(schema.READINGS)
 KEYS = ["timestamp", "turbine_id"]
 
@@ -358,6 +363,15 @@ def _price_iqr_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return {**own_queries(), **(llm.QUERIES if llm else {})}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {**own_sql(), **(llm.SQL if llm else {})}
+
+
+def own_queries() -> dict[str, Query]:
+    """All but those of the subpackage `llm`."""
     return {
         "measurements": measurements,
         "newly_arrived": _newly_arrived,
@@ -508,7 +522,7 @@ def _sql_iqr_summary(column: str) -> str:
       FROM m, q WHERE {column} < q1 - 1.5 * (q3 - q1) OR {column} > q3 + 1.5 * (q3 - q1)"""
 
 
-def oracle_sql() -> dict[str, str]:
+def own_sql() -> dict[str, str]:
     w = "OVER (PARTITION BY turbine_id)"
     day = 'OVER (PARTITION BY CAST("timestamp" AS DATE))'
     keys = '"timestamp", turbine_id, date_created'

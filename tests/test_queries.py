@@ -10,7 +10,7 @@ from conftest import TESTDATA
 import __spark_entry__ as registered
 
 SF_DIR = f"{TESTDATA}/sf0.001"
-QUERIES, SQL = registered.queries(), registered.oracle_sql()
+QUERIES, SQL = registered.own_queries(), registered.own_sql()
 
 
 @pytest.fixture(scope="module")
