@@ -8,13 +8,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake import staging
-from sensorlake.llm import mixing, quality_rules
+from sensorlake.llm import bpe, mixing, quality_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    path = path or vocabulary_path()
+    docs = table(spark, sf_dir, "documents")
+    encoded = docs.select("doc_id", bpe.encode("text", path).alias("ids"))
+    return encoded.withColumn("decoded", bpe.decode("ids", path)).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counts = docs.select("doc_id", quality_rules.measure("text").alias("counts"))
@@ -41,6 +59,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bpe": op2_bpe,
     "op7_quality_rules": op7_quality_rules,
     "op9_mixing": op9_mixing,
 }
