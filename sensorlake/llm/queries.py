@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake import staging
-from sensorlake.llm import bpe, mixing, quality_rules
+from sensorlake.llm import bpe, mixing, near_dups, quality_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFr
     )
 
 
+def op3_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counts = docs.select("doc_id", quality_rules.measure("text").alias("counts"))
@@ -60,6 +64,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
+    "op3_near_dups": op3_near_dups,
     "op7_quality_rules": op7_quality_rules,
     "op9_mixing": op9_mixing,
 }
