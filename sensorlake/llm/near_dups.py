@@ -162,10 +162,8 @@ def _linked(pairs: DataFrame, sets: DataFrame, full: DataFrame, percent: int, ke
     sure = judged.where("whole").select("a", "b")
     open_ = judged.where("NOT whole")
     sets_of = (
-        open_.join(full.toDF("a", "m_a", "all_a"), "a")
-        .where("m_a = n_a")
-        .join(full.toDF("b", "m_b", "all_b"), "b")
-        .where("m_b = n_b")
+        open_.join(full.toDF("a", "n_a", "all_a"), ["a", "n_a"])
+        .join(full.toDF("b", "n_b", "all_b"), ["b", "n_b"])
     )
     shared = F.size(F.array_intersect("all_a", "all_b"))
     met = 100 * shared >= percent * (F.col("n_a") + F.col("n_b") - shared)
@@ -204,8 +202,10 @@ def near_duplicates(
     full = staging.stage(
         plain.join(wanted, "doc_id")
         .select("doc_id", shingles("text", size).alias("values"))
-        .select("doc_id", F.size("values").cast("long").alias("m"), "values")
+        .select(F.col("doc_id").alias("node"), F.size("values").cast("long").alias("n"), "values")
     )
+    in_sketch = sets.where(F.col("n") <= kept).select("node", "n", F.col("low").alias("values"))
+    full = in_sketch.unionByName(full)
 
     # A set larger than the lead's is met from the side of the lead: sizes are compared at the set.
     sizes = sets.groupBy("node").agg(F.max("n").alias("n_lead"))
@@ -217,7 +217,7 @@ def near_duplicates(
 
     rest = _unsettled(_left_on_lists(members, short_list), labels)
     pairs = _on_short_lists(rest.where(F.col("m") <= short_list), percent)
-    far = _by_difference(rest.where(F.col("m") > short_list), labels, sets, full, percent, kept)
+    far = _by_difference(rest.where(F.col("m") > short_list), labels, full, percent)
     more = _linked(pairs.unionByName(far).distinct(), sets, full, percent, kept)
     labels = components(edges.unionByName(more))
 
@@ -275,9 +275,7 @@ def _on_short_lists(short: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("node").alias("a"), F.col("node_2").alias("b"))
 
 
-def _by_difference(
-    long: DataFrame, labels: DataFrame, sets: DataFrame, full: DataFrame, percent: int, kept: int
-) -> DataFrame:
+def _by_difference(long: DataFrame, labels: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Candidates among the members of long lists: pairs that differ from the lead in the same way.
 
     With L the lead's set and a = |X ^ L|, b = |Y ^ L| (^ for symmetric difference, p percent),
@@ -291,10 +289,8 @@ def _by_difference(
     of_lead = labels.toDF("lead", "lead_label")
     group = long.select("lead", "node", "n", "component").distinct().join(of_lead, "lead", "left")
     group = group.withColumn("apart", F.col("component") != F.coalesce("lead_label", "lead"))
-    small = sets.where(F.col("n") <= kept).select("node", "n", F.col("low").alias("values"))
-    held = small.unionByName(full.select(F.col("doc_id").alias("node"), F.col("m").alias("n"), "values"))
-    leads = held.groupBy(F.col("node").alias("lead")).agg(F.min("values").alias("core"))
-    both = group.drop("lead_label").join(held, ["node", "n"]).join(leads, "lead")
+    leads = full.groupBy(F.col("node").alias("lead")).agg(F.min("values").alias("core"))
+    both = group.drop("lead_label").join(full, ["node", "n"]).join(leads, "lead")
     differing = F.concat(F.array_except("values", "core"), F.array_except("core", "values"))
     each = staging.stage(
         both.select("lead", "node", "n", "component", "apart", differing.alias("d")).select(
