@@ -8,13 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake import staging
-from sensorlake.llm import bpe, mixing, near_dups, quality_rules
+from sensorlake.llm import bpe, line_dedup, mixing, near_dups, quality_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = line_dedup.repeated_lines(docs)
+    version = F.xxhash64("text").alias("version")
+    every = docs.select("doc_id", version).join(found, ["doc_id", "version"], "left")
+    return every.select(
+        "doc_id",
+        F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.array_join("removed", ","), F.lit("")).alias("removed"),
+    )
+
+
 def vocabulary_path() -> str:
     import public_tokenizers
 
@@ -63,6 +76,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_bpe": op2_bpe,
     "op3_near_dups": op3_near_dups,
     "op7_quality_rules": op7_quality_rules,
