@@ -31,26 +31,23 @@ ANCHOR = 4
 
 def sliding_lowest(values: np.ndarray, width: int) -> np.ndarray:
     """For each i the place of the lowest (leftmost of equal) of values[i : i + width]."""
-    count = len(values) - width + 1
-    place = np.arange(len(values))
-    lowest, at, reach = values, place, 1
+    if len(values) < width:
+        return np.zeros(0, np.int64)
+    # The place in the low bits: equal windows hold equal values in equal order, so they still agree.
+    bits = np.uint64(max(len(values).bit_length(), 1))
+    low = (values >> bits << bits) | np.arange(len(values), dtype=np.uint64)
+    reach = 1
     while reach < width:  # doubling: the lowest of `reach` values, then of twice as many
         step = min(reach, width - reach)
-        left, right = lowest[: len(lowest) - step], lowest[step:]
-        take = right < left
-        at = np.where(take, at[step:], at[: len(at) - step])
-        lowest = np.where(take, right, left)
+        low = np.minimum(low[: len(low) - step], low[step:])
         reach += step
-    return at[:count]
+    return (low & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
 
 
-def paths_of(values: np.ndarray, first: np.ndarray, size: int, anchor: int):
-    """Paths of all texts, given word hashes: text, start word, number of windows, anchor place."""
+def paths_of(grams: np.ndarray, first: np.ndarray, size: int, anchor: int):
+    """Paths of all texts, given hashes of `anchor` items from each place: text, first window, number
+    of windows, place of the anchor."""
     at = tx.window_starts(first, size)
-    if len(at) == 0:
-        empty = np.zeros(0, np.int64)
-        return empty, empty, empty, empty, np.zeros(0, np.uint64)
-    grams = tx.window_hashes(values, anchor)
     low = sliding_lowest(grams, size - anchor + 1)[at]
     fresh = np.ones(len(at), bool)
     fresh[1:] = (low[1:] != low[:-1]) | (at[1:] != at[:-1] + 1)
@@ -58,7 +55,7 @@ def paths_of(values: np.ndarray, first: np.ndarray, size: int, anchor: int):
     count = np.diff(np.append(begin, len(at)))
     start = at[begin]
     text = np.searchsorted(first, start, "right") - 1
-    return text, start, count, low[begin], grams
+    return text, start, count, low[begin]
 
 
 def _body(values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -82,8 +79,9 @@ def paths(text: Column | str, size: int, anchor: int) -> Column:
         counts = [np.zeros(0, np.int64)]
         for _, t in tx.slices(tx.flat(column)):
             w, values = _word_hashes(t)
-            owner, start, windows, low, grams = paths_of(values, w.first, size, anchor)
-            key = tx.mix(grams[low] + np.uint64(anchor)).view(np.int64) if len(low) else low
+            grams = tx.window_hashes(values, anchor)
+            owner, start, windows, low = paths_of(grams, w.first, size, anchor)
+            key = tx.mix(grams[low] + np.uint64(anchor)).view(np.int64)
             body = _body(values, start, windows + size - 1).view(np.int64)
             parts.append((key, body, start - w.first[owner], windows))
             counts.append(np.bincount(owner, minlength=len(t)))
