@@ -20,6 +20,7 @@ from sensorlake.plans import jobs
 from sensorlake.sources import preview, read_measurements_csv, read_path, read_table
 
 try:
+    import corpus_pipeline
     from sensorlake.llm import queries as llm
 except ImportError:  # the subpackage is not installed
     llm = None
@@ -363,11 +364,15 @@ def _price_iqr_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {**own_queries(), **(llm.QUERIES if llm else {})}
+    if llm is None:
+        return own_queries()
+    return {**own_queries(), **llm.QUERIES, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**own_sql(), **(llm.SQL if llm else {})}
+    if llm is None:
+        return own_sql()
+    return {**own_sql(), **llm.SQL}
 
 
 def own_queries() -> dict[str, Query]:
