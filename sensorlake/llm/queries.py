@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake import staging
-from sensorlake.llm import bpe, line_dedup, mixing, near_dups, quality_rules, substring_dedup, suffix_dedup
+from sensorlake.llm import bpe, line_dedup, mixing, near_dups, neighbours, quality_rules, substring_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counts = docs.select("doc_id", quality_rules.measure("text").alias("counts"))
@@ -92,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_near_dups": op3_near_dups,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_neighbours": op6_neighbours,
     "op7_quality_rules": op7_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_suffix_dedup": op10_suffix_dedup,
