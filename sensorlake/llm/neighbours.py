@@ -2,9 +2,10 @@
 
 Centroids are fitted on a bounded sample: a cluster that would hold more than its share is split again,
 so lists come out even. Every vector goes to its nearest centroid, and a vector near a boundary to
-further ones too, unless such a centroid is nearer to one already chosen. Queries walk an in-memory
-graph over the centroids (each linked with its nearest) from several entries, and search the lists whose
-distance is within a ratio of the nearest. Within a list, queries meet vectors block by block; only the
+further ones too, unless such a centroid is close to one already chosen. Queries walk an in-memory graph
+over the centroids (each linked with its nearest) from several entries, and search the lists whose
+distance is within a ratio of the nearest, which is few where vectors cluster and many where they do not.
+Within a list, queries meet vectors block by block; only the
 best of each block leave the task.
 
 Inner products of vectors of unequal length are turned into distances by one more coordinate that makes
@@ -34,10 +35,11 @@ TOP = 20
 SAMPLE = 64_000  # vectors that centroids are fitted on, at most about
 PER_LIST = 400  # vectors of the table for each centroid, up to MOST_LISTS
 MOST_LISTS = 16_384
-COPIES = 4  # lists that one vector goes to at most
-NEAR_BOUNDARY = 1.15  # distance to a further centroid, as a ratio of the nearest
-PRUNE = 1.6  # distance of lists that are searched, as a ratio of the nearest
-LISTS_SEARCHED = 24
+COPIES = 2  # lists that one vector goes to at most
+NEAR_BOUNDARY = 1.05  # distance to a further centroid, as a ratio of the nearest
+COVERED = 0.3  # a further centroid this near to a chosen one, as a ratio of its distance, adds nothing
+PRUNE = 1.15  # distance of lists that are searched, as a ratio of the nearest
+SEARCHED = 0.45  # share of all lists that a query searches at most
 LINKS = 24
 BLOCK = 4_096
 
@@ -136,7 +138,8 @@ def _lists_of(vector: Column, centroids: Centroids, longest: float, query: bool)
         chosen, counts = [], []
         for point in _lifted(_matrix(column), longest, query) if len(column) else []:
             if query:
-                best, far = centroids.search(point, LISTS_SEARCHED)
+                most = max(int(np.ceil(SEARCHED * len(centroids.points))), 8)
+                best, far = centroids.search(point, most)
                 near = best[far <= PRUNE * max(far[0], 1e-12)]
             else:
                 best, far = centroids.search(point, 2 * COPIES)
@@ -145,7 +148,7 @@ def _lists_of(vector: Column, centroids: Centroids, longest: float, query: bool)
                     if len(near) == COPIES or distance > NEAR_BOUNDARY * max(far[0], 1e-12):
                         break
                     apart = centroids.points[near] - centroids.points[place]
-                    if near and np.sqrt((apart * apart).sum(axis=1)).min() < distance:
+                    if near and np.sqrt((apart * apart).sum(axis=1)).min() < COVERED * distance:
                         continue  # another chosen list covers this side of the boundary
                     near.append(int(place))
             chosen.extend(int(x) for x in near)
