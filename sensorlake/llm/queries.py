@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake import staging
-from sensorlake.llm import bpe, line_dedup, mixing, near_dups, neighbours, quality_rules, substring_dedup, suffix_dedup
+from sensorlake.llm import bpe, line_dedup, mixing, near_dups, neighbours, quality_rules, substring_dedup, suffix_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{staging.new_path(spark)}-warc"
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    records = warc.read(spark, folder).withColumnRenamed("id", "page_id")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
@@ -98,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_neighbours": op6_neighbours,
     "op7_quality_rules": op7_quality_rules,
+    "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
