@@ -10,7 +10,7 @@ ones at Jaccard 0.8 a pair escapes all lists with a chance below one in a millio
 
 No list is expanded into all its pairs unless it is short. A list is first compared with its lead, the
 smallest member; what is linked then counts as one component, and only lists that still hold several
-are gone through again: short ones in full, long ones by what their members differ in from the lead.
+are gone through again: short ones in full, long ones by what their members differ in from a common centre.
 Equal sets are one set throughout.
 
 Defined cases: a text without words (or NULL) has an empty set and is linked with nothing; a text with
@@ -217,7 +217,7 @@ def near_duplicates(
 
     rest = _unsettled(_left_on_lists(members, short_list), labels)
     pairs = _on_short_lists(rest.where(F.col("m") <= short_list), percent)
-    far = _by_difference(rest.where(F.col("m") > short_list), labels, full, percent)
+    far = _by_difference(rest.where(F.col("m") > short_list), full, percent)
     more = _linked(pairs.unionByName(far).distinct(), sets, full, percent, kept)
     labels = components(edges.unionByName(more))
 
@@ -250,7 +250,7 @@ def _left_on_lists(members: DataFrame, short_list: int) -> DataFrame:
     followers = members.where("node > lead")
     few = followers.where(~long)
     many = followers.where(long).join(counted, met).where(~elsewhere)
-    columns = ["key", "lead", "node", "n"]
+    columns = ["key", "node", "n"]
     return few.select(*columns).unionByName(many.select(*columns))
 
 
@@ -275,28 +275,30 @@ def _on_short_lists(short: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("node").alias("a"), F.col("node_2").alias("b"))
 
 
-def _by_difference(long: DataFrame, labels: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """Candidates among the members of long lists: pairs that differ from the lead in the same way.
+def _by_difference(long: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Candidates among the members of long lists: pairs that differ from a common set in the same way.
 
-    With L the lead's set and a = |X ^ L|, b = |Y ^ L| (^ for symmetric difference, p percent),
+    Lists are put together by the component that most of their members belong to; its smallest document
+    is the centre. With L the centre's set and a = |X ^ L|, b = |Y ^ L| (^ for symmetric difference, p percent),
     |X ^ Y| = a + b - 2c, where c counts what both differences hold; X and Y reach the threshold when
     |X ^ Y| <= r (|X| + |Y|) with r = (100 - p) / (100 + p). One of a pair in different components, X
-    say, is not linked with the lead, hence c > b (1 - r) / 2, and as c <= b, c >= a - r (|X| + |Y|).
-    So the rarest elements of both differences, all but c - 1 of each, have one in common. Edits that
-    only one copy has come first there, which keeps a large group of copies from meeting pairwise.
+    say, does not reach it with the centre, hence c > b (1 - r) / 2, and as c <= b,
+    c >= a - r (|X| + |Y|). So the rarest elements of both differences, all but c - 1 of each, have one
+    in common. Edits that only one copy has come first there, which keeps a large group of copies from
+    meeting pairwise.
     """
     r = (100 - percent) / (100 + percent)
-    of_lead = labels.toDF("lead", "lead_label")
-    group = long.select("lead", "node", "n", "component").distinct().join(of_lead, "lead", "left")
-    group = group.withColumn("apart", F.col("component") != F.coalesce("lead_label", "lead"))
+    held = long.groupBy("key", "component").agg(F.count(F.lit(1)).alias("held"))
+    most = held.groupBy("key").agg(F.min_by("component", F.struct(-F.col("held"), F.col("component"))).alias("lead"))
+    group = long.drop("lead").join(most, "key").select("lead", "node", "n", "component").distinct()
     leads = full.groupBy(F.col("node").alias("lead")).agg(F.min("values").alias("core"))
-    both = group.drop("lead_label").join(full, ["node", "n"]).join(leads, "lead")
+    both = group.join(full, ["node", "n"]).join(leads, "lead")
     differing = F.concat(F.array_except("values", "core"), F.array_except("core", "values"))
-    each = staging.stage(
-        both.select("lead", "node", "n", "component", "apart", differing.alias("d")).select(
-            "lead", "node", "n", "component", "apart", F.size("d").alias("a"), F.explode("d").alias("item")
-        )
-    )
+    each = both.select("lead", "node", "n", "component", F.size("core").alias("p"), differing.alias("d"))
+    each = each.withColumn("a", F.size("d")).withColumn("apart", F.col("a") > r * (F.col("n") + F.col("p")) + 1e-6)
+    each = staging.stage(each)
+    near = each.where("NOT apart AND component <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"))
+    each = each.select("lead", "node", "n", "component", "apart", "a", F.explode("d").alias("item"))
     spread = each.groupBy("lead", "item").agg(F.count(F.lit(1)).alias("spread")).where("spread > 1")
     place = F.row_number().over(Window.partitionBy("lead", "node", "n").orderBy("spread", "item"))
     unshared = F.col("a") - F.count(F.lit(1)).over(Window.partitionBy("lead", "node", "n"))
@@ -317,4 +319,5 @@ def _by_difference(long: DataFrame, labels: DataFrame, full: DataFrame, percent:
     enough = 2 * most >= F.col("a") + F.col("a_2") - r * (F.col("n") + F.col("n_2")) - 1e-6
     met = (F.col("component") != F.col("component_2")) & _near_in_size("n", "n_2", percent) & enough
     pairs = x.join(y, ["lead", "item"]).where(met)
-    return pairs.select(F.least("node", "node_2").alias("a"), F.greatest("node", "node_2").alias("b"))
+    far = pairs.select(F.least("node", "node_2").alias("a"), F.greatest("node", "node_2").alias("b"))
+    return near.unionByName(far)
