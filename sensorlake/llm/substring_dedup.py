@@ -6,7 +6,7 @@ paths with an equal anchor, so windows meet by anchor. An anchor that occurs onc
 repeated window. Paths of the other anchors are compacted: equal paths are one, known by its first
 source coordinate (doc_id, word). An anchor with a single path is nonbranching, and its windows first
 occur where the path does. Only the windows of branching anchors, once for each distinct path, are
-looked at one by one. A window counts as repeated when its first coordinate lies before its own; windows
+looked at one by one, and those of a path that repeats itself. A window counts as repeated when its first coordinate lies before its own; windows
 and paths are told apart by two independent 64-bit hashes.
 
 Defined cases: a NULL text has no words; a text shorter than a window keeps all its words; rows without
@@ -46,19 +46,24 @@ def sliding_lowest(values: np.ndarray, width: int) -> np.ndarray:
 
 def paths_of(grams: np.ndarray, first: np.ndarray, size: int, anchor: int):
     """Paths of all texts, given hashes of `anchor` items from each place: text, first window, number
-    of windows, place of the anchor."""
+    of windows, place of the (first) anchor.
+
+    A path goes on while the lowest hash stays the same, so a text that repeats itself is one path. Its
+    windows may be equal to each other: its number of windows is negative.
+    """
     at = tx.window_starts(first, size)
     low = sliding_lowest(grams, size - anchor + 1)[at]
     fresh = np.ones(len(at), bool)
-    fresh[1:] = (low[1:] != low[:-1]) | (at[1:] != at[:-1] + 1)
+    fresh[1:] = (grams[low[1:]] != grams[low[:-1]]) | (at[1:] != at[:-1] + 1)
     begin = np.flatnonzero(fresh)
-    count = np.diff(np.append(begin, len(at)))
+    ends = np.append(begin, len(at))[1:]
     start = at[begin]
     text = np.searchsorted(first, start, "right") - 1
-    return text, start, count, low[begin]
+    loops = low[ends - 1] != low[begin]
+    return text, start, np.where(loops, -1, 1) * (ends - begin), low[begin]
 
 
-def _body(values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+def body_hashes(values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """A hash of values[start : start + length] for each path; unlike span_hashes, spans overlap."""
     place = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
     parts = tx.mix(values[tx.ragged(start, length)] + tx.mix(place.astype(np.uint64)))
@@ -82,7 +87,7 @@ def paths(text: Column | str, size: int, anchor: int) -> Column:
             grams = tx.window_hashes(values, anchor)
             owner, start, windows, low = paths_of(grams, w.first, size, anchor)
             key = tx.mix(grams[low] + np.uint64(anchor)).view(np.int64)
-            body = _body(values, start, windows + size - 1).view(np.int64)
+            body = body_hashes(values, start, np.abs(windows) + size - 1).view(np.int64)
             parts.append((key, body, start - w.first[owner], windows))
             counts.append(np.bincount(owner, minlength=len(t)))
         key, body, start, windows = (np.concatenate(p) for p in zip(*parts))
@@ -171,11 +176,18 @@ def cut(text: Column | str, spans: Column | str, size: int) -> Column:
     return F.arrow_udf(run, "n_words long, n_removed long, kept string").asNondeterministic()(text, spans)
 
 
+def branching(bodies: DataFrame) -> DataFrame:
+    """anchor, m (distinct paths): anchors of several paths, or of one that holds windows twice."""
+    paths = bodies.groupBy("anchor").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least"))
+    return paths.where("m > 1 OR least < 0").select("anchor", "m")
+
+
 def repeated_windows(docs: DataFrame, size: int, anchor: int) -> DataFrame:
     """doc_id, version, start, n: runs of windows that also start earlier. `docs`: doc_id, version, text."""
     at = ["doc_id", "version"]
     every = docs.select(*at, F.explode(paths("text", size, anchor)).alias("p")).select(*at, "p.*")
-    twice = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("anchor")
+    twice = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least"))
+    twice = twice.where("m > 1 OR least < 0").select("anchor")
     held = staging.stage(every.join(twice, "anchor"))
 
     # Compaction: equal paths are one, and it is known by where it occurs first.
@@ -185,11 +197,10 @@ def repeated_windows(docs: DataFrame, size: int, anchor: int) -> DataFrame:
     again = held.join(bodies, path).where(
         F.struct("doc_id", "start") > F.struct("first.doc_id", "first.start")
     )
-    copies = again.select(*at, "start", "n")
+    copies = again.select(*at, "start", F.abs("n").alias("n"))
 
-    # Branching anchors: the windows of each distinct path, one by one.
-    branching = bodies.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("anchor")
-    open_ = bodies.join(branching, "anchor").select("first.*", "n")
+    # Branching anchors and loops: the windows of each distinct path, one by one.
+    open_ = bodies.join(branching(bodies).select("anchor"), "anchor").select("first.*", F.abs("n").alias("n"))
     wanted = open_.groupBy(*at).agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     seen = docs.join(wanted, at).select(*at, F.explode(windows("text", "spans", size)).alias("w"))
     seen = staging.stage(seen.select(*at, "w.*"))
