@@ -27,10 +27,10 @@ from sensorlake import staging
 from sensorlake.llm import suffixes
 from sensorlake.llm import texts as tx
 from sensorlake.llm.buckets import bucketed
-from sensorlake.llm.substring_dedup import _flat_spans, paths_of
+from sensorlake.llm.substring_dedup import _flat_spans, body_hashes, branching, paths_of
 
 SIZE = 100
-ANCHOR = 16
+ANCHOR = 24
 SHARD_BYTES = 2 << 20  # bytes of runs that a shard holds, about
 
 
@@ -40,7 +40,10 @@ def _grams(data: np.ndarray) -> np.ndarray:
     if len(data) < ANCHOR:
         return np.zeros(0, np.uint64)
     count = len(data) - ANCHOR + 1
-    return tx.mix(tx.mix(eight[:count]) + eight[8 : 8 + count] * np.uint64(0x9E3779B97F4A7C15))
+    value = np.zeros(count, np.uint64)
+    for step in range(0, ANCHOR, 8):
+        value = tx.mix(value + eight[step : step + count])
+    return value
 
 
 def runs(text: Column | str, size: int) -> Column:
@@ -52,16 +55,14 @@ def runs(text: Column | str, size: int) -> Column:
         for _, t in tx.slices(tx.flat(column), 1 << 20):
             grams = _grams(t.data)
             owner, start, n, low = paths_of(grams, t.offsets, size, ANCHOR)
-            # A run is known by its anchor, where that lies, and two grams every ANCHOR bytes.
+            # A run is known by the eight bytes from every eighth place, and the last eight.
             eight = suffixes.packed(t.data)
-            body = np.zeros(len(start), np.uint64)
-            length = n + size - 1
-            for step in range(0, int(length.max()) if len(length) else 0, 8):
-                inside = step + 8 <= length
-                at = np.where(inside, start + step, start + length - 8)
-                body = tx.mix(body + tx.mix(eight[at] + np.uint64(step)) * inside.astype(np.uint64))
-            tail = eight[start + length - 8] if len(start) else eight[:0]
-            body = tx.mix(body + tx.mix(tail ^ length.astype(np.uint64)))
+            length = np.abs(n) + size - 1
+            words = -(-length // 8)
+            at = np.repeat(start, words) + 8 * tx.ragged(np.zeros(len(words), np.int64), words)
+            at = np.minimum(at, np.repeat(start + length - 8, words))
+            body = body_hashes(eight[at], np.cumsum(words) - words, words)
+            body = tx.mix(body + length.astype(np.uint64))
             parts.append((grams[low].view(np.int64), body.view(np.int64), start - t.offsets[owner], n))
             counts.append(np.bincount(owner, minlength=len(t)))
         anchor, body, start, n = (np.concatenate(p) for p in zip(*parts))
@@ -121,8 +122,8 @@ def _judge_shard(shard: pd.DataFrame, size: int) -> pd.DataFrame:
     keep = whole[order]
     order, kind = order[keep], kind[keep]
     # Runs are in source order, and a string belongs to one run, so places are in source order too.
-    by_place = np.lexsort((order, kind))
-    order, kind = order[by_place], kind[by_place]
+    both = np.sort(kind * len(data) + order)
+    order, kind = both % len(data), both // len(data)
     lead = np.ones(len(kind), bool)
     lead[1:] = kind[1:] != kind[:-1]
     first = order[np.flatnonzero(lead)][np.cumsum(lead) - 1] if len(order) else order
@@ -195,24 +196,25 @@ def repeated_strings(docs: DataFrame, size: int, shard_bytes: int) -> DataFrame:
     """doc_id, version, start, n: runs of strings that also start earlier. `docs`: doc_id, version, text."""
     at = ["doc_id", "version"]
     every = docs.select(*at, F.explode(runs("text", size)).alias("r")).select(*at, "r.*")
-    twice = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("anchor")
+    twice = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least"))
+    twice = twice.where("m > 1 OR least < 0").select("anchor")
     held = staging.stage(every.join(twice, "anchor"))
     place = F.struct("doc_id", "start", "version")
     bodies = staging.stage(held.groupBy("anchor", "body", "n").agg(F.min(place).alias("first")))
     again = held.join(bodies, ["anchor", "body", "n"]).where(
         F.struct("doc_id", "start") > F.struct("first.doc_id", "first.start")
     )
-    copies = again.select(*at, "start", "n")
+    copies = again.select(*at, "start", F.abs("n").alias("n"))
 
     # Shards of several anchors; an anchor with many runs is dealt over several shards.
-    weight = F.sum(F.col("n") + size - 1)
-    weights = bodies.groupBy("anchor").agg(F.count(F.lit(1)).alias("m"), weight.alias("weight"))
-    weights = staging.stage(weights.where("m > 1").drop("m"))
+    open_ = bodies.join(branching(bodies).select("anchor"), "anchor").withColumn("n", F.abs("n"))
+    open_ = staging.stage(open_)
+    weights = staging.stage(open_.groupBy("anchor").agg(F.sum(F.col("n") + size - 1).alias("weight")))
     total = weights.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
     shards = max(-(-int(total) // shard_bytes), 1)
     ways = F.ceil(F.col("weight") * 4 / shard_bytes)
     salt = F.when(ways > 1, F.pmod(F.xxhash64("body"), ways)).otherwise(0)
-    dealt = bodies.join(weights, "anchor").select(
+    dealt = open_.join(weights, "anchor").select(
         "first.*", "n", "anchor", (ways > 1).alias("split"), F.pmod(F.xxhash64("anchor", salt), F.lit(shards)).alias("shard")
     )
     wanted = dealt.groupBy(*at).agg(

@@ -22,41 +22,39 @@ def packed(data: np.ndarray) -> np.ndarray:
     return at[: len(data)]
 
 
-def _groups(order: np.ndarray, keys: list[np.ndarray]) -> np.ndarray:
-    """True where the sorted entry differs from the one before it."""
-    fresh = np.ones(len(order), bool)
-    if len(order):
-        fresh[1:] = False
-        for key in keys:
-            fresh[1:] |= key[order[1:]] != key[order[:-1]]
-    return fresh
+def _sorted_groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the keys, where each run of equal ones begins in it, and how long the run is."""
+    order = np.argsort(keys)
+    sorted_ = keys[order]
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = sorted_[1:] != sorted_[:-1]
+    begin = np.flatnonzero(fresh)
+    return order, begin, np.diff(np.append(begin, len(keys)))
 
 
 def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """The places in the order of their first `depth` bytes (at least 8), and their packed bytes."""
+    """The places in the order of their first `depth` bytes (at least 8), and their packed bytes.
+
+    Places that agree to that depth stand in no particular order.
+    """
     eight = packed(data)
-    order = np.argsort(eight, kind="stable")
-    start = np.flatnonzero(_groups(order, [eight]))
-    rank = np.empty(len(data), np.int64)
-    rank[order] = np.repeat(start, np.diff(np.append(start, len(order))))
+    total = len(data)
+    order, begin, size = _sorted_groups(eight)
+    rank = np.empty(total + 1, np.int64)
+    rank[total] = -1  # beyond the end
+    rank[order] = np.repeat(begin, size)
+    open_ = np.repeat(size > 1, size)  # by place in `order`: groups of several
+    at = np.flatnonzero(open_)
     known = 8
-    while known < depth:
+    while known < depth and len(at):
         step = min(known, depth - known)
-        size = np.bincount(rank, minlength=len(data))
-        at = np.flatnonzero(size[rank[order]] > 1)  # places in `order` that are not settled
-        if len(at) == 0:
-            break
         members = order[at]
-        ahead = members + step
-        next_rank = np.where(ahead < len(data), rank[np.minimum(ahead, len(data) - 1)], -1)
-        sub = np.lexsort((next_rank, rank[members]))
+        # A group's number is the place of its first member, so groups stay where they are.
+        keys = rank[members] * (total + 1) + rank[np.minimum(members + step, total)] + 1
+        sub, begin, size = _sorted_groups(keys)
         order[at] = members[sub]
-        old, new = rank[members][sub], next_rank[sub]
-        fresh = np.ones(len(at), bool)
-        fresh[1:] = (old[1:] != old[:-1]) | (new[1:] != new[:-1])
-        begin = np.flatnonzero(fresh)
-        # `at` is ascending, and a group's members stand next to each other.
-        rank[order[at]] = np.repeat(at[begin], np.diff(np.append(begin, len(at))))
+        rank[order[at]] = np.repeat(at[begin], size)
+        at = at[np.repeat(size > 1, size)]
         known += step
     return order, eight
 
