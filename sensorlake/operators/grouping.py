@@ -5,6 +5,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorlake.staging import stage
 
@@ -63,6 +64,23 @@ def split_hot(
     return hot_part, cold_part
 
 
+def _width(kind: T.DataType) -> int:
+    """Bytes of a value in a row, its null bit and offset included; lists are measured by length."""
+    if isinstance(kind, T.StructType):
+        return 24 + sum(_width(f.dataType) for f in kind.fields)
+    return 24 if isinstance(kind, T.ArrayType) else 16
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    total = F.lit(16)
+    for field in df.schema.fields:
+        total = total + F.lit(_width(field.dataType))
+        if isinstance(field.dataType, T.ArrayType):
+            items = F.greatest(F.size(field.name), F.lit(0))
+            total = total + items * F.lit(_width(field.dataType.elementType))
+    return total
+
+
 def attach(
     df: DataFrame,
     groups: DataFrame,
@@ -71,9 +89,12 @@ def attach(
     aggregates: Sequence[Column] | None = None,
     hot_rows: int = HOT_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
+    how: str = "left",
 ) -> DataFrame:
     """Add the columns of `groups` (one row per key, with ROWS) to every row of `df`.
 
+    With `how="inner"` rows whose key is not among the groups are left out.
+
     The groups are written once and their size is checked. When they fit, `df` is joined map-side
     and is not shuffled at all. Beyond that, hot keys are joined map-side, and only the rows of
     the others are shuffled by key, so that no task gets a hot key. `aggregates` are the
@@ -83,6 +104,10 @@ def attach(
     groups = stage(groups)
     values = [name for name in groups.columns if name not in keys and name != ROWS]
     if not keys:
+        if how == "inner" and groups.isEmpty():
+            return df.where(F.lit(False)).withColumns(
+                {name: F.lit(None).cast(groups.schema[name].dataType) for name in values}
+            )
         return df.withColumns({name: groups.select(name).scalar() for name in values})
 
     text_bytes = reduce(
@@ -91,16 +116,15 @@ def attach(
     )
     size = groups.agg(
         F.count("*").alias("groups"),
-        F.sum(text_bytes).alias("key_bytes"),
+        F.sum(text_bytes + _row_bytes(groups)).alias("row_bytes"),
         F.sum(ROWS).alias("rows"),
     ).first()
-    groups_bytes = (size["key_bytes"] or 0) + size["groups"] * 16 * len(groups.columns)
-    if groups_bytes <= broadcast_bytes:
-        return _lookup(df, F.broadcast(groups.drop(ROWS)), keys, "left")
+    if (size["row_bytes"] or 0) <= broadcast_bytes:
+        return _lookup(df, F.broadcast(groups.drop(ROWS)), keys, how)
 
     def shuffled(rows: DataFrame) -> DataFrame:
         if aggregates is None:
-            return _lookup(rows, groups.drop(ROWS), keys, "left")
+            return _lookup(rows, groups.drop(ROWS), keys, how)
         group = Window.partitionBy(*keys)
         return rows.withColumns({n: a.over(group) for n, a in zip(values, aggregates)})
 

@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.functions import stable_round
+from sensorlake.functions import reading, stable_round
 from sensorlake.schema import EVENT_TIME, SENSOR
 
 
@@ -22,10 +22,10 @@ def daily_metrics(
     date: str = "date",
     digits: int = 2,
 ) -> DataFrame:
-    """Smallest, largest and rounded mean reading per key and day."""
-    reading = F.col(column)
+    """Smallest, largest and rounded mean reading per key and day; missing ones are left out."""
+    value = reading(df, column)
     return df.groupBy(*keys, date).agg(
-        F.min(reading).alias(f"{column}_daily_min"),
-        F.max(reading).alias(f"{column}_daily_max"),
-        stable_round(F.avg(reading), digits).alias(f"{column}_daily_mean"),
+        F.min(value).alias(f"{column}_daily_min"),
+        F.max(value).alias(f"{column}_daily_max"),
+        stable_round(F.avg(value), digits).alias(f"{column}_daily_mean"),
     )

@@ -9,8 +9,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sensorlake.functions import clamp, reading, sigma_band, z_score
+from sensorlake.functions import clamp, reading, sigma_band, stable_round, z_score
 from sensorlake.operators.grouping import HOT_ROWS, ROWS, attach, hot_groups, split_hot
 from sensorlake.schema import ARRIVAL, READING_KEYS, READINGS, SENSOR
 from sensorlake.staging import stage
@@ -53,6 +54,8 @@ def dedup_latest(
     newest_first = [F.col(arrival).desc_nulls_last()]
     if not keep_ties:
         rest = [name for name in df.columns if name not in keys and name != arrival]
+        # A missing reading (NULL or NaN) never wins; NaN alone would sort above all numbers.
+        newest_first += [reading(df, name).desc_nulls_last() for name in rest]
         newest_first += [F.col(name).desc_nulls_last() for name in rest]
         one = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first))
         return df.withColumn(_POSITION, one).where(F.col(_POSITION) == 1).drop(_POSITION)
@@ -92,8 +95,8 @@ def with_group_stats(
 
 
 def impute_mean(df: DataFrame, column: str, *, mark: str = "") -> DataFrame:
-    """Fill NULL readings with the group mean."""
-    return df.withColumn(column, F.coalesce(F.col(column), F.col(_mean(column, mark))))
+    """Fill missing readings (NULL or NaN) with the group mean."""
+    return df.withColumn(column, F.coalesce(reading(df, column), F.col(_mean(column, mark))))
 
 
 def with_sigma_band(
@@ -148,7 +151,8 @@ def repair(
 ) -> DataFrame:
     """Impute, then replace outliers, with statistics of the readings as they came in.
 
-    `df` is read twice (statistics, then rows), so hand in a stored or staged frame.
+    Integer columns stay integer: what is put in is rounded half up. `df` is read twice
+    (statistics, then rows), so hand in a stored or staged frame.
     """
     mark = "__"
     readings = df.withColumns({column: reading(df, column) for column in columns})
@@ -158,7 +162,12 @@ def repair(
     out = with_sigma_band(out, columns, k=k, mark=mark)
     for column in columns:
         out = replace_outliers(out, column, k=k, mark=mark)
-    return drop_helpers(out, columns, k=k, mark=mark)
+    whole = {
+        column: stable_round(F.col(column), 0).cast(df.schema[column].dataType)
+        for column in columns
+        if isinstance(df.schema[column].dataType, T.IntegralType)
+    }
+    return drop_helpers(out.withColumns(whole), columns, k=k, mark=mark)
 
 
 def clean(

@@ -53,12 +53,13 @@ def _with_fences(
     """Quartiles and fences on every row: `__q1`, `__median`, `__q3`, `__low`, `__high`."""
     box = quartiles(df, column, keys, **limits)
     spread = (F.col("q3") - F.col("q1")) * F.lit(reach)
+    none = F.lit(None).cast("double")  # infinite quartiles have no fences
     fences = box.select(
         *keys,
         ROWS,
         *[F.col(name).alias(f"__{name}") for name in QUARTILES],
-        (F.col("q1") - spread).alias("__low"),
-        (F.col("q3") + spread).alias("__high"),
+        F.nanvl(F.col("q1") - spread, none).alias("__low"),
+        F.nanvl(F.col("q3") + spread, none).alias("__high"),
     )
     if keys:
         return attach(df, fences, keys)
@@ -113,14 +114,18 @@ def box_stats(
     reach: float = 1.5,
     **limits: int,
 ) -> DataFrame:
-    """Quartiles, whisker ends (outermost readings within the fences) and number of fliers."""
+    """Quartiles, whisker ends and number of fliers.
+
+    A whisker ends at the outermost reading within the fences, or at the quartile where that
+    reading lies inside the box or none is within the fences.
+    """
     fenced = _with_fences(df, column, keys, reach, **limits)
     value = reading(df, column)
     above_low, below_high = value >= F.col("__low"), value <= F.col("__high")
     box = [F.col(f"__{name}").alias(name) for name in QUARTILES]
     return fenced.groupBy(*keys, *box).agg(
-        F.min(F.when(above_low, value)).alias("whisker_low"),
-        F.max(F.when(below_high, value)).alias("whisker_high"),
+        F.least(F.min(F.when(above_low, value)), F.col("__q1")).alias("whisker_low"),
+        F.greatest(F.max(F.when(below_high, value)), F.col("__q3")).alias("whisker_high"),
         F.count_if(_beyond(df, column)).alias("fliers"),
     )
 

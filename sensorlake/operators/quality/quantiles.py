@@ -7,6 +7,7 @@ task) and keeps the bucket that holds the rank, until that is a single value. Co
 smallest and largest value of a bucket, are exact, and so is the result.
 """
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,10 +19,12 @@ from sensorlake.staging import stage
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
-EXACT_ROWS = 100_000  # readings of a group in a percentile buffer, when a task has many groups
+EXACT_ROWS = 10_000  # readings of a group in a percentile buffer: a task may hold 128 of them
 FEW_GROUPS = 8  # this many groups may be larger, up to LARGER times
-LARGER = 10
+LARGER = 100
 BUCKETS = 4096
+MOST_PASSES = 200  # each pass cuts every bracket to one bucket; doubles run out long before
+_RAW = "__raw"
 _LARGEST = 1.7976931348623157e308
 
 _VALUE = "__value"
@@ -42,7 +45,9 @@ def quantiles(
     `approx` takes values near the wanted ranks, in one pass and without interpolation.
     """
     keys = list(keys)
-    values = df.select(*keys, reading(df, column).cast("double").alias(_VALUE))
+    values = df.select(
+        *keys, F.col(column).alias(_RAW), reading(df, column).cast("double").alias(_VALUE)
+    )
     if approx:
         return _in_one_pass(values, wanted, keys, F.percentile_approx)
     sizes = values.groupBy(*keys).agg(
@@ -59,6 +64,7 @@ def quantiles(
     narrowed = _by_narrowing(values, large, wanted, keys, exact_rows * LARGER, buckets)
     if not keys:
         return narrowed
+    values = values.drop(_RAW)
     flagged = attach(values, large.select(*keys, ROWS, F.lit(True).alias("__large")), keys)
     small = flagged.where(F.col("__large").isNull())
     return narrowed.unionByName(_in_one_pass(small, wanted, keys, F.percentile))
@@ -111,18 +117,36 @@ def _by_narrowing(
             F.lit(False).alias("stuck"),
         )
     )
+    # Missing values take no part; without them, a group of hardly anything else is not a hot one.
+    values = values.where(F.col(_VALUE).isNotNull())
     settled = None
-    while True:
-        step = stage(_narrow(values, open_ranks, keys, len(wanted), sorted_rows, buckets))
+    for _ in range(MOST_PASSES):
+        near = _within_brackets(values, open_ranks)
+        step = stage(_narrow(near, open_ranks, keys, len(wanted), sorted_rows, buckets))
         done = step.where(F.col("value").isNotNull()).select(*keys, ROWS, "name", "value")
         settled = done if settled is None else settled.unionByName(done)
         open_ranks = step.where(F.col("value").isNull()).drop("value")
         if open_ranks.isEmpty():
             break
+    else:
+        raise RuntimeError(f"quantile brackets did not close in {MOST_PASSES} passes")
     picked = [F.max(F.when(F.col("name") == name, F.col("value"))).alias(name) for name in wanted]
     return settled.groupBy(*keys, ROWS).agg(*picked).select(*keys, *wanted, ROWS)
 
 
+def _within_brackets(values: DataFrame, ranks: DataFrame) -> DataFrame:
+    """Values between the lowest and the highest open bracket, compared as literals in the file scan."""
+    kind = values.schema[_RAW].dataType.simpleString()
+    if kind not in ("double", "float", "int", "smallint", "tinyint"):  # exact as doubles
+        return values.drop(_RAW)
+    low, high = ranks.agg(F.min("low"), F.max("high")).first()
+    if kind in ("double", "float") or not (math.isfinite(low) and math.isfinite(high)):
+        bounds = F.lit(low).cast(kind), F.lit(high).cast(kind)
+    else:
+        bounds = F.lit(int(low)).cast(kind), F.lit(int(high)).cast(kind)
+    return values.where(F.col(_RAW).between(*bounds)).drop(_RAW)
+
+
 def _finite(value: Column) -> Column:
     """Half the value, with infinities cut off, so that differences do not overflow."""
     return F.greatest(F.least(value, F.lit(_LARGEST)), F.lit(-_LARGEST)) / 2
@@ -163,7 +187,7 @@ def _narrow(
     # The brackets of a group are one and the same, or do not overlap: a value is in one at most.
     slots = [F.get("__brackets", F.lit(i)) for i in range(most_brackets)]
     own = F.coalesce(*[F.when(F.col(_VALUE).between(s["low"], s["high"]), s) for s in slots])
-    rows = attach(values, brackets, keys).select(*keys, _VALUE, own.alias("b"))
+    rows = attach(values, brackets, keys, how="inner").select(*keys, _VALUE, own.alias("b"))
     rows = rows.where(F.col("b").isNotNull()).select(*keys, _VALUE, "b.*")
     scaled = F.when(F.col("wide"), _log(F.col(_VALUE))).otherwise(_finite(F.col(_VALUE)))
     place = F.floor((scaled - F.col("start")) / F.col("width") * buckets).cast("double")

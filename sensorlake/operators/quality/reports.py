@@ -2,51 +2,89 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorlake.functions import reading
 from sensorlake.operators.grouping import ROWS
-from sensorlake.operators.quality.quantiles import QUARTILES, quantiles
+from sensorlake.operators.quality.quantiles import EXACT_ROWS, LARGER, QUARTILES, quantiles
 from sensorlake.schema import EVENT_TIME, READINGS, SENSOR
+from sensorlake.staging import stage
 
 
 def profile(df: DataFrame, columns: Sequence[str] | None = None, **limits: int) -> DataFrame:
-    """One row per numeric column: count, mean, stddev, min, exact quartiles, max."""
+    """One row per column: count, mean, stddev, min, exact quartiles, max.
+
+    Text columns have a count and the first and last text in order (`min_text`, `max_text`, which are
+    there when any column is a text). By default all numeric and text columns. One pass gives all but
+    the quartiles; a second one gives those, or as many as `quantiles` needs for large tables.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
     if columns is None:
-        columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    long = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column"), reading(df, c).cast("double").alias("value"))
-                    for c in columns
-                ]
+        columns = [c for c, kind in kinds.items() if isinstance(kind, (T.NumericType, T.StringType))]
+    texts = [c for c in columns if isinstance(kinds[c], T.StringType)]
+    numbers = [c for c in columns if c not in texts]
+    value = {c: reading(df, c).cast("double") for c in numbers}
+    none, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
+
+    def cells(column: str) -> Column:
+        v, text = value.get(column), column in texts
+        parts = [
+            F.count(column if text else v).alias("count"),
+            (none if text else F.avg(v)).alias("mean"),
+            (none if text else F.stddev_samp(v)).alias("stddev"),
+            (none if text else F.min(v)).alias("min"),
+            (none if text else F.max(v)).alias("max"),
+            (F.min(column) if text else no_text).alias("min_text"),
+            (F.max(column) if text else no_text).alias("max_text"),
+        ]
+        return F.struct(F.lit(column).alias("column"), *parts).alias(f"__{column}")
+
+    def unpivoted(one_row: DataFrame) -> DataFrame:
+        return one_row.select(F.explode(F.array(*one_row.columns)).alias("c")).select("c.*")
+
+    basics = stage(unpivoted(df.agg(*[cells(c) for c in columns])))
+    inner = None
+    if numbers:
+        most = basics.where(F.col("mean").isNotNull() | (F.col("count") == 0)).agg(F.max("count")).first()[0]
+        if (most or 0) <= limits.get("exact_rows", EXACT_ROWS) * LARGER:
+            points = [
+                F.struct(F.lit(c).alias("column"), F.percentile(v, list(QUARTILES.values())).alias("p")).alias(f"__{c}")
+                for c, v in value.items()
+            ]
+            inner = unpivoted(df.agg(*points)).select(
+                "column", *[F.col("p")[i].alias(name) for i, name in enumerate(QUARTILES)]
             )
-        ).alias("cell")
-    ).select("cell.column", "cell.value")
-    basics = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("stddev"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    inner = quantiles(long, "value", QUARTILES, ["column"], **limits).drop(ROWS)
-    return basics.join(inner, "column").select(
-        "column", "count", "mean", "stddev", "min", "q1", "median", "q3", "max"
-    )
+        else:
+            pairs = [F.struct(F.lit(c).alias("column"), v.alias("value")) for c, v in value.items()]
+            long = df.select(F.explode(F.array(*pairs)).alias("c")).select("c.*")
+            inner = quantiles(long, "value", QUARTILES, ["column"], **limits).drop(ROWS)
+        basics = basics.join(inner, "column", "left")
+    else:
+        basics = basics.withColumns({name: none for name in QUARTILES})
+    text_columns = ["min_text", "max_text"] if texts else []
+    return basics.select("column", "count", "mean", "stddev", "min", "q1", "median", "q3", "max", *text_columns)
 
 
 def overall_mean(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.avg(reading(df, column)).alias(f"{column}_mean"))
 
 
-def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row with the number of NULLs of each column, in a single pass."""
+def null_counts(
+    df: DataFrame, columns: Sequence[str] | None = None, *, nans: bool = False
+) -> DataFrame:
+    """One row with the number of NULLs of each column, in a single pass.
+
+    With `nans` also the number of NaNs of each floating-point column. Both are missing readings.
+    """
     columns = df.columns if columns is None else columns
-    return df.agg(*[F.count_if(reading(df, c).isNull()).alias(f"{c}_nulls") for c in columns])
+    counts = [F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in columns]
+    floating = [c for c in columns if isinstance(df.schema[c].dataType, T.FractionalType)]
+    floating = [c for c in floating if not isinstance(df.schema[c].dataType, T.DecimalType)]
+    if nans:
+        counts += [F.count_if(F.isnan(c)).alias(f"{c}_nans") for c in floating]
+    return df.agg(*counts)
 
 
 def daily_counts(
@@ -58,7 +96,7 @@ def daily_counts(
     sort: bool = False,
 ) -> DataFrame:
     """Readings per day, key and column. Sorting all rows is left to the caller's wish."""
-    counts = [F.count(c).alias(f"{c}_count") for c in columns]
+    counts = [F.count(reading(df, c)).alias(f"{c}_count") for c in columns]
     out = df.groupBy(F.to_date(time).alias("day"), *keys).agg(*counts)
     return out.orderBy("day", *keys) if sort else out
 
