@@ -180,29 +180,88 @@ def _append_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, path = _table_name(), staging.new_path(spark)
     first, second = _deliveries(spark, sf_dir)
-    tables.ensure(spark, name, first.schema, day_of="timestamp", location=path)
-    for part in (first, second):
-        tables.upsert(spark, staging.stage(quality.clean(part)), name, KEYS)
-    spark.sql(f"DROP TABLE {name}")
+    try:
+        tables.ensure(spark, name, first.schema, day_of="timestamp", location=path)
+        for part in (first, second):
+            tables.upsert(spark, staging.stage(quality.clean(part)), name, KEYS)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     return _rounded(read_path(spark, path), "power_output")
 
 
-def _run_jobs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Both deliveries as CSV files through the whole chain; the cleaned and the daily table."""
+def _upsert_table_unpartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = _table_name()
+    first, second = _deliveries(spark, sf_dir)
+    try:
+        tables.ensure(spark, name, first.schema, location=staging.new_path(spark))
+        for part in (first, second):
+            tables.upsert(spark, staging.stage(quality.clean(part)), name, KEYS)
+        stored = staging.stage(read_table(spark, name))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return _rounded(stored, "power_output")
+
+
+def _stop_before_note(*_) -> None:
+    raise InterruptedError("stopped between the upsert and its note")
+
+
+def _run_jobs(
+    spark: SparkSession, sf_dir: str, *, stopped: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Both deliveries as CSV files through the whole chain; the cleaned and the daily table.
+
+    With `stopped`, the clean job of each delivery ends after its upsert, before it has noted how far
+    it came, and loses the last of the days that it wrote; the chain then runs on from there.
+    """
     layout = {"cleaned": (schema.CLEAN, "timestamp"), "daily": (schema.DAILY, "date")}
     names = {layer: _table_name() for layer in ("raw", *layout)}
     paths = {layer: staging.new_path(spark) for layer in names}
     layers = {"raw": (schema.CLEAN, "date_created"), **layout}
-    for layer, (columns, day_of) in layers.items():
-        tables.ensure(spark, names[layer], columns, day_of=day_of, location=paths[layer])
-    for part, stamp in zip(_deliveries(spark, sf_dir), (FIRST_STAMP, SECOND_STAMP)):
-        files = f"{_csv_folder(part.drop('date_created'))}/*.csv"
-        jobs.run_all(spark, files, arrival=stamp, **names)
-    for name in names.values():
-        spark.sql(f"DROP TABLE {name}")
+    try:
+        for layer, (columns, day_of) in layers.items():
+            tables.ensure(spark, names[layer], columns, day_of=day_of, location=paths[layer])
+        for part, stamp in zip(_deliveries(spark, sf_dir), (FIRST_STAMP, SECOND_STAMP)):
+            files = f"{_csv_folder(part.drop('date_created'))}/*.csv"
+            if not stopped:
+                jobs.run_all(spark, files, arrival=stamp, **names)
+                continue
+            jobs.ingest(spark, files, table=names["raw"], arrival=stamp)
+            _clean_and_stop(spark, names["raw"], names["cleaned"])
+            jobs.clean(spark, source=names["raw"], target=names["cleaned"])
+            jobs.roll_up(spark, source=names["cleaned"], target=names["daily"], new_dates_only=True)
+    finally:
+        for layer in ("cleaned", "daily"):
+            spark.sql(f"DROP TABLE IF EXISTS {jobs.progress_table(names[layer])}")
+        for name in names.values():
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
     return _local(read_path(spark, paths["cleaned"])), read_path(spark, paths["daily"])
 
 
+def _clean_and_stop(spark: SparkSession, raw: str, cleaned: str) -> None:
+    """A clean run that is lost after some days are in place: its note and its last day are missing."""
+    note, jobs._note = jobs._note, lambda *given: (
+        _stop_before_note() if spark.table(jobs.progress_table(cleaned)).count() else note(*given)
+    )
+    try:
+        jobs.clean(spark, source=raw, target=cleaned)
+    except InterruptedError:
+        last = spark.table(cleaned).agg(F.max(tables.DAY)).first()[0]
+        spark.sql(f"ALTER TABLE {cleaned} DROP PARTITION ({tables.DAY} = DATE '{last}')")
+    finally:
+        jobs._note = note
+
+
+def _job_resumed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_run_jobs(spark, sf_dir, stopped=True)[0], "power_output")
+
+
+def _job_resumed_daily_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(
+        _run_jobs(spark, sf_dir, stopped=True)[1], "power_output_daily_min", "power_output_daily_max"
+    )
+
+
 def _job_cleaned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_run_jobs(spark, sf_dir)[0], "power_output")
 
@@ -258,6 +317,54 @@ def _preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(quality.daily_counts(measurements(spark, sf_dir), sort=True), 20)
 
 
+def _with_nans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurements of which one power reading in 13 is NaN, and is delivered beside a real one."""
+    m = measurements(spark, sf_dir)
+    odd = (F.pmod(F.hour("date_created") * 60 + F.minute("date_created"), F.lit(13)) == 0)
+    nan = m.where(odd).withColumn("power_output", F.lit(float("nan")))
+    twin = m.where(odd & (F.pmod(F.minute("date_created"), F.lit(2)) == 0))
+    return m.where(~odd).unionByName(nan).unionByName(twin)
+
+
+def _nan_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    latest = quality.dedup_latest(_with_nans(spark, sf_dir), keep_ties=False)
+    return latest.select(*KEYS, "date_created", F.nanvl("power_output", F.lit(None)).alias("power_output"))
+
+
+def _nan_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(quality.clean(_with_nans(spark, sf_dir), keep_ties=False), "power_output")
+
+
+def _nan_daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.daily_metrics(metrics.with_date(_with_nans(spark, sf_dir)))
+
+
+def _nan_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.null_counts(_with_nans(spark, sf_dir), ["power_output", "wind_speed"], nans=True)
+
+
+def _clean_wind_direction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = measurements(spark, sf_dir)
+    gaps = F.when(F.pmod(F.col("wind_direction"), F.lit(7)) != 0, F.col("wind_direction"))
+    return quality.clean(m.withColumn("wind_direction", gaps), ["wind_direction"], keep_ties=False).select(
+        *KEYS, "wind_direction"
+    )
+
+
+def _box_stats_whiskers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of four readings 0, 0, 0 and a large one: the reading within the fences is in the box."""
+    m = measurements(spark, sf_dir).select("turbine_id", F.ceil(F.abs("wind_speed") + 1).cast("double").alias("w"))
+    top = m.groupBy("turbine_id").agg(F.max("w").alias("w"))
+    zeros = top.select("turbine_id", F.explode(F.array(*[F.lit(0.0)] * 3)).alias("w"))
+    return quality.box_stats(top.unionByName(zeros), "w", ["turbine_id"])
+
+
+def _order_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    columns = ["o_totalprice", "o_orderstatus", "o_orderpriority"]
+    return _rounded(quality.profile(orders, columns), "mean", "stddev", "q1", "median", "q3")
+
+
 def _over_reporting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.completeness(measurements(spark, sf_dir), over=24)
 
@@ -397,6 +504,16 @@ def own_queries() -> dict[str, Query]:
         "csv_scan": _csv_scan,
         "append_table": _append_table,
         "upsert_table": _upsert_table,
+        "upsert_table_unpartitioned": _upsert_table_unpartitioned,
+        "job_resumed_table": _job_resumed_table,
+        "job_resumed_daily_table": _job_resumed_daily_table,
+        "nan_dedup": _nan_dedup,
+        "nan_clean": _nan_clean,
+        "nan_daily_metrics": _nan_daily_metrics,
+        "nan_null_counts": _nan_null_counts,
+        "clean_wind_direction": _clean_wind_direction,
+        "box_stats_whiskers": _box_stats_whiskers,
+        "order_profile": _order_profile,
         "job_cleaned_table": _job_cleaned_table,
         "job_daily_table": _job_daily_table,
         "z_scores": _z_scores,
@@ -495,8 +612,8 @@ def _sql_box(source: str, column: str, keys: str = "", extra: str = "") -> str:
       SELECT {named}quantile_cont({column}, 0.25) AS q1, quantile_cont({column}, 0.5) AS md,
              quantile_cont({column}, 0.75) AS q3 FROM {source} {group})
       SELECT {named}{_fixed("q1")} AS q1, {_fixed("md")} AS median, {_fixed("q3")} AS q3,
-             min({column}) FILTER (WHERE {column} >= {low}) AS whisker_low,
-             max({column}) FILTER (WHERE {column} <= {high}) AS whisker_high,
+             least(min({column}) FILTER (WHERE {column} >= {low}), q1) AS whisker_low,
+             greatest(max({column}) FILTER (WHERE {column} <= {high}), q3) AS whisker_high,
              count(*) FILTER (WHERE {column} < {low} OR {column} > {high}) AS fliers
       FROM {joined} GROUP BY {named}q1, md, q3"""
 
@@ -566,6 +683,16 @@ def own_sql() -> dict[str, str]:
     rounded_power = f"SELECT * REPLACE ({_fixed('power_output')} AS power_output)"
     raw = '"timestamp", turbine_id, wind_speed, wind_direction, power_output'
 
+    # One power reading in 13 is NaN, which counts as missing; some come beside a real one.
+    odd = "(hour(date_created) * 60 + minute(date_created)) % 13 = 0"
+    nan_parts = f"""{_M}, v AS (
+        SELECT *, false AS was_nan FROM m WHERE NOT ({odd})
+        UNION ALL SELECT * REPLACE (NULL AS power_output), true FROM m WHERE {odd}
+        UNION ALL SELECT *, false FROM m WHERE {odd} AND minute(date_created) % 2 = 0),
+        d AS (SELECT * EXCLUDE (was_nan) FROM v QUALIFY row_number() OVER (
+          PARTITION BY turbine_id, "timestamp" ORDER BY date_created DESC, wind_speed DESC NULLS LAST,
+          wind_direction DESC NULLS LAST, power_output DESC NULLS LAST) = 1)"""
+
     return {
         "measurements": f"WITH {_M} SELECT * FROM m",
         "newly_arrived": f"""WITH {_M} SELECT * FROM m WHERE date_created > (
@@ -613,6 +740,39 @@ def own_sql() -> dict[str, str]:
             SELECT *, (SELECT CAST(count(*) AS INT) FROM both_parts) AS table_rows
             FROM both_parts""",
         "upsert_table": f"WITH {clean_parts} {rounded_power} FROM merged",
+        "upsert_table_unpartitioned": f"WITH {clean_parts} {rounded_power} FROM merged",
+        "job_resumed_table": f"WITH {job_parts} {rounded_power} FROM merged",
+        "job_resumed_daily_table": f"WITH {job_parts} {_sql_daily('merged')}",
+        "nan_dedup": f"""WITH {nan_parts} SELECT "timestamp", turbine_id, date_created, power_output FROM d""",
+        "nan_clean": f"WITH {nan_parts}, {_sql_repair('c', 'SELECT * FROM d')} {rounded_power} FROM c",
+        "nan_daily_metrics": f"WITH {nan_parts} {_sql_daily('v')}",
+        "nan_null_counts": f"""WITH {nan_parts} SELECT
+            count(*) FILTER (WHERE power_output IS NULL AND NOT was_nan) AS power_output_nulls,
+            count(*) FILTER (WHERE wind_speed IS NULL) AS wind_speed_nulls,
+            count(*) FILTER (WHERE was_nan) AS power_output_nans,
+            count(*) FILTER (WHERE isnan(wind_speed)) AS wind_speed_nans FROM v""",
+        "clean_wind_direction": f"""WITH {_M}, g AS (SELECT * REPLACE (CASE WHEN
+            ((wind_direction % 7) + 7) % 7 <> 0 THEN wind_direction END AS wind_direction) FROM m),
+            d AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY turbine_id, "timestamp"
+              ORDER BY date_created DESC, wind_speed DESC NULLS LAST, wind_direction DESC NULLS LAST,
+              power_output DESC NULLS LAST) = 1),
+            s AS (SELECT *, avg(wind_direction) {w} AS mu, stddev_samp(wind_direction) {w} AS sd FROM d),
+            f AS (SELECT *, coalesce(wind_direction, mu) AS filled FROM s)
+            SELECT "timestamp", turbine_id, CAST(round(round(
+              CASE WHEN filled > mu + 2 * sd OR filled < mu - 2 * sd THEN mu ELSE filled END, 9))
+              AS INTEGER) AS wind_direction FROM f""",
+        "box_stats_whiskers": _sql_box("p", "w", "turbine_id", f"""{_M}, t AS (SELECT turbine_id,
+            max(ceil(abs(wind_speed) + 1)) AS w FROM m GROUP BY 1),
+            p AS (SELECT turbine_id, w FROM t UNION ALL
+                  SELECT turbine_id, unnest([0.0::DOUBLE, 0.0, 0.0]) FROM t),"""),
+        "order_profile": """SELECT 'o_totalprice' AS "column", count(o_totalprice) AS "count",
+            """ + f"""{_fixed("avg(o_totalprice)")} AS mean, {_fixed("stddev_samp(o_totalprice)")} AS stddev,
+            CAST(min(o_totalprice) AS DOUBLE) AS "min", {_fixed("quantile_cont(o_totalprice, 0.25)")} AS q1,
+            {_fixed("quantile_cont(o_totalprice, 0.5)")} AS median,
+            {_fixed("quantile_cont(o_totalprice, 0.75)")} AS q3, CAST(max(o_totalprice) AS DOUBLE) AS "max",
+            CAST(NULL AS VARCHAR) AS min_text, CAST(NULL AS VARCHAR) AS max_text FROM orders""" + "".join(
+            f""" UNION ALL SELECT '{c}', count({c}), NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+                min({c}), max({c}) FROM orders""" for c in ("o_orderstatus", "o_orderpriority")),
         "job_cleaned_table": f"WITH {job_parts} {rounded_power} FROM merged",
         "job_daily_table": f"WITH {job_parts} {_sql_daily('merged')}",
         "z_scores": f"WITH {_M} SELECT {keys}, {z_columns} FROM m",

@@ -1,20 +1,52 @@
-"""The three jobs over named tables, and their chain. The caller supplies the session."""
+"""The three jobs over named tables, and their chain. The caller supplies the session.
 
-from collections.abc import Collection, Sequence
-from datetime import date, datetime, timedelta
+How far a job has come is kept apart from its data, in a small table beside its target, and is written
+when the upsert has returned. A run that stops in between is therefore repeated in full by the next
+one, and an upsert of the same rows changes nothing more.
+"""
 
-from pyspark.sql import Column, SparkSession
+from collections.abc import Sequence
+from datetime import date, datetime
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake import schema, staging, tables
 from sensorlake.operators import incremental, metrics, quality
 from sensorlake.operators.ingest import stamp_arrival
-from sensorlake.sources import read_measurements_csv
+from sensorlake.sources import CORRUPT, read_measurements_csv
 
 RAW = "raw_measurements"
 CLEANED = "clean_measurements"
 DAILY = "daily_power_output"
 
+_PROGRESS = "high timestamp, date date"
+
+
+def progress_table(target: str) -> str:
+    """Batches that have reached `target`: the latest arrival, and one row per date of the batch."""
+    return f"{target}_progress"
+
+
+def _progress(spark: SparkSession, target: str, held: DataFrame) -> DataFrame:
+    """The progress of `target`. At the first run it begins with what `held` has already arrived."""
+    name = progress_table(target)
+    if not spark.catalog.tableExists(name) or spark.table(name).isEmpty():
+        tables.ensure(spark, name, _PROGRESS)
+        begin = incremental.high_watermark(held).select(F.col(schema.ARRIVAL).cast("timestamp").alias("high"))
+        _note(spark, target, begin.withColumn("date", F.lit(None).cast("date")))
+    return spark.table(name)
+
+
+def _note(spark: SparkSession, target: str, rows: DataFrame) -> None:
+    # One file: the note of a batch is there as a whole or not at all.
+    rows.select("high", "date").coalesce(1).write.insertInto(progress_table(target))
+
+
+def _micros(df: DataFrame, column: str) -> int | None:
+    """The latest time of a column; as a number, no time zone can shift it on its way."""
+    return df.agg(F.unix_micros(F.max(column).cast("timestamp"))).first()[0]
+
 
 def ingest(
     spark: SparkSession,
@@ -24,14 +56,29 @@ def ingest(
     arrival: datetime | str | None = None,
     location: str | None = None,
     infer: bool = False,
+    fmt: str = "parquet",
 ) -> None:
     """Read all files of the glob, stamp them, append them.
 
-    The table is partitioned by day of arrival, so a later run skips what it has seen.
+    The table is partitioned by day of arrival, so a later run skips what it has seen. A line with a
+    cell that does not fit its type is kept as it is in the column CORRUPT, unless the types are
+    inferred or the table was made without that column.
     """
-    raw = read_measurements_csv(spark, path, schema=None if infer else schema.MEASUREMENT)
+    keep = not infer
+    if keep and spark.catalog.tableExists(table):
+        keep = CORRUPT in spark.table(table).columns
+    columns = None if infer else schema.MEASUREMENT
+    raw = read_measurements_csv(spark, path, schema=columns, corrupt=CORRUPT if keep else None)
     stamped = stamp_arrival(raw, arrival=arrival)
-    tables.append(stamped, table, location=location, day_of=schema.ARRIVAL)
+    if keep:  # the raw line goes last
+        stamped = stamped.select(*[c for c in stamped.columns if c != CORRUPT], CORRUPT)
+    tables.append(stamped, table, location=location, day_of=schema.ARRIVAL, fmt=fmt)
+
+
+def malformed(spark: SparkSession, *, source: str = RAW) -> DataFrame:
+    """Raw rows with a cell that did not fit its type; the line as it came is in CORRUPT."""
+    raw = spark.table(source).drop(tables.DAY)
+    return raw.where(F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False))
 
 
 def clean(
@@ -41,31 +88,45 @@ def clean(
     target: str = CLEANED,
     columns: Sequence[str] = ("power_output",),
     k: float = 2,
-) -> list[date | None]:
+    use_malformed: bool = False,
+    fmt: str = "parquet",
+) -> None:
     """New arrivals → latest per key → impute → replace outliers → upsert.
 
     Statistics cover the newly arrived rows only. A reading delivered twice in one run ties with
-    itself; one of the tied rows is taken, as an upsert needs one row per key. Returns the dates
-    of the new readings.
+    itself; one of the tied rows is taken, as an upsert needs one row per key. Malformed rows are
+    left out, so that no mean stands in for a cell that could not be read; `use_malformed` takes
+    them in with that cell missing.
     """
-    tables.ensure(spark, target, schema.CLEAN, day_of=schema.EVENT_TIME)
+    tables.ensure(spark, target, schema.CLEAN, day_of=schema.EVENT_TIME, fmt=fmt)
     raw = spark.table(source)
     day = tables.DAY if tables.day_column(spark, source) == schema.ARRIVAL else None
-    fresh = incremental.newer_than_target(raw, spark.table(target), day=day).drop(tables.DAY)
-    path = staging.new_path(spark)
-    batch = staging.stage(quality.dedup_latest(fresh, keep_ties=False), path)
-    repaired = quality.repair(batch, columns, k=k)
-    tables.upsert(
-        spark, repaired, target, [schema.EVENT_TIME, schema.SENSOR], check_unique=False
-    )
-    dates = [row["date"] for row in metrics.with_date(batch).select("date").distinct().collect()]
-    staging.drop(spark, path)
-    return dates
-
-
-def _any_of(column: str, dates: Collection[date | None]) -> Column:
-    wanted = F.col(column).isin([d for d in dates if d is not None])
-    return wanted | F.col(column).isNull() if None in dates else wanted
+    done = _progress(spark, target, spark.table(target)).select(F.col("high").alias(schema.ARRIVAL))
+    with staging.scope(spark):
+        since = _micros(done, schema.ARRIVAL)
+        fresh = incremental.newer_than_target(raw, done, day=day).drop(tables.DAY)
+        high = _micros(fresh, schema.ARRIVAL)
+        if high is None:
+            return
+        # What arrives from now on is the next run's.
+        fresh = fresh.where(F.col(schema.ARRIVAL) <= F.timestamp_micros(F.lit(high)))
+        if CORRUPT in fresh.columns:
+            fresh = (fresh if use_malformed else fresh.where(F.col(CORRUPT).isNull())).drop(CORRUPT)
+        batch = staging.stage(quality.dedup_latest(fresh, keep_ties=False))
+        repaired = staging.stage(quality.repair(batch, columns, k=k))
+        keys = [schema.EVENT_TIME, schema.SENSOR]
+        # Rows with a NULL key match nothing: those of a run that did not end are taken out.
+        stale = F.col(schema.ARRIVAL) > F.timestamp_micros(F.lit(since))
+        tables.upsert(spark, repaired, target, keys, check_unique=False, stale=stale)
+        dates = metrics.with_date(batch).select("date").distinct()
+        _note(spark, target, dates.withColumn("high", F.timestamp_micros(F.lit(high))))
+
+
+def _utc_days(dates: DataFrame) -> DataFrame:
+    """Partitions hold UTC days; a date of the session time zone lies in its neighbours."""
+    shifts = F.explode(F.array(*[F.date_add("date", n) for n in (-1, 0, 1)]))
+    near = dates.where("date IS NOT NULL").select(shifts.alias(tables.DAY))
+    return near.unionByName(dates.where("date IS NULL").select(F.col("date").alias(tables.DAY))).distinct()
 
 
 def daily_metrics(
@@ -73,22 +134,30 @@ def daily_metrics(
     *,
     source: str = CLEANED,
     target: str = DAILY,
-    dates: Sequence[date | None] | None = None,
+    dates: Sequence[date | None] | DataFrame | None = None,
+    fmt: str = "parquet",
 ) -> None:
-    """Roll the cleaned readings up per day and upsert them; `dates` limits the work to those."""
+    """Roll the cleaned readings up per day and upsert them.
+
+    `dates` (a list, or a frame with the column date) limits the work to those. The table is
+    partitioned by month: a day of a roll-up is small.
+    """
     readings = spark.table(source)
-    if dates is not None and tables.day_column(spark, source) is not None:
-        # Partitions hold UTC days; a date of the session time zone lies in its neighbours.
-        shifts = [timedelta(days=n) for n in (-1, 0, 1)]
-        readings = readings.where(_any_of(tables.DAY, {d and d + n for d in dates for n in shifts}))
-    dated = metrics.with_date(readings)
-    if dates is not None:
-        dated = dated.where(_any_of("date", dates))
-    path = staging.new_path(spark)
-    daily = staging.stage(metrics.daily_metrics(dated), path)
-    tables.ensure(spark, target, schema.DAILY, day_of="date")
-    tables.upsert(spark, daily, target, [schema.SENSOR, "date"], check_unique=False)
-    staging.drop(spark, path)
+    with staging.scope(spark):
+        if dates is not None:
+            if not isinstance(dates, DataFrame):
+                dates = spark.createDataFrame([Row(date=d) for d in dates], "date date")
+            dates = staging.stage(dates.select("date").distinct())
+            if tables.day_column(spark, source) is not None:
+                readings = tables.on_days_of(readings, _utc_days(dates))
+        dated = metrics.with_date(readings)
+        if dates is not None:
+            wanted = dates.withColumnRenamed("date", "_date")
+            dated = dated.join(wanted, F.col("date").eqNullSafe(F.col("_date")), "left_semi")
+        daily = staging.stage(metrics.daily_metrics(dated))
+        tables.ensure(spark, target, schema.DAILY, day_of="date", fmt=fmt, by="month")
+        keys = [schema.SENSOR, "date"]
+        tables.upsert(spark, daily, target, keys, check_unique=False, null_safe=True)
 
 
 def run_all(
@@ -100,12 +169,36 @@ def run_all(
     daily: str = DAILY,
     arrival: datetime | str | None = None,
     new_dates_only: bool = False,
+    fmt: str = "parquet",
 ) -> None:
     """The three jobs in order.
 
-    The roll-up covers the whole cleaned table, unless it is limited to the dates of the new
-    readings. The limited form relies on every earlier run having completed.
+    The roll-up covers the whole cleaned table, unless it is limited to the dates of the batches
+    that it has not covered yet, also those of earlier runs that stopped before it.
     """
-    ingest(spark, path, table=raw, arrival=arrival)
-    dates = clean(spark, source=raw, target=cleaned)
-    daily_metrics(spark, source=cleaned, target=daily, dates=dates if new_dates_only else None)
+    ingest(spark, path, table=raw, arrival=arrival, fmt=fmt)
+    clean(spark, source=raw, target=cleaned, fmt=fmt)
+    roll_up(spark, source=cleaned, target=daily, new_dates_only=new_dates_only, fmt=fmt)
+
+
+def roll_up(
+    spark: SparkSession,
+    *,
+    source: str = CLEANED,
+    target: str = DAILY,
+    new_dates_only: bool = False,
+    fmt: str = "parquet",
+) -> None:
+    """The daily metrics of all cleaned readings, or of the dates that no earlier roll-up covers."""
+    noted = spark.table(progress_table(source))
+    name = progress_table(target)
+    tables.ensure(spark, name, _PROGRESS)
+    reached, since = _micros(noted, "high"), _micros(spark.table(name), "high")
+    if not new_dates_only or since is None:  # without an earlier roll-up all dates are new
+        daily_metrics(spark, source=source, target=target, fmt=fmt)
+    elif reached > since:
+        new = noted.where(F.col("high") > F.timestamp_micros(F.lit(since)))
+        new = new.where(F.col("high") <= F.timestamp_micros(F.lit(reached)))
+        daily_metrics(spark, source=source, target=target, dates=new.select("date"), fmt=fmt)
+    done = spark.range(1).select(F.timestamp_micros(F.lit(reached)).alias("high"))
+    _note(spark, target, done.withColumn("date", F.lit(None).cast("date")))

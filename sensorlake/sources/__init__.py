@@ -1,3 +1,3 @@
-from sensorlake.sources.readers import preview, read_measurements_csv, read_path, read_table
+from sensorlake.sources.readers import CORRUPT, preview, read_measurements_csv, read_path, read_table
 
-__all__ = ["preview", "read_measurements_csv", "read_path", "read_table"]
+__all__ = ["CORRUPT", "preview", "read_measurements_csv", "read_path", "read_table"]

@@ -4,21 +4,22 @@ A staged frame cuts the lineage (an executor lost later does not recompute what
 keeps columnar pruning, and gives Catalyst real file sizes to plan with.
 """
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_open_scopes: list[list[str]] = []
+
 
 def folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir, or by setCheckpointDir."""
+    """The folder named by spark.checkpoint.dir, or by setCheckpointDir.
+
+    Where none is named, one below the warehouse: what holds the tables is as shared as they are.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sensorlake-"))
-    return spark.sparkContext.getCheckpointDir()
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
 
 
 def _own_folder(spark: SparkSession) -> str:
@@ -32,6 +33,8 @@ def new_path(spark: SparkSession) -> str:
 def stage(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write `df` once and return a frame that reads it back."""
     path = path or new_path(df.sparkSession)
+    if _open_scopes:
+        _open_scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -42,6 +45,19 @@ def drop(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Delete all that is staged within the block when it ends, also when it fails."""
+    paths: list[str] = []
+    _open_scopes.append(paths)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(paths)
+        for path in paths:
+            drop(spark, path)
+
+
 def sweep(spark: SparkSession) -> None:
     """Delete all that this application staged; for the end of a program."""
     drop(spark, _own_folder(spark))

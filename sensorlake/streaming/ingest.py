@@ -8,10 +8,12 @@ the clean job keeps one row per key, as it does for any repeated delivery.
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from sensorlake import schema, tables
 from sensorlake.operators.ingest import stamp_arrival
 from sensorlake.plans.jobs import RAW
+from sensorlake.sources import CORRUPT
 
 
 def ingest_new_files(
@@ -22,13 +24,24 @@ def ingest_new_files(
     table: str = RAW,
     arrival: datetime | str | None = None,
     max_files: int | None = None,
+    fmt: str = "parquet",
 ) -> None:
-    """Append the files of the glob that no earlier run with this checkpoint has read."""
+    """Append the files of the glob that no earlier run with this checkpoint has read.
 
-    def append(batch: DataFrame, _: int) -> None:
-        tables.append(stamp_arrival(batch, arrival=arrival), table, day_of=schema.ARRIVAL)
+    A line with a cell that does not fit its type is kept in the column CORRUPT, as by the job.
+    """
+
+    keep = not spark.catalog.tableExists(table) or CORRUPT in spark.table(table).columns
 
-    reader = spark.readStream.schema(schema.MEASUREMENT)
+    def append(batch: DataFrame, _: int) -> None:
+        stamped = stamp_arrival(batch, arrival=arrival)
+        if keep:  # the raw line goes last
+            stamped = stamped.select(*[c for c in stamped.columns if c != CORRUPT], CORRUPT)
+        tables.append(stamped, table, day_of=schema.ARRIVAL, fmt=fmt)
+
+    columns = T.StructType(list(schema.MEASUREMENT.fields))
+    reader = spark.readStream.schema(columns.add(CORRUPT, T.StringType()) if keep else columns)
+    reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     reader = reader.option("header", True).option("enforceSchema", False)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -5,11 +5,14 @@ column DAY that readers drop. Appends then land in few directories, incremental
 ones, and an upsert reads and rewrites only the days that its source touches.
 """
 
+import re
 import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,8 +21,10 @@ from sensorlake.functions import utc_day
 
 DAY = "_day"
 _DAY_OF = "sensorlake.day_of"
+_BY = "sensorlake.by"
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-_FILE_FORMATS = ("parquet", "orc", "csv", "json", "avro")  # formats without MERGE
+_FILE_FORMATS = ("parquet", "orc", "csv", "json", "avro")  # rewritten by files
+_MERGE_FORMATS = ("delta", "iceberg", "hudi", "paimon")  # sent a MERGE
 
 
 def quoted(name: str) -> str:
@@ -33,10 +38,14 @@ def ensure(
     *,
     recreate: bool = False,
     day_of: str | None = None,
+    by: str = "day",
     fmt: str = "parquet",
     location: str | None = None,
 ) -> None:
-    """Create the table unless it is there; `recreate` drops it first."""
+    """Create the table unless it is there; `recreate` drops it first.
+
+    With `by="month"` the partitions hold whole months of `day_of` (DAY is then the first of each).
+    """
     if recreate:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     columns = schema if isinstance(schema, str) else schema.toDDL()
@@ -46,7 +55,7 @@ def ensure(
     else:
         statement += (
             f", {DAY} DATE) USING {fmt} PARTITIONED BY ({DAY})"
-            f" TBLPROPERTIES ('{_DAY_OF}' = '{day_of}')"
+            f" TBLPROPERTIES ('{_DAY_OF}' = '{day_of}', '{_BY}' = '{by}')"
         )
     if location:
         escaped = location.replace("\\", "\\\\").replace("'", "\\'")
@@ -55,18 +64,28 @@ def ensure(
 
 
 def _detail(spark: SparkSession, name: str, field: str) -> str:
+    """A field of the table's details, which follow its columns (one may have the field's name)."""
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
-    return next((row["data_type"] for row in described if row["col_name"] == field), "")
+    header = max(
+        (i for i, row in enumerate(described) if row["col_name"].startswith("# Detailed")), default=-1
+    )
+    details = described[header + 1 :]
+    return next((row["data_type"] for row in details if row["col_name"] == field), "")
 
 
 def day_column(spark: SparkSession, name: str) -> str | None:
     """The column whose day partitions the table, or None."""
+    return _property(spark, name, _DAY_OF)
+
+
+def _property(spark: SparkSession, name: str, key: str) -> str | None:
     properties = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
-    return next((row["value"] for row in properties if row["key"] == _DAY_OF), None)
+    return next((row["value"] for row in properties if row["key"] == key), None)
 
 
-def _with_day(df: DataFrame, day_of: str) -> DataFrame:
-    return df.withColumn(DAY, utc_day(F.col(day_of), df.schema[day_of].dataType.simpleString()))
+def _with_day(df: DataFrame, day_of: str, by: str | None = None) -> DataFrame:
+    day = utc_day(F.col(day_of), df.schema[day_of].dataType.simpleString())
+    return df.withColumn(DAY, F.trunc(day, "month") if by == "month" else day)
 
 
 def append(
@@ -86,32 +105,43 @@ def append(
         day_of = day_column(spark, name)
     writer = df.write
     if day_of is not None:
-        writer = _with_day(df, day_of).write.partitionBy(DAY)
+        writer = _with_day(df, day_of, _property(spark, name, _BY)).write.partitionBy(DAY)
     if location:
         writer = writer.option("path", location)
     writer.format(fmt).mode("append").saveAsTable(name)
 
 
-def key_predicate(keys: Sequence[str]) -> str:
-    """Equality of all keys between the aliases `source` and `target`; NULL keys never match."""
-    return " and ".join(f"source.{quoted(key)} = target.{quoted(key)}" for key in keys)
+def key_match(source: str, target: str, keys: Sequence[str], *, null_safe: bool = False) -> Column:
+    """Equality of all keys between two aliases; NULL keys match nothing, or each other."""
+    pairs = [(F.col(f"{source}.{quoted(key)}"), F.col(f"{target}.{quoted(key)}")) for key in keys]
+    return reduce(and_, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
 
 
-def upsert_frame(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert_frame(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    *,
+    stale: Column | None = None,
+    null_safe: bool = False,
+) -> DataFrame:
     """`target` with the rows of `source` put in place of those with equal keys, or added.
 
     Target rows with a NULL key match nothing. They bypass the join, which would send all of
-    them to one task.
+    them to one task. `stale` tells which of them to leave out: what an earlier attempt to upsert
+    the same rows left behind. With `null_safe`, NULL keys match each other instead.
     """
-    unmatchable = F.lit(False)
-    for key in keys:
-        unmatchable = unmatchable | F.col(key).isNull()
+    if null_safe:
+        match = key_match("source", "target", keys, null_safe=True)
+        rest = target.alias("target").join(source.select(*keys).alias("source"), match, "left_anti")
+        return rest.unionByName(source.select(*target.columns))
+    unmatchable = reduce(or_, [F.col(quoted(key)).isNull() for key in keys])
     kept = (
         target.where(~unmatchable)
         .alias("target")
-        .join(source.select(*keys).alias("source"), F.expr(key_predicate(keys)), "left_anti")
+        .join(source.select(*keys).alias("source"), key_match("source", "target", keys), "left_anti")
     )
-    passed = target.where(unmatchable)
+    passed = target.where(unmatchable if stale is None else unmatchable & ~F.coalesce(stale, F.lit(False)))
     return kept.unionByName(passed).unionByName(source.select(*target.columns))
 
 
@@ -133,6 +163,34 @@ def _dynamic_overwrite(spark: SparkSession):
         spark.conf.set(_OVERWRITE_MODE, before)
 
 
+def _refuse_lossy(source: DataFrame, fields: Sequence[T.StructField]) -> None:
+    """A cast that would cut values off is the caller's to make."""
+    whole = ("tinyint", "smallint", "int", "bigint")
+    for field in fields:
+        given, kept = source.schema[field.name].dataType, field.dataType
+        fractional = isinstance(given, T.FractionalType) and isinstance(kept, T.IntegralType)
+        names = given.simpleString(), kept.simpleString()
+        narrower = names[0] in whole and names[1] in whole and whole.index(names[0]) > whole.index(names[1])
+        if fractional or narrower or names == ("double", "float"):
+            raise ValueError(f"column {field.name!r} is {names[0]}, and the table holds {names[1]}")
+
+
+def on_days_of(target: DataFrame, days: DataFrame) -> DataFrame:
+    """Rows of a table whose DAY is among `days` (one column DAY, distinct).
+
+    The range of days goes into the plan as two literals, which leaves out partitions when the table
+    is listed, and the days themselves as a join, which Spark can turn into a filter on partitions.
+    """
+    low, high, missing = days.agg(F.min(DAY), F.max(DAY), F.count_if(F.col(DAY).isNull())).first()
+    parts = []
+    if low is not None:
+        in_range = F.col(DAY).between(F.lit(low), F.lit(high))
+        parts.append(target.where(in_range).join(days.where(in_range), DAY, "left_semi").select(*target.columns))
+    if missing:
+        parts.append(target.where(F.col(DAY).isNull()))
+    return reduce(DataFrame.unionByName, parts) if parts else target.where(F.lit(False))
+
+
 def upsert(
     spark: SparkSession,
     df: DataFrame,
@@ -140,62 +198,81 @@ def upsert(
     keys: Sequence[str],
     *,
     check_unique: bool = True,
+    stale: Column | None = None,
+    null_safe: bool = False,
 ) -> None:
     """Update the rows with equal keys, insert the others, keep the rest of the table.
 
     `df` is read several times; hand in a stored or staged frame. A table whose format has MERGE
     gets a MERGE. Otherwise, a table made with `day_of` (which must be one of the keys, so that a
     key never changes partition) has only the touched days rewritten, and any other table is
-    rewritten as a whole. A rewrite replaces each partition after all data is written, but not
-    all partitions at one instant.
+    written anew beside its files and then pointed there. A rewrite of days replaces each partition
+    after all data is written, but not all partitions at one instant. `stale` tells rows with a NULL
+    key that the upsert replaces: those that an attempt which did not end may have added. With
+    `null_safe`, NULL keys match each other (for tables where they are few).
     """
     if not keys:
         raise ValueError("an upsert needs key columns")
     if not name or not spark.catalog.tableExists(name):
         raise ValueError(f"there is no table {name!r} to upsert into")
+    provider = _detail(spark, name, "Provider").lower()
+    if provider not in _FILE_FORMATS + _MERGE_FORMATS:
+        raise ValueError(f"{name} has the format {provider or 'of a view'!r}, which cannot be upserted into")
     target = spark.table(name)
     fields = [f for f in target.schema.fields if f.name != DAY]
+    _refuse_lossy(df, fields)
     source = df.select(*[F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in fields])
     if check_unique:
         _check_unique(source, keys)
 
-    if _detail(spark, name, "Provider").lower() not in _FILE_FORMATS:
-        _merge(spark, source, name, keys)
-        return
     day_of = day_column(spark, name)
+    if day_of is not None:
+        if day_of not in keys:
+            raise ValueError(f"{name} is partitioned by the day of {day_of!r}, which is not a key")
+        source = _with_day(source, day_of, _property(spark, name, _BY))
+    if provider in _MERGE_FORMATS:
+        _merge(source, name, keys, null_safe)
+        return
     if day_of is None:
-        _rewrite_table(spark, upsert_frame(target, source, keys), name)
+        _rewrite_table(spark, upsert_frame(target, source, keys, stale=stale, null_safe=null_safe), name, provider)
         return
-    if day_of not in keys:
-        raise ValueError(f"{name} is partitioned by the day of {day_of!r}, which is not a key")
-    source = _with_day(source, day_of)
-    # One value per calendar day of the source, like a partition listing.
-    days = [row[0] for row in source.select(DAY).distinct().collect()]
-    if not days:
+    if source.isEmpty():
         return
-    touched = F.col(DAY).isin([day for day in days if day is not None])
-    if None in days:
-        touched = touched | F.col(DAY).isNull()
-    merged = upsert_frame(target.where(touched), source, keys)
+    touched = touched_days(target, source)
+    merged = upsert_frame(touched, source, keys, stale=stale, null_safe=null_safe)
     with _dynamic_overwrite(spark):
-        # Rebalancing gives files of an even size: small days are put together in one task,
-        # a hot day is split over several.
-        merged.hint("rebalance", F.col(DAY)).write.insertInto(name, overwrite=True)
+        evenly_by_day(merged).write.insertInto(name, overwrite=True)
 
 
-def _merge(spark: SparkSession, source: DataFrame, name: str, keys: Sequence[str]) -> None:
-    view = f"upsert_{uuid.uuid4().hex}"
-    source.createOrReplaceTempView(view)
-    try:
-        spark.sql(
-            f"MERGE INTO {name} AS target USING {view} AS source ON {key_predicate(keys)} "
-            "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
-        )
-    finally:
-        spark.catalog.dropTempView(view)
+def touched_days(target: DataFrame, source: DataFrame) -> DataFrame:
+    """The rows of `target` on the days that `source` touches; both have DAY."""
+    return on_days_of(target, source.select(DAY).distinct())
+
+
+def evenly_by_day(df: DataFrame) -> DataFrame:
+    """Dealt out so that files come in an even size: small days are put together in one task, a hot
+    day is split over several. Without adaptive execution, a day is one task's."""
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return df.hint("rebalance", F.col(DAY))
+    return df.repartition(F.col(DAY))
 
 
-def _rewrite_table(spark: SparkSession, merged: DataFrame, name: str) -> None:
-    path = staging.new_path(spark)
-    staging.stage(merged, path).write.insertInto(name, overwrite=True)
-    staging.drop(spark, path)
+def _merge(source: DataFrame, name: str, keys: Sequence[str], null_safe: bool = False) -> None:
+    values = {column: F.col(f"source.{quoted(column)}") for column in source.columns}
+    merge = source.alias("source").mergeInto(name, key_match("source", name, keys, null_safe=null_safe))
+    merge.whenMatched().update(values).whenNotMatched().insert(values).merge()
+
+
+def _rewrite_table(spark: SparkSession, merged: DataFrame, name: str, provider: str) -> None:
+    """Write a new folder beside the old one, point the table there, delete the old one last."""
+    old = _detail(spark, name, "Location").rstrip("/")
+    new = f"{re.sub('--[0-9a-f]{32}$', '', old)}--{uuid.uuid4().hex}"
+    try:
+        merged.write.format(provider).save(new)
+    except Exception:
+        staging.drop(spark, new)
+        raise
+    escaped = new.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{escaped}'")
+    spark.catalog.refreshTable(name)
+    staging.drop(spark, old)

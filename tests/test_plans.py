@@ -1,5 +1,6 @@
 """What the physical plans must show, whatever the size of the data."""
 
+import importlib
 from datetime import datetime, timedelta
 
 import pytest
@@ -38,8 +39,10 @@ def test_group_statistics_do_not_shuffle_the_rows(stored):
 def test_dedup_drops_rows_before_the_shuffle(stored):
     for keep_ties in (True, False):
         shown = plan(quality.dedup_latest(stored, keep_ties=keep_ties))
-        partial = shown.rindex("Partial")
-        assert "WindowGroupLimit" in shown and partial > 0
+        tree = shown[: shown.index("(1) ")]  # operators from the top of the plan down
+        limits = [i for i, line in enumerate(tree.splitlines()) if "WindowGroupLimit" in line]
+        exchange = [i for i, line in enumerate(tree.splitlines()) if "Exchange" in line]
+        assert len(limits) == 2 and limits[0] < exchange[0] < limits[1]
 
 
 def test_daily_metrics_reads_three_columns_and_shuffles_once(stored):
@@ -66,9 +69,42 @@ def test_watermark_reaches_the_scan_and_prunes_days(spark, stored, name):
     assert files and all("_day=2024-03-03" in f or "_day=2024-03-04" in f for f in files)
 
 
-def test_upsert_reads_touched_days_only(spark, stored, name):
+def test_upsert_reads_touched_days_only(spark, stored, name, monkeypatch):
     tables.ensure(spark, name, CLEAN, day_of="timestamp")
     tables.upsert(spark, stored, name, ["timestamp", "turbine_id"])
-    touched = spark.table(name).where(F.col(tables.DAY).isin([DAY.date()]))
-    merged = tables.upsert_frame(touched, touched.limit(1), ["timestamp", "turbine_id"])
-    assert "PartitionFilters" in plan(merged)
+    shown = []
+    real = tables.evenly_by_day
+
+    def seen(df):
+        shown.append(plan(df))
+        return real(df)
+
+    monkeypatch.setattr(tables, "evenly_by_day", seen)
+    source = stored.where(F.col("timestamp") < DAY + timedelta(hours=1))
+    tables.upsert(spark, source, name, ["timestamp", "turbine_id"])
+    (merged,) = shown
+    filters = [line for line in merged.splitlines() if "PartitionFilters" in line]
+    assert filters and all(f"_day#" in line and "2024-03-01" in line for line in filters)
+
+
+def test_open_brackets_reach_the_scan(spark, stored, monkeypatch):
+    quantiles = importlib.import_module("sensorlake.operators.quality.quantiles")
+    shown = []
+    real = quantiles._narrow
+
+    def seen(values, *rest):
+        shown.append(plan(values))
+        return real(values, *rest)
+
+    monkeypatch.setattr(quantiles, "_narrow", seen)
+    quality.quartiles(stored, "power_output", exact_rows=0).collect()
+    assert shown and all("GreaterThanOrEqual(power_output" in s for s in shown)
+
+
+def test_profile_does_not_explode_the_rows(stored):
+    shown = plan(quality.profile(stored, ["power_output", "wind_speed"]))
+    tree = shown[: shown.index("(1) ")].splitlines()
+    # The one explode is of the aggregate's row; below it, the readings go into the aggregate as they are.
+    explode = max(i for i, line in enumerate(tree) if "Generate" in line)
+    scan = next(i for i, line in enumerate(tree) if "Scan parquet" in line and i > explode)
+    assert any("Aggregate" in line for line in tree[explode:scan])

@@ -29,14 +29,6 @@ def day_files(spark, name):
     }
 
 
-def test_key_predicate():
-    assert tables.key_predicate(["a"]) == "source.`a` = target.`a`"
-    assert tables.key_predicate(["a", "b c"]) == (
-        "source.`a` = target.`a` and source.`b c` = target.`b c`"
-    )
-    assert tables.key_predicate([]) == ""
-
-
 def test_upsert_frame(spark):
     target = frame(spark, (at(1), 1, 1.0), (at(1), 2, 2.0), (at(1), None, 3.0))
     source = frame(spark, (at(1), 2, 20.0), (at(2), 1, 30.0), (at(1), None, 40.0))
@@ -144,19 +136,74 @@ def test_partition_day_does_not_follow_the_session_zone(spark, name):
     assert list(day_files(spark, name)) == ["_day=2022-03-01"]
 
 
-def test_formats_with_merge_are_sent_a_merge(spark, name, monkeypatch):
+def test_upsert_frame_with_null_safe_keys(spark):
+    target = frame(spark, (at(1), None, 3.0), (None, 1, 1.0))
+    source = frame(spark, (at(1), None, 40.0))
+    merged = tables.upsert_frame(target, source, KEYS, null_safe=True)
+    assertDataFrameEqual(merged, frame(spark, (at(1), None, 40.0), (None, 1, 1.0)))
+
+
+def test_a_failing_rewrite_leaves_the_old_rows(spark, name):
     tables.ensure(spark, name, COLUMNS)
+    tables.upsert(spark, frame(spark, (at(1), 1, 1.0), (at(2), 1, 2.0)), name, KEYS)
+    place = tables._detail(spark, name, "Location")
+    bad = frame(spark, (at(3), 1, 3.0)).withColumn(
+        "power_output", F.raise_error(F.lit("stop")).cast("double")
+    )
+    with pytest.raises(Exception, match="stop"):
+        tables.upsert(spark, bad, name, KEYS, check_unique=False)
+    spark.catalog.refreshTable(name)
+    assert sorted(r.power_output for r in spark.table(name).collect()) == [1.0, 2.0]
+    assert tables._detail(spark, name, "Location") == place
+    beside = os.listdir(os.path.dirname(place.removeprefix("file:")))
+    assert [f for f in beside if f.startswith(os.path.basename(place).split("--")[0])] == [os.path.basename(place)]
+
+
+def test_a_column_may_be_called_provider(spark, name):
+    df = spark.createDataFrame([(1, "delta")], "id int, Provider string")
+    tables.ensure(spark, name, df.schema)
+    tables.upsert(spark, df, name, ["id"])
+    assert spark.table(name).count() == 1 and tables._detail(spark, name, "Provider") == "parquet"
+
+
+def test_views_and_unknown_formats_are_refused(spark, name):
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT 1 AS id")
+    try:
+        with pytest.raises(ValueError, match="cannot be upserted"):
+            tables.upsert(spark, spark.table(name), name, ["id"])
+    finally:
+        spark.sql(f"DROP VIEW {name}")
+
+
+def test_lossy_casts_are_refused(spark, name):
+    tables.ensure(spark, name, "id int, n int")
+    for kind in ("double", "bigint"):
+        with pytest.raises(ValueError, match="the table holds int"):
+            tables.upsert(spark, spark.createDataFrame([(1, 2)], f"id int, n {'int' if kind == 'double' else kind}").withColumn("n", F.col("n").cast(kind)), name, ["id"])
+
+
+def test_formats_with_merge_are_sent_a_merge_with_the_day(spark, name, monkeypatch):
+    tables.ensure(spark, name, COLUMNS, day_of="timestamp")
     sent = []
-    monkeypatch.setattr(tables, "_merge", lambda *args: sent.append(args[2:]))
+    monkeypatch.setattr(tables, "_merge", lambda df, *rest: sent.append((df.columns, *rest)))
     monkeypatch.setattr(tables, "_FILE_FORMATS", ())
+    monkeypatch.setattr(tables, "_MERGE_FORMATS", ("parquet",))
     tables.upsert(spark, frame(spark, (at(1), 1, 1.0)), name, KEYS)
-    assert sent == [(name, KEYS)]
+    assert sent == [(["timestamp", "turbine_id", "power_output", tables.DAY], name, KEYS, False)]
 
 
-def test_merge_statement_parses(spark, name):
+def test_merge_is_understood(spark, name):
     tables.ensure(spark, name, COLUMNS)
-    with pytest.raises(Exception, match="UNSUPPORTED_FEATURE.TABLE_OPERATION"):
-        tables._merge(spark, frame(spark, (at(1), 1, 1.0)), name, KEYS)
+    with pytest.raises(Exception, match="UNSUPPORTED_FEATURE.TABLE_OPERATION|does not support|not supported"):
+        tables._merge(frame(spark, (at(1), 1, 1.0)), name, KEYS)
+
+
+def test_months_as_partitions(spark, name):
+    tables.ensure(spark, name, COLUMNS, day_of="timestamp", by="month")
+    tables.upsert(spark, frame(spark, (at(1), 1, 1.0), (at(20), 1, 2.0)), name, KEYS)
+    tables.upsert(spark, frame(spark, (at(20), 1, 3.0)), name, KEYS)
+    assert sorted(r.power_output for r in spark.table(name).collect()) == [1.0, 3.0]
+    assert list(day_files(spark, name)) == ["_day=2022-03-01"]
 
 
 def test_staged_frames(spark):
@@ -172,20 +219,17 @@ def test_staged_frames(spark):
     assert not os.path.exists(kept.removeprefix("file:"))
 
 
-def session(master, configured=None):
-    """Only what staging.folder() asks of a session."""
-    made = []
-    context = SimpleNamespace(
-        master=master,
-        getCheckpointDir=lambda: made[-1] if made else None,
-        setCheckpointDir=made.append,
-    )
-    return SimpleNamespace(conf={"spark.checkpoint.dir": configured}, sparkContext=context)
+def test_a_scope_deletes_what_is_staged_in_it(spark):
+    with pytest.raises(InterruptedError), staging.scope(spark):
+        path = staging.new_path(spark)
+        staging.stage(spark.range(5).toDF("n"), path)
+        raise InterruptedError
+    assert not os.path.exists(path.removeprefix("file:"))
 
 
 def test_staging_folder_is_the_one_the_cluster_names():
-    assert staging.folder(session("yarn", "hdfs:///shared")) == "hdfs:///shared"
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        staging.folder(session("yarn"))
-    local = session("local[2]")
-    assert staging.folder(local) == staging.folder(local)
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    named = SimpleNamespace(conf={"spark.checkpoint.dir": "hdfs:///shared"}, sparkContext=context)
+    assert staging.folder(named) == "hdfs:///shared"
+    conf = {"spark.checkpoint.dir": None, "spark.sql.warehouse.dir": "hdfs:///tables/"}
+    assert staging.folder(SimpleNamespace(conf=conf, sparkContext=context)) == "hdfs:///tables/_staged"
