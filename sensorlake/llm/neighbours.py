@@ -5,8 +5,8 @@ so lists come out even. Every vector goes to its nearest centroid, and a vector
 further ones too, unless such a centroid is close to one already chosen. Queries walk an in-memory graph
 over the centroids (each linked with its nearest) from several entries, and search the lists whose
 distance is within a ratio of the nearest, which is few where vectors cluster and many where they do not.
-Within a list, queries meet vectors block by block; only the
-best of each block leave the task.
+Lists are put together into blocks; only the best of a block leave
+its task.
 
 Inner products of vectors of unequal length are turned into distances by one more coordinate that makes
 all vectors equally long. Equal vectors are stored once, with their `top + 1` smallest ids: ties go to
@@ -41,7 +41,7 @@ COVERED = 0.3  # a further centroid this near to a chosen one, as a ratio of its
 PRUNE = 1.15  # distance of lists that are searched, as a ratio of the nearest
 SEARCHED = 0.45  # share of all lists that a query searches at most
 LINKS = 24
-BLOCK = 4_096
+BLOCK = 32_768
 
 
 class Centroids:
@@ -164,29 +164,49 @@ def _exact(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
 
 
 def _search_block(left: pd.DataFrame, right: pd.DataFrame, top: int) -> pd.DataFrame:
-    """The best `top` candidates of one block for each query that searches its list."""
-    out = {"q": [], "c": [], "score": []}
+    """The best `top + 1` candidates of a block of lists, for each query that searches some of them."""
+    out = {"q": [], "c": [], "first_id": [], "score": []}
     if len(left) and len(right):
         candidates = np.array(right["vector"].tolist(), np.float64)
-        ids = right["c"].to_numpy(np.int64)
-        firsts = right["first_id"].to_numpy(np.int64)
-        for start in range(0, len(left), 512):
-            part = left.iloc[start : start + 512]
+        ids, firsts = right["c"].to_numpy(np.int64), right["first_id"].to_numpy(np.int64)
+        lists, list_of = np.unique(right["list"].to_numpy(np.int64), return_inverse=True)
+        for start in range(0, len(left), 256):
+            part = left.iloc[start : start + 256]
             queries = np.array(part["vector"].tolist(), np.float64)
-            rough = queries @ candidates.T
-            keep = min(2 * top + 8, len(ids))
+            searched = np.array([np.isin(lists, wanted) for wanted in part["lists"]])
+            rough = np.where(searched[:, list_of], queries @ candidates.T, -np.inf)
+            keep = min(COPIES * (top + 1) + 8, len(ids))  # a candidate may stand on several lists
             best = np.argpartition(-rough, keep - 1, axis=1)[:, :keep]
             for row, places in enumerate(best):
+                places = places[rough[row, places] > -np.inf]
+                _, once = np.unique(ids[places], return_index=True)
+                places = places[once]
                 score = _exact(queries[row][None, :], candidates[places])
                 order = np.lexsort((firsts[places], -score))[: top + 1]
                 out["q"].append(np.full(len(order), part["q"].iloc[row]))
                 out["c"].append(ids[places[order]])
+                out["first_id"].append(firsts[places[order]])
                 out["score"].append(score[order])
     return pd.DataFrame({k: np.concatenate(v) if v else np.zeros(0) for k, v in out.items()}).astype(
-        {"q": "int64", "c": "int64", "score": "float64"}
+        {"q": "int64", "c": "int64", "first_id": "int64", "score": "float64"}
     )
 
 
+def _blocks(heights: dict[int, int], lists: int, block: int) -> list[tuple[int, int, int]]:
+    """(list, block, ways): lists in order put together into blocks of about `block` vectors.
+
+    A longer list is a block of its own, dealt over several tasks.
+    """
+    dealt, number, held = [], 0, 0
+    for one in range(lists):
+        height = heights.get(one, 0)
+        if held and held + height > block:
+            number, held = number + 1, 0
+        dealt.append((one, number, max(-(-height // block), 1)))
+        held += height
+    return dealt
+
+
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     """vec_id and vector (array of double) of the rows that take part."""
     vector = F.col(embedding).cast("array<double>")
@@ -239,23 +259,29 @@ def nearest(
 
     stored = unique.select("c", "first_id", "vector", _lists_of(F.col("vector"), centroids, longest, False).alias("lists"))
     postings = staging.stage(stored.select("c", "first_id", "vector", F.explode("lists").alias("list")))
-    # Blocks of a list: as many as keep each at about `block` vectors.
-    heights = postings.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("ways"))
-    heights = staging.stage(heights)
-    dealt = postings.join(heights, "list").withColumn("part", F.pmod("c", F.col("ways")).cast("int")).drop("ways")
-    queries = rows.where("asked").groupBy("print", "vector").agg(F.min("vec_id").alias("first_id"))
-    queries = unique.join(queries.select("print", "vector").distinct(), ["print", "vector"])
+    # One row per list reaches the driver, MOST_LISTS or so of them.
+    heights = dict(postings.groupBy("list").count().collect())
+    plan = _blocks(heights, len(centroids.points), block)
+
+    def blocks() -> DataFrame:
+        return F.broadcast(spark.createDataFrame(plan, "list int, block int, ways int"))
+
+    dealt = postings.join(blocks(), "list").withColumn("part", F.pmod("c", F.col("ways")).cast("int")).drop("ways")
+    asking = rows.where("asked").select("print", "vector").distinct()
+    queries = unique.join(asking, ["print", "vector"])
     searched = queries.select(
-        F.col("c").alias("q"), "vector", F.explode(_lists_of(F.col("vector"), centroids, longest, True)).alias("list")
+        F.col("c").alias("q"), "vector", _lists_of(F.col("vector"), centroids, longest, True).alias("lists")
     )
     searched = staging.stage(searched)
+    in_block = searched.select("q", F.explode("lists").alias("list")).join(blocks(), "list")
+    in_block = in_block.groupBy("q", "block").agg(F.collect_list("list").alias("lists"), F.max("ways").alias("ways"))
     parts = F.explode(F.sequence(F.lit(0), F.col("ways") - 1)).alias("part")
-    asked_of = searched.join(heights, "list").select("q", "vector", "list", parts)
-    keys = ["list", "part"]
+    asked_of = in_block.join(searched.select("q", "vector"), "q").select("q", "vector", "lists", "block", parts)
+    keys = ["block", "part"]
     found = (
         asked_of.groupBy(*keys)
         .cogroup(dealt.groupBy(*keys))
-        .applyInPandas(lambda a, b: _search_block(a, b, top), "q long, c long, score double")
+        .applyInPandas(lambda a, b: _search_block(a, b, top), "q long, c long, first_id long, score double")
     )
     best = staging.stage(found.distinct())
     return _ranked(rows, unique, best, top)
@@ -271,8 +297,7 @@ def _ranked(rows: DataFrame, unique: DataFrame, best: DataFrame, top: int) -> Da
     lowest = lowest.where(F.col("place") <= top + 1).drop("place")
     # Only the best top + 1 vectors of a query can matter: each holds an id, one of them its own.
     by_score = Window.partitionBy("q").orderBy(F.desc("score"), "first_id")
-    first = unique.select("c", "first_id")
-    kept = best.join(first, "c").withColumn("place", F.row_number().over(by_score)).where(F.col("place") <= top + 1)
+    kept = best.withColumn("place", F.row_number().over(by_score)).where(F.col("place") <= top + 1)
     ids = kept.join(lowest, "c").select("q", "vec_id", "score")
     of_query = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
     ids = ids.withColumn("place", F.row_number().over(of_query)).where(F.col("place") <= top + 1)
