@@ -45,15 +45,24 @@ def drop(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextmanager
+def collecting(paths: list[str]) -> Iterator[None]:
+    """Add the paths of all that is staged within the block to `paths`, to be dropped later."""
+    _open_scopes.append(paths)
+    try:
+        yield
+    finally:
+        _open_scopes.pop()
+
+
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
     """Delete all that is staged within the block when it ends, also when it fails."""
     paths: list[str] = []
-    _open_scopes.append(paths)
     try:
-        yield
+        with collecting(paths):
+            yield
     finally:
-        _open_scopes.remove(paths)
         for path in paths:
             drop(spark, path)
 
