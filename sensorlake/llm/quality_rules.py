@@ -62,8 +62,10 @@ def _count_slice(t: tx.Texts) -> dict[str, np.ndarray]:
     newline = np.flatnonzero(data == 0x0A)
     begin = np.unique(np.concatenate((offsets[:-1], newline + 1)))
     begin = begin[begin < len(data)]
-    end = np.unique(np.concatenate((offsets[1:], newline)))
-    end = end[np.searchsorted(end, begin)] if len(begin) else begin
+    stop = np.append(newline, len(data))
+    end = np.minimum(
+        stop[np.searchsorted(newline, begin)], offsets[np.searchsorted(offsets, begin, "right")]
+    )
     with_word = np.searchsorted(w.starts, end) > np.searchsorted(w.starts, begin)
     begin, end = begin[with_word], end[with_word]
     line_text = np.searchsorted(offsets, begin, "right") - 1
