@@ -7,6 +7,9 @@ Defined cases: a document whose lines are all removed stays with an empty text,
 mix, and is not returned by it; NULL texts fail the base rule of the first stage.
 """
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,24 @@ from sensorlake.llm import bpe, line_dedup, mixing, near_dups, quality_rules
 from sensorlake.llm.queries import table, vocabulary_path
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_held: list[str] = []  # what the last stage staged; its result is written when the next one begins
+
+
+def _stage(function: Stage) -> Stage:
+    """A stage that first deletes what the stage before it staged."""
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _held:
+            staging.drop(spark, _held.pop())
+        with staging.collecting(_held):
+            return function(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rule nor a learned rule rejects."""
     labels = table(spark, sf_dir, "labels")
@@ -25,6 +46,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, rules).where("_quality.kept").drop("_quality")
 
 
+@_stage
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier line resembles."""
     found = line_dedup.repeated_lines(docs)
@@ -32,6 +54,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: shingles of five words, similarity 0.8."""
     groups = near_dups.near_duplicates(docs)
@@ -39,6 +62,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(gone, docs["doc_id"] == F.col("_of"), "left_anti")
 
 
+@_stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     taken = mixing.mix(docs)
@@ -51,6 +75,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return repeated.withColumn("_copy", copies).drop("_of", "_times", "_copy")
 
 
+@_stage
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document, and what they decode to."""
     path = vocabulary_path()
