@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake import staging
-from sensorlake.llm import bpe, line_dedup, mixing, near_dups, neighbours, pii, quality_rules, substring_dedup, suffix_dedup, warc
+from sensorlake.llm import bpe, line_dedup, mixing, near_dups, neighbours, oracle, pii, quality_rules, substring_dedup, suffix_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -129,4 +129,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = oracle.SQL

@@ -1,5 +1,8 @@
 """The registered queries over the smallest tables, against the plain versions."""
 
+import os
+
+import duckdb
 import pytest
 from conftest import TESTDATA
 from llm import brute
@@ -74,3 +77,16 @@ def test_quality_rules(spark, texts):
 def test_contract_columns(spark, name, columns):
     df = result(spark, name)
     assert df.columns[: len(columns)] == columns and df.count() > 0
+
+
+@pytest.mark.parametrize("name", queries.SQL)
+def test_sql_gives_the_same_rows(spark, name):
+    duck = duckdb.connect()
+    for file in os.listdir(SF_DIR):
+        duck.execute(f"CREATE VIEW {file.removesuffix('.parquet')} AS SELECT * FROM '{SF_DIR}/{file}'")
+    answer = duck.execute(f"SELECT * FROM ({queries.SQL[name]})")
+    names = [d[0] for d in answer.description]
+    df = result(spark, name)
+    assert sorted(names) == sorted(df.columns)
+    expected = sorted(tuple(map(str, row)) for row in answer.fetchall())
+    assert sorted(tuple(map(str, row)) for row in df.select(*names).collect()) == expected
