@@ -31,15 +31,15 @@ from sensorlake.llm.substring_dedup import _flat_spans, body_hashes, branching,
 
 SIZE = 100
 ANCHOR = 24
-SHARD_BYTES = 2 << 20  # bytes of runs that a shard holds, about
+SHARD_BYTES = 1 << 20  # bytes of runs that a shard holds, about
+SLICE_BYTES = 1 << 19  # bytes of texts handled at once
 
 
-def _grams(data: np.ndarray) -> np.ndarray:
-    """A hash of the ANCHOR bytes from each place."""
-    eight = suffixes.packed(data)
-    if len(data) < ANCHOR:
+def _grams(eight: np.ndarray) -> np.ndarray:
+    """A hash of the ANCHOR bytes from each place, given the eight bytes from each."""
+    if len(eight) < ANCHOR:
         return np.zeros(0, np.uint64)
-    count = len(data) - ANCHOR + 1
+    count = len(eight) - ANCHOR + 1
     value = np.zeros(count, np.uint64)
     for step in range(0, ANCHOR, 8):
         value = tx.mix(value + eight[step : step + count])
@@ -52,11 +52,11 @@ def runs(text: Column | str, size: int) -> Column:
     def run(column: pa.Array) -> pa.Array:
         parts = [(np.zeros(0, np.int64),) * 4]
         counts = [np.zeros(0, np.int64)]
-        for _, t in tx.slices(tx.flat(column), 1 << 20):
-            grams = _grams(t.data)
+        for _, t in tx.slices(tx.flat(column), SLICE_BYTES):
+            eight = suffixes.packed(t.data)
+            grams = _grams(eight)
             owner, start, n, low = paths_of(grams, t.offsets, size, ANCHOR)
             # A run is known by the eight bytes from every eighth place, and the last eight.
-            eight = suffixes.packed(t.data)
             length = np.abs(n) + size - 1
             words = -(-length // 8)
             at = np.repeat(start, words) + 8 * tx.ragged(np.zeros(len(words), np.int64), words)
@@ -84,14 +84,16 @@ def _bytes_of(text: Column | str, spans: Column | str, size: int) -> Column:
     """The bytes of each run in `spans` (start, n): array of binary."""
 
     def run(column: pa.Array, wanted: pa.Array) -> pa.Array:
-        t = tx.flat(column)
         owner, start, n = _flat_spans(wanted, len(column))
-        begin = t.offsets[owner] + start
         lengths = n + size - 1
-        data = t.data[tx.ragged(begin, lengths)]
+        data = []
+        for base, t in tx.slices(tx.flat(column), SLICE_BYTES):
+            mine = (owner >= base) & (owner < base + len(t))
+            begin = t.offsets[owner[mine] - base] + start[mine]
+            data.append(t.data[tx.ragged(begin, lengths[mine])].tobytes())
         ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
         values = pa.BinaryArray.from_buffers(
-            pa.binary(), len(lengths), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())]
+            pa.binary(), len(lengths), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(b"".join(data))]
         )
         counts = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(column))))).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(counts, pa.int32()), values)
@@ -238,32 +240,34 @@ def cut(text: Column | str, spans: Column | str, size: int) -> Column:
     """Of a text without the bytes that the strings in `spans` cover: n_bytes, n_removed, n_spans, kept."""
 
     def run(column: pa.Array, wanted: pa.Array) -> pa.Array:
-        t = tx.flat(column)
         owner, start, n = _flat_spans(wanted, len(column))
-        change = np.zeros(len(t.data) + 1, np.int32)
-        begin = t.offsets[owner] + start
-        np.add.at(change, begin, 1)
-        np.add.at(change, begin + n + size - 1, -1)
-        keep = np.cumsum(change[:-1]) == 0
-        total = np.concatenate(([0], np.cumsum(keep, dtype=np.int64)))
-        left = total[t.offsets[1:]] - total[t.offsets[:-1]]
-        opens = ~keep
-        opens[1:] &= keep[:-1]
-        starts = t.offsets[:-1][np.diff(t.offsets) > 0]
-        opens[starts] = ~keep[starts]
-        spans_to = np.concatenate(([0], np.cumsum(opens, dtype=np.int64)))
-        ends = np.concatenate(([0], np.cumsum(left))).astype(np.int32)
-        kept = pa.BinaryArray.from_buffers(
-            pa.binary(), len(t), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(t.data[keep].tobytes())]
+        whole, removed, spans_in, kept = ([np.zeros(0, np.int64)] for _ in range(4))
+        data = []
+        for base, t in tx.slices(tx.flat(column), SLICE_BYTES):
+            mine = (owner >= base) & (owner < base + len(t))
+            change = np.zeros(len(t.data) + 1, np.int32)
+            begin = t.offsets[owner[mine] - base] + start[mine]
+            np.add.at(change, begin, 1)
+            np.add.at(change, begin + n[mine] + size - 1, -1)
+            keep = np.cumsum(change[:-1]) == 0
+            total = np.concatenate(([0], np.cumsum(keep, dtype=np.int64)))
+            left = total[t.offsets[1:]] - total[t.offsets[:-1]]
+            opens = ~keep
+            opens[1:] &= keep[:-1]
+            starts = t.offsets[:-1][np.diff(t.offsets) > 0]
+            opens[starts] = ~keep[starts]
+            opened = np.concatenate(([0], np.cumsum(opens, dtype=np.int64)))
+            whole.append(np.diff(t.offsets))
+            removed.append(np.diff(t.offsets) - left)
+            spans_in.append(opened[t.offsets[1:]] - opened[t.offsets[:-1]])
+            kept.append(left)
+            data.append(t.data[keep].tobytes())
+        ends = np.concatenate(([0], np.cumsum(np.concatenate(kept)))).astype(np.int32)
+        left_over = pa.BinaryArray.from_buffers(
+            pa.binary(), len(column), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(b"".join(data))]
         )
-        size_of = np.diff(t.offsets)
-        fields = [
-            pa.array(size_of, pa.int64()),
-            pa.array(size_of - left, pa.int64()),
-            pa.array(spans_to[t.offsets[1:]] - spans_to[t.offsets[:-1]], pa.int64()),
-            kept,
-        ]
-        return pa.StructArray.from_arrays(fields, ["n_bytes", "n_removed", "n_spans", "kept"])
+        counts = [pa.array(np.concatenate(x), pa.int64()) for x in (whole, removed, spans_in)]
+        return pa.StructArray.from_arrays([*counts, left_over], ["n_bytes", "n_removed", "n_spans", "kept"])
 
     kind = "n_bytes long, n_removed long, n_spans long, kept binary"
     return F.arrow_udf(run, kind).asNondeterministic()(text, spans)
