@@ -1,3 +1,4 @@
+import math
 from datetime import datetime
 
 import numpy as np
@@ -84,13 +85,13 @@ def test_group_stats_by_every_join_strategy(spark, limits):
 
 
 def test_group_stats_values(spark):
-    df = spark.createDataFrame([(1, 2.5), (1, 2.7), (2, 1.5), (2, 3.5)], POWER)
+    df = spark.createDataFrame([(1, 4.0), (1, 4.5), (2, 0.0), (2, 6.0)], POWER)
     expected = spark.createDataFrame(
         [
-            (1, 2.5, 2.6, 0.1414213562373),
-            (1, 2.7, 2.6, 0.1414213562373),
-            (2, 1.5, 2.5, 1.4142135623731),
-            (2, 3.5, 2.5, 1.4142135623731),
+            (1, 4.0, 4.25, math.sqrt(0.125)),
+            (1, 4.5, 4.25, math.sqrt(0.125)),
+            (2, 0.0, 3.0, math.sqrt(18)),
+            (2, 6.0, 3.0, math.sqrt(18)),
         ],
         POWER + ", power_output_mean double, power_output_std_dev double",
     )
@@ -112,9 +113,9 @@ def test_impute_mean(spark):
 
 def test_sigma_band(spark):
     schema = "power_output double, power_output_mean double, power_output_std_dev double"
-    df = spark.createDataFrame([(2.5, 2.6, 0.2), (1.5, 2.0, 1.0), (2.5, 2.5, 0.0)], schema)
+    df = spark.createDataFrame([(7.5, 7.0, 0.25), (1.0, 4.0, 2.0), (6.0, 6.0, 0.0)], schema)
     expected = spark.createDataFrame(
-        [(2.5, 2.6, 0.2, 2.2, 3.0), (1.5, 2.0, 1.0, 0.0, 4.0), (2.5, 2.5, 0.0, 2.5, 2.5)],
+        [(7.5, 7.0, 0.25, 6.5, 7.5), (1.0, 4.0, 2.0, 0.0, 8.0), (6.0, 6.0, 0.0, 6.0, 6.0)],
         schema + ", power_output_2_stddev_lower double, power_output_2_stddev_upper double",
     )
     assertDataFrameEqual(quality.with_sigma_band(df, ["power_output"]), expected)

@@ -26,17 +26,17 @@ def readings(spark):
 
 
 def test_daily_metrics_values(spark):
-    rows = [(date(2024, 1, 1), 1, v) for v in (2.3, 2.2, 2.5)]
-    rows += [(date(2024, 1, 1), 2, v) for v in (1.8, 1.5, 2.1)]
-    rows += [(date(2024, 1, 2), 1, v) for v in (3.1, 3.4, 2.5)]
-    rows += [(date(2024, 1, 2), 2, v) for v in (4.0, 3.8, 4.3)]
+    rows = [(date(2024, 1, 1), 1, v) for v in (1.0, 2.5, 0.5)]
+    rows += [(date(2024, 1, 1), 2, v) for v in (6.0, 7.0, 8.0)]
+    rows += [(date(2024, 1, 2), 1, v) for v in (0.0, 0.25, 0.25)]
+    rows += [(date(2024, 1, 2), 2, v) for v in (9.5, 9.0, 9.25)]
     rows += [(date(2024, 1, 3), 3, None)]
     df = spark.createDataFrame(rows, "date date, turbine_id int, power_output double")
     expected = [
-        (1, date(2024, 1, 1), 2.2, 2.5, 2.33),
-        (2, date(2024, 1, 1), 1.5, 2.1, 1.8),
-        (1, date(2024, 1, 2), 2.5, 3.4, 3.0),
-        (2, date(2024, 1, 2), 3.8, 4.3, 4.03),
+        (1, date(2024, 1, 1), 0.5, 2.5, 1.33),
+        (2, date(2024, 1, 1), 6.0, 8.0, 7.0),
+        (1, date(2024, 1, 2), 0.0, 0.25, 0.17),
+        (2, date(2024, 1, 2), 9.0, 9.5, 9.25),
         (3, date(2024, 1, 3), None, None, None),
     ]
     got = {tuple(r) for r in metrics.daily_metrics(df).collect()}
@@ -156,3 +156,50 @@ def test_profile_matches_pandas(spark, readings):
         np.testing.assert_allclose(shown, expected, rtol=1e-12)
     mean = quality.overall_mean(readings, "wind_speed").first()[0]
     assert mean == pytest.approx(frame["wind_speed"].mean())
+
+
+NAN = float("nan")
+
+
+def test_nan_is_a_missing_reading_everywhere(spark):
+    df = spark.createDataFrame(
+        [(1, 4.0, datetime(2024, 1, 1, 1)), (1, NAN, datetime(2024, 1, 1, 2)), (1, None, datetime(2024, 1, 1, 3))],
+        "turbine_id int, power_output double, timestamp timestamp",
+    )
+    daily = metrics.daily_metrics(metrics.with_date(df)).first()
+    assert tuple(daily)[2:] == (4.0, 4.0, 4.0)
+    assert quality.daily_counts(df, ["power_output"]).first()["power_output_count"] == 1
+    assert tuple(quality.null_counts(df, ["power_output"], nans=True).first()) == (1, 1)
+    filled = quality.impute_mean(quality.with_group_stats(df, ["power_output"]), "power_output")
+    assert [r.power_output for r in filled.collect()] == [4.0] * 3
+
+
+@pytest.mark.parametrize("values", [(5.0, NAN), (NAN, 5.0), (None, 5.0), (NAN, None, 5.0)])
+def test_a_real_reading_wins_a_tie(spark, values):
+    at = datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, at, v, at) for v in values], "turbine_id int, timestamp timestamp, power_output double, date_created timestamp")
+    assert [r.power_output for r in quality.dedup_latest(df, keep_ties=False).collect()] == [5.0]
+
+
+def test_whiskers_end_at_the_quartiles(spark):
+    df = spark.createDataFrame([(v,) for v in (0.0, 0.0, 0.0, 100.0)], "x double")
+    box = quality.box_stats(df, "x").first()
+    assert (box.q1, box.q3, box.whisker_low, box.whisker_high, box.fliers) == (0.0, 25.0, 0.0, 25.0, 1)
+    low = quality.box_stats(df.selectExpr("-x AS x"), "x").first()
+    assert (low.q1, low.whisker_low, low.whisker_high) == (-25.0, -25.0, 0.0)
+
+
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_infinite_quartiles_flag_nothing(spark, keys):
+    df = spark.createDataFrame([(1, float("-inf"))] * 5 + [(1, 1.0)], "k int, x double")
+    assert quality.iqr_outliers(df, "x", keys).count() == 0
+    assert quality.box_stats(df, "x", keys).first()["fliers"] == 0
+
+
+def test_profile_of_texts(spark):
+    df = spark.createDataFrame([("b", 1), ("a", 3), (None, None)], "s string, n int")
+    rows = {r["column"]: r for r in quality.profile(df).collect()}
+    assert (rows["s"]["count"], rows["s"].min_text, rows["s"].max_text, rows["s"].mean) == (2, "a", "b", None)
+    assert (rows["n"]["count"], rows["n"].mean, rows["n"].median, rows["n"].min_text) == (2, 2.0, 2.0, None)
+    large = {r["column"]: r for r in quality.profile(df, exact_rows=0).collect()}
+    assert large == rows

@@ -7,18 +7,18 @@ from sensorlake import schema, sources
 
 HEADER = "timestamp,turbine_id,wind_speed,wind_direction,power_output\n"
 ROWS = [
-    (datetime(2022, 3, 1), 1, 11.8, 169, 2.7),
-    (datetime(2022, 3, 1), 2, 11.6, 24, None),
-    (datetime(2022, 3, 1, 1), 3, 13.8, 335, 2.3),
+    (datetime(2022, 3, 1), 7, 6.25, 81, 0.75),
+    (datetime(2022, 3, 1), 8, 4.5, 302, None),
+    (datetime(2022, 3, 1, 1), 9, 9.75, 12, 3.25),
 ]
 
 
 @pytest.fixture
 def folder(tmp_path):
     (tmp_path / "a.csv").write_text(
-        HEADER + "2022-03-01 00:00:00,1,11.8,169,2.7\n2022-03-01 00:00:00,2,11.6,24,\n"
+        HEADER + "2022-03-01 00:00:00,7,6.25,81,0.75\n2022-03-01 00:00:00,8,4.5,302,\n"
     )
-    (tmp_path / "b.csv").write_text(HEADER + "2022-03-01 01:00:00,3,13.8,335,2.3\n")
+    (tmp_path / "b.csv").write_text(HEADER + "2022-03-01 01:00:00,9,9.75,12,3.25\n")
     return tmp_path
 
 
@@ -38,7 +38,7 @@ def test_csv_with_inferred_types(spark, folder):
 def test_csv_with_another_header_order_fails(spark, folder):
     (folder / "c.csv").write_text(
         "turbine_id,timestamp,wind_speed,wind_direction,power_output\n"
-        "1,2022-03-01 00:00:00,11.8,169,2.7\n"
+        "7,2022-03-01 00:00:00,6.25,81,0.75\n"
     )
     with pytest.raises(Exception, match="(?i)header"):
         sources.read_measurements_csv(spark, f"{folder}/*.csv").collect()
@@ -51,7 +51,7 @@ def test_csv_keeps_malformed_lines(spark, folder):
     rows = {r.turbine_id: r for r in got.collect()}
     assert rows[4].raw_line == line
     assert (rows[4].wind_speed, rows[4].power_output) == (None, 1.5)
-    assert rows[1].raw_line is None
+    assert rows[7].raw_line is None
 
 
 def test_path_table_and_preview(spark, folder, tmp_path, name):
