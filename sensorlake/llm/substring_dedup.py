@@ -116,10 +116,10 @@ def _flat_spans(spans: pa.Array, texts: int) -> tuple[np.ndarray, np.ndarray, np
 
 
 def windows(text: Column | str, spans: Column | str, size: int) -> Column:
-    """Of each window in `spans`: two hashes and its start word."""
+    """Of each window in `spans`: two hashes, its start word, whether the text holds it in `spans` before."""
 
     def run(column: pa.Array, wanted: pa.Array) -> pa.Array:
-        parts = [(np.zeros(0, np.int64),) * 3]
+        parts = [(np.zeros(0, np.int64),) * 4]
         counts = [np.zeros(0, np.int64)]
         owner, start, n = _flat_spans(wanted, len(column))
         for base, t in tx.slices(tx.flat(column)):
@@ -129,15 +129,20 @@ def windows(text: Column | str, spans: Column | str, size: int) -> Column:
             at = tx.ragged(start[mine] + w.first[own], n[mine])
             of = np.repeat(own, n[mine])
             one, two = (tx.window_hashes(values, size, salt) for salt in (0, 1))
-            parts.append((one[at].view(np.int64), two[at].view(np.int64), at - w.first[of]))
+            one, two = one[at].view(np.int64), two[at].view(np.int64)
+            order = np.lexsort((at, two, one, of))
+            again = np.zeros(len(at), bool)
+            same = [x[order[1:]] == x[order[:-1]] for x in (of, one, two)]
+            again[order[1:]] = same[0] & same[1] & same[2]
+            parts.append((one, two, at - w.first[of], again))
             counts.append(np.bincount(of, minlength=len(t)))
-        one, two, at = (np.concatenate(p) for p in zip(*parts))
+        one, two, at, again = (np.concatenate(p) for p in zip(*parts))
         fields = [pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(at.astype(np.int32), pa.int32())]
-        struct = pa.StructArray.from_arrays(fields, ["one", "two", "at"])
+        struct = pa.StructArray.from_arrays([*fields, pa.array(again.astype(bool))], ["one", "two", "at", "again"])
         offsets = np.concatenate(([0], np.cumsum(np.concatenate(counts)))).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), struct)
 
-    kind = "array<struct<one: long, two: long, at: int>>"
+    kind = "array<struct<one: long, two: long, at: int, again: boolean>>"
     return F.arrow_udf(run, kind).asNondeterministic()(text, spans)
 
 
@@ -204,11 +209,14 @@ def repeated_windows(docs: DataFrame, size: int, anchor: int) -> DataFrame:
     wanted = open_.groupBy(*at).agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     seen = docs.join(wanted, at).select(*at, F.explode(windows("text", "spans", size)).alias("w"))
     seen = staging.stage(seen.select(*at, "w.*"))
-    firsts = seen.groupBy("one", "two").agg(
+    # What a text holds before needs no comparison with others, however often it repeats itself.
+    new = seen.where("NOT again")
+    firsts = new.groupBy("one", "two").agg(
         F.min(F.struct("doc_id", "at")).alias("first"), F.count(F.lit(1)).alias("m")
     )
-    later = seen.join(firsts.where("m > 1"), ["one", "two"]).where(F.struct("doc_id", "at") > F.col("first"))
-    singles = later.select(*at, F.col("at").alias("start"), F.lit(1).alias("n"))
+    later = new.join(firsts.where("m > 1"), ["one", "two"]).where(F.struct("doc_id", "at") > F.col("first"))
+    singles = later.select(*at, "at").unionByName(seen.where("again").select(*at, "at"))
+    singles = singles.select(*at, F.col("at").alias("start"), F.lit(1).alias("n"))
     return copies.unionByName(singles)
 
 
