@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from sensorlake import staging
 
 FILE_BYTES = 8 << 20  # compressed size at which a file rolls over
-SHARD_ROWS = 50_000  # records of a shard, about
+SHARD_ROWS = 10_000  # records of a shard, about
 MIN_BYTES = 0  # payloads smaller than this are always responses
 _DATE = "1970-01-01T00:00:00Z"  # the tables hold no time of retrieval
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: that of URLs in RFC 9562
