@@ -9,16 +9,19 @@ from pyspark.sql import DataFrame
 from sensorlake import staging
 
 
-def bucketed(df: DataFrame, *keys: str) -> DataFrame:
+def bucketed(df: DataFrame, *keys: str, dealt: bool = False) -> DataFrame:
     """`df` written once to the shared folder, bucketed by `keys` into as many parts as a shuffle has.
 
+    `dealt` says that an aggregate has just dealt `df` out by the same keys: its parts are the buckets.
+
     The frame goes through a table, which leaves the catalog at once; its files stay with the other
     staged ones.
     """
     spark = df.sparkSession
     name = f"bucketed_{uuid.uuid4().hex}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    writer = df.repartition(parts, *keys).write.bucketBy(parts, *keys).option("compression", "zstd")
+    df = df if dealt else df.repartition(parts, *keys)
+    writer = df.write.bucketBy(parts, *keys).option("compression", "zstd")
     writer.option("path", staging.new_path(spark)).saveAsTable(name)
     stored = spark.table(name)
     spark.sql(f"DROP TABLE {name}")

@@ -6,20 +6,21 @@ with Jaccard similarity of at least `percent` to its own; earlier lines count wh
 
 Equal lines form one class. Tokens are ordered by rarity: by how often the bucket of their hash occurs
 in all texts (a table of fixed size), then by hash. Classes that match share one of their rarest tokens
-(prefix filter); pairs pass the length and positional filters, and then the comparison of whole sets.
-The classes of one token are first compared with two of them, the earliest and the most frequent, which
-settles the variants of a line that many documents repeat. What is left is compared with all classes
-before it. Class texts lie in a table bucketed by class, so fetching some of them moves no others.
+(prefix filter); candidates pass the length and positional filters, and one by the parity of 64 bits. The
+token sets of classes with a candidate are made from their first lines. Among these, each class is compared
+with the earliest of each of its tokens, which settles most variants of a line that many documents repeat;
+what is left is compared with all candidates before it. Jaccard similarity is verified on whole sets.
 
 Defined cases: a NULL text has no lines; a row without a doc_id keeps all its lines and is not compared;
-rows with equal doc_id and text have equal results, neither being earlier; lines without a word stay.
+rows with equal doc_id and text have equal results, neither being earlier; of rows that share a doc_id but
+not a text, a line of either counts as earlier than one further down; lines without a word stay.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorlake import staging
@@ -41,28 +42,29 @@ def _words(line: Column | str) -> Column:
     return F.array_remove(F.split(line, BREAKS), "")
 
 
-def _rarity(classes: DataFrame) -> Column:
-    """An array by hash bucket: how common its tokens are, on a logarithmic scale."""
-    bucket = F.pmod(F.xxhash64("word"), F.lit(RARITY_BUCKETS)).cast("int")
-    counted = (
-        classes.select(F.explode(_words("line")).alias("word")).groupBy(bucket.alias("bucket")).count()
-    )
+def _bucket(hashed: Column) -> Column:
+    return F.shiftrightunsigned(hashed, 48).cast("int")  # the upper 16 bits
+
+
+def _rarity(docs: DataFrame) -> Column:
+    """An array by hash bucket: how common its tokens are, on a logarithmic scale, above the hash bits."""
+    words = docs.select(F.explode(F.split("text", r"[ \t\n\x0B\f\r]+")).alias("word"))
+    counted = words.groupBy(_bucket(F.xxhash64("word")).alias("bucket")).count()
     common = [0] * RARITY_BUCKETS
     for row in counted.collect():  # one small row per bucket
-        common[row["bucket"]] = int(8 * math.log2(1 + row["count"]))
+        common[row["bucket"]] = int(8 * math.log2(1 + row["count"])) << _HASH_BITS
     return F.split(F.lit(",".join(map(str, common))), ",").cast("array<long>")
 
 
 def _ranked(line: Column | str, rarity: Column) -> Column:
     """The token set of a line as numbers, rarest first: bucket frequency above, hash below."""
+    low = F.lit((1 << _HASH_BITS) - 1)
 
-    def rank(hashed: Column) -> Column:
-        bucket = (F.pmod(hashed, F.lit(RARITY_BUCKETS)) + 1).cast("int")
-        low = F.shiftrightunsigned(hashed, 64 - _HASH_BITS)
-        return F.shiftleft(F.get(rarity, bucket - 1), _HASH_BITS).bitwiseOR(low)
+    def rank(word: Column) -> Column:
+        hashed = F.xxhash64(word)
+        return F.get(rarity, _bucket(hashed)).bitwiseOR(hashed.bitwiseAND(low))
 
-    hashes = F.transform(_words(line), lambda w: F.xxhash64(w))
-    return F.sort_array(F.array_distinct(F.transform(hashes, rank)))
+    return F.sort_array(F.array_distinct(F.transform(_words(line), rank)))
 
 
 def _common(n: Column, m: Column, percent: int) -> Column:
@@ -70,27 +72,93 @@ def _common(n: Column, m: Column, percent: int) -> Column:
     return F.ceil((n + m) * percent / (100 + percent) - 1e-9)
 
 
-def _may_match(percent: int) -> Column:
-    """Length and positional filters on a token met at `place` and `place_2`, from 1."""
-    n, m = F.col("size"), F.col("size_2")
+def _parity(tokens: str) -> Column:
+    """64 bits, each telling whether an odd number of tokens falls on it.
+
+    Where the bits of two sets differ, their tokens differ: so many of them at least.
+    """
+    one = F.lit(1).cast("long")
+    flip = lambda bits, t: bits.bitwiseXOR(F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int")))
+    return F.aggregate(tokens, F.lit(0).cast("long"), flip)
+
+
+def _prefix(tokens: Column, percent: int) -> Column:
+    """The rarest tokens of a set: as many as it may lack against a match, and one more."""
+    n = F.size(tokens)
+    return F.slice(tokens, F.lit(1), (n - F.ceil(n * percent / 100) + 1).cast("int"))
+
+
+def _may_match(x: str, y: str, percent: int) -> Column:
+    """Filters on a token that two sets share: by length, by its places, by the parity of the sets."""
+    n, m = F.col(f"{x}.size"), F.col(f"{y}.size")
     near = 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    most = 1 + F.least(n - F.col("place"), m - F.col("place_2"))
-    return near & (most >= _common(n, m, percent))
+    after = F.least(n - F.col(f"{x}.place"), m - F.col(f"{y}.place"))
+    differ = F.bit_count(F.col(f"{x}.parity").bitwiseXOR(F.col(f"{y}.parity")))
+    common = _common(n, m, percent)
+    same = F.col(f"{x}.token") == F.col(f"{y}.token")
+    return same & near & (1 + after >= common) & (differ <= n + m - 2 * common)
 
 
-def _matches(pairs: DataFrame, classes: DataFrame, rarity: Column, percent: int) -> DataFrame:
-    """Classes `cls` with a partner `cls_2` that comes earlier and has a similar token set."""
-    pairs = staging.stage(pairs.distinct())
-    needed = pairs.select("cls").union(pairs.select("cls_2")).distinct()
-    sets = staging.stage(
-        classes.join(needed, "cls").select("cls", "doc_id", "line_no", _ranked("line", rarity).alias("tokens"))
+def _with_candidates(docs: DataFrame, rarity: Column, percent: int) -> DataFrame:
+    """Classes (cls) that have a candidate: one that shares one of their rarest tokens and may match.
+
+    Equal lines are put together first, so that a line of many documents is one row for each token.
+    """
+    ranked = _lines(docs).select("cls", _ranked("line", rarity).alias("tokens"))
+    ranked = ranked.select(
+        "cls", F.size("tokens").alias("size"), _parity("tokens").alias("parity"), _prefix(F.col("tokens"), percent).alias("prefix")
     )
-    columns = ["cls", "doc_id", "line_no", "tokens"]
-    both = pairs.join(sets, "cls").join(sets.toDF(*[f"{c}_2" for c in columns]), "cls_2")
-    before = F.struct("doc_id_2", "line_no_2") < F.struct("doc_id", "line_no")
+    classes = ranked.groupBy("cls").agg(*[F.first(c).alias(c) for c in ("size", "parity", "prefix")])
+    listed = classes.select("cls", "size", "parity", F.posexplode("prefix").alias("at", "token"))
+    listed = listed.select("token", "cls", "size", "parity", (F.col("at") + 1).alias("place"))
+    # Both sides are the same frame, so its rows are dealt out by token once. No pairs are made here.
+    met = _may_match("x", "y", percent) & (F.col("x.cls") != F.col("y.cls"))
+    return listed.alias("x").join(listed.alias("y"), met, "left_semi").select("cls").distinct()
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The classes (by number) of `pairs` whose token set matches that of their earlier partner."""
+    tokens = sets.select("ord", "tokens")
+    both = pairs.join(tokens, "ord").join(tokens.toDF("ord_2", "tokens_2"), "ord_2")
     shared = F.size(F.array_intersect("tokens", "tokens_2"))
     union = F.size("tokens") + F.size("tokens_2") - shared
-    return both.where(before & (100 * shared >= percent * union)).select("cls").distinct()
+    return both.where(100 * shared >= percent * union).select("ord").distinct()
+
+
+def _repeated_classes(sets: DataFrame, percent: int) -> DataFrame:
+    """Numbers of the classes that match an earlier one. `sets`: ord (in order of first lines), tokens."""
+    listed = sets.select(
+        "ord", F.size("tokens").alias("size"), _parity("tokens").alias("parity"),
+        F.posexplode(_prefix(F.col("tokens"), percent)).alias("at", "token"),
+    )
+    listed = listed.select("token", "ord", "size", (F.col("at") + 1).alias("place"), "parity")
+    # First against the earliest class of each token, which settles most variants of a line. The rows
+    # of a token are brought together once, for all that follows; tokens of one class are left out.
+    of_token = Window.partitionBy("token")
+    listed = listed.withColumn("m", F.count(F.lit(1)).over(of_token)).withColumn("earliest", F.min("ord").over(of_token))
+    listed = bucketed(listed.where("m > 1").drop("m"), "token", dealt=True)
+    leads = listed.where(F.col("ord") == F.col("earliest"))
+    met = _may_match("x", "y", percent) & (F.col("x.ord") > F.col("y.ord"))
+    chosen = [F.col("x.ord").alias("ord"), F.col("y.ord").alias("ord_2")]
+    first = listed.alias("x").join(leads.alias("y"), met).select(*chosen).distinct()
+    settled = staging.stage(_alike(first, sets, percent))
+    # What is left, against all classes before it.
+    open_ = listed.join(settled, "ord", "left_anti")
+    rest = open_.alias("x").join(listed.alias("y"), met).select(*chosen).distinct()
+    return settled.union(_alike(rest, sets, percent))
+
+
+def _token_sets(docs: DataFrame, numbered: DataFrame, rarity: Column) -> DataFrame:
+    """ord, tokens, of the classes in `numbered` (ord, first), made from their first lines."""
+    spots = numbered.groupBy("first.doc_id", "first.version").agg(
+        F.collect_list(F.struct("ord", "first.line_no")).alias("spots")
+    )
+    texts = docs.select("doc_id", F.xxhash64("text").alias("version"), "text")
+    held = texts.join(spots, ["doc_id", "version"]).select(F.split("text", "\n").alias("lines"), "spots")
+    line = lambda s: F.struct(s["ord"], F.get("lines", s["line_no"]).alias("line"))
+    each = held.select(F.explode(F.transform("spots", line)).alias("s")).select("s.*")
+    # Rows with equal doc_id and text give the same sets.
+    return each.select("ord", _ranked("line", rarity).alias("tokens")).dropDuplicates(["ord"])
 
 
 def repeated_lines(
@@ -102,51 +170,23 @@ def repeated_lines(
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL")
     lines = staging.stage(_lines(docs).drop("line"))
-    grouped = _lines(docs).groupBy("cls").agg(
-        F.min(F.struct("doc_id", "line_no")).alias("first"),
-        F.count(F.lit(1)).alias("held"),
-        F.first("line").alias("line"),
-    )
-    classes = bucketed(grouped.select("cls", "first.*", "held", "line"), "cls")
-    rarity = _rarity(classes)
-    tokens = F.size("tokens")
-    reach = (tokens - F.ceil(tokens * percent / 100) + 1).cast("int")
-    prefixes = classes.select("cls", "doc_id", "held", _ranked("line", rarity).alias("tokens"))
-    prefixes = prefixes.select(
-        "cls", "doc_id", "held", tokens.alias("size"), F.slice("tokens", F.lit(1), reach).alias("prefix")
-    )
-    listed = prefixes.select("cls", "doc_id", "held", "size", F.posexplode("prefix").alias("place", "token"))
-    listed = staging.stage(listed.withColumn("place", F.col("place") + 1))
-
-    member = F.struct("doc_id", "cls", "size", "place")
-    lists = listed.groupBy("token").agg(
-        F.count(F.lit(1)).alias("m"),
-        F.min(member).alias("earliest"),
-        F.max(F.struct("held", member.alias("it"))).alias("most"),
-    )
-    lists = lists.where("m > 1").select(
-        "token", F.explode(F.array("earliest", "most.it")).alias("lead")
-    )
-    leads = lists.select("token", *[F.col(f"lead.{c}").alias(f"{c}_2") for c in ("doc_id", "cls", "size", "place")])
-    leads = staging.stage(leads.distinct())
-    later = (F.col("cls") != F.col("cls_2")) & (F.col("doc_id") >= F.col("doc_id_2"))
-    first_pairs = listed.join(leads, "token").where(later & _may_match(percent))
-    dropped = staging.stage(_matches(first_pairs.select("cls", "cls_2"), classes, rarity, percent))
-
-    shared = listed.join(leads.select("token").distinct(), "token", "left_semi")
-    open_ = shared.join(dropped, "cls", "left_anti").drop("held")
-    index = shared.select("token", *[F.col(c).alias(f"{c}_2") for c in ("doc_id", "cls", "size", "place")])
-    rest = open_.join(index, "token").where(later & _may_match(percent)).select("cls", "cls_2")
-    dropped = staging.stage(dropped.union(_matches(rest, classes, rarity, percent)))
-    firsts = staging.stage(
-        classes.select("cls", F.struct("doc_id", "line_no").alias("first"), "held")
-        .join(dropped.withColumn("dropped", F.lit(True)), "cls", "left")
-        .where("held > 1 OR dropped")
-        .drop("held")
-    )
-
-    gone = (F.struct("doc_id", "line_no") > F.col("first")) | F.coalesce("dropped", F.lit(False))
-    judged = lines.join(firsts, "cls", "left").withColumn("gone", F.coalesce(gone, F.lit(False)))
+    place = F.struct("doc_id", "line_no", "version")
+    firsts = lines.groupBy("cls").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("held"))
+    firsts = staging.stage(firsts)
+
+    rarity = _rarity(docs)
+    needed = firsts.join(_with_candidates(docs, rarity, percent), "cls").select("cls", "first")
+    # Numbered in the order of their first lines.
+    numbered = staging.stage(staging.stage(needed).orderBy("first", "cls").withColumn("ord", F.monotonically_increasing_id()))
+    sets = bucketed(_token_sets(docs, numbered, rarity), "ord", dealt=True)
+    dropped = numbered.select("ord", "cls").join(_repeated_classes(sets, percent), "ord")
+    dropped = dropped.select("cls", F.lit(True).alias("dropped"))
+    decided = firsts.join(dropped, "cls", "left").where("held > 1 OR dropped").select("cls", "first", "dropped")
+
+    judged = lines.join(staging.stage(decided), "cls", "left")
+    after = F.struct("doc_id", "line_no") > F.struct("first.doc_id", "first.line_no")
+    gone = F.col("first").isNotNull() & (after | F.coalesce("dropped", F.lit(False)))
+    judged = judged.withColumn("gone", F.coalesce(gone, F.lit(False)))
     per_doc = judged.groupBy("doc_id", "version").agg(
         F.size(F.collect_set("line_no")).cast("long").alias("n_lines"),
         F.sort_array(F.collect_set(F.when(F.col("gone"), F.col("line_no")))).alias("removed"),
