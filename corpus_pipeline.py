@@ -68,7 +68,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     taken = mixing.mix(docs)
     times = (F.col("taken") / F.col("size")).cast("int")
     chosen = taken.where("taken > 0").select(F.col("doc_id").alias("_of"), times.alias("_times"))
-    # Rows that share a doc_id are told apart by their number, in the order of their texts.
+    # Rows that share a doc_id are all taken as often as the one of them taken most.
     chosen = chosen.groupBy("_of").agg(F.max("_times").alias("_times"))
     repeated = docs.join(chosen, docs["doc_id"].eqNullSafe(F.col("_of")))
     copies = F.explode(F.array_repeat(F.lit(1), F.col("_times")))
