@@ -38,11 +38,10 @@ def _stage(function: Stage) -> Stage:
 @_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rule nor a learned rule rejects."""
-    labels = table(spark, sf_dir, "labels")
-    known = labels.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_of")).distinct()
-    labelled = docs.join(known, docs["doc_id"] == F.col("_of"), "left_semi")
-    counts = labelled.select("doc_id", quality_rules.measure("text").alias("counts"))
-    rules = quality_rules.fit(staging.stage(counts.select("doc_id", "counts.*")), labels)
+    # All texts are counted for the labelled ones: a few numbers each are joined, not the texts.
+    counts = docs.select("doc_id", quality_rules.measure("text").alias("counts"))
+    measured = staging.stage(counts.select("doc_id", "counts.*"))
+    rules = quality_rules.fit(measured, table(spark, sf_dir, "labels"))
     return quality_rules.judge(docs, rules).where("_quality.kept").drop("_quality")
 
 
@@ -79,9 +78,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document, and what they decode to."""
     path = vocabulary_path()
-    encoded = docs.select("doc_id", "source", bpe.encode("text", path).alias("ids"))
-    decoded = encoded.withColumn("decoded", bpe.decode("ids", path))
-    return decoded.select(
+    made = docs.select("doc_id", "source", bpe.round_trip("text", path).alias("made"))
+    return made.select("doc_id", "source", "made.*").select(
         "doc_id",
         "source",
         F.size("ids").cast("long").alias("n_tokens"),
