@@ -40,6 +40,7 @@ NEAR_BOUNDARY = 1.05  # distance to a further centroid, as a ratio of the neares
 COVERED = 0.3  # a further centroid this near to a chosen one, as a ratio of its distance, adds nothing
 PRUNE = 1.15  # distance of lists that are searched, as a ratio of the nearest
 SEARCHED = 0.45  # share of all lists that a query searches at most
+ALWAYS = 0.25  # share of lists that it searches whatever their distance: norms may differ widely
 LINKS = 24
 BLOCK = 32_768
 
@@ -140,7 +141,8 @@ def _lists_of(vector: Column, centroids: Centroids, longest: float, query: bool)
             if query:
                 most = max(int(np.ceil(SEARCHED * len(centroids.points))), 8)
                 best, far = centroids.search(point, most)
-                near = best[far <= PRUNE * max(far[0], 1e-12)]
+                sure = max(int(np.ceil(ALWAYS * len(centroids.points))), 8)
+                near = best[(far <= PRUNE * max(far[0], 1e-12)) | (np.arange(len(best)) < sure)]
             else:
                 best, far = centroids.search(point, 2 * COPIES)
                 near = []
