@@ -20,13 +20,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sensorlake.llm import texts as tx
 
-MAX_WORDS = 400_000
+MAX_WORDS = 150_000
+_SLICE_BYTES = 1 << 20
 _NEVER = np.iinfo(np.int64).max
 # The pattern that the vocabulary was made with, and the code points that became letters
 # or numbers after Unicode 16, which the tokenizers library knows.
@@ -215,6 +217,17 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+def _in_pieces(encoder: Encoder, column: pa.Array):
+    """Ids and counts of some texts of a column at a time, or of one long one."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(column):
+        before = sizes[start - 1] if start else 0
+        end = max(int(np.searchsorted(sizes, before + _SLICE_BYTES, "right")), start + 1)
+        yield encoder.encode([text or "" for text in column.slice(start, end - start).to_pylist()])
+        start = end
+
+
 def encode(text: Column | str, path: str) -> Column:
     """The ids of a text (array of int) under the vocabulary file at `path`."""
     tables = vocabulary(path)
@@ -223,10 +236,8 @@ def encode(text: Column | str, path: str) -> Column:
     def run(column: pa.Array) -> pa.Array:
         if not kept:
             kept.append(Encoder(tables))
-        column = column.fill_null("")
         ids, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-        for start, part in tx.slices(tx.flat(column)):
-            made = kept[0].encode(column.slice(start, len(part)).to_pylist())
+        for made in _in_pieces(kept[0], column):
             ids.append(made[0])
             counts.append(made[1])
         return tx.lists(np.concatenate(ids), np.concatenate(counts), pa.int32())
@@ -234,14 +245,34 @@ def encode(text: Column | str, path: str) -> Column:
     return F.arrow_udf(run, "array<int>").asNondeterministic()(text)
 
 
+def round_trip(text: Column | str, path: str) -> Column:
+    """The ids of a text, and the text that these decode to, in one pass: struct of ids, decoded."""
+    tables = vocabulary(path)
+    kept: list[Encoder] = []
+
+    def run(column: pa.Array) -> pa.Array:
+        if not kept:
+            kept.append(Encoder(tables))
+        ids, counts, back = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], []
+        for made in _in_pieces(kept[0], column):
+            ids.append(made[0])
+            counts.append(made[1])
+            back.append(pa.array(decoded(tables, *made), pa.string()))
+        lists = tx.lists(np.concatenate(ids), np.concatenate(counts), pa.int32())
+        texts = pa.concat_arrays(back) if back else pa.array([], pa.string())
+        return pa.StructArray.from_arrays([lists, texts], ["ids", "decoded"])
+
+    return F.arrow_udf(run, "ids array<int>, decoded string").asNondeterministic()(text)
+
+
 def decode(ids: Column | str, path: str) -> Column:
     """The text of an array of ids."""
     tables = vocabulary(path)
 
     def run(column: pa.Array) -> pa.Array:
-        made: list[str] = []
-        for start in range(0, len(column), 256):
-            part = column.slice(start, 256)
+        made: list[bytes] = []
+        for start in range(0, len(column), 64):
+            part = column.slice(start, 64)
             if part.null_count or part.flatten().null_count:
                 kept = [[i for i in x or () if i is not None] for x in part.to_pylist()]
                 counts = np.array([len(x) for x in kept])
@@ -249,7 +280,7 @@ def decode(ids: Column | str, path: str) -> Column:
             else:
                 counts = np.diff(part.offsets.to_numpy())
                 flat = part.flatten().to_numpy(zero_copy_only=False)
-            made += decoded(tables, flat, counts)
-        return pa.array(made, pa.string())
+            made += [text.encode() for text in decoded(tables, flat, counts)]
+        return pa.array(made, pa.binary()).cast(pa.string())
 
     return F.arrow_udf(run, "string").asNondeterministic()(ids)

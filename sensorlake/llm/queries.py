@@ -37,8 +37,8 @@ def vocabulary_path() -> str:
 def op2_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     path = path or vocabulary_path()
     docs = table(spark, sf_dir, "documents")
-    encoded = docs.select("doc_id", bpe.encode("text", path).alias("ids"))
-    return encoded.withColumn("decoded", bpe.decode("ids", path)).select(
+    made = docs.select("doc_id", bpe.round_trip("text", path).alias("made")).select("doc_id", "made.*")
+    return made.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

@@ -147,6 +147,8 @@ def test_bpe_equals_the_library(docs, rows, path):
     for i, text in rows:
         ids = library.encode(text or "", add_special_tokens=False).ids
         assert made[i] == (ids, library.decode(ids, skip_special_tokens=False))
+    both = docs.select("doc_id", bpe.round_trip("text", path).alias("m")).select("doc_id", "m.*")
+    assert by_id(both, "ids", "decoded") == made
 
 
 def test_bpe_odd_texts(path):
