@@ -37,7 +37,6 @@ SHORT_RUN = 3
 TINY = 8
 TINY_RUN = 2
 SHORT_LIST = 32  # lists up to this length are compared in full
-ELSEWHERE = 0.65  # share of short lists from which a set need not be met on long ones
 SLACK = 0.2  # by how much the estimate may fall below the threshold
 
 
@@ -192,8 +191,7 @@ def near_duplicates(
         .groupBy(*prints)
         .agg(F.min("doc_id").alias("node"), F.first("low").alias("low"))
     )
-    keyed = sets.select("node", "n", _keys(F.col("low"), F.col("n")).alias("keys"))
-    listed = keyed.select("node", "n", F.size("keys").alias("on"), F.explode("keys").alias("key"))
+    listed = sets.select("node", "n", F.explode(_keys(F.col("low"), F.col("n"))).alias("key"))
     lists = listed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("lead"))
     members = staging.stage(listed.join(lists.where("m > 1"), "key"))
 
@@ -215,7 +213,7 @@ def near_duplicates(
     edges = staging.stage(_linked(pairs, sets, full, percent, kept))
     labels = components(edges)
 
-    rest = _unsettled(_left_on_lists(members, short_list), labels)
+    rest = _unsettled(members.where("node > lead").select("key", "node", "n"), labels)
     pairs = _on_short_lists(rest.where(F.col("m") <= short_list), percent)
     far = _by_difference(rest.where(F.col("m") > short_list), full, percent)
     more = _linked(pairs.unionByName(far).distinct(), sets, full, percent, kept)
@@ -236,24 +234,6 @@ def near_duplicates(
     )
 
 
-def _left_on_lists(members: DataFrame, short_list: int) -> DataFrame:
-    """Members to compare further: all on short lists; on long ones, those mostly on long ones.
-
-    A set that stands on short lists for `ELSEWHERE` of its keys meets any set that it may be linked
-    with there, so what it shares on a long list (a passage that many texts hold) adds nothing.
-    """
-    long = F.col("m") > short_list
-    counted = members.where(long).groupBy(F.col("node").alias("of"), F.col("n").alias("size"))
-    counted = counted.agg(F.countDistinct("key").alias("n_long"))
-    met = (F.col("node") == F.col("of")) & (F.col("n") == F.col("size"))
-    elsewhere = F.col("n_long") <= (1 - ELSEWHERE) * F.col("on")
-    followers = members.where("node > lead")
-    few = followers.where(~long)
-    many = followers.where(long).join(counted, met).where(~elsewhere)
-    columns = ["key", "node", "n"]
-    return few.select(*columns).unionByName(many.select(*columns))
-
-
 def _unsettled(rest: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of lists that still hold several components."""
     known = rest.join(labels, "node", "left")

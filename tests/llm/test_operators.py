@@ -204,6 +204,23 @@ def test_large_groups_of_copies(spark, short_list):
     assert by_id(found, "n_shingles", "component_id") == brute.near_groups(data, 3, 85)
 
 
+def test_copies_that_meet_on_long_lists_alone(spark):
+    # Variants reach the threshold with the hub only, on lists that most of them stand on; the hub leads none.
+    rng = random.Random(4)
+    hub = [f"w{rng.randrange(10**9)}" for _ in range(404)]
+    texts = {1000: hub}
+    for i in range(150):
+        variant = list(hub)
+        for part in range(8):  # eight words apart from each other: 40 of 400 shingles, J = 0.82
+            variant[50 * part + rng.randrange(4, 45)] = f"v{i}x{part}"
+        texts[i] = variant
+    data = [(doc, " ".join(w)) for doc, w in texts.items()]
+    expected = brute.near_groups(data)
+    assert {c for _, c in expected.values()} == {0}
+    found = near_dups.near_duplicates(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected
+
+
 def test_near_duplicates_edges(empty, twice):
     assert near_dups.near_duplicates(empty).count() == 0
     rows = near_dups.near_duplicates(twice).collect()
