@@ -74,7 +74,7 @@ def fill(lengths: np.ndarray, counts: np.ndarray, budget: int, max_table: int =
     take = np.minimum((counts * (budget / whole)).astype(np.int64), counts)
     left = budget - int((lengths * take).sum())
     order = np.argsort(-lengths, kind="stable")
-    for i in order:
+    for i in order[lengths[order] > 0]:
         if left <= max_table:
             break
         more = min(int(counts[i] - take[i]), (left - max_table) // int(lengths[i]) + 1)

@@ -492,6 +492,14 @@ def test_fill_meets_budgets():
     assert mixing.fill(np.array([0, 7]), np.array([5, 3]), 15)[1] == 2
 
 
+def test_fill_with_texts_beyond_the_table_and_empty_ones(spark):
+    take = mixing.fill(np.array([0, 700, 200_000]), np.array([1, 30, 1]), 110_500)
+    assert list(take) == [0, 30, 0]
+    data = [(0, "a " * 200_000, "s"), (1, "", "s"), (2, None, "s"), *[(3 + i, "b " * 700, "s") for i in range(30)]]
+    rows = mixing.mix(spark.createDataFrame(data, "doc_id long, text string, source string"), share=0.5).collect()
+    assert sorted(r.taken for r in rows) == [0] * 3 + [700] * 30
+
+
 def test_mix_of_one_hot_length(spark):
     data = [(i, "a b c", "hot" if i % 2 else "cold", "x", 0, 0) for i in range(900)]
     rows = mixing.mix(spark.createDataFrame(data, DOCS)).collect()
