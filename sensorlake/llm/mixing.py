@@ -2,11 +2,11 @@
 
 Every document of a source is taken a whole number of times first. What remains of the budget is a
 subset-sum over counts of exact lengths: each length gives the same share of its documents, the
-longest that still fit follow, and bounded-knapsack dynamic programming settles the last words. The
-documents of a length are then picked by a seeded hash, as many as its count says.
+longest that still fit follow, and bounded-knapsack dynamic programming settles the last words. Where
+texts longer than its table leave a gap, their sums over the whole budget are tried too. The documents of a length are then picked by a seeded hash, as many as its count says.
 
 What a task holds: the counts of one source by length (one row per distinct length), and a table of
-at most `max_table` sums. Picking ranks only the documents of one hash bucket of one length.
+about `max_table` sums (twice that for long texts). Picking ranks only the documents of one hash bucket of one length.
 
 Defined cases: a NULL text has length 0; a NULL source is a source of its own, the last in order;
 documents of length 0 are taken 0 words; repeated rows count, and are picked, one by one; without
@@ -15,7 +15,7 @@ any words all targets are 0.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -65,10 +65,9 @@ def capped_targets(sizes: Sequence[float], weights: Sequence[float], total: floa
 
 def fill(lengths: np.ndarray, counts: np.ndarray, budget: int, max_table: int = MAX_TABLE) -> np.ndarray:
     """How many items of each length to take so that their lengths add up to about `budget`."""
-    take = np.zeros(len(lengths), np.int64)
     whole = int((lengths * counts).sum())
     if budget <= 0 or whole == 0:
-        return take
+        return np.zeros(len(lengths), np.int64)
     if budget >= whole:
         return counts.astype(np.int64)
     take = np.minimum((counts * (budget / whole)).astype(np.int64), counts)
@@ -83,15 +82,36 @@ def fill(lengths: np.ndarray, counts: np.ndarray, budget: int, max_table: int =
         left -= more * int(lengths[i])
     if 0 < left <= max_table:
         take += _knapsack(lengths, counts - take, left)
+    if (lengths[take > 0] > max_table).any() or left > max_table:
+        if int((lengths * take).sum()) < budget:
+            other = _fill_around_long(lengths, counts, budget, max_table)
+            take = max(take, other, key=lambda t: int((lengths * t).sum()))
     return take
 
 
-def _knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """Counts of the items whose lengths add up nearest to `budget` without exceeding it.
+def _fill_around_long(lengths: np.ndarray, counts: np.ndarray, budget: int, max_table: int) -> np.ndarray:
+    """Like `fill`: texts beyond `max_table` chosen over the whole budget, the others for what they leave."""
+    long = lengths > max_table
+    some, few = np.where(long, counts, 0), np.where(long, 0, counts)
+    lots, sums, made = _sparse_sums(lengths, some, budget, max_table)
+    total = int((lengths * few).sum())
+    if total <= max_table:
+        short_lots, short = _dense_sums(lengths, few, total)
+        highest = np.maximum.accumulate(np.where(short >= 0, np.arange(total + 1), 0))
+        at = int(sums[np.argmax(sums + highest[np.minimum(budget - sums, total)])])
+        rest = _walked_back(lengths, short_lots, lambda s: short[s], int(highest[min(budget - at, total)]))
+    else:
+        # Of the sums that the short texts can make up for, one whose remainder they divide, near the even share.
+        even = budget * (int((lengths * some).sum()) / int((lengths * counts).sum()))
+        missing = np.maximum(budget - sums - total, 0)
+        odd = (budget - sums) % int(np.gcd.reduce(lengths[few > 0]))
+        at = int(sums[np.lexsort((np.abs(sums - even), odd, missing))[0]])
+        rest = fill(lengths, few, budget - at, max_table)
+    return rest + _walked_back(lengths, lots, lambda s: made[np.searchsorted(sums, s)], at)
 
-    Each length's count is split into powers of two; `made[s]` is the first split item whose
-    addition reached the sum s, so that the sums can be walked back.
-    """
+
+def _lots(lengths: np.ndarray, counts: np.ndarray, budget: int) -> list[tuple[int, int]]:
+    """(place, size): each length's count split into powers of two."""
     lots: list[tuple[int, int]] = []
     for i in np.flatnonzero((lengths > 0) & (lengths <= budget) & (counts > 0)):
         rest, size = int(min(counts[i], budget // lengths[i])), 1
@@ -99,6 +119,38 @@ def _knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarra
             lots.append((int(i), min(size, rest)))
             rest -= size
             size *= 2
+    return lots
+
+
+def _sparse_sums(
+    lengths: np.ndarray, counts: np.ndarray, budget: int, max_table: int
+) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
+    """Lots, the sums up to `budget` that they reach in order, and the first lot that reached each.
+
+    All sums as long as there are `max_table` at most; later ones where no sum is near, that is in
+    the same of `max_table` even parts of the budget.
+    """
+    lots = _lots(lengths, counts, budget)
+    sums, made = np.zeros(1, np.int64), np.full(1, len(lots), np.int64)
+    width = budget // max_table + 1
+    for number, (i, size) in enumerate(lots):
+        fresh = sums + int(lengths[i]) * size
+        fresh = np.setdiff1d(fresh[fresh <= budget], sums, assume_unique=True)
+        if len(sums) + len(fresh) > max_table:
+            part = fresh // width
+            first = np.append(True, part[1:] != part[:-1])[: len(part)]
+            fresh = fresh[(first & ~np.isin(part, sums // width)) | (fresh == budget)]
+        sums, made = np.append(sums, fresh), np.append(made, np.full(len(fresh), number))
+        order = np.argsort(sums, kind="stable")
+        sums, made = sums[order], made[order]
+        if sums[-1] == budget:
+            break
+    return lots, sums, made
+
+
+def _dense_sums(lengths: np.ndarray, counts: np.ndarray, budget: int) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Lots, and for each sum up to `budget` the first lot whose addition reached it, or -1."""
+    lots = _lots(lengths, counts, budget)
     made = np.full(budget + 1, -1, np.int64)
     made[0] = len(lots)
     for number, (i, size) in enumerate(lots):
@@ -109,15 +161,25 @@ def _knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarra
         made[fresh] = number
         if made[budget] >= 0:
             break
+    return lots, made
+
+
+def _walked_back(lengths: np.ndarray, lots: list[tuple[int, int]], made: Callable[[int], int], at: int) -> np.ndarray:
+    """The counts of the lots that add up to `at`."""
     take = np.zeros(len(lengths), np.int64)
-    at = int(np.flatnonzero(made >= 0)[-1])
     while at > 0:
-        i, size = lots[int(made[at])]
+        i, size = lots[int(made(at))]
         take[i] += size
         at -= int(lengths[i]) * size
     return take
 
 
+def _knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    """Counts of the items whose lengths add up nearest to `budget` without exceeding it."""
+    lots, made = _dense_sums(lengths, counts, budget)
+    return _walked_back(lengths, lots, lambda s: made[s], int(np.flatnonzero(made >= 0)[-1]))
+
+
 def _source_order(weights: Sequence[float]) -> Column:
     place = F.col("place") % len(weights)
     return F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (place + 1).cast("int"))

@@ -500,6 +500,26 @@ def test_fill_with_texts_beyond_the_table_and_empty_ones(spark):
     assert sorted(r.taken for r in rows) == [0] * 3 + [700] * 30
 
 
+def test_fill_gives_long_texts_back():
+    long = np.array([90_000, 100_000, 120_000])
+    assert list(mixing.fill(long, np.array([1, 1, 1]), 190_000)) == [1, 1, 0]
+    assert int((long * mixing.fill(long, np.array([2, 2, 2]), 380_000)).sum()) == 380_000
+    rng = np.random.default_rng(5)
+    for shorts in (0, 3, 400):  # with none, and with few and many words in short texts
+        for _ in range(40):
+            lengths = np.unique(np.concatenate((rng.integers(101, 900, 6), 2 * rng.integers(0, 30, shorts))))
+            counts = rng.integers(1, 3, len(lengths))
+            sums = {0}
+            for n, times in zip(lengths.tolist(), counts.tolist()):
+                sums = {s + k * n for s in sums for k in range(times + 1)}
+            budget = int(rng.integers(1, int((lengths * counts).sum())))
+            take = mixing.fill(lengths, counts, budget, max_table=100)
+            assert (take >= 0).all() and (take <= counts).all()
+            made = int((lengths * take).sum())
+            best = max(s for s in sums if s <= budget)
+            assert made == best or (len(sums) > 100 and best - made <= 0.1 * best)
+
+
 def test_mix_of_one_hot_length(spark):
     data = [(i, "a b c", "hot" if i % 2 else "cold", "x", 0, 0) for i in range(900)]
     rows = mixing.mix(spark.createDataFrame(data, DOCS)).collect()
