@@ -166,11 +166,14 @@ def _occurrences(scanned: DataFrame) -> DataFrame:
 def patterns(occurrences: DataFrame, *, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS) -> DataFrame:
     """kind, pattern, confidence: of patterns that hold enough different seeds of the kind."""
     edges = occurrences.groupBy("pattern", "token", "seed").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    seeded = occurrences.where("seed IS NOT NULL").groupBy(F.col("seed").alias("kind"), "pattern")
-    seeded = seeded.agg(
-        F.approx_count_distinct("token").alias("tokens"), F.approx_count_distinct("doc_id").alias("texts")
-    )
-    seeded = seeded.where((F.col("tokens") >= min_seeds) & (F.col("texts") >= min_seeds)).select("kind", "pattern")
+    seeds = occurrences.where("seed IS NOT NULL").withColumnRenamed("seed", "kind")
+
+    def enough(of: str) -> DataFrame:
+        different = seeds.where(F.col(of).isNotNull()).select("kind", "pattern", of).distinct()
+        counted = different.groupBy("kind", "pattern").agg(F.count(F.lit(1)).alias("m"))
+        return counted.where(F.col("m") >= min_seeds).select("kind", "pattern")
+
+    seeded = enough("token").join(enough("doc_id"), ["kind", "pattern"])
     # Edges of seeded patterns; a seed counts 1 for its own kind and 0 for others throughout.
     edges = staging.stage(edges.join(seeded, "pattern"))
     of_kind = F.coalesce((F.col("seed") == F.col("kind")).cast("double"), F.lit(0.0))

@@ -263,6 +263,15 @@ def test_contexts_find_unseen_identifiers(spark):
     assert not rows[13].spans and all(len(rows[i].spans) == 1 for i in range(12))
 
 
+def test_patterns_with_just_enough_seeds(spark):
+    held = [(5 * p + i, f"slot{chr(97 + p // 20)}{chr(97 + p % 20)} u{p}x{i}@example.org") for p in range(300) for i in range(5)]
+    held += [(10_000 + i, f"few f{i % 4}@example.org") for i in range(9)]  # four different seeds
+    held += [(20_000 + i % 4, f"rare r{i}@example.org") for i in range(9)]  # four texts
+    occurrences = pii._occurrences(pii.scan(spark.createDataFrame(held, "doc_id long, text string")))
+    found = {r.pattern for r in pii.patterns(occurrences).collect()}
+    assert found == {f"one slot{chr(97 + p // 20)}{chr(97 + p % 20)}" for p in range(300)}
+
+
 def test_personal_data_edges(empty, twice):
     assert pii.spans(empty).count() == 0
     assert pii.spans(twice).count() == 6
