@@ -27,11 +27,12 @@ import hashlib
 import json
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake import staging
@@ -213,30 +214,84 @@ def write(
 def _with_shard(rows: DataFrame, records: DataFrame, id_: str, shard_rows: int) -> tuple[DataFrame, int]:
     """`rows` with the number of their shard, by ranges of ids that follow from the counts alone.
 
-    Ids are counted in ranges of equal width, _RANGES at most, and whole ranges are put together. Rows
-    without an id are spread by their digest and url.
+    Ids are counted in ranges of equal width, about _RANGES at most; ranges that hold more than
+    `shard_rows` are counted again in smaller ones, down to single ids. Then ranges are put together
+    in order. Rows without an id are spread by their digest and url.
     """
     ids = records.select(F.col(id_).cast("long").alias("id"))
     low, high, without = ids.agg(F.min("id"), F.max("id"), F.count(F.when(F.col("id").isNull(), 1))).first()
-    shard_of = []
-    if low is not None:
-        width = -(-(high - low + 1) // _RANGES)
-        place = F.expr(f"CAST((id - {low}L) DIV {width}L AS INT)")
-        held = dict(ids.where("id IS NOT NULL").groupBy(place.alias("p")).count().collect())
-        full = 0
-        number = 0
-        for p in range(max(held) + 1):
-            if full >= shard_rows:
-                full, number = 0, number + 1
-            shard_of.append(number)
-            full += held.get(p, 0)
+    passes: list[_Pass] = []
+    open_ = [] if low is None else [(low, high - low + 1)]
+    ids = ids.where("id IS NOT NULL")
+    while open_:
+        here = _Pass(open_)
+        ids = ids.withColumn("at", _found(passes)).where("at < 0")
+        here.held = dict(ids.groupBy(here.place(-1 - F.col("at")).alias("p")).count().collect())
+        crowded = [p for p in sorted(here.held) if here.held[p] > shard_rows and here.range_(p)[1] > 1]
+        here.value = {p: -1 - j for j, p in enumerate(crowded)}
+        open_ = [here.range_(p) for p in crowded]
+        passes.append(here)
+    number, full = 0, 0
+    todo = [(0, p) for p in reversed(range(passes[0].first[1]))] if passes else []
+    while todo:  # in order of ids
+        depth, p = todo.pop()
+        here = passes[depth]
+        if here.value.get(p, 0) < 0:
+            j = -1 - here.value[p]
+            inner = passes[depth + 1].first
+            todo += [(depth + 1, q) for q in reversed(range(inner[j], inner[j + 1]))]
+            continue
+        if full >= shard_rows:
+            full, number = 0, number + 1
+        here.value[p] = number
+        full += here.held.get(p, 0)
     spread = -(-without // shard_rows)
-    first = shard_of[-1] + 1 if shard_of else 0
+    first = number + 1 if passes else 0
     loose = F.lit(first) + F.pmod(F.xxhash64("digest", "url"), F.lit(max(spread, 1)))
-    if not shard_of:
+    if not passes:
         return rows.withColumn("shard", loose.cast("long")), first + spread
-    numbers = F.split(F.lit(",".join(map(str, shard_of))), ",").cast("array<long>")
-    return rows.withColumn("shard", F.when(F.col("id").isNull(), loose).otherwise(F.get(numbers, place)).cast("long")), first + spread
+    return rows.withColumn("shard", F.when(F.col("id").isNull(), loose).otherwise(_found(passes)).cast("long")), first + spread
+
+
+class _Pass:
+    """Ranges (start, span), each cut into parts of equal width; parts are numbered through."""
+
+    def __init__(self, ranges: list[tuple[int, int]]):
+        ways = max(_RANGES // len(ranges), 2)
+        self.start = [start for start, _ in ranges]
+        self.width = [-(-span // ways) for _, span in ranges]
+        self.first = [0]
+        for (_, span), width in zip(ranges, self.width):
+            self.first.append(self.first[-1] - (-span // width))
+        self.wide = max(span for _, span in ranges) >= 1 << 63
+        self.held: dict[int, int] = {}
+        self.value: dict[int, int] = {}  # of a part: its shard, or -1 - the place of its range in the next pass
+
+    def range_(self, part: int) -> tuple[int, int]:
+        j = bisect_right(self.first, part) - 1
+        return self.start[j] + (part - self.first[j]) * self.width[j], self.width[j]
+
+    def place(self, j: Column) -> Column:
+        """The part of an id that lies in range `j`."""
+        kind = "decimal(20,0)" if self.wide else "long"
+        beyond = F.col("id").cast(kind) - _item(self.start, j).cast(kind)
+        return _item(self.first, j) + F.call_function("div", beyond, _item(self.width, j).cast(kind))
+
+    def next(self, at: Column) -> Column:
+        values = [self.value.get(p, 0) for p in range(self.first[-1])]
+        return F.when(at >= 0, at).otherwise(_item(values, self.place(-1 - at)))
+
+
+def _item(values: list[int], place: Column) -> Column:
+    return F.get(F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>"), place.cast("int"))
+
+
+def _found(passes: list[_Pass]) -> Column:
+    """Of an id: its shard, or a negative number for the range that holds it after the last pass."""
+    at = F.lit(-1).cast("long")
+    for one in passes:
+        at = F.get(F.transform(F.array(at), one.next), 0)  # bound to a lambda variable: evaluated once
+    return at
 
 
 def _members(data: bytes) -> Iterator[bytes]:

@@ -1,5 +1,6 @@
 """Every operator against its plain version, over texts with the odd cases."""
 
+import json
 import math
 import os
 import random
@@ -441,6 +442,17 @@ def test_archives_round_trip(spark, tmp_path):
     assert all(open(f"{folder}/{f}", "rb").read() == open(f"{again}/{f}", "rb").read() for f in files)
 
 
+@pytest.mark.parametrize("far", [[1 << 60], [-(1 << 63), (1 << 63) - 1], []])
+def test_shards_of_skewed_ids(spark, tmp_path, far):
+    ids = [*range(200), *range(10**9, 10**9 + 100), *far]
+    folder = str(tmp_path / "w")
+    rows = archived(spark, [(i, f"http://a/{i}", f"body {i}") for i in ids], folder, shard_rows=25)
+    assert sorted(r.id for r in rows) == sorted(ids)
+    shards = [json.load(open(f"{folder}/{f}")) for f in os.listdir(folder) if f.endswith("manifest.json")]
+    held = {s["shard"]: sum(f["records"] for f in s["files"]) for s in shards}
+    assert max(held.values()) < 2 * 25 and sorted(held) == list(range(len(held)))
+
+
 def test_archives_small_payloads_damage_and_nothing(spark, tmp_path):
     data = [(1, "a", "same"), (2, "b", "same"), (3, "c", "a longer one"), (4, "d", "a longer one")]
     rows = archived(spark, data, str(tmp_path / "s"), min_bytes=10)
