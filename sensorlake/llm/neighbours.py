@@ -171,16 +171,22 @@ def _search_block(left: pd.DataFrame, right: pd.DataFrame, top: int) -> pd.DataF
     if len(left) and len(right):
         candidates = np.array(right["vector"].tolist(), np.float64)
         ids, firsts = right["c"].to_numpy(np.int64), right["first_id"].to_numpy(np.int64)
+        longest = np.linalg.norm(candidates, axis=1).max()
         lists, list_of = np.unique(right["list"].to_numpy(np.int64), return_inverse=True)
         for start in range(0, len(left), 256):
             part = left.iloc[start : start + 256]
             queries = np.array(part["vector"].tolist(), np.float64)
             searched = np.array([np.isin(lists, wanted) for wanted in part["lists"]])
             rough = np.where(searched[:, list_of], queries @ candidates.T, -np.inf)
-            keep = min(COPIES * (top + 1) + 8, len(ids))  # a candidate may stand on several lists
+            keep = min(COPIES * (top + 1), len(ids))  # a candidate may stand on several lists
             best = np.argpartition(-rough, keep - 1, axis=1)[:, :keep]
             for row, places in enumerate(best):
-                places = places[rough[row, places] > -np.inf]
+                # All that may tie with the last that counts: both sums are off by rounding, at most by this.
+                off = 4 * queries.shape[1] * np.finfo(float).eps * np.linalg.norm(queries[row]) * longest
+                _, once = np.unique(ids[places], return_index=True)
+                scores = np.sort(rough[row, places[once]])[::-1]
+                edge = scores[top] - off if len(scores) > top else -np.inf
+                places = np.flatnonzero((rough[row] >= edge) & (rough[row] > -np.inf))
                 _, once = np.unique(ids[places], return_index=True)
                 places = places[once]
                 score = _exact(queries[row][None, :], candidates[places])

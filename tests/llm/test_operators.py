@@ -352,6 +352,13 @@ def test_neighbours(spark, per_list, block):
     assert hits / total >= 0.9
 
 
+def test_many_distinct_vectors_tie(spark):
+    data = [(0, [1.0, 0.0, 0.0]), *[(i, [0.0, float(i % 25 + 1), float(i // 25 + 1)]) for i in range(1, 400)]]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(5)
+    rows = neighbours.nearest(frame, query=F.col("vec_id") == 0).collect()
+    assert sorted((r.rank, r.vec_id, r.score) for r in rows) == [(i, i, 0.0) for i in range(1, 21)]
+
+
 def test_few_and_no_vectors(spark):
     frame, _ = vectors(spark, n=200)
     few = frame.where("vec_id < 5")
