@@ -126,10 +126,107 @@ SELECT doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_remo
        coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
 FROM documents LEFT JOIN found USING (doc_id)"""
 
+URL_RULES = r"""
+WITH parts AS (
+  SELECT row_number() OVER () AS row, page_id, lower_url,
+    translate(regexp_extract(u, '(?s)^.*?://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(u, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM (SELECT page_id, coalesce(url, '') AS u, translate(coalesce(url, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_url FROM pages)),
+sites(verdict, host, path) AS (VALUES
+  ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+labels_of(verdict, pattern, start) AS (VALUES
+  ('block', '||casino-', 'casino-'), ('block', '||cheap-pills.', 'cheap-pills\.'),
+  ('block', '||adult-', 'adult-'), ('block', '||ads-*.', 'ads-.*\.'), ('block', '||spam-', 'spam-'),
+  ('block', '||free-bets.', 'free-bets\.'), ('allow', '||spam-*/es/', 'spam-.*/es/')),
+by_site AS (
+  SELECT row, arg_max(s.host || s.path, length(s.host || s.path)) AS rule,
+         arg_max(s.verdict, length(s.host || s.path)) AS verdict
+  FROM parts p JOIN sites s
+    ON (p.host = s.host OR ends_with(p.host, '.' || s.host)) AND starts_with(p.path, s.path) GROUP BY row),
+by_pattern AS (
+  SELECT row, arg_max(l.verdict, strength) AS verdict, arg_max(l.pattern, strength) AS pattern
+  FROM (SELECT row, verdict, pattern,
+               CASE WHEN verdict = 'allow' THEN 1000 ELSE 0 END + length(pattern) AS strength
+        FROM parts, labels_of
+        WHERE regexp_matches(lower_url, '(?s)^[^:/?#]*://([^/?#]*\.)?' || start)) l GROUP BY row)
+SELECT page_id, host, path, s.rule AS rule, coalesce(s.verdict, t.verdict, 'allow') AS verdict,
+       CASE WHEN s.rule IS NULL THEN t.pattern END AS pattern
+FROM parts LEFT JOIN by_site s USING (row) LEFT JOIN by_pattern t USING (row)"""
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_TERMS = f"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')"""
+
+RANKED_SEARCH = f"""
+WITH held AS (SELECT doc_id, {_TERMS} AS terms FROM documents),
+sizes AS (SELECT count(*) FILTER (WHERE len(terms) > 0) AS size, sum(len(terms)) AS total FROM held),
+wanted AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+counts AS (
+  SELECT doc_id, n, term, count(*) AS tf
+  FROM (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM held)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(size) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counts, sizes GROUP BY term),
+shares AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * size) // CAST(total AS BIGINT)))) AS share
+  FROM counts JOIN weights USING (term), sizes),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(share) AS BIGINT) AS score FROM wanted JOIN shares USING (term) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM scores WHERE score > 0) WHERE rank <= 50"""
+
+FILTER_AUDIT = rf"""
+WITH words AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+failed AS (
+  SELECT part,
+    CASE WHEN len(w) < 200 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask,
+    doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good,
+    doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic
+  FROM words),
+held AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM failed GROUP BY ALL),
+letters(l, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+steps AS (
+  SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::BIGINT AS before
+  FROM (SELECT filter_order, bits, unnest(range(1, 6)) AS step FROM orders)),
+counted AS (
+  SELECT part, filter_order, step, bit,
+    sum(n) FILTER (WHERE mask & (before | bit) = 0) AS kept,
+    sum(n) FILTER (WHERE mask & bit > 0 AND mask & before = 0) AS removed,
+    sum(n) FILTER (WHERE mask & bit > 0 AND mask & before > 0) AS redundant,
+    sum(n) FILTER (WHERE mask = bit) AS unique_fails,
+    sum(good) FILTER (WHERE mask & bit > 0 AND mask & before = 0) AS good_lost,
+    sum(toxic) FILTER (WHERE mask & bit > 0 AND mask & before = 0) AS toxic_lost
+  FROM steps, held GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+  CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(removed) OVER (PARTITION BY part, bit), 0) AS BIGINT) AS shapley
+FROM counted"""
+
 SQL = {
     "op1_line_dedup": LINE_DEDUP,
     "op3_near_dups": NEAR_DUPS,
     "op5_substring_dedup": SUBSTRING_DEDUP,
     "op8_warc": WARC,
     "op10_suffix_dedup": SUFFIX_DEDUP,
+    "op11_url_rules": URL_RULES,
+    "op12_ranked_search": RANKED_SEARCH,
+    "op13_filter_audit": FILTER_AUDIT,
 }

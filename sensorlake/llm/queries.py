@@ -8,7 +8,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake import staging
-from sensorlake.llm import bpe, line_dedup, mixing, near_dups, neighbours, oracle, pii, quality_rules, substring_dedup, suffix_dedup, warc
+from sensorlake.llm import (
+    bpe,
+    filter_audit,
+    line_dedup,
+    mixing,
+    near_dups,
+    neighbours,
+    oracle,
+    pii,
+    quality_rules,
+    ranked_search,
+    substring_dedup,
+    suffix_dedup,
+    url_rules,
+    warc,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -116,6 +131,45 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The rules of the query, and patterns for hosts that sell, bet or track.
+SITES = [
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+]
+PATTERNS = [
+    ("block", "||casino-"),
+    ("block", "||cheap-pills."),
+    ("block", "||adult-"),
+    ("block", "||ads-*."),
+    ("block", "||spam-"),
+    ("block", "||free-bets."),
+    ("allow", "||spam-*/es/"),
+]
+
+
+def _literal(spark: SparkSession, rows: list[tuple[str, ...]], *names: str) -> DataFrame:
+    """A small table of texts, as an expression."""
+    structs = [F.struct(*[F.lit(value).alias(name) for name, value in zip(names, row)]) for row in rows]
+    return spark.range(1).select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+
+
+def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sites = _literal(spark, SITES, "verdict", "host", "path")
+    patterns = _literal(spark, PATTERNS, "verdict", "pattern")
+    judged = url_rules.judge(table(spark, sf_dir, "pages"), sites, patterns)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "pattern")
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_bpe": op2_bpe,
@@ -127,6 +181,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_url_rules": op11_url_rules,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 SQL: dict[str, str] = oracle.SQL

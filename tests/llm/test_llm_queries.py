@@ -28,7 +28,7 @@ def by_id(df, *columns):
 
 def test_every_operator_has_one_query():
     names = [n for n in registered.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n[2].isdigit()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n[2].isdigit()) == list(range(1, 14))
     assert "pipeline" in registered.queries() and set(queries.QUERIES) == {n for n in names if n[2].isdigit()}
 
 

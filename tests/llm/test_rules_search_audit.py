@@ -1,0 +1,249 @@
+"""URL rules, ranked search and the filter audit against plain versions, with the odd cases."""
+
+import itertools
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from sensorlake.llm import filter_audit, ranked_search, url_rules
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+# -- url rules --------------------------------------------------------------------------------
+
+SITES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "Example.com", "/de/"), ("block", "a.b", ""),
+         ("allow", "x-y.org", "/p"), ("block", "tie.org", "/"), ("allow", "tie.org", "/"), (None, "z.org", "/"), ("block", None, "/")]
+PATTERNS = [("block", "||ads-*."), ("block", "/track^"), ("allow", "||ads-good.*"), ("block", "|ftp://"), ("block", ".EXE|"),
+            ("block", "a+b(c)"), ("block", ""), ("allow", None), ("block", "*shop*"), ("block", "$*^?")]
+URLS = [
+    "http://net/", "http://net", "https://a.example.net/en/x", "https://example.net/EN/x", "http://xnet/", "http://q.EXAMPLE.com/de/",
+    "http://example.com/deu", "http://a.b", "http://c.a.b#x", "http://xa.b/", "http://x-y.org/path?x", "http://sub.x-y.org/q", None,
+    "", "no scheme/track", "http://t.org/track", "http://t.org/track-1", "http://t.org/tracks", "http://t.org/track?x", "ftp://t.org/",
+    "see ftp://t.org/", "http://t.org/SETUP.exe", "http://t.org/setup.exe?", "http://t.org/A+B(c)", "http://ads-x.org/", "http://ads-good.org/",
+    "http://bads-x.org/", "http://q.ads-x.org/y", "http://t.org/workshops", "http://ü.net/é/", "a://b://net/", "http://tie.org/",
+    "http://z.org/", "http://t.org/$1\n?", "http://user@net/", "http://net:80/", "x" * 5000 + "://net/y",
+]
+
+
+def plain_verdict(url):
+    url = url or ""
+    m = re.match(r"(.*?)://([^/?#]*)([^?#]*)", url, re.S)
+    host, path = (m[2].translate(LOWER), m[3]) if m else ("", "")
+    rules = []
+    for verdict, h, p in SITES:
+        if verdict and h and p is not None:
+            h = h.translate(LOWER)
+            if (host == h or host.endswith("." + h)) and path.startswith(p) and (p or path == "" or path[0] == "/"):
+                rules.append((len(h + p), verdict, h + p))
+    if rules:
+        _, verdict, rule = max(rules)
+        return host, path, rule, verdict, None
+    hits = []
+    for verdict, pattern in PATTERNS:
+        if not verdict or not pattern:
+            continue
+        body = pattern.translate(LOWER)
+        start = r"^[^:/?#]*://(?:[^/?#]*\.)?" if body.startswith("||") else "^" if body.startswith("|") else ""
+        body = body.lstrip("|")
+        end = r"\Z" if body.endswith("|") else ""
+        body = "".join({"*": ".*", "^": r"(?:[^a-z0-9_.%-]|\Z)"}.get(c, re.escape(c)) for c in body.rstrip("|"))
+        if re.search(start + body + end, url.translate(LOWER), re.S):
+            hits.append((verdict == "allow", len(pattern), verdict, pattern))
+    if hits:
+        _, _, verdict, pattern = max(hits)
+        return host, path, None, verdict, pattern
+    return host, path, None, "allow", None
+
+
+def judged(spark, urls, sites=SITES, patterns=PATTERNS, **options):
+    pages = spark.createDataFrame(
+        [(i, u, "clash", "clash") for i, u in enumerate(urls)], "page_id long, url string, rule string, row string"
+    )
+    return url_rules.judge(
+        pages,
+        spark.createDataFrame(sites, "verdict string, host string, path string"),
+        spark.createDataFrame(patterns, "verdict string, pattern string"),
+        **options,
+    )
+
+
+@pytest.mark.parametrize("most", [url_rules.INDEX_BYTES, 0])
+def test_url_verdicts(spark, most):
+    rows = {r.page_id: tuple(r)[1:] for r in judged(spark, URLS, most=most).collect()}
+    assert rows == {i: plain_verdict(u) for i, u in enumerate(URLS)}
+
+
+def test_url_rows_that_repeat_and_lack_ids(spark):
+    pages = spark.createDataFrame([(1, "http://net/"), (1, "http://net/"), (None, "http://q.org/")], "page_id long, url string")
+    sites = spark.createDataFrame([("block", "net", "/")], "verdict string, host string, path string")
+    none = spark.createDataFrame([], "verdict string, pattern string")
+    made = [(r.page_id, r.verdict) for r in url_rules.judge(pages, sites, none).collect()]
+    assert sorted(made, key=str) == [(1, "block"), (1, "block"), (None, "allow")]
+    assert url_rules.judge(pages.limit(0), sites, none).count() == 0
+    assert {r.verdict for r in url_rules.judge(pages, sites.limit(0), none, default="block").collect()} == {"block"}
+
+
+def test_rules_stand_under_their_rarest_token(spark):
+    rules = url_rules._pattern_rules(spark.createDataFrame([("block", "||www.rare.com^"), ("block", "*x*")], "verdict string, pattern string"))
+    rules = rules.withColumn("number", F.monotonically_increasing_id())
+    assert [r.tokens for r in rules.collect()] == [["www", "rare", "com"], []]
+    tokens = spark.createDataFrame([(t,) for t in "www com www com rare www com rare x".split()], "token string")
+    assert {r.rule: r.token for r in url_rules.indexed(rules, tokens).collect()} == {"||www.rare.com^": "rare", "*x*": ""}
+
+
+def test_candidates_alone_run_their_expressions(spark):
+    shown = judged(spark, URLS)._jdf.queryExecution().toString()
+    assert "Python" not in shown and "Cartesian" not in shown and "NestedLoop" not in shown
+
+
+# -- ranked search ----------------------------------------------------------------------------
+
+
+def terms(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def plain_search(docs, items, top=50, slope=50, saturation=20):
+    bags = [(doc, Counter(terms(text))) for doc, text in docs]
+    bags = [(doc, bag, sum(bag.values())) for doc, bag in bags if bag]
+    size, total = len(bags), sum(n for _, _, n in bags)
+    spread = Counter(t for _, bag, _ in bags for t in bag)
+    found = []
+    for item in {i for i, _ in items}:
+        wanted = {t for i, text in items if i == item for t in terms(text)}
+        scores = []
+        for doc, bag, n in bags:
+            m = 100 - slope + slope * n * size // total
+            score = sum(
+                math.floor(1000 * math.log((2 * size + 2) / (2 * spread[t] + 1))) * (10**9 * bag[t] // (1000 * bag[t] + saturation * m))
+                for t in wanted if t in bag
+            )
+            if score > 0 and doc is not None:
+                scores.append((-score, doc))
+        found += [(item, rank, doc, -score) for rank, (score, doc) in enumerate(sorted(scores)[:top], 1)]
+    return sorted(found, key=str)
+
+
+def search_tables(spark, docs, items):
+    docs = spark.createDataFrame([(*d, 1, "x") for d in docs], "doc_id long, text string, rank int, item string")
+    items = spark.createDataFrame([(*i, 2) for i in items], "item_id long, text string, score int")
+    return docs, items
+
+
+def corpus(seed=4):
+    rng = random.Random(seed)
+    pool = [f"w{i}" for i in range(40)] + ["ÉTÉ", "été", "漢字", "A1", "a1", "x\u007fy", "it's"]
+    made = [" ".join(rng.choices(pool, k=rng.randint(1, 30))) for _ in range(60)]
+    docs = [(i, rng.choice(made)) for i in range(300)]  # many equal bags
+    docs += [(1000 + i, " ".join(rng.sample(d[1].split(" "), len(d[1].split(" "))))) for i, d in enumerate(docs[:40])]
+    docs += [(2000, None), (2001, ""), (2002, "-- ..."), (None, docs[0][1]), (2003, "w1 " * 30000), (7, docs[3][1]), (7, docs[3][1])]
+    items = [(i, " ".join(rng.choices(pool, k=rng.randint(1, 12)))) for i in range(12)]
+    return docs, items + [(50, None), (51, ""), (52, "unknown"), (53, "w1 w1"), (53, "w2"), (None, "W3 w4")]
+
+
+@pytest.mark.parametrize("top, item_bytes", [(50, 8 << 20), (3, 60)])
+def test_ranked_search(spark, top, item_bytes):
+    docs, items = corpus()
+    found = ranked_search.search(*search_tables(spark, docs, items), top=top, item_bytes=item_bytes)
+    assert sorted((tuple(r) for r in found.collect()), key=str) == plain_search(docs, items, top)
+
+
+def test_ranked_search_in_small_parts(spark, monkeypatch):
+    # Tasks hold the changed limit only if it is set before the functions are sent.
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([[0, 1], [1], [0], []])], ["terms"])
+    import numpy as np
+
+    monkeypatch.setattr(ranked_search, "WORK", 9)
+    sizes = [len(p) for p in ranked_search._parts(batch, np.array([2, 5]), 2)]
+    assert sum(sizes) == 4 and sizes[0] == 1
+
+
+def test_ranked_search_with_nothing_to_find(spark):
+    docs, items = search_tables(spark, *corpus())
+    assert ranked_search.search(docs.limit(0), items).count() == 0
+    assert ranked_search.search(docs, items.limit(0)).count() == 0
+    assert ranked_search.search(docs, items.where("item_id = 51")).columns == ["item_id", "rank", "doc_id", "score"]
+
+
+def test_equal_scores_of_one_large_class_go_by_id(spark):
+    docs = [(900 - i, "same words here") for i in range(400)] + [(5000 + i, "other") for i in range(30)]
+    found = ranked_search.search(*search_tables(spark, docs, [(1, "words")]), top=50).collect()
+    assert [r.doc_id for r in sorted(found, key=lambda r: r["rank"])] == list(range(501, 551))
+
+
+# -- filter audit -----------------------------------------------------------------------------
+
+
+def plain_audit(docs, labels):
+    def fails(k):
+        doc, text, _ = docs[k]
+        text = text or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", text)
+        earlier = [d for d, t, _ in docs if (t or "") == text and d is not None and doc is not None and d < doc]
+        return {
+            "A": len(w) < 200, "B": 100 * len(set(w)) < 50 * len(w), "C": 100 * len(re.findall("[A-Z]", text)) > 2 * len(text),
+            "D": bool(re.search("[#$%&*|]", text)), "E": bool(earlier),
+        }
+
+    failing = [fails(k) for k in range(len(docs))]
+    good = {d for d, q, _ in labels if q == 1}
+    toxic = {d for d, _, t in labels if t == 1}
+    rows = {}
+    for part in {d[2] or "" for d in docs}:
+        own = [(d[0], f) for d, f in zip(docs, failing) if (d[2] or "") == part]
+        shapley = Counter()
+        for order in itertools.permutations("ABCDE"):
+            alive = own
+            for step, f in enumerate(order, 1):
+                gone = [d for d, x in alive if x[f]]
+                earlier = sum(x[f] for _, x in own) - len(gone)
+                alive = [(d, x) for d, x in alive if not x[f]]
+                shapley[f] += len(gone)
+                alone = sum(x[f] and sum(x.values()) == 1 for _, x in own)
+                lost = [sum(d in s for d in gone if d is not None) for s in (good, toxic)]
+                rows[part, "".join(order), step] = [len(alive), len(gone), earlier, alone, *lost, f]
+        for key, row in rows.items():
+            if key[0] == part:
+                row[-1] = shapley[row[-1]]
+    return {key: tuple(row) for key, row in rows.items()}
+
+
+def test_filter_audit(spark):
+    rng = random.Random(9)
+    docs = []
+    for i in range(120):
+        pool = [f"{rng.choice('aAbB')}{j}" for j in range(rng.choice([20, 400]))]
+        text = " ".join(rng.choices(pool, k=rng.choice([30, 220, 300]))) + rng.choice(["", "", "\n#", "\x0b|"])
+        docs.append((i, rng.choice([text, docs[-1][1] if docs else text]), rng.choice(["a", "b", None, ""])))
+    docs += [(900, None, "a"), (901, "", "a"), (902, "", "only"), (None, "", "a"), (901, "", "a"), (903, "X " * 5000, "a")]
+    labels = [(i, rng.randint(0, 1), rng.randint(0, 1)) for i in range(0, 100, 2)] + [(4, 1, 1), (None, 1, 1), (901, 1, None)]
+    frame = spark.createDataFrame([(*d, 0, "n") for d in docs], "doc_id long, text string, source string, row int, prefix string")
+    marks = spark.createDataFrame([(*x, 3) for x in labels], "doc_id long, quality int, toxic int, part int")
+    made = filter_audit.audit_documents(frame, marks).collect()
+    assert len(made) == 600 * 4
+    assert {tuple(r)[:3]: tuple(r)[3:] for r in made} == plain_audit(docs, labels)
+
+
+def test_filter_audit_of_nothing(spark):
+    frame = spark.createDataFrame([], "doc_id long, text string, source string")
+    marks = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert filter_audit.audit_documents(frame, marks).count() == 0
+    one = spark.createDataFrame([(1, "x", "s")], "doc_id long, text string, source string")
+    rows = filter_audit.audit_documents(one, marks).collect()
+    assert {(r.filter_order[r.step - 1], r.removed, r.shapley) for r in rows} == {("A", 1, 120), *((f, 0, 0) for f in "BCDE")}
+
+
+def test_filter_audit_takes_few_filters(spark):
+    rows = spark.createDataFrame([(1, "s")], "row long, part string")
+    with pytest.raises(ValueError, match="1 to 6"):
+        filter_audit.audit(rows, {}, {})
+    report = filter_audit.audit(rows, {"x": rows, "y": rows}, {}).collect()
+    assert sorted((r.filter_order, r.step, r.kept, r.removed, r.redundant) for r in report) == [
+        ("xy", 1, 0, 1, 0), ("xy", 2, 0, 0, 1), ("yx", 1, 0, 1, 0), ("yx", 2, 0, 0, 1),
+    ]
