@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -167,7 +168,7 @@ def _scorer(weights: np.ndarray, lists: list[np.ndarray], items: int, top: int,
 
 
 def _block(docs: DataFrame, held: list[tuple], top: int, slope: int, saturation: int) -> DataFrame | None:
-    """item (its place in `held`), doc_id, score of the best documents for some items (id, terms)."""
+    """item (its place in `held`), rank, doc_id, score of the best documents for some items (id, terms)."""
     vocabulary = pa.array(sorted({term for _, terms in held for term in terms}), pa.large_binary())
     counted = staging.stage(docs.select("doc_id", _bags(vocabulary, F.col("text")).alias("b")).select("doc_id", "b.*"))
     size, total = counted.agg(F.count_if(F.col("n") > 0), F.sum("n")).first()
@@ -192,7 +193,9 @@ def _block(docs: DataFrame, held: list[tuple], top: int, slope: int, saturation:
     first = bags.withColumn("place", order).where(F.col("place") <= top)
     classes = first.groupBy(*bag).agg(F.sort_array(F.collect_list("doc_id")).alias("members"))
     score = _scorer(weights, [np.array(x, np.int64) for x in lists], len(held), top, saturation)
-    return classes.select("m", "terms", "counts", "members").mapInArrow(score, "item long, score long, doc_id long")
+    found = classes.select("m", "terms", "counts", "members").mapInArrow(score, "item long, score long, doc_id long")
+    order = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score"), "doc_id"))
+    return found.withColumn("rank", order).where(F.col("rank") <= top)
 
 
 def search(
@@ -228,11 +231,8 @@ def search(
         best = _block(docs, held, top, slope, saturation) if held else None
         if best is not None:
             names = spark.createDataFrame([(i, name) for i, (name, _) in enumerate(held)], f"item long, item_id {kind}")
-            found.append(best.join(F.broadcast(names), "item").drop("item"))
+            best = best.join(F.broadcast(names), "item")
+            found.append(best.select("item_id", "rank", "doc_id", "score"))
     if not found:
         return spark.createDataFrame([], f"item_id {kind}, rank int, doc_id long, score long")
-    every = found[0]
-    for more in found[1:]:
-        every = every.unionByName(more)
-    order = F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("score"), "doc_id"))
-    return every.withColumn("rank", order).where(F.col("rank") <= top).select("item_id", "rank", "doc_id", "score")
+    return reduce(DataFrame.unionByName, found)
