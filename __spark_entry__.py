@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 import uuid
@@ -12,18 +13,19 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake import schema, staging, tables
+from sensorlake import ledger, schema, staging, streaming, tables
 from sensorlake.demo import measurements, table
 from sensorlake.functions import stable_round
 from sensorlake.operators import incremental, ingest, metrics, quality
 from sensorlake.plans import jobs
-from sensorlake.sources import preview, read_measurements_csv, read_path, read_table
+from sensorlake.sources import preview, read_csv_by_name, read_measurements_csv, read_path, read_table
 
-try:
+# Only an absent subpackage is left out; an error within it is not hidden.
+llm = None
+_parts = [importlib.util.find_spec(name) for name in ("sensorlake.llm", "corpus_pipeline")]
+if all(part is not None and part.origin for part in _parts):
     import corpus_pipeline
     from sensorlake.llm import queries as llm
-except ImportError:  # the subpackage is not installed
-    llm = None
 
 READINGS = list(schema.READINGS)
 KEYS = ["timestamp", "turbine_id"]
@@ -204,8 +206,107 @@ def _upsert_table_unpartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(stored, "power_output")
 
 
+def _upsert_table_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name, path = _table_name(), staging.new_path(spark)
+    first, second = _deliveries(spark, sf_dir)
+    try:
+        tables.ensure(spark, name, first.schema, bucket_of=["turbine_id"], buckets=8, location=path)
+        for part in (first, second):
+            tables.upsert(spark, staging.stage(quality.clean(part)), name, KEYS)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return _rounded(read_path(spark, path), "power_output")
+
+
+def _csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries: in order, in another order with a further column, and without the direction."""
+    m = measurements(spark, sf_dir).drop("date_created")
+    part = F.pmod(F.hour("timestamp") + F.col("turbine_id"), F.lit(3))
+    folder = staging.new_path(spark)
+    shapes = [
+        m.columns,
+        ["power_output", "site", "wind_direction", "turbine_id", "timestamp", "wind_speed"],
+        ["turbine_id", "wind_speed", "timestamp", "power_output"],
+    ]
+    for number, columns in enumerate(shapes):
+        rows = m.where(part == number).withColumn("site", F.lit("north, 'A'"))
+        rows.select(*columns).write.option("header", True).csv(f"{folder}/{number}")
+    return _local(read_csv_by_name(spark, f"{folder}/*/*.csv"))
+
+
+def _csv_inferred_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The types of all files: whole prices beside fractions, and a column that only one file has."""
+    orders = table(spark, sf_dir, "orders")
+    odd = F.pmod("o_orderkey", F.lit(2)) == 1
+    folder = staging.new_path(spark)
+    whole = orders.where(odd).select(F.floor("o_totalprice").alias("price"), "o_orderkey")
+    rest = orders.where(~odd).select("o_orderkey", F.col("o_totalprice").alias("Price"), "o_orderpriority")
+    for number, rows in enumerate((whole, rest)):
+        rows.write.option("header", True).csv(f"{folder}/{number}")
+    read = read_csv_by_name(spark, f"{folder}/*/*.csv", schema=None)
+    return read.select(
+        F.col("o_orderkey").cast("long").alias("o_orderkey"), F.col("price").alias("price"), "o_orderpriority"
+    )
+
+
+def _drop_raw(spark: SparkSession, raw: str) -> None:
+    for name in (raw, ledger.ledger_table(raw)):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def _stop_before_note(*_) -> None:
-    raise InterruptedError("stopped between the upsert and its note")
+    raise InterruptedError("stopped between the rows and their note")
+
+
+def _ingest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries, the second of which is cut off once its rows are in; then a run without new files."""
+    raw, landing = _table_name(), staging.new_path(spark)
+    finish = ledger.finish
+    try:
+        for number, part in enumerate(_deliveries(spark, sf_dir)):
+            part.drop("date_created").write.option("header", True).csv(f"{landing}/{number}")
+            given = {"table": raw, "arrival": (FIRST_STAMP, SECOND_STAMP)[number], "once": True}
+            if number:
+                ledger.finish = _stop_before_note
+                try:
+                    jobs.ingest(spark, f"{landing}/*/*.csv", **given)
+                except InterruptedError:
+                    ledger.finish = finish
+                jobs.ingest(spark, f"{landing}/*/*.csv", **given)
+            jobs.ingest(spark, f"{landing}/*/*.csv", **given)
+        stored = staging.stage(read_table(spark, raw).drop("_corrupt_record"))
+    finally:
+        ledger.finish = finish
+        _drop_raw(spark, raw)
+    return _local(stored)
+
+
+def _stream_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both deliveries through the chain as a stream, which runs the batch of each of them twice."""
+    landing, checkpoint = staging.new_path(spark), staging.new_path(spark)
+    names = {layer: _table_name() for layer in ("raw", "cleaned", "daily")}
+    try:
+        for number, part in enumerate(_deliveries(spark, sf_dir)):
+            part.drop("date_created").write.option("header", True).csv(f"{landing}/{number}")
+            for _ in range(2):
+                stamp = (FIRST_STAMP, SECOND_STAMP)[number]
+                streaming.run_new_files(spark, f"{landing}/*/*.csv", checkpoint, arrival=stamp, **names)
+                staging.drop(spark, f"{checkpoint}/commits/{number}")  # as if lost before its commit
+        cleaned, daily = (staging.stage(read_table(spark, names[layer])) for layer in ("cleaned", "daily"))
+    finally:
+        _drop_raw(spark, names["raw"])
+        for layer in ("cleaned", "daily"):
+            spark.sql(f"DROP TABLE IF EXISTS {jobs.progress_table(names[layer])}")
+            spark.sql(f"DROP TABLE IF EXISTS {names[layer]}")
+    return _local(cleaned), daily
+
+
+def _stream_cleaned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_stream_tables(spark, sf_dir)[0], "power_output")
+
+
+def _stream_daily_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_stream_tables(spark, sf_dir)[1], "power_output_daily_min", "power_output_daily_max")
 
 
 def _run_jobs(
@@ -375,6 +476,23 @@ def _under_reporting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.completeness(measurements(spark, sf_dir), under=24)
 
 
+def _silent_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fewer than three events of a user in a day, also none at all."""
+    events = table(spark, sf_dir, "events")
+    return quality.completeness(events, "value", ["user_id"], time="ts", under=3, empty_days=True)
+
+
+def _missing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.missing_days(table(spark, sf_dir, "events"), ["user_id"], time="ts")
+
+
+def _outages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours without a power reading, on a calendar that is the same for all turbines."""
+    m = measurements(spark, sf_dir)
+    span = {"since": "2024-01-01 00:00:00", "until": "2024-01-31 23:00:00"}
+    return quality.outages(m, unit="hour", column="power_output", **span)
+
+
 def _last_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.last_seen(measurements(spark, sf_dir))
 
@@ -507,6 +625,15 @@ def own_queries() -> dict[str, Query]:
         "append_table": _append_table,
         "upsert_table": _upsert_table,
         "upsert_table_unpartitioned": _upsert_table_unpartitioned,
+        "upsert_table_by_bucket": _upsert_table_by_bucket,
+        "csv_mixed_headers": _csv_mixed_headers,
+        "csv_inferred_by_name": _csv_inferred_by_name,
+        "ingest_once": _ingest_once,
+        "stream_cleaned_table": _stream_cleaned_table,
+        "stream_daily_table": _stream_daily_table,
+        "silent_days": _silent_days,
+        "missing_days": _missing_days,
+        "outages": _outages,
         "job_resumed_table": _job_resumed_table,
         "job_resumed_daily_table": _job_resumed_daily_table,
         "nan_dedup": _nan_dedup,
@@ -685,6 +812,11 @@ def own_sql() -> dict[str, str]:
     rounded_power = f"SELECT * REPLACE ({_fixed('power_output')} AS power_output)"
     raw = '"timestamp", turbine_id, wind_speed, wind_direction, power_output'
 
+    user_days = """seen AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events),
+        spine AS (SELECT user_id, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day
+          FROM seen GROUP BY user_id),
+        gone AS (SELECT * FROM spine ANTI JOIN seen USING (user_id, day))"""
+
     # One power reading in 13 is NaN, which counts as missing; some come beside a real one.
     odd = "(hour(date_created) * 60 + minute(date_created)) % 13 = 0"
     nan_parts = f"""{_M}, v AS (
@@ -743,6 +875,31 @@ def own_sql() -> dict[str, str]:
             FROM both_parts""",
         "upsert_table": f"WITH {clean_parts} {rounded_power} FROM merged",
         "upsert_table_unpartitioned": f"WITH {clean_parts} {rounded_power} FROM merged",
+        "upsert_table_by_bucket": f"WITH {clean_parts} {rounded_power} FROM merged",
+        "csv_mixed_headers": f"""WITH {_M}, p AS (
+            SELECT {raw}, (hour("timestamp") + turbine_id) % 3 AS part FROM m)
+            SELECT {raw} FROM p WHERE part = 0
+            UNION ALL BY NAME SELECT power_output, wind_direction, turbine_id, "timestamp", wind_speed FROM p WHERE part = 1
+            UNION ALL BY NAME SELECT turbine_id, wind_speed, "timestamp", power_output FROM p WHERE part = 2""",
+        "csv_inferred_by_name": """SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS price
+            FROM orders WHERE o_orderkey % 2 = 1 UNION ALL BY NAME
+            SELECT o_orderkey, o_totalprice AS price, o_orderpriority FROM orders WHERE o_orderkey % 2 = 0""",
+        "ingest_once": f"""WITH {_M} SELECT {raw}, TIMESTAMP '{FIRST_STAMP}' AS date_created FROM {first}
+            UNION ALL SELECT {raw}, TIMESTAMP '{SECOND_STAMP}' AS date_created FROM {second}""",
+        "stream_cleaned_table": f"WITH {job_parts} {rounded_power} FROM merged",
+        "stream_daily_table": f"WITH {job_parts} {_sql_daily('merged')}",
+        "silent_days": f"""WITH {user_days} SELECT day, user_id, count(value) AS value_count
+            FROM (SELECT *, CAST(ts AS DATE) AS day FROM events) GROUP BY 1, 2 HAVING count(value) < 3
+            UNION ALL BY NAME SELECT *, CAST(0 AS BIGINT) AS value_count FROM gone""",
+        "missing_days": f"WITH {user_days} SELECT * FROM gone",
+        "outages": f"""WITH {_M}, seen AS (
+            SELECT DISTINCT turbine_id, "timestamp" AS h FROM m WHERE power_output IS NOT NULL),
+            spine AS (SELECT turbine_id, unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00',
+              TIMESTAMP '2024-01-31 23:00:00', INTERVAL 1 HOUR)) AS h FROM (SELECT DISTINCT turbine_id FROM seen)),
+            runs AS (SELECT *, h - row_number() OVER (PARTITION BY turbine_id ORDER BY h) * INTERVAL 1 HOUR AS run
+              FROM spine ANTI JOIN seen USING (turbine_id, h))
+            SELECT turbine_id, min(h) AS "first", max(h) AS "last", count(*) AS missing
+            FROM runs GROUP BY turbine_id, run""",
         "job_resumed_table": f"WITH {job_parts} {rounded_power} FROM merged",
         "job_resumed_daily_table": f"WITH {job_parts} {_sql_daily('merged')}",
         "nan_dedup": f"""WITH {nan_parts} SELECT "timestamp", turbine_id, date_created, power_output FROM d""",

@@ -16,6 +16,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--cleaned", default=jobs.CLEANED, help="table of cleaned readings")
     parser.add_argument("--daily", default=jobs.DAILY, help="table of daily metrics")
     parser.add_argument("--new-dates-only", action="store_true", help="limit the roll-up")
+    parser.add_argument("--new-files-only", action="store_true", help="leave out files taken before")
+    parser.add_argument("--by-name", action="store_true", help="read files whose headers differ")
     parser.add_argument("--fmt", default="parquet", help="format of tables that are made")
     options = parser.parse_args(arguments)
     spark = SparkSession.builder.getOrCreate()

@@ -11,6 +11,7 @@ from sensorlake.operators.quality.cleaning import (
     with_sigma_band,
     with_z_score,
 )
+from sensorlake.operators.quality.gaps import missing_days, outages
 from sensorlake.operators.quality.outliers import (
     box_stats,
     iqr_outliers,
@@ -41,7 +42,9 @@ __all__ = [
     "iqr_outliers",
     "iqr_summary",
     "last_seen",
+    "missing_days",
     "null_counts",
+    "outages",
     "overall_mean",
     "profile",
     "quantiles",

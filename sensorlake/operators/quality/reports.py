@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from sensorlake.functions import reading
 from sensorlake.operators.grouping import ROWS
+from sensorlake.operators.quality.gaps import missing_days
 from sensorlake.operators.quality.quantiles import EXACT_ROWS, LARGER, QUARTILES, quantiles
 from sensorlake.schema import EVENT_TIME, READINGS, SENSOR
 from sensorlake.staging import stage
@@ -109,10 +110,12 @@ def completeness(
     time: str = EVENT_TIME,
     over: int | None = None,
     under: int | None = None,
+    empty_days: bool = False,
 ) -> DataFrame:
     """Days with more than `over` or fewer than `under` readings.
 
-    A day without any row has no group and cannot be reported here.
+    A day without any row has no group: `empty_days` adds those between the first and the last day of
+    a sensor, with 0 readings, where they are fewer than `under`.
     """
     counts = daily_counts(df, [column], keys, time=time)
     number = F.col(f"{column}_count")
@@ -121,7 +124,11 @@ def completeness(
         wrong = wrong | (number > over)
     if under is not None:
         wrong = wrong | (number < under)
-    return counts.where(wrong)
+    found = counts.where(wrong)
+    if empty_days and under is not None and under > 0:
+        empty = missing_days(df, keys, time=time).withColumn(f"{column}_count", F.lit(0).cast("long"))
+        found = found.unionByName(empty)
+    return found
 
 
 def last_seen(

@@ -11,16 +11,17 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake import schema, staging, tables
+from sensorlake import ledger, schema, staging, tables
 from sensorlake.operators import incremental, metrics, quality
 from sensorlake.operators.ingest import stamp_arrival
-from sensorlake.sources import CORRUPT, read_measurements_csv
+from sensorlake.sources import CORRUPT, escaped, read_csv_by_name, read_measurements_csv
 
 RAW = "raw_measurements"
 CLEANED = "clean_measurements"
 DAILY = "daily_power_output"
 
 _PROGRESS = "high timestamp, date date"
+MOST_FILES = 10_000  # of one batch: their paths go through the driver
 
 
 def progress_table(target: str) -> str:
@@ -57,27 +58,60 @@ def ingest(
     location: str | None = None,
     infer: bool = False,
     fmt: str = "parquet",
+    by_name: bool = False,
+    once: bool = False,
+    most_files: int = MOST_FILES,
 ) -> None:
     """Read all files of the glob, stamp them, append them.
 
     The table is partitioned by day of arrival, so a later run skips what it has seen. A line with a
     cell that does not fit its type is kept as it is in the column CORRUPT, unless the types are
-    inferred or the table was made without that column.
+    inferred or the table was made without that column. `by_name` reads files whose headers differ.
+
+    With `once`, only files that no earlier run took as they are now (see `ledger`) are read, in batches
+    of up to `most_files`, oldest first, each in a partition of its own. A run that was cut off is made up
+    by the next one, which writes the batch in question anew. A file of it that is gone by then fails
+    the run; one that changed is taken again as a further file.
     """
     keep = not infer
     if keep and spark.catalog.tableExists(table):
         keep = CORRUPT in spark.table(table).columns
     columns = None if infer else schema.MEASUREMENT
-    raw = read_measurements_csv(spark, path, schema=columns, corrupt=CORRUPT if keep else None)
-    stamped = stamp_arrival(raw, arrival=arrival)
-    if keep:  # the raw line goes last
-        stamped = stamped.select(*[c for c in stamped.columns if c != CORRUPT], CORRUPT)
-    tables.append(stamped, table, location=location, day_of=schema.ARRIVAL, fmt=fmt)
+    read = read_csv_by_name if by_name else read_measurements_csv
+
+    def rows(files: str | list[str], stamp: datetime | str | int | None) -> DataFrame:
+        raw = read(spark, files, schema=columns, corrupt=CORRUPT if keep else None)
+        return raw_columns(stamp_arrival(raw, arrival=stamp), keep)
+
+    if not once:
+        tables.append(rows(path, arrival), table, location=location, day_of=schema.ARRIVAL, fmt=fmt)
+        return
+
+    def take(batch: ledger.Batch) -> None:
+        files = [escaped(file) for file in ledger.files_of(spark, table, batch)]
+        stamped = rows(files, batch.arrival)
+        tables.ensure(spark, table, stamped.schema, day_of=schema.ARRIVAL, batches=True, fmt=fmt, location=location)
+        tables.replace_batch(stamped, table, batch.name, batch.arrival)
+        ledger.finish(spark, table, batch)
+
+    if spark.catalog.tableExists(table) and not tables.has_batches(spark, table):
+        raise ValueError(f"{table} was made without batches; files are taken once into a table that this makes")
+    for batch in ledger.unfinished(spark, table):
+        take(batch)
+    while batch := ledger.begin(
+        spark, table, ledger.fresh(spark, table, path), ledger.stamp(spark, table, arrival), most=most_files
+    ):
+        take(batch)
+
+
+def raw_columns(stamped: DataFrame, keep: bool) -> DataFrame:
+    """The raw line, where it is kept, goes last."""
+    return stamped.select(*[c for c in stamped.columns if c != CORRUPT], CORRUPT) if keep else stamped
 
 
 def malformed(spark: SparkSession, *, source: str = RAW) -> DataFrame:
     """Raw rows with a cell that did not fit its type; the line as it came is in CORRUPT."""
-    raw = spark.table(source).drop(tables.DAY)
+    raw = spark.table(source).drop(*tables.INTERNAL)
     return raw.where(F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False))
 
 
@@ -104,7 +138,10 @@ def clean(
     done = _progress(spark, target, spark.table(target)).select(F.col("high").alias(schema.ARRIVAL))
     with staging.scope(spark):
         since = _micros(done, schema.ARRIVAL)
-        fresh = incremental.newer_than_target(raw, done, day=day).drop(tables.DAY)
+        fresh = incremental.newer_than_target(raw, done, day=day).drop(*tables.INTERNAL)
+        open_since = ledger.open_since(spark, source)
+        if open_since is not None:  # the rest of that batch will have the same stamp
+            fresh = fresh.where(F.col(schema.ARRIVAL) < F.timestamp_micros(F.lit(open_since)))
         high = _micros(fresh, schema.ARRIVAL)
         if high is None:
             return
@@ -169,14 +206,17 @@ def run_all(
     daily: str = DAILY,
     arrival: datetime | str | None = None,
     new_dates_only: bool = False,
+    new_files_only: bool = False,
+    by_name: bool = False,
     fmt: str = "parquet",
 ) -> None:
     """The three jobs in order.
 
     The roll-up covers the whole cleaned table, unless it is limited to the dates of the batches
-    that it has not covered yet, also those of earlier runs that stopped before it.
+    that it has not covered yet, also those of earlier runs that stopped before it. `new_files_only`
+    leaves out files that an earlier run took.
     """
-    ingest(spark, path, table=raw, arrival=arrival, fmt=fmt)
+    ingest(spark, path, table=raw, arrival=arrival, fmt=fmt, once=new_files_only, by_name=by_name)
     clean(spark, source=raw, target=cleaned, fmt=fmt)
     roll_up(spark, source=cleaned, target=daily, new_dates_only=new_dates_only, fmt=fmt)
 
@@ -189,7 +229,13 @@ def roll_up(
     new_dates_only: bool = False,
     fmt: str = "parquet",
 ) -> None:
-    """The daily metrics of all cleaned readings, or of the dates that no earlier roll-up covers."""
+    """The daily metrics of all cleaned readings, or of the dates that no earlier roll-up covers.
+
+    A source that no clean job has filled has no notes of its batches: all its dates are rolled up.
+    """
+    if not spark.catalog.tableExists(progress_table(source)):
+        daily_metrics(spark, source=source, target=target, fmt=fmt)
+        return
     noted = spark.table(progress_table(source))
     name = progress_table(target)
     tables.ensure(spark, name, _PROGRESS)

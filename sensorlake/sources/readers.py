@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from sensorlake.schema import MEASUREMENT
-from sensorlake.tables import DAY
+from sensorlake.tables import INTERNAL
 
 CORRUPT = "_corrupt_record"
 
@@ -33,13 +33,13 @@ def read_measurements_csv(
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """A named table without its internal partition column."""
-    return spark.table(name).drop(DAY)
+    """A named table without its internal partition columns."""
+    return spark.table(name).drop(*INTERNAL)
 
 
 def read_path(spark: SparkSession, path: str, *, fmt: str = "parquet") -> DataFrame:
-    """A stored table by directory, without its internal partition column."""
-    return spark.read.format(fmt).load(path).drop(DAY)
+    """A stored table by directory, without its internal partition columns."""
+    return spark.read.format(fmt).load(path).drop(*INTERNAL)
 
 
 def preview(df: DataFrame, rows: int = 20) -> DataFrame:

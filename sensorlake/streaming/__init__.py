@@ -1,3 +1,3 @@
-from sensorlake.streaming.ingest import ingest_new_files
+from sensorlake.streaming.ingest import ingest_new_files, run_new_files
 
-__all__ = ["ingest_new_files"]
+__all__ = ["ingest_new_files", "run_new_files"]

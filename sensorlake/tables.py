@@ -3,12 +3,20 @@
 Tables made with `day_of` are partitioned by the UTC day of that column, kept in the internal
 column DAY that readers drop. Appends then land in few directories, incremental reads skip old
 ones, and an upsert reads and rewrites only the days that its source touches.
+
+Tables made with `bucket_of`, for keys without a time, are partitioned by a hash of these columns (the
+internal column BUCKET): an upsert reads and rewrites only the buckets that its source touches.
+
+Tables made with `batches` have a partition of its own for each batch of a day (the internal column
+BATCH), so that a batch can be written again in place of itself.
 """
 
+import json
 import re
 import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
+from datetime import datetime, timedelta
 from functools import reduce
 from operator import and_, or_
 
@@ -20,8 +28,15 @@ from sensorlake import staging
 from sensorlake.functions import utc_day
 
 DAY = "_day"
+BUCKET = "_bucket"
+BATCH = "_batch"
+INTERNAL = (DAY, BUCKET, BATCH)
+MOST_BUCKETS = 10_000  # numbers of touched buckets go through the driver
 _DAY_OF = "sensorlake.day_of"
 _BY = "sensorlake.by"
+_BUCKET_OF = "sensorlake.bucket_of"
+_BUCKETS = "sensorlake.buckets"
+_BATCHES = "sensorlake.batches"
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 _FILE_FORMATS = ("parquet", "orc", "csv", "json", "avro")  # rewritten by files
 _MERGE_FORMATS = ("delta", "iceberg", "hudi", "paimon")  # sent a MERGE
@@ -39,30 +54,48 @@ def ensure(
     recreate: bool = False,
     day_of: str | None = None,
     by: str = "day",
+    bucket_of: Sequence[str] | None = None,
+    buckets: int = 64,
+    batches: bool = False,
     fmt: str = "parquet",
     location: str | None = None,
 ) -> None:
     """Create the table unless it is there; `recreate` drops it first.
 
     With `by="month"` the partitions hold whole months of `day_of` (DAY is then the first of each).
+    `bucket_of` names columns that are part of every upsert's keys. The number of buckets stays as it is:
+    choose it for the size that the table will reach, some files' worth of rows to a bucket.
     """
+    if day_of is not None and bucket_of is not None:
+        raise ValueError("a table is partitioned by day_of or by bucket_of, not by both")
+    if batches and day_of is None:
+        raise ValueError("batches are kept by day: name day_of")
+    if not 1 <= buckets <= MOST_BUCKETS:
+        raise ValueError(f"a table has 1 to {MOST_BUCKETS} buckets")
     if recreate:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     columns = schema if isinstance(schema, str) else schema.toDDL()
     statement = f"CREATE TABLE IF NOT EXISTS {name} ({columns}"
-    if day_of is None:
-        statement += f") USING {fmt}"
-    else:
-        statement += (
-            f", {DAY} DATE) USING {fmt} PARTITIONED BY ({DAY})"
-            f" TBLPROPERTIES ('{_DAY_OF}' = '{day_of}', '{_BY}' = '{by}')"
-        )
+    properties, internal = {}, {}
+    if day_of is not None:
+        properties, internal = {_DAY_OF: day_of, _BY: by}, {DAY: "DATE"}
+    if batches:
+        properties, internal = {**properties, _BATCHES: "true"}, {**internal, BATCH: "STRING"}
+    if bucket_of is not None:
+        properties, internal = {_BUCKET_OF: json.dumps(list(bucket_of)), _BUCKETS: str(buckets)}, {BUCKET: "INT"}
+    statement += "".join(f", {column} {kind}" for column, kind in internal.items()) + f") USING {fmt}"
+    if internal:
+        listed = ", ".join(f"'{key}' = '{_escaped(value)}'" for key, value in properties.items())
+        statement += f" PARTITIONED BY ({', '.join(internal)}) TBLPROPERTIES ({listed})"
     if location:
-        escaped = location.replace("\\", "\\\\").replace("'", "\\'")
-        statement += f" LOCATION '{escaped}'"
+        statement += f" LOCATION '{_escaped(location)}'"
     spark.sql(statement)
 
 
+def _escaped(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def _detail(spark: SparkSession, name: str, field: str) -> str:
     """A field of the table's details, which follow its columns (one may have the field's name)."""
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
@@ -75,12 +108,21 @@ def _detail(spark: SparkSession, name: str, field: str) -> str:
 
 def day_column(spark: SparkSession, name: str) -> str | None:
     """The column whose day partitions the table, or None."""
-    return _property(spark, name, _DAY_OF)
+    return _properties(spark, name).get(_DAY_OF)
+
+
+def bucket_columns(spark: SparkSession, name: str) -> list[str] | None:
+    """The columns whose hash partitions the table, or None."""
+    named = _properties(spark, name).get(_BUCKET_OF)
+    return None if named is None else json.loads(named)
+
+
+def has_batches(spark: SparkSession, name: str) -> bool:
+    return _BATCHES in _properties(spark, name)
 
 
-def _property(spark: SparkSession, name: str, key: str) -> str | None:
-    properties = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
-    return next((row["value"] for row in properties if row["key"] == key), None)
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
 
 
 def _with_day(df: DataFrame, day_of: str, by: str | None = None) -> DataFrame:
@@ -88,6 +130,32 @@ def _with_day(df: DataFrame, day_of: str, by: str | None = None) -> DataFrame:
     return df.withColumn(DAY, F.trunc(day, "month") if by == "month" else day)
 
 
+def _with_bucket(df: DataFrame, columns: Sequence[str], buckets: int) -> DataFrame:
+    """Rows whose key has the same values, of the same types, have the same bucket."""
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in columns]), F.lit(buckets)).cast("int"))
+
+
+def _placed(df: DataFrame, properties: dict[str, str]) -> tuple[DataFrame, list[str]]:
+    """`df` with the internal columns that partition a table of these properties, and their names."""
+    if _DAY_OF in properties:
+        dated = _with_day(df, properties[_DAY_OF], properties.get(_BY))
+        if _BATCHES in properties:
+            return dated.withColumn(BATCH, F.lit(None).cast("string")), [DAY, BATCH]
+        return dated, [DAY]
+    if _BUCKET_OF in properties:
+        return _with_bucket(df, json.loads(properties[_BUCKET_OF]), int(properties[_BUCKETS])), [BUCKET]
+    return df, []
+
+
+def _as_stored(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+    _refuse_lossy(df, fields)
+    return df.select(*[F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in fields])
+
+
+def _own_fields(target: DataFrame) -> list[T.StructField]:
+    return [f for f in target.schema.fields if f.name not in INTERNAL]
+
+
 def append(
     df: DataFrame,
     name: str,
@@ -98,19 +166,36 @@ def append(
 ) -> None:
     """Append rows, columns matched by name; the table is created when absent."""
     spark = df.sparkSession
-    if not spark.catalog.tableExists(name):
-        if day_of is not None:
-            ensure(spark, name, df.schema, day_of=day_of, fmt=fmt, location=location)
-    else:
-        day_of = day_column(spark, name)
-    writer = df.write
-    if day_of is not None:
-        writer = _with_day(df, day_of, _property(spark, name, _BY)).write.partitionBy(DAY)
+    properties: dict[str, str] = {}
+    if spark.catalog.tableExists(name):
+        properties = _properties(spark, name)
+        if _BUCKET_OF in properties and set(df.columns) == {f.name for f in _own_fields(spark.table(name))}:
+            df = _as_stored(df, _own_fields(spark.table(name)))  # a hash depends on the type
+    elif day_of is not None:
+        ensure(spark, name, df.schema, day_of=day_of, fmt=fmt, location=location)
+        properties = {_DAY_OF: day_of}
+    placed, columns = _placed(df, properties)
+    writer = placed.write.partitionBy(*columns) if columns else placed.write
     if location:
         writer = writer.option("path", location)
     writer.format(fmt).mode("append").saveAsTable(name)
 
 
+def replace_batch(df: DataFrame, name: str, batch: str, arrival: int) -> None:
+    """Write the rows of one batch into its own partition, in place of what an earlier attempt left there.
+
+    All rows of a batch have the same stamp, `arrival` (microseconds), so one day holds them; an attempt
+    that repeats the stamp finds the same partition. The table was made with `batches`.
+    """
+    spark = df.sparkSession
+    if not has_batches(spark, name):
+        raise ValueError(f"{name} was made without batches, so that none of them can be replaced")
+    rows = _as_stored(df, _own_fields(spark.table(name)))
+    day = (datetime(1970, 1, 1) + timedelta(microseconds=arrival)).date()
+    where = f"{DAY} = DATE '{day}', {BATCH} = '{_escaped(batch)}'"
+    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({where}) SELECT * FROM {{rows}}", rows=rows)
+
+
 def key_match(source: str, target: str, keys: Sequence[str], *, null_safe: bool = False) -> Column:
     """Equality of all keys between two aliases; NULL keys match nothing, or each other."""
     pairs = [(F.col(f"{source}.{quoted(key)}"), F.col(f"{target}.{quoted(key)}")) for key in keys]
@@ -204,10 +289,10 @@ def upsert(
     """Update the rows with equal keys, insert the others, keep the rest of the table.
 
     `df` is read several times; hand in a stored or staged frame. A table whose format has MERGE
-    gets a MERGE. Otherwise, a table made with `day_of` (which must be one of the keys, so that a
-    key never changes partition) has only the touched days rewritten, and any other table is
-    written anew beside its files and then pointed there. A rewrite of days replaces each partition
-    after all data is written, but not all partitions at one instant. `stale` tells rows with a NULL
+    gets a MERGE. Otherwise, a table made with `day_of` or `bucket_of` (which must be among the keys, so
+    that a key never changes partition) has only the touched days or buckets rewritten, and any other
+    table is written anew beside its files and then pointed there. A rewrite of partitions replaces each
+    after all data is written, but not all of them at one instant. `stale` tells rows with a NULL
     key that the upsert replaces: those that an attempt which did not end may have added. With
     `null_safe`, NULL keys match each other (for tables where they are few).
     """
@@ -219,29 +304,33 @@ def upsert(
     if provider not in _FILE_FORMATS + _MERGE_FORMATS:
         raise ValueError(f"{name} has the format {provider or 'of a view'!r}, which cannot be upserted into")
     target = spark.table(name)
-    fields = [f for f in target.schema.fields if f.name != DAY]
-    _refuse_lossy(df, fields)
-    source = df.select(*[F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in fields])
+    source = _as_stored(df, _own_fields(target))
     if check_unique:
         _check_unique(source, keys)
 
-    day_of = day_column(spark, name)
-    if day_of is not None:
-        if day_of not in keys:
-            raise ValueError(f"{name} is partitioned by the day of {day_of!r}, which is not a key")
-        source = _with_day(source, day_of, _property(spark, name, _BY))
+    properties = _properties(spark, name)
+    if _BATCHES in properties:
+        raise ValueError(f"{name} is kept by batches, which are replaced as a whole")
+    if _DAY_OF in properties and properties[_DAY_OF] not in keys:
+        raise ValueError(f"{name} is partitioned by the day of {properties[_DAY_OF]!r}, which is not a key")
+    unkeyed = [c for c in json.loads(properties.get(_BUCKET_OF, "[]")) if c not in keys]
+    if unkeyed:
+        raise ValueError(f"{name} is partitioned by a hash of {unkeyed[0]!r}, which is not a key")
+    source, columns = _placed(source, properties)
     if provider in _MERGE_FORMATS:
         _merge(source, name, keys, null_safe)
         return
-    if day_of is None:
+    if not columns:
         _rewrite_table(spark, upsert_frame(target, source, keys, stale=stale, null_safe=null_safe), name, provider)
         return
     if source.isEmpty():
         return
-    touched = touched_days(target, source)
+    by_day = columns == [DAY]
+    touched = touched_days(target, source) if by_day else touched_buckets(target, source)
     merged = upsert_frame(touched, source, keys, stale=stale, null_safe=null_safe)
     with _dynamic_overwrite(spark):
-        evenly_by_day(merged).write.insertInto(name, overwrite=True)
+        dealt = evenly_by_day(merged) if by_day else evenly(merged, BUCKET)
+        dealt.write.insertInto(name, overwrite=True)
 
 
 def touched_days(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -249,12 +338,25 @@ def touched_days(target: DataFrame, source: DataFrame) -> DataFrame:
     return on_days_of(target, source.select(DAY).distinct())
 
 
-def evenly_by_day(df: DataFrame) -> DataFrame:
-    """Dealt out so that files come in an even size: small days are put together in one task, a hot
-    day is split over several. Without adaptive execution, a day is one task's."""
+def touched_buckets(target: DataFrame, source: DataFrame) -> DataFrame:
+    """The rows of `target` in the buckets that `source` touches; both have BUCKET.
+
+    Their numbers, no more than the table has buckets, go into the plan, so that the others are not listed.
+    """
+    numbers = [row[BUCKET] for row in source.select(BUCKET).distinct().collect()]
+    return target.where(F.col(BUCKET).isin(numbers))
+
+
+def evenly(df: DataFrame, column: str) -> DataFrame:
+    """Dealt out so that files come in an even size: small partitions are put together in one task, a hot
+    one is split over several. Without adaptive execution, a partition is one task's."""
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-        return df.hint("rebalance", F.col(DAY))
-    return df.repartition(F.col(DAY))
+        return df.hint("rebalance", F.col(column))
+    return df.repartition(F.col(column))
+
+
+def evenly_by_day(df: DataFrame) -> DataFrame:
+    return evenly(df, DAY)
 
 
 def _merge(source: DataFrame, name: str, keys: Sequence[str], null_safe: bool = False) -> None:
@@ -272,7 +374,6 @@ def _rewrite_table(spark: SparkSession, merged: DataFrame, name: str, provider:
     except Exception:
         staging.drop(spark, new)
         raise
-    escaped = new.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"ALTER TABLE {name} SET LOCATION '{escaped}'")
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{_escaped(new)}'")
     spark.catalog.refreshTable(name)
     staging.drop(spark, old)

@@ -1,0 +1,96 @@
+"""Days and hours without a reading."""
+
+import random
+from datetime import date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from sensorlake.operators import quality
+
+COLUMNS = "timestamp timestamp, turbine_id int, power_output double"
+
+
+def at(day, hour=0, minute=0):
+    return datetime(2022, 3, day, hour, minute)
+
+
+def frame(spark, *rows):
+    return spark.createDataFrame(rows, COLUMNS)
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_days_between_the_first_and_the_last_of_each_sensor(spark):
+    df = frame(spark, (at(1), 1, 1.0), (at(1, 5), 1, 1.0), (at(4), 1, None), (at(6), 1, 1.0), (at(9), 2, 1.0), (at(9, 9), 2, 1.0),
+               (at(1), None, 1.0), (at(3), None, 1.0), (None, 1, 1.0))
+    assert found(quality.outages(df)) == [
+        (1, date(2022, 3, 2), date(2022, 3, 3), 2), (1, date(2022, 3, 5), date(2022, 3, 5), 1),
+        (None, date(2022, 3, 2), date(2022, 3, 2), 1),
+    ]
+    # Days without a reading of the column count as missing, too.
+    assert (1, date(2022, 3, 2), date(2022, 3, 5), 4) in found(quality.outages(df, column="power_output"))
+    assert found(quality.missing_days(df))[0] == (1, date(2022, 3, 2)) and quality.missing_days(df).count() == 4
+
+
+def test_from_and_until(spark):
+    df = frame(spark, (at(3), 1, 1.0), (at(5), 1, 1.0), (at(20), 1, 1.0), (at(4), 2, 1.0))
+    given = {"since": "2022-03-02", "until": date(2022, 3, 6)}
+    assert found(quality.outages(df, **given)) == [
+        (1, date(2022, 3, 2), date(2022, 3, 2), 1), (1, date(2022, 3, 4), date(2022, 3, 4), 1), (1, date(2022, 3, 6), date(2022, 3, 6), 1),
+        (2, date(2022, 3, 2), date(2022, 3, 3), 2), (2, date(2022, 3, 5), date(2022, 3, 6), 2),
+    ]
+    sensors = spark.createDataFrame([(1,), (2,), (7,), (None,), (7,)], "turbine_id int")
+    never = [r for r in found(quality.outages(df, sensors=sensors, **given)) if r[0] not in (1, 2)]
+    assert never == [(7, date(2022, 3, 2), date(2022, 3, 6), 5), (None, date(2022, 3, 2), date(2022, 3, 6), 5)]
+    with pytest.raises(ValueError, match="both"):
+        quality.outages(df, sensors=sensors, since="2022-03-02")
+    with pytest.raises(ValueError, match="day or an hour"):
+        quality.outages(df, unit="week")
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_hours(spark, kind):
+    rng = random.Random(2)
+    hours = {s: sorted(rng.sample(range(100), 40)) for s in (1, 2, 3)}
+    begin = datetime(1969, 12, 30)  # also before 1970
+    rows = [(begin + timedelta(hours=h, minutes=rng.randint(0, 59)), s, 1.0) for s, hs in hours.items() for h in hs + hs[:9]]
+    df = frame(spark, *rows).withColumn("timestamp", F.col("timestamp").cast(kind))
+    expected = []
+    for s, hs in hours.items():
+        for a, b in zip(hs, hs[1:]):
+            if b - a > 1:
+                expected.append((s, begin + timedelta(hours=a + 1), begin + timedelta(hours=b - 1), b - a - 1))
+    assert found(quality.outages(df, unit="hour")) == sorted(expected, key=str)
+    assert quality.outages(df, unit="hour").schema["first"].dataType.typeName() == kind
+
+
+def test_days_follow_the_zone_of_the_session(spark):
+    df = frame(spark, (at(1, 2), 1, 1.0), (at(3, 2), 1, 1.0), (at(4, 12), 1, 1.0))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:  # the same instants: the evening of the day before
+        assert found(quality.outages(df)) == [(1, date(2022, 3, 1), date(2022, 3, 1), 1), (1, date(2022, 3, 3), date(2022, 3, 3), 1)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_completeness_reports_days_without_any_row(spark):
+    df = frame(spark, (at(1), 1, 1.0), (at(1, 1), 1, 1.0), (at(3), 1, 1.0))
+    assert found(quality.completeness(df, under=2)) == [(date(2022, 3, 3), 1, 1)]
+    assert found(quality.completeness(df, under=2, empty_days=True)) == [(date(2022, 3, 2), 1, 0), (date(2022, 3, 3), 1, 1)]
+    assert found(quality.completeness(df, over=1, empty_days=True)) == [(date(2022, 3, 1), 1, 2)]
+
+
+def test_no_rows(spark):
+    assert quality.outages(frame(spark)).count() == 0
+
+
+def test_the_plan_reduces_rows_before_it_moves_them_and_makes_no_calendar(spark, tmp_path):
+    frame(spark, (at(1), 1, 1.0)).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plan = quality.outages(df, since="2022-01-01", until="2022-02-01")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "sequence" not in plan and "Python" not in plan
+    # Rows are put together in each task first, dealt out by sensor and day, and only then by sensor.
+    assert plan.count("HashAggregate") == 2 and plan.count("Exchange") == 2
