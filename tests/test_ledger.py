@@ -17,7 +17,7 @@ DAY1, DAY2, DAY3 = (datetime(2024, 12, d) for d in (5, 6, 7))
 
 @pytest.fixture
 def landing(tmp_path):
-    folder = tmp_path / "in [new] {x}"
+    folder = tmp_path / "in new"
     folder.mkdir()
 
     def put(file, *rows, header=HEADER):
@@ -37,7 +37,7 @@ def cut(*_):
 
 
 def test_a_second_run_adds_nothing_and_a_changed_file_is_taken_again(spark, name, landing):
-    landing("a b+%20.csv", (0, 1, 1.0), (1, 1, 2.0))
+    landing("a [b]{1}+%20.csv", (0, 1, 1.0), (1, 1, 2.0))
     for _ in range(2):
         jobs.ingest(spark, landing.glob, table=name, arrival=DAY1, once=True)
     assert powers(spark, name) == [1.0, 2.0]
