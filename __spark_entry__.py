@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from sensorlake import ledger, schema, staging, streaming, tables
 from sensorlake.demo import measurements, table
 from sensorlake.functions import stable_round
-from sensorlake.operators import incremental, ingest, metrics, quality
+from sensorlake.operators import incremental, ingest, metrics, quality, summaries
 from sensorlake.plans import jobs
 from sensorlake.sources import preview, read_csv_by_name, read_measurements_csv, read_path, read_table
 
@@ -375,9 +375,87 @@ def _job_daily_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _daily_metrics_after_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of a sensor that were another one's for six days, and a day of a third that is taken out."""
+    names = {layer: _table_name() for layer in ("source", "target")}
+    readings = staging.stage(quality.dedup_latest(measurements(spark, sf_dir), keep_ties=False))
+    day = F.to_date("timestamp")
+    moved = readings.where((F.col("turbine_id") == 3) & day.between("2024-01-05", "2024-01-10"))
+    gone = readings.where((F.col("turbine_id") == 7) & (day == "2024-01-12"))
+    try:
+        tables.ensure(spark, names["source"], readings.schema, day_of="timestamp")
+        tables.upsert(spark, readings, names["source"], KEYS)
+        jobs.daily_metrics(spark, **names)
+        jobs.correct(
+            spark,
+            upserts=moved.withColumn("turbine_id", F.lit(103)),
+            deletes=moved.select(*KEYS).unionByName(gone.select(*KEYS)),
+            **names,
+        )
+        daily = staging.stage(read_table(spark, names["target"]))
+    finally:
+        for name in (*names.values(), jobs.corrections_table(names["target"])):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return _rounded(daily, "power_output_daily_min", "power_output_daily_max")
+
+
+def _compacted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name, path = _table_name(), staging.new_path(spark)
+    try:
+        for part in _deliveries(spark, sf_dir):
+            tables.append(part.repartition(12), name, location=path, day_of="date_created")
+        tables.compact(spark, name)
+        stored = staging.stage(read_table(spark, name))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return stored
+
+
 # -- exploration ------------------------------------------------------------------------------
 
 
+def _daily_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging.stage(summaries.summarise(metrics.with_date(measurements(spark, sf_dir))))
+
+
+def _group_stats_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = _daily_summaries(spark, sf_dir)
+    stats = summaries.with_group_stats(measurements(spark, sf_dir), days, ["power_output"])
+    return _rounded(stats, "power_output_mean", "power_output_std_dev")
+
+
+def _profile_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merged from the days; of what is approximate, whether it is as near as stated."""
+    found = staging.stage(summaries.profile_of(_daily_summaries(spark, sf_dir)))
+    m = measurements(spark, sf_dir)
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in READINGS]
+    long = m.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").where("v IS NOT NULL")
+    points = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    beside = long.join(F.broadcast(found), "column")  # one row per column
+    shares = [
+        ((F.avg((F.col("v") < F.col(q)).cast("int")) <= p + summaries.RANK_ERROR)
+         & (F.avg((F.col("v") <= F.col(q)).cast("int")) >= p - summaries.RANK_ERROR)).alias(f"{q}_near")
+        for q, p in points.items()
+    ]
+    apart = F.abs(F.max("approx_distinct") - F.count_distinct("v")) <= 0.05 * F.count_distinct("v") + 1
+    exact = ("count", "mean", "stddev", "min", "max")
+    near = beside.groupBy("column").agg(*[F.max(c).alias(c) for c in exact], *shares, apart.alias("distinct_near"))
+    return _rounded(near, "mean", "stddev")
+
+
+def _circular_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(quality.circular_stats(measurements(spark, sf_dir)), "direction", "strength", "deviation")
+
+
+def _direction_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.direction_outliers(measurements(spark, sf_dir), k=1.1)
+
+
+def _series_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = measurements(spark, sf_dir)
+    return quality.series_extremes(m, "wind_speed", time="date_created", unit="day", keys=["turbine_id"])
+
+
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = quality.with_group_stats(measurements(spark, sf_dir), READINGS)
     return quality.with_z_score(stats, READINGS)
@@ -631,6 +709,13 @@ def own_queries() -> dict[str, Query]:
         "ingest_once": _ingest_once,
         "stream_cleaned_table": _stream_cleaned_table,
         "stream_daily_table": _stream_daily_table,
+        "daily_metrics_after_correction": _daily_metrics_after_correction,
+        "compacted_table": _compacted_table,
+        "group_stats_from_state": _group_stats_from_state,
+        "profile_from_sketches": _profile_from_sketches,
+        "circular_stats": _circular_stats,
+        "direction_outliers": _direction_outliers,
+        "series_extremes": _series_extremes,
         "silent_days": _silent_days,
         "missing_days": _missing_days,
         "outages": _outages,
@@ -760,6 +845,17 @@ def _sql_profile(source: str, columns: list[str], extra: str = "") -> str:
     return extra + " UNION ALL ".join(rows)
 
 
+def _sql_near_profile() -> str:
+    rows = [
+        f"""SELECT '{c}' AS "column", count({c}) AS "count", {_fixed(f"avg({c})")} AS mean,
+            {_fixed(f"stddev_samp({c})")} AS stddev, CAST(min({c}) AS DOUBLE) AS "min",
+            CAST(max({c}) AS DOUBLE) AS "max", true AS q1_near, true AS median_near, true AS q3_near,
+            true AS distinct_near FROM m"""
+        for c in READINGS
+    ]
+    return f"WITH {_M} " + " UNION ALL ".join(rows)
+
+
 def _sql_series(column: str) -> str:
     return f"""WITH {_M} SELECT "timestamp", count({column}) AS "count", min({column}) AS "min",
                {_fixed(f"avg({column})")} AS mean, max({column}) AS "max" FROM m GROUP BY 1"""
@@ -812,6 +908,9 @@ def own_sql() -> dict[str, str]:
     rounded_power = f"SELECT * REPLACE ({_fixed('power_output')} AS power_output)"
     raw = '"timestamp", turbine_id, wind_speed, wind_direction, power_output'
 
+    vectors = """v AS (SELECT *, sqrt(s * s + c * c) AS strength FROM (
+        SELECT turbine_id, count(wind_direction) AS n, avg(sin(radians(wind_direction))) AS s,
+               avg(cos(radians(wind_direction))) AS c FROM m GROUP BY 1))"""
     user_days = """seen AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events),
         spine AS (SELECT user_id, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day
           FROM seen GROUP BY user_id),
@@ -888,6 +987,31 @@ def own_sql() -> dict[str, str]:
             UNION ALL SELECT {raw}, TIMESTAMP '{SECOND_STAMP}' AS date_created FROM {second}""",
         "stream_cleaned_table": f"WITH {job_parts} {rounded_power} FROM merged",
         "stream_daily_table": f"WITH {job_parts} {_sql_daily('merged')}",
+        "daily_metrics_after_correction": f"""WITH {_M}, d AS (SELECT * FROM m QUALIFY row_number() OVER (
+              PARTITION BY turbine_id, "timestamp" ORDER BY date_created DESC, wind_speed DESC NULLS LAST,
+              wind_direction DESC NULLS LAST, power_output DESC NULLS LAST) = 1),
+            c AS (SELECT * REPLACE (CASE WHEN turbine_id = 3 AND CAST("timestamp" AS DATE)
+                BETWEEN DATE '2024-01-05' AND DATE '2024-01-10' THEN 103 ELSE turbine_id END AS turbine_id)
+              FROM d WHERE NOT (turbine_id = 7 AND CAST("timestamp" AS DATE) = DATE '2024-01-12'))
+            {_sql_daily('c')}""",
+        "compacted_table": f"""WITH {_M} SELECT * FROM {first} UNION ALL SELECT * FROM {second}""",
+        "group_stats_from_state": f"""WITH {_M}, {stats} SELECT * EXCLUDE (mu, sd),
+            {_fixed('mu')} AS power_output_mean, {_fixed('sd')} AS power_output_std_dev FROM s""",
+        "profile_from_sketches": _sql_near_profile(),
+        "circular_stats": f"""WITH {_M}, {vectors} SELECT turbine_id, n,
+            {_fixed("((round(degrees(atan2(s, c)), 9) % 360) + 360) % 360")} AS direction,
+            {_fixed("strength")} AS strength, {_fixed("degrees(sqrt(-2 * ln(strength)))")} AS deviation FROM v""",
+        "direction_outliers": f"""WITH {_M}, {vectors} SELECT m.* FROM m JOIN v USING (turbine_id)
+            WHERE abs((((wind_direction - degrees(atan2(s, c)) + 180) % 360) + 360) % 360 - 180)
+              > 1.1 * degrees(sqrt(-2 * ln(strength)))""",
+        "series_extremes": f"""WITH {_M}, r AS (SELECT turbine_id,
+              CAST(date_trunc('day', date_created) AS TIMESTAMP) AS bucket, date_created AS "time", wind_speed AS "value"
+            FROM m WHERE wind_speed IS NOT NULL),
+            p AS (SELECT *, row_number() OVER (PARTITION BY turbine_id, bucket ORDER BY "time", "value") AS a,
+              row_number() OVER (PARTITION BY turbine_id, bucket ORDER BY "time" DESC, "value" DESC) AS b,
+              row_number() OVER (PARTITION BY turbine_id, bucket ORDER BY "value", "time") AS c,
+              row_number() OVER (PARTITION BY turbine_id, bucket ORDER BY "value" DESC, "time") AS d FROM r)
+            SELECT DISTINCT turbine_id, bucket, "time", "value" FROM p WHERE 1 IN (a, b, c, d)""",
         "silent_days": f"""WITH {user_days} SELECT day, user_id, count(value) AS value_count
             FROM (SELECT *, CAST(ts AS DATE) AS day FROM events) GROUP BY 1, 2 HAVING count(value) < 3
             UNION ALL BY NAME SELECT *, CAST(0 AS BIGINT) AS value_count FROM gone""",

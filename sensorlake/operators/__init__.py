@@ -1,3 +1,3 @@
-from sensorlake.operators import incremental, ingest, metrics, quality
+from sensorlake.operators import incremental, ingest, metrics, quality, summaries
 
-__all__ = ["incremental", "ingest", "metrics", "quality"]
+__all__ = ["incremental", "ingest", "metrics", "quality", "summaries"]

@@ -11,6 +11,7 @@ from sensorlake.operators.quality.cleaning import (
     with_sigma_band,
     with_z_score,
 )
+from sensorlake.operators.quality.direction import angular_distance, circular_stats, direction_outliers
 from sensorlake.operators.quality.gaps import missing_days, outages
 from sensorlake.operators.quality.outliers import (
     box_stats,
@@ -29,14 +30,18 @@ from sensorlake.operators.quality.reports import (
     overall_mean,
     profile,
     series,
+    series_extremes,
 )
 
 __all__ = [
+    "angular_distance",
     "box_stats",
+    "circular_stats",
     "clean",
     "completeness",
     "daily_counts",
     "dedup_latest",
+    "direction_outliers",
     "drop_helpers",
     "impute_mean",
     "iqr_outliers",
@@ -52,6 +57,7 @@ __all__ = [
     "repair",
     "replace_outliers",
     "series",
+    "series_extremes",
     "sigma_outliers",
     "with_group_stats",
     "with_sigma_band",

@@ -154,3 +154,42 @@ def series(
         F.avg(value).alias("mean"),
         F.max(value).alias("max"),
     )
+
+
+def series_extremes(
+    df: DataFrame,
+    column: str,
+    *,
+    time: str = EVENT_TIME,
+    unit: str = "hour",
+    keys: Sequence[str] = (),
+) -> DataFrame:
+    """The first, last, lowest and highest reading of every time bucket: keys, bucket, time, value.
+
+    A line drawn through them keeps its shape, spikes included, with at most four points a bucket. Of
+    equal readings the earliest is taken, of readings at one time the lowest as the first and the
+    highest as the last. One aggregate; rows without a time or a reading are left out.
+    """
+    kind = df.schema[time].dataType
+    at, value = F.col(time), reading(df, column)
+    in_time = F.struct(at.alias("time"), value.alias("value"))
+    # The highest reading is the lowest of the negated order: earliest first among equal ones.
+    by_value = F.struct(value.alias("value"), at.alias("time"))
+    lowest, highest = F.min(by_value), F.max_by(in_time, F.struct(value, F.lit(0) - _instant(at, kind)))
+    points = F.array(
+        F.min(in_time),
+        F.max(in_time),
+        F.struct(lowest["time"].alias("time"), lowest["value"].alias("value")),
+        highest,
+    )
+    known = df.where(at.isNotNull() & value.isNotNull())
+    grouped = known.groupBy(*keys, F.date_trunc(unit, at).cast(kind).alias("bucket")).agg(points.alias("__points"))
+    each = F.explode(F.array_distinct("__points")).alias("__point")
+    return grouped.select(*keys, "bucket", each).select(*keys, "bucket", "__point.time", "__point.value")
+
+
+def _instant(time: Column, kind: T.DataType) -> Column:
+    """Microseconds that rise with the time."""
+    if isinstance(kind, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), time)
+    return F.unix_micros(time.cast("timestamp"))

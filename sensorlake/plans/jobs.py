@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake import ledger, schema, staging, tables
-from sensorlake.operators import incremental, metrics, quality
+from sensorlake.operators import incremental, metrics, quality, summaries
 from sensorlake.operators.ingest import stamp_arrival
 from sensorlake.sources import CORRUPT, escaped, read_csv_by_name, read_measurements_csv
 
 RAW = "raw_measurements"
 CLEANED = "clean_measurements"
 DAILY = "daily_power_output"
+SUMMARIES = "daily_summaries"
 
 _PROGRESS = "high timestamp, date date"
 MOST_FILES = 10_000  # of one batch: their paths go through the driver
@@ -172,12 +173,14 @@ def daily_metrics(
     source: str = CLEANED,
     target: str = DAILY,
     dates: Sequence[date | None] | DataFrame | None = None,
+    retract: bool = False,
     fmt: str = "parquet",
 ) -> None:
     """Roll the cleaned readings up per day and upsert them.
 
     `dates` (a list, or a frame with the column date) limits the work to those. The table is
-    partitioned by month: a day of a roll-up is small.
+    partitioned by month: a day of a roll-up is small. `retract` takes out the metrics of a sensor's day
+    that has no readings any more; otherwise they stay.
     """
     readings = spark.table(source)
     with staging.scope(spark):
@@ -194,7 +197,95 @@ def daily_metrics(
         daily = staging.stage(metrics.daily_metrics(dated))
         tables.ensure(spark, target, schema.DAILY, day_of="date", fmt=fmt, by="month")
         keys = [schema.SENSOR, "date"]
-        tables.upsert(spark, daily, target, keys, check_unique=False, null_safe=True)
+        gone = None
+        if retract:
+            held = spark.table(target).select(*keys)
+            if dates is not None:
+                held = held.join(wanted, F.col("date").eqNullSafe(F.col("_date")), "left_semi")
+            same = tables.key_match("held", "daily", keys, null_safe=True)
+            gone = staging.stage(held.alias("held").join(daily.alias("daily"), same, "left_anti"))
+        tables.upsert(spark, daily, target, keys, check_unique=False, null_safe=True, deletes=gone)
+
+
+def corrections_table(target: str) -> str:
+    """Dates whose metrics in `target` a correction changes, and which corrections are done."""
+    return f"{target}_corrections"
+
+
+def correct(
+    spark: SparkSession,
+    *,
+    upserts: DataFrame | None = None,
+    deletes: DataFrame | None = None,
+    source: str = CLEANED,
+    target: str = DAILY,
+    fmt: str = "parquet",
+) -> None:
+    """Correct cleaned readings, and the metrics of the dates that this changes.
+
+    `upserts` has rows of the cleaned table, `deletes` the time and sensor of rows to take out. A reading
+    that belongs to another sensor or time is a delete and an upsert. The dates are noted before anything
+    is changed: a correction that was cut off is made up by calling it again, and its dates are rolled up
+    again by the next call of any.
+    """
+    keys = [schema.EVENT_TIME, schema.SENSOR]
+    name = corrections_table(target)
+    tables.ensure(spark, name, "number long, date date, done boolean")
+    with staging.scope(spark):
+        empty = spark.table(source).drop(*tables.INTERNAL).where(F.lit(False))
+        upserts = staging.stage(empty if upserts is None else upserts)
+        deletes = staging.stage(empty.select(*keys) if deletes is None else deletes.select(*keys))
+        times = upserts.select(schema.EVENT_TIME).unionByName(deletes.select(schema.EVENT_TIME))
+        last = spark.table(name).agg(F.max("number")).first()[0]
+        number = F.lit(0 if last is None else last + 1).cast("long")
+        dates = metrics.with_date(times).select("date").distinct()
+        _note_correction(spark, target, dates.select(number.alias("number"), "date", F.lit(False).alias("done")))
+        tables.upsert(spark, upserts, source, keys, deletes=deletes)
+        noted = spark.table(name)
+        done = noted.where("done").select("number")
+        open_ = staging.stage(noted.where("NOT done").join(done, "number", "left_anti").select("number", "date"))
+        if not open_.isEmpty():
+            daily_metrics(spark, source=source, target=target, dates=open_.select("date"), retract=True, fmt=fmt)
+        finished = open_.select("number").distinct()
+        _note_correction(spark, target, finished.select("number", F.lit(None).cast("date").alias("date"), F.lit(True).alias("done")))
+
+
+def _note_correction(spark: SparkSession, target: str, rows: DataFrame) -> None:
+    rows.coalesce(1).write.insertInto(corrections_table(target))
+
+
+def summarise(
+    spark: SparkSession,
+    *,
+    source: str = CLEANED,
+    target: str = SUMMARIES,
+    columns: Sequence[str] = schema.READINGS,
+    dates: Sequence[date | None] | DataFrame | None = None,
+    fmt: str = "parquet",
+) -> None:
+    """Summarise the cleaned readings per sensor, day and column (see `operators.summaries`), and take out
+    the summaries of days that have no readings any more. `dates` limits the work to those."""
+    readings = spark.table(source)
+    with staging.scope(spark):
+        if dates is not None:
+            if not isinstance(dates, DataFrame):
+                dates = spark.createDataFrame([Row(date=d) for d in dates], "date date")
+            dates = staging.stage(dates.select("date").distinct())
+            if tables.day_column(spark, source) is not None:
+                readings = tables.on_days_of(readings, _utc_days(dates))
+        dated, wanted = metrics.with_date(readings), None
+        if dates is not None:
+            wanted = dates.withColumnRenamed("date", "_date")
+            dated = dated.join(wanted, F.col("date").eqNullSafe(F.col("_date")), "left_semi")
+        days = staging.stage(summaries.summarise(dated, columns))
+        tables.ensure(spark, target, days.schema, day_of="date", by="month", fmt=fmt)
+        keys = [schema.SENSOR, "date", "column"]
+        held = spark.table(target).select(*keys)
+        if wanted is not None:
+            held = held.join(wanted, F.col("date").eqNullSafe(F.col("_date")), "left_semi")
+        same = tables.key_match("held", "days", keys, null_safe=True)
+        gone = staging.stage(held.alias("held").join(days.alias("days"), same, "left_anti"))
+        tables.upsert(spark, days, target, keys, check_unique=False, null_safe=True, deletes=gone)
 
 
 def run_all(

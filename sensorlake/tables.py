@@ -19,6 +19,7 @@ from contextlib import contextmanager
 from datetime import datetime, timedelta
 from functools import reduce
 from operator import and_, or_
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -209,22 +210,27 @@ def upsert_frame(
     *,
     stale: Column | None = None,
     null_safe: bool = False,
+    deletes: DataFrame | None = None,
 ) -> DataFrame:
     """`target` with the rows of `source` put in place of those with equal keys, or added.
 
     Target rows with a NULL key match nothing. They bypass the join, which would send all of
     them to one task. `stale` tells which of them to leave out: what an earlier attempt to upsert
-    the same rows left behind. With `null_safe`, NULL keys match each other instead.
+    the same rows left behind. With `null_safe`, NULL keys match each other instead. Rows whose keys
+    are among `deletes` are left out, unless `source` has the key as well.
     """
+    replaced = source.select(*keys)
+    if deletes is not None:
+        replaced = replaced.unionByName(deletes.select(*keys))
     if null_safe:
         match = key_match("source", "target", keys, null_safe=True)
-        rest = target.alias("target").join(source.select(*keys).alias("source"), match, "left_anti")
+        rest = target.alias("target").join(replaced.alias("source"), match, "left_anti")
         return rest.unionByName(source.select(*target.columns))
     unmatchable = reduce(or_, [F.col(quoted(key)).isNull() for key in keys])
     kept = (
         target.where(~unmatchable)
         .alias("target")
-        .join(source.select(*keys).alias("source"), key_match("source", "target", keys), "left_anti")
+        .join(replaced.alias("source"), key_match("source", "target", keys), "left_anti")
     )
     passed = target.where(unmatchable if stale is None else unmatchable & ~F.coalesce(stale, F.lit(False)))
     return kept.unionByName(passed).unionByName(source.select(*target.columns))
@@ -285,9 +291,12 @@ def upsert(
     check_unique: bool = True,
     stale: Column | None = None,
     null_safe: bool = False,
+    deletes: DataFrame | None = None,
 ) -> None:
     """Update the rows with equal keys, insert the others, keep the rest of the table.
 
+    `deletes` has the key columns of rows to take out of the table, unless `df` has the key as well.
+
     `df` is read several times; hand in a stored or staged frame. A table whose format has MERGE
     gets a MERGE. Otherwise, a table made with `day_of` or `bucket_of` (which must be among the keys, so
     that a key never changes partition) has only the touched days or buckets rewritten, and any other
@@ -317,20 +326,40 @@ def upsert(
     if unkeyed:
         raise ValueError(f"{name} is partitioned by a hash of {unkeyed[0]!r}, which is not a key")
     source, columns = _placed(source, properties)
+    if deletes is not None:
+        named = [f for f in _own_fields(target) if f.name in keys]
+        deletes, _ = _placed(_as_stored(deletes, named), properties)
     if provider in _MERGE_FORMATS:
-        _merge(source, name, keys, null_safe)
+        _merge(source, name, keys, null_safe, *([] if deletes is None else [deletes]))
         return
     if not columns:
-        _rewrite_table(spark, upsert_frame(target, source, keys, stale=stale, null_safe=null_safe), name, provider)
+        rows = upsert_frame(target, source, keys, stale=stale, null_safe=null_safe, deletes=deletes)
+        _rewrite_table(spark, rows, name, provider)
         return
-    if source.isEmpty():
+    (column,) = columns
+    places = source.select(column)
+    if deletes is not None:
+        places = places.unionByName(deletes.select(column))
+    if places.isEmpty():
         return
-    by_day = columns == [DAY]
-    touched = touched_days(target, source) if by_day else touched_buckets(target, source)
-    merged = upsert_frame(touched, source, keys, stale=stale, null_safe=null_safe)
+    touched = touched_days(target, places) if column == DAY else touched_buckets(target, places)
+    merged = upsert_frame(touched, source, keys, stale=stale, null_safe=null_safe, deletes=deletes)
+    emptied = [] if deletes is None else _emptied(merged, deletes, column)
     with _dynamic_overwrite(spark):
-        dealt = evenly_by_day(merged) if by_day else evenly(merged, BUCKET)
+        dealt = evenly_by_day(merged) if column == DAY else evenly(merged, column)
         dealt.write.insertInto(name, overwrite=True)
+    for place in emptied:  # an overwrite leaves alone what it writes no row to
+        none = spark.createDataFrame([], T.StructType(_own_fields(target)))
+        shown = "NULL" if place is None else f"DATE '{place}'" if column == DAY else place
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({column} = {shown}) SELECT * FROM {{none}}", none=none)
+
+
+def _emptied(merged: DataFrame, deletes: DataFrame, column: str) -> list:
+    """The partitions of `deletes` in which no row is left; at most as many as it touches."""
+    left = merged.select(F.col(column).alias("_left")).distinct()
+    touched = deletes.select(column).distinct()
+    gone = touched.join(left, F.col(column).eqNullSafe(F.col("_left")), "left_anti")
+    return [row[column] for row in gone.collect()]
 
 
 def touched_days(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -359,10 +388,21 @@ def evenly_by_day(df: DataFrame) -> DataFrame:
     return evenly(df, DAY)
 
 
-def _merge(source: DataFrame, name: str, keys: Sequence[str], null_safe: bool = False) -> None:
+def _merge(
+    source: DataFrame, name: str, keys: Sequence[str], null_safe: bool = False, deletes: DataFrame | None = None
+) -> None:
     values = {column: F.col(f"source.{quoted(column)}") for column in source.columns}
-    merge = source.alias("source").mergeInto(name, key_match("source", name, keys, null_safe=null_safe))
-    merge.whenMatched().update(values).whenNotMatched().insert(values).merge()
+    match = key_match("source", name, keys, null_safe=null_safe)
+    if deletes is None:
+        merge = source.alias("source").mergeInto(name, match)
+        merge.whenMatched().update(values).whenNotMatched().insert(values).merge()
+        return
+    only = key_match("gone", "kept", keys, null_safe=null_safe)
+    gone = deletes.distinct().alias("gone").join(source.select(*keys).alias("kept"), only, "left_anti")
+    both = source.withColumn("_gone", F.lit(False)).unionByName(gone.withColumn("_gone", F.lit(True)), allowMissingColumns=True)
+    merge = both.alias("source").mergeInto(name, match)
+    merge = merge.whenMatched(F.col("source._gone")).delete().whenMatched().update(values)
+    merge.whenNotMatched(~F.col("source._gone")).insert(values).merge()
 
 
 def _rewrite_table(spark: SparkSession, merged: DataFrame, name: str, provider: str) -> None:
@@ -377,3 +417,55 @@ def _rewrite_table(spark: SparkSession, merged: DataFrame, name: str, provider:
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{_escaped(new)}'")
     spark.catalog.refreshTable(name)
     staging.drop(spark, old)
+
+
+def compact(spark: SparkSession, name: str, *, least: int = 8, size: int | None = None) -> int:
+    """Put small files together, where a table or one of its partitions has `least` or more of them.
+
+    Small is below half of `size` (by default the advised size of a partition). Returns the number of
+    partitions written anew (1 for a table without partitions). Rows stay as they are. A table without
+    partitions is written beside its files and then pointed there, so readers see the old files or the
+    new ones; partitions are replaced one after the other, as by an upsert. No writer at the same time.
+    """
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    provider = _detail(spark, name, "Provider").lower()
+    if provider not in _FILE_FORMATS:
+        raise ValueError(f"{name} has the format {provider or 'of a view'!r}, whose files are not ours")
+    size = size or _bytes(spark, spark.conf.get(setting))
+    columns = [c for c in INTERNAL if c in spark.table(name).columns]
+    files = _files(spark, name).where(F.col("length") < size // 2)
+    folders = files.groupBy("folder").agg(F.count(F.lit(1)).alias("small")).where(F.col("small") >= least)
+    crowded = [row["folder"] for row in folders.select("folder").collect()]  # no more than partitions
+    if not crowded:
+        return 0
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(size))
+    try:
+        if not columns:
+            _rewrite_table(spark, spark.table(name).hint("rebalance"), name, provider)
+            return 1
+        values = [tuple(_partition_value(folder, c) for c in columns) for folder in crowded]
+        chosen = [reduce(and_, [F.col(c).cast("string").eqNullSafe(F.lit(v)) for c, v in zip(columns, row)]) for row in values]
+        with _dynamic_overwrite(spark):
+            rows = spark.table(name).where(reduce(or_, chosen)).hint("rebalance", *[F.col(c) for c in columns])
+            rows.write.insertInto(name, overwrite=True)
+        return len(crowded)
+    finally:
+        spark.conf.set(setting, before)
+
+
+def _files(spark: SparkSession, name: str) -> DataFrame:
+    """folder (below the table's), length of its data files; none is opened."""
+    location = _detail(spark, name, "Location").rstrip("/")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(location)
+    below = F.regexp_extract("path", "((?:/[^/=]+=[^/]*)*)/[^/]+$", 1)
+    return listed.select(below.alias("folder"), "length")
+
+
+def _partition_value(folder: str, column: str) -> str | None:
+    text = unquote(next(part for part in folder.split("/") if part.startswith(f"{column}=")).split("=", 1)[1])
+    return None if text == "__HIVE_DEFAULT_PARTITION__" else text
+
+
+def _bytes(spark: SparkSession, text: str) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)

@@ -1,0 +1,148 @@
+"""Daily summaries and what is merged from them; directions; the extremes of a series."""
+
+import math
+import random
+from datetime import datetime, timedelta
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sensorlake import staging
+from sensorlake.operators import metrics, quality, summaries
+
+
+def readings(spark, values, sensors=3, days=5, seed=1):
+    rng = random.Random(seed)
+    begin = datetime(2022, 3, 1)
+    rows = [(begin + timedelta(days=rng.randrange(days), hours=rng.randrange(24)), rng.randrange(sensors), v) for v in values]
+    return staging.stage(metrics.with_date(spark.createDataFrame(rows, "timestamp timestamp, turbine_id int, x double")))
+
+
+@pytest.mark.parametrize("shift, spread", [(0.0, 1.0), (1e9, 1.0), (-1e9, 0.01)])
+def test_merged_moments_are_those_of_all_rows(spark, shift, spread):
+    rng = random.Random(3)
+    values = [shift + spread * rng.gauss(0, 1) for _ in range(600)] + [None, float("nan")]
+    df = readings(spark, values)
+    days = staging.stage(summaries.summarise(df, ["x"]))
+    assert days.count() == 15 and days.agg(F.sum("rows")).first()[0] == 602
+    got = {r.turbine_id: r for r in summaries.profile_of(days, keys=["turbine_id"]).collect()}
+    for sensor, r in got.items():
+        own = np.array([v.x for v in df.where(F.col("turbine_id") == sensor).collect() if v.x is not None and not math.isnan(v.x)])
+        assert (r["count"], r["min"], r["max"]) == (len(own), own.min(), own.max())
+        np.testing.assert_allclose(r["mean"], own.mean(), rtol=1e-14, atol=1e-12)
+        # As near as a mean can be written down beside such a spread.
+        np.testing.assert_allclose(r["stddev"], own.std(ddof=1), rtol=max(1e-9, np.spacing(abs(shift)) / spread))
+
+
+def test_group_stats_from_the_days_equal_those_of_the_rows(spark):
+    df = readings(spark, [1e9 + random.Random(i).random() for i in range(300)])
+    days = staging.stage(summaries.summarise(df, ["x"]))
+    for limits in ({}, {"broadcast_bytes": 0, "hot_rows": 50}):
+        got = summaries.with_group_stats(df, days, ["x"], **limits)
+        expected = {r.turbine_id: r for r in quality.with_group_stats(df, ["x"]).collect()}
+        for r in got.collect():
+            np.testing.assert_allclose(r.x_mean, expected[r.turbine_id].x_mean, rtol=1e-14)
+            np.testing.assert_allclose(r.x_std_dev, expected[r.turbine_id].x_std_dev, rtol=1e-6)
+    assert got.count() == df.count()
+    unseen = summaries.with_group_stats(df.withColumn("turbine_id", F.lit(77)), days, ["x"]).first()
+    assert (unseen.x_mean, unseen.x_std_dev) == (None, None)
+
+
+def test_merging_in_steps_equals_merging_at_once(spark):
+    df = readings(spark, [random.Random(i).gauss(50, 9) for i in range(400)], days=9)
+    days = staging.stage(summaries.summarise(df, ["x"]))
+    halves = [days.where(F.dayofmonth("date") <= 4), days.where(F.dayofmonth("date") > 4)]
+    steps = staging.stage(summaries.merged(halves[0], ["turbine_id"]).unionByName(summaries.merged(halves[1], ["turbine_id"])))
+    once, twice = (summaries.profile_of(d).first() for d in (days, steps))
+    for field in ("count", "min", "max"):
+        assert once[field] == twice[field]
+    np.testing.assert_allclose([once["mean"], once["stddev"]], [twice["mean"], twice["stddev"]], rtol=1e-12)
+
+
+@pytest.mark.parametrize("kind", ["normal", "few", "skewed"])
+def test_quantiles_and_distinct_values_are_as_near_as_stated(spark, kind):
+    rng = random.Random(8)
+    make = {"normal": lambda: rng.gauss(0, 1), "few": lambda: float(rng.randrange(7)), "skewed": lambda: rng.paretovariate(0.7)}[kind]
+    values = [make() for _ in range(60000)]
+    df = readings(spark, values, sensors=4, days=20)
+    days = staging.stage(summaries.summarise(df, ["x"]))
+    wanted = {"p1": 0.01, "q1": 0.25, "median": 0.5, "q3": 0.75, "p99": 0.99}
+    got = summaries.profile_of(days, wanted).first()
+    ordered = np.sort(values)
+    for name, p in wanted.items():
+        low = np.searchsorted(ordered, got[name], "left") / len(ordered)
+        high = np.searchsorted(ordered, got[name], "right") / len(ordered)
+        assert low - summaries.RANK_ERROR <= p <= high + summaries.RANK_ERROR
+    exact = len(set(values))
+    assert abs(got.approx_distinct - exact) <= 0.06 * exact
+
+
+def test_sketches_of_a_day_do_not_grow_with_its_rows(spark):
+    sizes = []
+    for n in (2000, 200000):
+        df = spark.range(n).select(F.lit(1).alias("turbine_id"), F.rand(3).alias("x"))
+        row = summaries.summarise(df, ["x"], date=None).first()
+        sizes.append(len(row["quantiles"]) + len(row["distinct"]))
+    assert sizes[1] < 40000
+
+
+def test_days_without_readings_and_single_readings(spark):
+    df = readings(spark, [None, float("nan")])
+    got = summaries.profile_of(staging.stage(summaries.summarise(df, ["x"]))).first()
+    assert (got["count"], got["mean"], got["stddev"], got["median"], got["approx_distinct"]) == (0, None, None, None, 0)
+    one = summaries.profile_of(staging.stage(summaries.summarise(readings(spark, [4.0, None]), ["x"]))).first()
+    assert (one["count"], one["mean"], one["stddev"], one["median"]) == (1, 4.0, None, 4.0)
+    none = staging.stage(summaries.summarise(readings(spark, [1.0]).limit(0), ["x"]))
+    assert none.count() == 0 and summaries.merged(none).count() == 0
+
+
+# -- directions -------------------------------------------------------------------------------
+
+
+def wind(spark, *rows):
+    return spark.createDataFrame(rows, "turbine_id int, wind_direction double")
+
+
+def test_the_mean_of_350_and_10_is_0(spark):
+    df = wind(spark, (1, 350.0), (1, 10.0), (2, 90.0), (2, 270.0), (3, None), (3, float("nan")), (4, 200.0), (4, 200.0), (5, -10.0), (5, 360.0))
+    got = {r.turbine_id: r for r in quality.circular_stats(df).collect()}
+    assert (got[1].n, got[1].direction) == (2, 0.0) and 9.9 < got[1].deviation < 10.2
+    assert (got[2].direction, got[2].deviation) == (None, None) and got[2].strength < 1e-9
+    assert (got[3].n, got[3].direction, got[3].strength) == (0, None, None)
+    assert (got[4].direction, round(got[4].strength, 9), round(got[4].deviation, 5)) == (200.0, 1.0, 0.0)
+    assert got[5].direction == 355.0
+    # The plain number stays the default elsewhere.
+    assert quality.overall_mean(df.where("turbine_id = 1"), "wind_direction").first()[0] == 180.0
+
+
+@pytest.mark.parametrize("a, b, apart", [(350, 10, 20), (10, 350, 20), (0, 180, 180), (90, 90, 0), (720, 0, 0), (-90, 180, 90)])
+def test_angular_distance(spark, a, b, apart):
+    assert spark.range(1).select(quality.angular_distance(F.lit(float(a)), F.lit(float(b)))).first()[0] == apart
+
+
+@pytest.mark.parametrize("limits", [{}, {"broadcast_bytes": 0, "hot_rows": 3}])
+def test_outliers_by_angular_distance(spark, limits):
+    rows = [(1, float(d % 360)) for d in range(350, 371)] * 3 + [(1, 180.0), (1, None), (2, 5.0)]
+    found = quality.direction_outliers(wind(spark, *rows), k=3, **limits)
+    assert [tuple(r) for r in found.collect()] == [(1, 180.0)]
+    # By plain numbers, north itself is torn apart and nothing stands out.
+    assert quality.sigma_outliers(wind(spark, *rows), "wind_direction", k=3).count() == 0
+
+
+# -- series -----------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_series_extremes(spark, kind):
+    t = lambda minute: datetime(2022, 3, 1, 5, minute)
+    rows = [(t(0), 1, 5.0), (t(0), 1, 4.0), (t(10), 1, -9.0), (t(20), 1, 70.0), (t(30), 1, 70.0), (t(40), 1, -9.0), (t(50), 1, 6.0), (t(50), 1, 7.0),
+            (t(55), 1, None), (t(55), 1, float("nan")), (None, 1, 1.0), (t(1), 2, 3.0), (datetime(2022, 3, 1, 6), 1, 8.0)]
+    df = spark.createDataFrame(rows, "timestamp timestamp, turbine_id int, x double").withColumn("timestamp", F.col("timestamp").cast(kind))
+    got = quality.series_extremes(df, "x", keys=["turbine_id"])
+    assert got.columns == ["turbine_id", "bucket", "time", "value"] and got.schema["bucket"].dataType.typeName() == kind
+    found = sorted((r.turbine_id, r.time, r.value) for r in got.collect())
+    assert found == [
+        (1, t(0), 4.0), (1, t(10), -9.0), (1, t(20), 70.0), (1, t(50), 7.0), (1, datetime(2022, 3, 1, 6), 8.0), (2, t(1), 3.0),
+    ]
+    assert quality.series_extremes(df, "x", unit="day").groupBy("bucket").count().agg(F.max("count")).first()[0] <= 4
