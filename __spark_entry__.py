@@ -7,6 +7,7 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
+from functools import partial
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -420,7 +421,7 @@ def _daily_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _group_stats_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = _daily_summaries(spark, sf_dir)
-    stats = summaries.with_group_stats(measurements(spark, sf_dir), days, ["power_output"])
+    stats = summaries.with_group_stats(measurements(spark, sf_dir), ["power_output"], days=days)
     return _rounded(stats, "power_output_mean", "power_output_std_dev")
 
 
@@ -451,6 +452,19 @@ def _direction_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.direction_outliers(measurements(spark, sf_dir), k=1.1)
 
 
+def _repair_direction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = measurements(spark, sf_dir)
+    gaps = F.when(F.pmod(F.col("wind_direction"), F.lit(7)) != 0, F.col("wind_direction"))
+    return quality.repair_direction(m.withColumn("wind_direction", gaps), k=1.1)
+
+
+def _clean_with_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second delivery, repaired by the statistics of all days, those of the first one included."""
+    batch = staging.stage(quality.dedup_latest(_deliveries(spark, sf_dir)[1], keep_ties=False))
+    with_stats = partial(summaries.with_group_stats, days=_daily_summaries(spark, sf_dir))
+    return _rounded(quality.repair(batch, with_stats=with_stats), "power_output")
+
+
 def _series_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = measurements(spark, sf_dir)
     return quality.series_extremes(m, "wind_speed", time="date_created", unit="day", keys=["turbine_id"])
@@ -715,6 +729,8 @@ def own_queries() -> dict[str, Query]:
         "profile_from_sketches": _profile_from_sketches,
         "circular_stats": _circular_stats,
         "direction_outliers": _direction_outliers,
+        "repair_direction": _repair_direction,
+        "clean_with_history": _clean_with_history,
         "series_extremes": _series_extremes,
         "silent_days": _silent_days,
         "missing_days": _missing_days,
@@ -1004,6 +1020,21 @@ def own_sql() -> dict[str, str]:
         "direction_outliers": f"""WITH {_M}, {vectors} SELECT m.* FROM m JOIN v USING (turbine_id)
             WHERE abs((((wind_direction - degrees(atan2(s, c)) + 180) % 360) + 360) % 360 - 180)
               > 1.1 * degrees(sqrt(-2 * ln(strength)))""",
+        "repair_direction": f"""WITH m0 AS (WITH {_M} SELECT * FROM m), m AS (SELECT * REPLACE (CASE WHEN
+              wind_direction % 7 <> 0 THEN wind_direction END AS wind_direction) FROM m0), {vectors},
+            j AS (SELECT m.*, ((round(degrees(atan2(s, c)), 9) % 360) + 360) % 360 AS mu,
+              1.1 * degrees(sqrt(-2 * ln(strength))) AS reach FROM m JOIN v USING (turbine_id))
+            SELECT * EXCLUDE (mu, reach) REPLACE (CASE WHEN wind_direction IS NULL
+                OR abs((((wind_direction - mu + 180) % 360) + 360) % 360 - 180) > reach
+              THEN CAST(round(mu) % 360 AS INT) ELSE wind_direction END AS wind_direction) FROM j""",
+        "clean_with_history": f"""WITH {_M}, t AS (SELECT turbine_id, avg(power_output) AS mu,
+              stddev_samp(power_output) AS sd FROM m GROUP BY 1),
+            d AS (SELECT * FROM {second} QUALIFY row_number() OVER (PARTITION BY turbine_id, "timestamp"
+              ORDER BY date_created DESC, wind_speed DESC NULLS LAST, wind_direction DESC NULLS LAST,
+              power_output DESC NULLS LAST) = 1),
+            f AS (SELECT d.* REPLACE (coalesce(power_output, mu) AS power_output), mu, sd FROM d JOIN t USING (turbine_id))
+            SELECT * EXCLUDE (mu, sd) REPLACE ({_fixed("CASE WHEN power_output > mu + 2 * sd OR power_output < mu - 2 * sd THEN mu ELSE power_output END")}
+              AS power_output) FROM f""",
         "series_extremes": f"""WITH {_M}, r AS (SELECT turbine_id,
               CAST(date_trunc('day', date_created) AS TIMESTAMP) AS bucket, date_created AS "time", wind_speed AS "value"
             FROM m WHERE wind_speed IS NOT NULL),

@@ -3,7 +3,7 @@
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,9 +101,9 @@ def attach(
     expressions behind `groups`, in its order of columns, when these are aggregates of `df`
     itself: a window over the shuffled rows then saves shuffling the groups as well.
     """
-    groups = stage(groups)
     values = [name for name in groups.columns if name not in keys and name != ROWS]
     if not keys:
+        groups = stage(groups)
         if how == "inner" and groups.isEmpty():
             return df.where(F.lit(False)).withColumns(
                 {name: F.lit(None).cast(groups.schema[name].dataType) for name in values}
@@ -114,11 +114,11 @@ def attach(
         lambda a, b: a + b,
         [F.coalesce(F.octet_length(F.col(key).cast("string")), F.lit(0)) for key in keys],
     )
-    size = groups.agg(
-        F.count("*").alias("groups"),
-        F.sum(text_bytes + _row_bytes(groups)).alias("row_bytes"),
-        F.sum(ROWS).alias("rows"),
-    ).first()
+    # Measured while it is written. Rows that a lost task counts twice make it look larger, no worse.
+    measured = Observation()
+    sizes = F.sum(text_bytes + _row_bytes(groups)).alias("row_bytes"), F.sum(ROWS).alias("rows")
+    groups = stage(groups.observe(measured, *sizes))
+    size = measured.get
     if (size["row_bytes"] or 0) <= broadcast_bytes:
         return _lookup(df, F.broadcast(groups.drop(ROWS)), keys, how)
 

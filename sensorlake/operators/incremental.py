@@ -1,6 +1,6 @@
 """Batch-incremental loading by an arrival-time high-watermark."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake.functions import utc_day
@@ -24,7 +24,11 @@ def newer_than_target(
     The watermark is a scalar subquery, so the comparison reaches the file scan. `day` names the
     partition column of `df` holding the UTC day of arrival: older partitions are then skipped.
     """
-    watermark = high_watermark(target, column=column).scalar()
+    return newer_than(df, high_watermark(target, column=column).scalar(), column=column, day=day)
+
+
+def newer_than(df: DataFrame, watermark: Column, *, column: str = ARRIVAL, day: str | None = None) -> DataFrame:
+    """Rows that arrived strictly after `watermark`; a literal leaves out partitions when `df` is planned."""
     newer = F.col(column) > watermark
     if day is not None:
         data_type = df.schema[column].dataType.simpleString()

@@ -11,7 +11,7 @@ from sensorlake.operators.quality.cleaning import (
     with_sigma_band,
     with_z_score,
 )
-from sensorlake.operators.quality.direction import angular_distance, circular_stats, direction_outliers
+from sensorlake.operators.quality.direction import angular_distance, circular_stats, direction_outliers, repair_direction
 from sensorlake.operators.quality.gaps import missing_days, outages
 from sensorlake.operators.quality.outliers import (
     box_stats,
@@ -55,6 +55,7 @@ __all__ = [
     "quantiles",
     "quartiles",
     "repair",
+    "repair_direction",
     "replace_outliers",
     "series",
     "series_extremes",

@@ -5,7 +5,7 @@ Helper columns of a column `c`: `c_mean`, `c_std_dev`, `c_<k>_stddev_lower`, `c_
 such a name themselves.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -147,16 +147,18 @@ def repair(
     *,
     keys: Sequence[str] = (SENSOR,),
     k: float = 2,
+    with_stats: Callable[..., DataFrame] = with_group_stats,
     **limits: int,
 ) -> DataFrame:
     """Impute, then replace outliers, with statistics of the readings as they came in.
 
     Integer columns stay integer: what is put in is rounded half up. `df` is read twice
-    (statistics, then rows), so hand in a stored or staged frame.
+    (statistics, then rows), so hand in a stored or staged frame. `with_stats` attaches other
+    statistics, as `summaries.with_group_stats` does with those of a whole history.
     """
     mark = "__"
     readings = df.withColumns({column: reading(df, column) for column in columns})
-    out = with_group_stats(readings, columns, keys, mark=mark, **limits)
+    out = with_stats(readings, columns, keys, mark=mark, **limits)
     for column in columns:
         out = impute_mean(out, column, mark=mark)
     out = with_sigma_band(out, columns, k=k, mark=mark)

@@ -4,6 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorlake.functions import reading
 from sensorlake.operators.grouping import ROWS, attach
@@ -58,13 +59,35 @@ def direction_outliers(
 
     Like the other outlier tests, `df` is read twice: hand in a stored or staged frame.
     """
-    n, sine, cosine = _sums(df, column)
+    distance = angular_distance(reading(df, column).cast("double"), F.col(_MEAN))
+    return _with_stats(df, column, keys, **limits).where(distance > k * F.col(_SPREAD)).drop(_MEAN, _SPREAD)
+
+
+def _with_stats(df: DataFrame, column: str, keys: Sequence[str], **limits: int) -> DataFrame:
+    _, sine, cosine = _sums(df, column)
     length = _length(sine, cosine)
     points = length >= NO_DIRECTION
     values = {
-        _MEAN: F.when(points, F.degrees(F.atan2(sine, cosine))),
+        _MEAN: F.when(points, F.pmod(F.round(F.degrees(F.atan2(sine, cosine)), 9), F.lit(360.0))),
         _SPREAD: F.when(points, F.degrees(F.sqrt(-2 * F.log(length)))),
     }
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS), *[v.alias(name) for name, v in values.items()])
-    distance = angular_distance(reading(df, column).cast("double"), F.col(_MEAN))
-    return attach(df, groups, list(keys), **limits).where(distance > k * F.col(_SPREAD)).drop(_MEAN, _SPREAD)
+    return attach(df, groups, list(keys), **limits)
+
+
+def repair_direction(
+    df: DataFrame, column: str = "wind_direction", keys: Sequence[str] = (SENSOR,), *, k: float = 2, **limits: int
+) -> DataFrame:
+    """Missing directions, and those more than `k` deviations away, become the mean direction of their group.
+
+    Integer columns stay integer (359.6 becomes 0). Where a group has no direction, its rows stay as they
+    are. `df` is read twice: hand in a stored or staged frame.
+    """
+    kind = df.schema[column].dataType
+    found = _with_stats(df, column, keys, **limits)
+    value, mean = reading(df, column), F.col(_MEAN)
+    if isinstance(kind, T.IntegralType):
+        mean = F.pmod(F.round(mean), F.lit(360.0))
+    far = angular_distance(value.cast("double"), F.col(_MEAN)) > k * F.col(_SPREAD)
+    put = F.when((value.isNull() | far) & mean.isNotNull(), mean.cast(kind)).otherwise(F.col(column))
+    return found.withColumn(column, put).drop(_MEAN, _SPREAD)

@@ -102,7 +102,13 @@ def profile_of(days: DataFrame, wanted: Mapping[str, float] = QUARTILES, keys: S
 
 
 def with_group_stats(
-    df: DataFrame, days: DataFrame, columns: Sequence[str], keys: Sequence[str] = (SENSOR,), **limits: int
+    df: DataFrame,
+    columns: Sequence[str],
+    keys: Sequence[str] = (SENSOR,),
+    *,
+    days: DataFrame,
+    mark: str = "",
+    **limits: int,
 ) -> DataFrame:
     """`quality.with_group_stats` with the statistics of all summarised days instead of those of `df`.
 
@@ -114,6 +120,8 @@ def with_group_stats(
     def of(column: str, value: Column) -> Column:
         return F.max(F.when(F.col("column") == column, value))
 
-    stats = [(of(c, F.col("mean")).alias(f"{c}_mean"), of(c, stddev).alias(f"{c}_std_dev")) for c in columns]
+    stats = [
+        (of(c, F.col("mean")).alias(f"{mark}{c}_mean"), of(c, stddev).alias(f"{mark}{c}_std_dev")) for c in columns
+    ]
     groups = whole.groupBy(*keys).agg(F.max("rows").alias(ROWS), *reduce(lambda a, b: a + b, stats))
     return attach(df, groups, list(keys), **limits)

@@ -7,8 +7,9 @@ one, and an upsert of the same rows changes nothing more.
 
 from collections.abc import Sequence
 from datetime import date, datetime
+from functools import partial
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake import ledger, schema, staging, tables
@@ -30,14 +31,16 @@ def progress_table(target: str) -> str:
     return f"{target}_progress"
 
 
-def _progress(spark: SparkSession, target: str, held: DataFrame) -> DataFrame:
-    """The progress of `target`. At the first run it begins with what `held` has already arrived."""
+def _progress(spark: SparkSession, target: str, held: DataFrame) -> int:
+    """How far `target` has come, in microseconds. At the first run it begins with what `held` has already."""
     name = progress_table(target)
-    if not spark.catalog.tableExists(name) or spark.table(name).isEmpty():
+    since = _micros(spark.table(name), "high") if spark.catalog.tableExists(name) else None
+    if since is None:
         tables.ensure(spark, name, _PROGRESS)
         begin = incremental.high_watermark(held).select(F.col(schema.ARRIVAL).cast("timestamp").alias("high"))
         _note(spark, target, begin.withColumn("date", F.lit(None).cast("date")))
-    return spark.table(name)
+        since = _micros(spark.table(name), "high")
+    return since
 
 
 def _note(spark: SparkSession, target: str, rows: DataFrame) -> None:
@@ -124,11 +127,14 @@ def clean(
     columns: Sequence[str] = ("power_output",),
     k: float = 2,
     use_malformed: bool = False,
+    history: str | None = None,
     fmt: str = "parquet",
 ) -> None:
     """New arrivals → latest per key → impute → replace outliers → upsert.
 
-    Statistics cover the newly arrived rows only. A reading delivered twice in one run ties with
+    Statistics cover the newly arrived rows only, unless `history` names a table of daily summaries (see
+    `summarise`): then those of its days and of the new rows together, so that a sensor of few new
+    readings has them too. A reading delivered twice in one run ties with
     itself; one of the tied rows is taken, as an upsert needs one row per key. Malformed rows are
     left out, so that no mean stands in for a cell that could not be read; `use_malformed` takes
     them in with that cell missing.
@@ -136,22 +142,29 @@ def clean(
     tables.ensure(spark, target, schema.CLEAN, day_of=schema.EVENT_TIME, fmt=fmt)
     raw = spark.table(source)
     day = tables.DAY if tables.day_column(spark, source) == schema.ARRIVAL else None
-    done = _progress(spark, target, spark.table(target)).select(F.col("high").alias(schema.ARRIVAL))
+    since = _progress(spark, target, spark.table(target))
     with staging.scope(spark):
-        since = _micros(done, schema.ARRIVAL)
-        fresh = incremental.newer_than_target(raw, done, day=day).drop(*tables.INTERNAL)
+        watermark = F.timestamp_micros(F.lit(since)).cast(raw.schema[schema.ARRIVAL].dataType)
+        fresh = incremental.newer_than(raw, watermark, day=day).drop(*tables.INTERNAL)
         open_since = ledger.open_since(spark, source)
         if open_since is not None:  # the rest of that batch will have the same stamp
             fresh = fresh.where(F.col(schema.ARRIVAL) < F.timestamp_micros(F.lit(open_since)))
-        high = _micros(fresh, schema.ARRIVAL)
-        if high is None:
-            return
-        # What arrives from now on is the next run's.
-        fresh = fresh.where(F.col(schema.ARRIVAL) <= F.timestamp_micros(F.lit(high)))
+        # The latest arrival among the rows that this batch has read; what arrives from now on is the next
+        # run's. A maximum is the same when a lost task counts its rows twice.
+        read = Observation()
+        fresh = fresh.observe(read, F.unix_micros(F.max(F.col(schema.ARRIVAL).cast("timestamp"))).alias("high"))
         if CORRUPT in fresh.columns:
             fresh = (fresh if use_malformed else fresh.where(F.col(CORRUPT).isNull())).drop(CORRUPT)
         batch = staging.stage(quality.dedup_latest(fresh, keep_ties=False))
-        repaired = staging.stage(quality.repair(batch, columns, k=k))
+        high = read.get["high"]
+        if high is None:
+            return
+        with_stats = quality.with_group_stats
+        if history is not None:
+            new = summaries.summarise(metrics.with_date(batch), columns)
+            known = spark.table(history).select(*new.columns)
+            with_stats = partial(summaries.with_group_stats, days=staging.stage(known.unionByName(new)))
+        repaired = staging.stage(quality.repair(batch, columns, k=k, with_stats=with_stats))
         keys = [schema.EVENT_TIME, schema.SENSOR]
         # Rows with a NULL key match nothing: those of a run that did not end are taken out.
         stale = F.col(schema.ARRIVAL) > F.timestamp_micros(F.lit(since))
@@ -330,7 +343,8 @@ def roll_up(
     noted = spark.table(progress_table(source))
     name = progress_table(target)
     tables.ensure(spark, name, _PROGRESS)
-    reached, since = _micros(noted, "high"), _micros(spark.table(name), "high")
+    both = noted.select("high", F.lit(True).alias("own")).unionByName(spark.table(name).select("high", F.lit(False).alias("own")))
+    reached, since = both.agg(*[F.unix_micros(F.max(F.when(F.col("own") == own, F.col("high")))) for own in (True, False)]).first()
     if not new_dates_only or since is None:  # without an earlier roll-up all dates are new
         daily_metrics(spark, source=source, target=target, fmt=fmt)
     elif reached > since:

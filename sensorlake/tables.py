@@ -33,6 +33,7 @@ BUCKET = "_bucket"
 BATCH = "_batch"
 INTERNAL = (DAY, BUCKET, BATCH)
 MOST_BUCKETS = 10_000  # numbers of touched buckets go through the driver
+MOST_DAYS = 1_000  # of an upsert, as literals
 _DAY_OF = "sensorlake.day_of"
 _BY = "sensorlake.by"
 _BUCKET_OF = "sensorlake.bucket_of"
@@ -269,17 +270,17 @@ def _refuse_lossy(source: DataFrame, fields: Sequence[T.StructField]) -> None:
 def on_days_of(target: DataFrame, days: DataFrame) -> DataFrame:
     """Rows of a table whose DAY is among `days` (one column DAY, distinct).
 
-    The range of days goes into the plan as two literals, which leaves out partitions when the table
-    is listed, and the days themselves as a join, which Spark can turn into a filter on partitions.
+    The days go into the plan as literals, so that only their partitions are listed. Beyond MOST_DAYS
+    of them only their range does, and the days themselves are joined.
     """
+    held = [row[DAY] for row in days.limit(MOST_DAYS + 1).collect()]
+    if len(held) <= MOST_DAYS:
+        among = F.col(DAY).isin([day for day in held if day is not None])
+        return target.where(among | F.col(DAY).isNull() if None in held else among)
     low, high, missing = days.agg(F.min(DAY), F.max(DAY), F.count_if(F.col(DAY).isNull())).first()
-    parts = []
-    if low is not None:
-        in_range = F.col(DAY).between(F.lit(low), F.lit(high))
-        parts.append(target.where(in_range).join(days.where(in_range), DAY, "left_semi").select(*target.columns))
-    if missing:
-        parts.append(target.where(F.col(DAY).isNull()))
-    return reduce(DataFrame.unionByName, parts) if parts else target.where(F.lit(False))
+    in_range = F.col(DAY).between(F.lit(low), F.lit(high))
+    found = target.where(in_range).join(days.where(in_range), DAY, "left_semi").select(*target.columns)
+    return found.unionByName(target.where(F.col(DAY).isNull())) if missing else found
 
 
 def upsert(
@@ -340,8 +341,6 @@ def upsert(
     places = source.select(column)
     if deletes is not None:
         places = places.unionByName(deletes.select(column))
-    if places.isEmpty():
-        return
     touched = touched_days(target, places) if column == DAY else touched_buckets(target, places)
     merged = upsert_frame(touched, source, keys, stale=stale, null_safe=null_safe, deletes=deletes)
     emptied = [] if deletes is None else _emptied(merged, deletes, column)

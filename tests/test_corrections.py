@@ -142,6 +142,23 @@ def test_summaries_follow_corrections(spark, name):
     assert (got["count"], round(got["mean"], 9), round(got["stddev"], 9)) == (row[0], round(row[1], 9), round(row[2], 9))
 
 
+def test_the_clean_job_with_a_history(spark, name):
+    raw = "timestamp timestamp, turbine_id int, wind_speed double, wind_direction int, power_output double, date_created timestamp"
+    old = [(at(d, h), 1, 1.0, 1, 10.0 + h, at(20)) for d in (1, 2) for h in range(6)]
+    names = {"source": f"{name}_r", "target": f"{name}_c"}
+    tables.append(spark.createDataFrame(old, raw), names["source"], day_of="date_created")
+    jobs.clean(spark, **names)
+    jobs.summarise(spark, source=names["target"], target=f"{name}_s")
+    # One new reading is missing, one is far off: alone, they have no statistics at all.
+    new = [(at(5, 0), 1, 1.0, 1, None, at(21)), (at(5, 1), 1, 1.0, 1, 500.0, at(21))]
+    tables.append(spark.createDataFrame(new, raw), names["source"])
+    jobs.clean(spark, history=f"{name}_s", **names)
+    got = {r.timestamp: r.power_output for r in spark.table(names["target"]).collect()}
+    values = [r[4] for r in old] + [500.0]
+    mean = sum(values) / len(values)
+    assert abs(got[at(5, 0)] - mean) < 1e-9 and abs(got[at(5, 1)] - mean) < 1e-9 and got[at(1, 3)] == 13.0
+
+
 # -- small files ------------------------------------------------------------------------------
 
 

@@ -39,13 +39,13 @@ def test_group_stats_from_the_days_equal_those_of_the_rows(spark):
     df = readings(spark, [1e9 + random.Random(i).random() for i in range(300)])
     days = staging.stage(summaries.summarise(df, ["x"]))
     for limits in ({}, {"broadcast_bytes": 0, "hot_rows": 50}):
-        got = summaries.with_group_stats(df, days, ["x"], **limits)
+        got = summaries.with_group_stats(df, ["x"], days=days, **limits)
         expected = {r.turbine_id: r for r in quality.with_group_stats(df, ["x"]).collect()}
         for r in got.collect():
             np.testing.assert_allclose(r.x_mean, expected[r.turbine_id].x_mean, rtol=1e-14)
             np.testing.assert_allclose(r.x_std_dev, expected[r.turbine_id].x_std_dev, rtol=1e-6)
     assert got.count() == df.count()
-    unseen = summaries.with_group_stats(df.withColumn("turbine_id", F.lit(77)), days, ["x"]).first()
+    unseen = summaries.with_group_stats(df.withColumn("turbine_id", F.lit(77)), ["x"], days=days).first()
     assert (unseen.x_mean, unseen.x_std_dev) == (None, None)
 
 
@@ -130,6 +130,15 @@ def test_outliers_by_angular_distance(spark, limits):
     assert quality.sigma_outliers(wind(spark, *rows), "wind_direction", k=3).count() == 0
 
 
+def test_directions_are_repaired_around_north(spark):
+    rows = [(1, d % 360) for d in range(350, 371)] * 3 + [(1, 180), (1, None), (2, 90), (2, 270), (2, None), (3, None)]
+    df = spark.createDataFrame(rows, "turbine_id int, wind_direction int")
+    got = [tuple(r) for r in quality.repair_direction(df, k=3).collect()]
+    assert got.count((1, 0)) == 3 + 2 and (1, 180) not in got and (1, None) not in got
+    assert sorted((r for r in got if r[0] > 1), key=str) == [(2, 270), (2, 90), (2, None), (3, None)]
+    assert quality.repair_direction(df).schema == df.schema
+
+
 # -- series -----------------------------------------------------------------------------------
 
 
