@@ -197,10 +197,14 @@ def _merge(batches, size: int):
 def repeated_strings(docs: DataFrame, size: int, shard_bytes: int) -> DataFrame:
     """doc_id, version, start, n: runs of strings that also start earlier. `docs`: doc_id, version, text."""
     at = ["doc_id", "version"]
-    every = docs.select(*at, F.explode(runs("text", size)).alias("r")).select(*at, "r.*")
+    # Texts are cut into runs once; these are read for the counts and for the join, and then dropped.
+    spark = docs.sparkSession
+    path = staging.new_path(spark)
+    every = staging.stage(docs.select(*at, F.explode(runs("text", size)).alias("r")).select(*at, "r.*"), path)
     twice = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least"))
     twice = twice.where("m > 1 OR least < 0").select("anchor")
     held = staging.stage(every.join(twice, "anchor"))
+    staging.drop(spark, path)
     place = F.struct("doc_id", "start", "version")
     bodies = staging.stage(held.groupBy("anchor", "body", "n").agg(F.min(place).alias("first")))
     again = held.join(bodies, ["anchor", "body", "n"]).where(
