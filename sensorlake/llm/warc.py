@@ -187,7 +187,7 @@ def write(
     """Write the archives into `folder` (a URL); returns the number of shards with records."""
     pafs.FileSystem.from_uri(folder)[0].create_dir(pafs.FileSystem.from_uri(folder)[1], recursive=True)
     rows, shards = _with_shard(with_firsts(records, id_=id_, url=url, payload=payload), records, id_, shard_rows)
-    ordered = rows.repartition(max(shards, 1), "shard")
+    ordered = rows.repartitionById(max(shards, 1), F.col("shard").cast("int"))  # a shard is one task's
     ordered = ordered.sortWithinPartitions("shard", F.col("id").asc_nulls_first(), "digest", "bytes", "url")
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

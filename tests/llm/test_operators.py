@@ -567,3 +567,16 @@ def test_mix_edges(empty, twice):
 
 def test_staged_frames_are_in_the_shared_folder(spark):
     assert staging.new_path(spark).startswith(staging.folder(spark))
+
+
+def test_every_shard_has_a_task_of_its_own(spark, monkeypatch):
+    pages = spark.range(2000).select(
+        F.col("id").alias("page_id"), F.lit("http://x/").alias("url"), F.sha2(F.col("id").cast("string"), 512).alias("html")
+    )
+    folder = f"{staging.new_path(spark)}-warc"
+    staged, real = [], staging.stage
+    monkeypatch.setattr(warc.staging, "stage", lambda df, *given: staged.append(real(df, *given)) or staged[-1])
+    assert warc.write(pages, folder, shard_rows=40) == 50
+    per_task = sorted(r.shards for r in staged[-1].collect())
+    assert per_task == [1] * 50
+    assert warc.read(spark, folder).count() == 2000
