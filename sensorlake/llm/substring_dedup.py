@@ -1,13 +1,14 @@
-"""Substring dedup on words: repeated spans found on a compacted de Bruijn graph.
-
-Nodes are sequences of words, edges are windows of `size` consecutive words. Consecutive windows with
-the same lowest-hashed `ANCHOR`-word sequence form one path of the graph; equal windows always lie on
-paths with an equal anchor, so windows meet by anchor. An anchor that occurs once in all texts holds no
-repeated window. Paths of the other anchors are compacted: equal paths are one, known by its first
-source coordinate (doc_id, word). An anchor with a single path is nonbranching, and its windows first
-occur where the path does. Only the windows of branching anchors, once for each distinct path, are
-looked at one by one, and those of a path that repeats itself. A window counts as repeated when its first coordinate lies before its own; windows
-and paths are told apart by two independent 64-bit hashes.
+"""Substring dedup on words: repeated spans found on runs of windows that share a minimizer.
+
+No graph is built. Consecutive windows of `size` words with the same lowest-hashed `ANCHOR`-word sequence
+form one run ("path" below); equal windows always lie on runs with an equal anchor, so windows meet by
+anchor. An anchor that occurs once in all texts holds no repeated window. Runs of the other anchors are
+compacted: equal runs are one, known by its first source coordinate (doc_id, word). Where an anchor has a
+single run, its windows first occur where the run does. Only the windows of anchors with several
+("branching" below), once for each distinct run, are looked at one by one, and those of a run that
+repeats itself. A window counts as repeated when its first coordinate lies before its own. Windows and
+runs are told apart by two 64-bit hashes over one 64-bit hash of each word, so two words of equal hash
+would be taken for one.
 
 Defined cases: a NULL text has no words; a text shorter than a window keeps all its words; rows without
 a doc_id keep all words and are not compared; rows with equal doc_id and text have equal results, neither
