@@ -18,11 +18,15 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--new-dates-only", action="store_true", help="limit the roll-up")
     parser.add_argument("--new-files-only", action="store_true", help="leave out files taken before")
     parser.add_argument("--by-name", action="store_true", help="read files whose headers differ")
+    parser.add_argument("--tidy", action="store_true", help="put small files together afterwards")
     parser.add_argument("--fmt", default="parquet", help="format of tables that are made")
-    options = parser.parse_args(arguments)
+    options = vars(parser.parse_args(arguments))
+    tidy = options.pop("tidy")
     spark = SparkSession.builder.getOrCreate()
     try:
-        jobs.run_all(spark, **vars(options))
+        jobs.run_all(spark, **options)
+        if tidy:
+            jobs.tidy(spark, **{layer: options[layer] for layer in ("raw", "cleaned", "daily")})
     finally:
         staging.sweep(spark)
 

@@ -325,6 +325,24 @@ def run_all(
     roll_up(spark, source=cleaned, target=daily, new_dates_only=new_dates_only, fmt=fmt)
 
 
+def tidy(
+    spark: SparkSession,
+    *,
+    raw: str = RAW,
+    cleaned: str = CLEANED,
+    daily: str = DAILY,
+    least: int = 8,
+) -> dict[str, int]:
+    """Put the small files of the tables and of their notes together, where a partition has `least` of them.
+
+    Every run adds files: one to each note, some to the day of arrival. Returns how many partitions of
+    which tables were written anew. No job may run at the same time.
+    """
+    notes = [ledger.ledger_table(raw), progress_table(cleaned), progress_table(daily), corrections_table(daily)]
+    names = [name for name in (raw, cleaned, daily, *notes) if spark.catalog.tableExists(name)]
+    return {name: tables.compact(spark, name, least=least) for name in names}
+
+
 def roll_up(
     spark: SparkSession,
     *,
@@ -347,7 +365,9 @@ def roll_up(
     reached, since = both.agg(*[F.unix_micros(F.max(F.when(F.col("own") == own, F.col("high")))) for own in (True, False)]).first()
     if not new_dates_only or since is None:  # without an earlier roll-up all dates are new
         daily_metrics(spark, source=source, target=target, fmt=fmt)
-    elif reached > since:
+    elif reached == since:
+        return
+    else:
         new = noted.where(F.col("high") > F.timestamp_micros(F.lit(since)))
         new = new.where(F.col("high") <= F.timestamp_micros(F.lit(reached)))
         daily_metrics(spark, source=source, target=target, dates=new.select("date"), fmt=fmt)

@@ -32,8 +32,9 @@ def ingest_new_files(
     max_files: int | None = None,
     fmt: str = "parquet",
     then: Callable[[], None] | None = None,
-) -> None:
-    """Take the files of the glob that no earlier run with this checkpoint has read into the table.
+) -> int:
+    """Take the files of the glob that no earlier run with this checkpoint has read into the table; returns
+    the number of batches.
 
     A line with a cell that does not fit its type is kept in the column CORRUPT, as by the job. `then` is
     run after each batch, and again after a repeated one; stamps of arrival then rise from batch to batch,
@@ -42,6 +43,7 @@ def ingest_new_files(
     exists = spark.catalog.tableExists(table)
     keep = not exists or CORRUPT in spark.table(table).columns
     by_batch = not exists or tables.has_batches(spark, table)
+    taken: list[int] = []
 
     def replace(rows: DataFrame, number: int) -> None:
         source = rows.sparkSession.sparkContext.getLocalProperty(_QUERY_ID)
@@ -62,6 +64,7 @@ def ingest_new_files(
         spark.catalog.refreshTable(table)  # written by the stream's own session
         if then is not None:
             then()
+        taken.append(number)
 
     columns = T.StructType(list(schema.MEASUREMENT.fields))
     reader = spark.readStream.schema(columns.add(CORRUPT, T.StringType()) if keep else columns)
@@ -77,6 +80,7 @@ def ingest_new_files(
         .start()
     )
     query.awaitTermination()
+    return len(taken)
 
 
 def run_new_files(
@@ -102,8 +106,8 @@ def run_new_files(
         jobs.clean(spark, source=raw, target=cleaned, fmt=fmt)
         jobs.roll_up(spark, source=cleaned, target=daily, new_dates_only=True, fmt=fmt)
 
-    ingest_new_files(
+    batches = ingest_new_files(
         spark, path, checkpoint, table=raw, arrival=arrival, max_files=max_files, fmt=fmt, then=refine
     )
-    if spark.catalog.tableExists(raw):
+    if not batches and spark.catalog.tableExists(raw):
         refine()

@@ -94,3 +94,15 @@ def test_the_plan_reduces_rows_before_it_moves_them_and_makes_no_calendar(spark,
     assert "Join" not in plan and "sequence" not in plan and "Python" not in plan
     # Rows are put together in each task first, dealt out by sensor and day, and only then by sensor.
     assert plan.count("HashAggregate") == 2 and plan.count("Exchange") == 2
+
+
+def test_sensors_without_rows_are_found_by_an_anti_join(spark):
+    sensors = spark.range(5_000_000).select(F.col("id").cast("int").alias("turbine_id"))
+    given = {"since": "2022-03-01", "until": "2022-03-03", "sensors": sensors}
+    df = spark.range(5_000_000).select(
+        F.lit("2022-03-02").cast("timestamp").alias("timestamp"), F.col("id").cast("int").alias("turbine_id")
+    )
+    plan = quality.outages(df.where("turbine_id > 9"), **given)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    found = quality.outages(df.where("turbine_id > 9"), **given)
+    assert found.where("missing = 3").count() == 10 and found.where("missing = 1").count() == 2 * (5_000_000 - 10)

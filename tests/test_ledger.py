@@ -195,3 +195,19 @@ def test_a_roll_up_of_a_table_that_no_clean_job_has_filled(spark, name):
     tables.append(rows, f"{name}_c", day_of="timestamp")
     jobs.roll_up(spark, source=f"{name}_c", target=f"{name}_d", new_dates_only=True)
     assert [r.power_output_daily_mean for r in spark.table(f"{name}_d").collect()] == [2.0]
+
+
+def test_tidying_after_many_runs(spark, name, landing):
+    names = {layer: f"{name}_{layer}" for layer in ("raw", "cleaned", "daily")}
+    for hour in range(4):
+        landing(f"{hour}.csv", (hour, 1, 2.0 + hour))
+        jobs.run_all(spark, landing.glob, new_files_only=True, new_dates_only=True, **names)
+    jobs.run_all(spark, landing.glob, new_files_only=True, new_dates_only=True, **names)  # nothing new: no further notes
+    assert spark.table(jobs.progress_table(names["daily"])).count() == 4
+    before = {layer: sorted(map(str, sources.read_table(spark, n).collect())) for layer, n in names.items()}
+    done = jobs.tidy(spark, least=3, **names)
+    assert done[jobs.progress_table(names["cleaned"])] == 1 and done[ledger.ledger_table(names["raw"])] == 1
+    assert {layer: sorted(map(str, sources.read_table(spark, n).collect())) for layer, n in names.items()} == before
+    landing("9.csv", (0, 2, 7.0))
+    jobs.run_all(spark, landing.glob, new_files_only=True, new_dates_only=True, **names)
+    assert {r.turbine_id: r.power_output_daily_mean for r in spark.table(names["daily"]).collect()} == {1: 3.5, 2: 7.0}
