@@ -1,14 +1,20 @@
-"""Frames stored in buckets, for joins by the same keys that move nothing of them."""
+"""Frames stored in buckets, for joins by the same keys that move nothing of them; rows as structs."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from sensorlake import staging
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct: joined as such, their names meet no others."""
+    return F.struct(*[F.col("`" + name.replace("`", "``") + "`") for name in df.columns])
+
+
 def bucketed(df: DataFrame, *keys: str, dealt: bool = False) -> DataFrame:
     """`df` written once to the shared folder, bucketed by `keys` into as many parts as a shuffle has.
 

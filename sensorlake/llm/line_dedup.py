@@ -13,7 +13,8 @@ what is left is compared with all candidates before it. Jaccard similarity is ve
 
 Defined cases: a NULL text has no lines; a row without a doc_id keeps all its lines and is not compared;
 rows with equal doc_id and text have equal results, neither being earlier; of rows that share a doc_id but
-not a text, a line of either counts as earlier than one further down; lines without a word stay.
+not a text, a line of either counts as earlier than one further down; lines without a word stay; names of
+other columns do not matter.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorlake import staging
-from sensorlake.llm.buckets import bucketed
+from sensorlake.llm.buckets import bucketed, whole_row
 
 BREAKS = r"[ \t\x0B\f\r]+"
 RARITY_BUCKETS = 1 << 16
@@ -195,11 +196,11 @@ def repeated_lines(
 
 
 def remove_lines(docs: DataFrame, repeated: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` with the lines that `repeated_lines` named taken out of the text."""
-    named = repeated.where("n_removed > 0").select(
-        F.col("doc_id").alias("_of"), F.col("version").alias("_version"), F.col("removed").alias("_removed")
-    )
-    met = (F.col(doc_id) == F.col("_of")) & (F.xxhash64(text) == F.col("_version"))
-    kept = F.filter(F.split(text, "\n"), lambda line, at: ~F.array_contains("_removed", at))
-    cut = F.when(F.col("_removed").isNotNull(), F.array_join(kept, "\n")).otherwise(F.col(text))
-    return docs.join(named, met, "left").withColumn(text, cut).drop("_of", "_version", "_removed")
+    """`docs` with the lines that `repeated_lines` named taken out of the text, whatever its columns are called."""
+    rows = docs.select(whole_row(docs).alias("row"))
+    named = repeated.where("n_removed > 0").select(F.struct("doc_id", "version", "removed").alias("found"))
+    row, found = F.col("row"), F.col("found")
+    met = (row[doc_id] == found["doc_id"]) & (F.xxhash64(row[text]) == found["version"])
+    kept = F.filter(F.split(row[text], "\n"), lambda line, at: ~F.array_contains(found["removed"], at))
+    cut = F.when(found.isNotNull(), F.array_join(kept, "\n")).otherwise(row[text])
+    return rows.join(named, met, "left").select(*[(cut if c == text else row[c]).alias(c) for c in docs.columns])

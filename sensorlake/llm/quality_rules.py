@@ -254,17 +254,23 @@ def _prune(rule, values, bad, among) -> list[Condition]:
 
 
 def judge(docs: DataFrame, rules: DecisionList, text: str = "text") -> DataFrame:
-    """`docs` with a struct `_quality`: the counts, `base_failed`, `rule` and `kept`."""
-    counted = docs.withColumn("_counts", measure(text))
-    columns = features(lambda name: F.col(f"_counts.{name}"))
-    failed = base_failed(F.col("_counts.n_words"), F.col("_counts.n_repeat_words"))
+    """`docs` with a struct `_quality`: the counts, `base_failed`, `rule` and `kept`.
+
+    A column of `docs` that has this name is replaced; other names do not matter.
+    """
+    counts = "_counts"
+    while counts in docs.columns:
+        counts += "_"
+    counted = docs.withColumn(counts, measure(text))
+    columns = features(lambda name: F.col(f"{counts}.{name}"))
+    failed = base_failed(F.col(f"{counts}.n_words"), F.col(f"{counts}.n_repeat_words"))
     rule = rules.rule(columns)
     return counted.withColumn(
         "_quality",
         F.struct(
-            "_counts.*",
+            f"{counts}.*",
             failed.alias("base_failed"),
             rule.alias("rule"),
             (~failed & rule.isNull()).alias("kept"),
         ),
-    ).drop("_counts")
+    ).drop(counts)
