@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a frame, which is written as
 as the next stage's documents. All but the last return the columns of documents.
 
 Defined cases: a document whose lines are all removed stays with an empty text, counts nothing in the
-mix, and is not returned by it; NULL texts fail the base rule of the first stage.
+mix, and is not returned by it; NULL texts fail the base rule of the first stage; further columns go
+through all stages but the last, whatever they are called; an empty table gives an empty result.
 """
 
 from collections.abc import Callable
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from sensorlake import staging
 from sensorlake.llm import bpe, line_dedup, mixing, near_dups, quality_rules
+from sensorlake.llm.buckets import whole_row
 from sensorlake.llm.queries import table, vocabulary_path
 
 
@@ -42,7 +44,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     counts = docs.select("doc_id", quality_rules.measure("text").alias("counts"))
     measured = staging.stage(counts.select("doc_id", "counts.*"))
     rules = quality_rules.fit(measured, table(spark, sf_dir, "labels"))
-    return quality_rules.judge(docs, rules).where("_quality.kept").drop("_quality")
+    rows = docs.select(whole_row(docs).alias("row"), "text")
+    return quality_rules.judge(rows, rules).where("_quality.kept").select("row.*")
 
 
 @_stage
@@ -58,7 +61,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near duplicates: shingles of five words, similarity 0.8."""
     groups = near_dups.near_duplicates(docs)
     gone = groups.where("NOT kept").select(F.col("doc_id").alias("_of")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_of"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["_of"], "left_anti")
 
 
 @_stage
@@ -66,12 +69,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     taken = mixing.mix(docs)
     times = (F.col("taken") / F.col("size")).cast("int")
-    chosen = taken.where("taken > 0").select(F.col("doc_id").alias("_of"), times.alias("_times"))
+    chosen = taken.where("taken > 0").select("doc_id", times.alias("times"))
     # Rows that share a doc_id are all taken as often as the one of them taken most.
-    chosen = chosen.groupBy("_of").agg(F.max("_times").alias("_times"))
-    repeated = docs.join(chosen, docs["doc_id"].eqNullSafe(F.col("_of")))
-    copies = F.explode(F.array_repeat(F.lit(1), F.col("_times")))
-    return repeated.withColumn("_copy", copies).drop("_of", "_times", "_copy")
+    chosen = chosen.groupBy("doc_id").agg(F.max("times").alias("times"))
+    rows = docs.select(whole_row(docs).alias("row"))
+    repeated = rows.join(chosen, F.col("row")["doc_id"].eqNullSafe(F.col("doc_id")))
+    return repeated.select("row", F.explode(F.array_repeat(F.lit(1), F.col("times")))).select("row.*")
 
 
 @_stage
