@@ -35,6 +35,9 @@ def sf_dir(spark, tmp_path_factory):
 def test_stages(spark, sf_dir, tmp_path):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
+    # Further columns, named like what the stages use themselves.
+    names = "row found made times taken size cls version removed n_words kept _of _version _removed _times _copy _quality _counts a.b"
+    docs = docs.withColumns({name: F.lit(len(name)) for name in names.split()})
     results = []
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
         out = stage(spark, docs, sf_dir)
@@ -67,6 +70,14 @@ def test_stages(spark, sf_dir, tmp_path):
     assert results[4].count() == results[3].count()
 
 
+def test_stages_of_an_empty_table(spark, sf_dir):
+    docs = spark.createDataFrame([], DOCS)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf_dir)
+        assert out.count() == 0, name
+    assert out.columns == ["doc_id", "source", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
 def test_run_gives_the_rows_of_the_stages(spark, sf_dir):
     rows = corpus_pipeline.run(spark, sf_dir)
     again = corpus_pipeline.run(spark, sf_dir)
