@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import numpy as np
 import pytest
 from conftest import TESTDATA
 from llm import brute
@@ -67,6 +68,73 @@ def test_quality_rules(spark, texts):
         assert r.base_failed == (c[0] < 50 or 100 * c[4] > 50 * c[0]) and not (r.base_failed and r.kept)
 
 
+def test_bpe_equals_the_library(spark, texts):
+    tokenizers = pytest.importorskip("tokenizers")
+    library = tokenizers.Tokenizer.from_file(str(queries.vocabulary_path()))
+    library.no_truncation()
+    library.no_padding()
+    made = by_id(result(spark, "op2_bpe"), "n_tokens", "ids_sha256", "decoded_sha256")
+    for i, text in texts:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        back = library.decode(ids, skip_special_tokens=False)
+        assert made[i] == (len(ids), brute.sha(",".join(map(str, ids))), brute.sha(back))
+
+
+def test_neighbours_against_all_products(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect()
+    column = next(c for c in rows[0].asDict() if c != "vec_id" and isinstance(rows[0][c], list))
+    held = [(r.vec_id, r[column]) for r in rows if r[column] and all(v is not None and np.isfinite(v) for v in r[column]) and any(r[column])]
+    ids, vectors = np.array([i for i, _ in held]), np.array([v for _, v in held], float)
+    made = {}
+    for r in result(spark, "op6_neighbours").collect():
+        made.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    met = wanted = 0
+    for at, query in enumerate(ids):
+        if query % 20:
+            assert query not in made
+            continue
+        scores = vectors @ vectors[at]
+        order = [k for k in np.lexsort((ids, -scores)) if k != at][:20]
+        found = sorted(made[query])
+        assert [rank for rank, _, _ in found] == list(range(1, len(order) + 1))
+        assert found == [(k, i, s) for k, (s, i) in enumerate(sorted(((s, i) for _, i, s in found), key=lambda x: (-x[0], x[1])), 1)]
+        place = {i: k for k, i in enumerate(ids)}
+        np.testing.assert_allclose([s for _, _, s in found], [scores[place[i]] for _, i, _ in found], rtol=1e-12, atol=1e-12)
+        met += len({i for _, i, _ in found} & {ids[k] for k in order})
+        wanted += len(order)
+    assert met >= 0.9 * wanted > 0
+
+
+def test_mixing_comes_near_its_targets(spark, texts):
+    rows = result(spark, "op9_mixing").collect()
+    words = {i: len(brute.words(t)) for i, t in texts}
+    held, taken, target = {}, {}, {}
+    for r in rows:
+        assert r["size"] == words[r.doc_id] and 0 <= r.taken <= 2 * r["size"] and (not r["size"] or r.taken % r["size"] == 0)
+        held[r.source] = held.get(r.source, 0) + r["size"]
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        assert target.setdefault(r.source, r.target) == r.target
+    assert all(r.source_size == held[r.source] for r in rows)
+    # 150 % of all sizes by weights 5, 2, 1, up to twice a source; what is beyond goes to the others.
+    order = sorted(held, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}
+    left, open_, expected = 1.5 * sum(held.values()), set(order), {}
+    while open_:
+        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        full = {s for s in open_ if share[s] > 2 * held[s]}
+        if not full:
+            expected.update(share)
+            break
+        for s in full:
+            expected[s] = 2.0 * held[s]
+            left -= expected[s]
+        open_ -= full
+    for s in order:
+        assert abs(target[s] - expected[s]) <= 1e-6 * max(1, expected[s])
+        # A source has a dozen texts here, so that not every sum can be made.
+        assert abs(taken[s] - target[s]) <= max(1, 0.02 * target[s])
+
+
 @pytest.mark.parametrize("name, columns", [
     ("op2_bpe", ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]),
     ("op6_neighbours", ["query_id", "rank", "vec_id", "score"]),
