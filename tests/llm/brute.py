@@ -117,3 +117,32 @@ def counts(text):
 
 def payload_digest(payload):
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
+
+
+def accepted_patterns(rows, min_confidence=0.8, min_seeds=5, unknown=0.5):
+    """The bootstrap of the personal data over (pattern, token, label, doc_id), with dictionaries."""
+    edges = {}
+    for pattern, token, label, doc in rows:
+        held = edges.setdefault(pattern, {})
+        held[token, label] = min(doc, held.get((token, label), doc))
+    good, belief = {}, {}
+    while True:
+        found = {}
+        for pattern, held in edges.items():
+            if pattern in good:
+                continue
+            kinds = {label or belief.get(token, (0, None))[1] for token, label in held} - {None, "none"}
+            total = sum(1 if label or token in belief else unknown for token, label in held)
+            for kind in kinds:
+                mine = [(t, lb) for t, lb in held if (lb or belief.get(t, (0, None))[1]) == kind]
+                confidence = sum(1 if lb else belief[t][0] for t, lb in mine) / (total + 1)
+                enough = min(len(mine), len({held[key] for key in mine})) >= min_seeds
+                if enough and confidence >= min_confidence:
+                    found[pattern] = (confidence, kind)
+        if not found:
+            return {(kind, pattern): confidence for pattern, (confidence, kind) in good.items()}
+        good.update(found)
+        for pattern in good:
+            for token, label in edges[pattern]:
+                if label is None:
+                    belief[token] = max(belief.get(token, (0, "")), good[pattern])

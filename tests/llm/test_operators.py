@@ -273,6 +273,86 @@ def test_patterns_with_just_enough_seeds(spark):
     assert found == {f"one slot{chr(97 + p // 20)}{chr(97 + p % 20)}" for p in range(300)}
 
 
+CHAIN = (
+    [f"please call Hotline: +1 743 555 3{i:03} for help" for i in range(100)]
+    + [f"again the (hotline) 0800/55{i:02}1 is open" for i in range(20)]  # known by the hotline alone
+    + [f"or you may dial 0800/55{i:02}1 today" for i in range(20)]  # support patterns of the second round
+    + ["or you may dial 77-41-32-19 tomorrow", "in 2024 and 5,000 others", "see order 123456789"]
+)
+
+
+def test_identifiers_found_seed_further_patterns(spark):
+    df = spark.createDataFrame(list(enumerate(CHAIN)), "doc_id long, text string")
+
+    def found(**options):
+        rows = pii.spans(df, **options).collect()
+        return {(r.doc_id, s.kind, CHAIN[r.doc_id][s.start : s.end]) for r in rows for s in r.spans}
+
+    seeds = {(i, "phone", f"+1 743 555 3{i:03}") for i in range(100)}
+    first = seeds | {(100 + i, "phone", f"0800/55{i:02}1") for i in range(20)}
+    last = {(120 + i, "phone", f"0800/55{i:02}1") for i in range(20)} | {(140, "phone", "77-41-32-19")}
+    assert found(rounds=0) == seeds
+    assert found(rounds=1) == first
+    assert found() == first | last
+
+
+def test_failed_matches_count_against_patterns(spark):
+    fine = [f"w{chr(97 + i)} 10.0.0.{i}0 and" for i in range(1, 10)]
+    texts = fine + [f"v{chr(97 + i)} 910.0.0.{i}0 and" for i in range(8)] + ["x 910.0.0.77 and"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in pii.spans(df).collect()}
+    assert all(len(rows[i].spans) == (i < 9) for i in range(len(texts)))
+    occurrences = pii._forms(pii._labelled(pii.scan(df)))
+    assert {r.pattern for r in pii.patterns(occurrences).collect()} == {"form 99.9.9.99"}
+
+
+def test_years_after_the_words_of_cards_stay(spark):
+    fine = ["4465758382889437", "4417744280351547", "9807915762804490", "4845168114407329", "4929348385146306", "7536784127813050"]
+    texts = [f"{chr(97 + i)} in {card} und" for i, card in enumerate(fine)]
+    texts += [f"{w} sold {i} in {kind} and" for i, (w, kind) in enumerate([("x", "10.0.0.1"), ("y", "a.b@cd.ef"), ("z", "2024")])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in pii.spans(df).collect()}
+    assert len(rows[7].spans) == len(rows[6].spans) == 1 and not rows[8].spans
+
+
+def test_bootstrap_against_dictionaries(spark):
+    rng = np.random.default_rng(7)
+    names = [None, *pii.KINDS, "none"]
+    label_of = {f"t{t}": names[rng.choice(6, p=[0.4, 0.35, 0.1, 0.05, 0.05, 0.05])] for t in range(120)}
+    held = []
+    for pattern in range(60):
+        pool = rng.permutation(120)[: rng.integers(4, 30)] if pattern % 3 else np.arange(pattern, pattern + 12) % 120
+        for t in pool:
+            label = label_of[f"t{t}"]
+            if pattern % 4 == 1 and label not in (None, "email"):
+                continue
+            held += [(f"p{pattern}", f"t{t}", label, int(rng.integers(0, 40))) for _ in range(rng.integers(1, 3))]
+    df = spark.createDataFrame(held, "pattern string, token string, label string, doc_id long")
+    seen = 0
+    for least in (0.5, 0.6, 0.8):
+        expected = brute.accepted_patterns(held, least, 4)
+        made = {(r.kind, r.pattern): r.confidence for r in pii.patterns(df, min_confidence=least, min_seeds=4).collect()}
+        assert made == pytest.approx(expected)
+        seen += len(expected)
+    assert seen > 5
+
+
+def test_hidden_identifiers_come_back(spark):
+    texts = [f"{chr(97 + i % 26)}{chr(97 + i // 26)} +1 ({200 + i}) 555-{1000 + 7 * i} und" for i in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    (row,) = pii.held_out(df, percent=30).collect()
+    assert row.kind == "phone" and 30 < row.hidden < 90 and row.added == row.right == row.hidden
+    assert pii.held_out(df.limit(0)).count() == 0
+
+
+def test_personal_data_of_odd_rows(spark):
+    rows = [(None, "call +1 743 555 3811", 1), (None, "call +1 743 555 3811", 2), (3, None, 3), (4, "", 4), (5, "9" * 50_000 + " @", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    for name in ("version", "instances", "label", "kind", "pattern", "failed", "token"):
+        df = df.withColumn(name, F.lit("x"))
+    assert sorted(len(r.spans) for r in pii.spans(df).collect()) == [0, 0, 0, 1, 1]
+
+
 def test_personal_data_edges(empty, twice):
     assert pii.spans(empty).count() == 0
     assert pii.spans(twice).count() == 6
