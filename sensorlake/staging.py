@@ -1,16 +1,26 @@
 """Intermediate tables in the shared checkpoint folder.
 
 A staged frame cuts the lineage (an executor lost later does not recompute what lies before it),
-keeps columnar pruning, and gives Catalyst real file sizes to plan with.
+keeps columnar pruning, and gives Catalyst real file sizes to plan with. The shuffle files behind it are
+deleted as soon as it is written: nothing reads them again, and a job of many steps would otherwise hold
+those of all its steps until the driver happens to collect its garbage.
 """
 
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_open_scopes: list[list[str]] = []
+_FREEING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_of_thread = threading.local()
+
+
+def _open_scopes() -> list[list[str]]:
+    if not hasattr(_of_thread, "scopes"):
+        _of_thread.scopes = []
+    return _of_thread.scopes
 
 
 def folder(spark: SparkSession) -> str:
@@ -27,15 +37,38 @@ def _own_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession) -> str:
-    return f"{_own_folder(spark)}/{uuid.uuid4().hex}"
+    """A path that nothing stands at yet; what is written there belongs to the open scope."""
+    path = f"{_own_folder(spark)}/{uuid.uuid4().hex}"
+    if _open_scopes():
+        _open_scopes()[-1].append(path)
+    return path
+
+
+@contextmanager
+def freeing(spark: SparkSession) -> Iterator[None]:
+    """Have Spark delete the shuffle files of what runs within the block when each execution ends.
+
+    A frame that has run within the block can run again; it then shuffles anew.
+    """
+    before = spark.conf.get(_FREEING, None)
+    spark.conf.set(_FREEING, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREEING)
+        else:
+            spark.conf.set(_FREEING, before)
 
 
 def stage(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write `df` once and return a frame that reads it back."""
-    path = path or new_path(df.sparkSession)
-    if _open_scopes:
-        _open_scopes[-1].append(path)
-    df.write.parquet(path)
+    if path is None:
+        path = new_path(df.sparkSession)
+    elif _open_scopes():
+        _open_scopes()[-1].append(path)
+    with freeing(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -48,11 +81,11 @@ def drop(spark: SparkSession, path: str) -> None:
 @contextmanager
 def collecting(paths: list[str]) -> Iterator[None]:
     """Add the paths of all that is staged within the block to `paths`, to be dropped later."""
-    _open_scopes.append(paths)
+    _open_scopes().append(paths)
     try:
         yield
     finally:
-        _open_scopes.pop()
+        _open_scopes().pop()
 
 
 @contextmanager

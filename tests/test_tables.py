@@ -227,6 +227,29 @@ def test_a_scope_deletes_what_is_staged_in_it(spark):
     assert not os.path.exists(path.removeprefix("file:"))
 
 
+def test_a_scope_deletes_what_is_written_to_its_new_paths(spark):
+    outside = staging.new_path(spark)
+    with staging.scope(spark):
+        inside = staging.new_path(spark)
+        for path in (inside, outside):
+            spark.range(5).write.parquet(path)
+    assert not os.path.exists(inside.removeprefix("file:")) and spark.read.parquet(outside).count() == 5
+    staging.drop(spark, outside)
+
+
+def test_staging_frees_its_shuffle_files(spark):
+    def shuffled():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {blocks.apply(i).getName() for i in range(blocks.size()) if blocks.apply(i).getName().startswith("shuffle_")}
+
+    counts = spark.range(10_000).groupBy((F.col("id") % 7).alias("k")).count()
+    before = shuffled()
+    stored = staging.stage(counts)
+    assert shuffled() <= before and stored.count() == 7
+    assert spark.conf.get(staging._FREEING, None) is None
+    assert sorted(r["count"] for r in counts.collect()) == [1428] * 3 + [1429] * 4
+
+
 def test_staging_folder_is_the_one_the_cluster_names():
     context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
     named = SimpleNamespace(conf={"spark.checkpoint.dir": "hdfs:///shared"}, sparkContext=context)
