@@ -1,11 +1,14 @@
 """The pipeline, stage by stage, over a small table."""
 
+import os
 import random
 
 import pytest
 from llm import brute
 from pyspark.sql import functions as F
 
+from sensorlake import staging
+
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -78,6 +81,19 @@ def test_stages_of_an_empty_table(spark, sf_dir):
     assert out.columns == ["doc_id", "source", "n_tokens", "ids_sha256", "decoded_sha256"]
 
 
+def test_results_of_stages_side_by_side(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    staged: list[str] = []
+    with staging.collecting(staged):
+        made = [stage(spark, docs, sf_dir) for _, stage in [*corpus_pipeline.STAGES, *corpus_pipeline.STAGES]]
+    half = len(made) // 2
+    for one, other in zip(made[:half], made[half:]):
+        assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+    # Three stages keep one table of decisions each; all else is gone.
+    left = [path for path in staged if os.path.exists(path.removeprefix("file:"))]
+    assert len(left) == 6
+
+
 def test_run_gives_the_rows_of_the_stages(spark, sf_dir):
     rows = corpus_pipeline.run(spark, sf_dir)
     again = corpus_pipeline.run(spark, sf_dir)
