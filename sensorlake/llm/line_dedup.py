@@ -9,7 +9,8 @@ in all texts (a table of fixed size), then by hash. Classes that match share one
 (prefix filter); candidates pass the length and positional filters, and one by the parity of 64 bits. The
 token sets of classes with a candidate are made from their first lines. Among these, each class is compared
 with the earliest of each of its tokens, which settles most variants of a line that many documents repeat;
-what is left is compared with all candidates before it. Jaccard similarity is verified on whole sets.
+what is left is compared with all candidates before it. Pairs pass a filter by 512 parity bits, which few
+long lines pass by chance, before Jaccard similarity is verified on whole sets.
 
 Defined cases: a NULL text has no lines; a row without a doc_id keeps all its lines and is not compared;
 rows with equal doc_id and text have equal results, neither being earlier; of rows that share a doc_id but
@@ -29,6 +30,7 @@ from sensorlake.llm.buckets import bucketed, whole_row
 
 BREAKS = r"[ \t\x0B\f\r]+"
 RARITY_BUCKETS = 1 << 16
+SIGNATURE = 8  # words of 64 parity bits, a power of two
 _HASH_BITS = 54
 
 
@@ -117,10 +119,27 @@ def _with_candidates(docs: DataFrame, rarity: Column, percent: int) -> DataFrame
     return listed.alias("x").join(listed.alias("y"), met, "left_semi").select("cls").distinct()
 
 
-def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The classes (by number) of `pairs` whose token set matches that of their earlier partner."""
+def _signatures(sets: DataFrame) -> DataFrame:
+    """ord, n, and SIGNATURE columns of 64 parity bits each: long sets need more bits than `_parity` has."""
+    each = sets.select("ord", F.explode("tokens").alias("t"))
+    word = F.shiftright("t", 6).bitwiseAND(F.lit(SIGNATURE - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("t").bitwiseAND(F.lit(63)).cast("int"))
+    bits = [F.coalesce(F.bit_xor(F.when(word == w, bit)), F.lit(0)).alias(f"s{w}") for w in range(SIGNATURE)]
+    return bucketed(each.groupBy("ord").agg(F.count(F.lit(1)).alias("n"), *bits), "ord", dealt=True)
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """The classes (by number) of `pairs` whose token set matches that of their earlier partner.
+
+    Token sets are brought to the pairs that their signatures leave.
+    """
+    other = signatures.toDF(*[f"{c}_2" for c in signatures.columns])
+    signed = pairs.join(signatures, "ord").join(other, "ord_2")
+    differ = sum((F.bit_count(F.col(f"s{w}").bitwiseXOR(F.col(f"s{w}_2"))) for w in range(SIGNATURE)), F.lit(0))
+    n, m = F.col("n"), F.col("n_2")
+    likely = staging.stage(signed.where(differ <= n + m - 2 * _common(n, m, percent)).select("ord", "ord_2"))
     tokens = sets.select("ord", "tokens")
-    both = pairs.join(tokens, "ord").join(tokens.toDF("ord_2", "tokens_2"), "ord_2")
+    both = likely.join(tokens, "ord").join(tokens.toDF("ord_2", "tokens_2"), "ord_2")
     shared = F.size(F.array_intersect("tokens", "tokens_2"))
     union = F.size("tokens") + F.size("tokens_2") - shared
     return both.where(100 * shared >= percent * union).select("ord").distinct()
@@ -142,11 +161,12 @@ def _repeated_classes(sets: DataFrame, percent: int) -> DataFrame:
     met = _may_match("x", "y", percent) & (F.col("x.ord") > F.col("y.ord"))
     chosen = [F.col("x.ord").alias("ord"), F.col("y.ord").alias("ord_2")]
     first = listed.alias("x").join(leads.alias("y"), met).select(*chosen).distinct()
-    settled = staging.stage(_alike(first, sets, percent))
+    signatures = _signatures(sets)
+    settled = staging.stage(_alike(first, sets, signatures, percent))
     # What is left, against all classes before it.
     open_ = listed.join(settled, "ord", "left_anti")
     rest = open_.alias("x").join(listed.alias("y"), met).select(*chosen).distinct()
-    return settled.union(_alike(rest, sets, percent))
+    return settled.union(_alike(rest, sets, signatures, percent))
 
 
 def _token_sets(docs: DataFrame, numbered: DataFrame, rarity: Column) -> DataFrame:
