@@ -6,8 +6,8 @@ with Jaccard similarity of at least `percent` to its own; earlier lines count wh
 
 Equal lines form one class. Tokens are ordered by rarity: by how often the bucket of their hash occurs
 in all texts (a table of fixed size), then by hash. Classes that match share one of their rarest tokens
-(prefix filter); candidates pass the length and positional filters, and one by the parity of 64 bits. The
-token sets of classes with a candidate are made from their first lines. Among these, each class is compared
+(prefix filter); candidates pass the length and positional filters, and one by the parity of 64 bits, of 128
+or 256 for longer lines, which would pass by chance otherwise. The token sets of classes with a candidate are made from their first lines. Among these, each class is compared
 with the earliest of each of its tokens, which settles most variants of a line that many documents repeat;
 what is left is compared with all candidates before it. Pairs pass a filter by 512 parity bits, which few
 long lines pass by chance, before Jaccard similarity is verified on whole sets.
@@ -21,6 +21,8 @@ other columns do not matter.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,9 +30,11 @@ from pyspark.sql import functions as F
 from sensorlake import staging
 from sensorlake.llm.buckets import bucketed, whole_row
 
-BREAKS = r"[ \t\x0B\f\r]+"
+BREAKS = "\t\x0B\f\r"  # besides the space
 RARITY_BUCKETS = 1 << 16
 SIGNATURE = 8  # words of 64 parity bits, a power of two
+PARITY = ("parity", "odd", "odd_high", "even_high")
+HALVES, QUARTERS = 48, 120  # from so many tokens on, a set has 128 and 256 parity bits
 _HASH_BITS = 54
 
 
@@ -41,8 +45,14 @@ def _lines(docs: DataFrame) -> DataFrame:
     return lines.where(F.col("line").rlike(r"[^ \t\x0B\f\r]")).withColumn("cls", F.xxhash64("line"))
 
 
-def _words(line: Column | str) -> Column:
-    return F.array_remove(F.split(line, BREAKS), "")
+def _spaced(text: str, breaks: str) -> Column:
+    """`text` with a space for each of `breaks`: splitting at one character is cheaper than at a class."""
+    held = [F.contains(F.col(text), F.lit(c)) for c in breaks]
+    return F.when(reduce(or_, held), F.translate(text, breaks, " " * len(breaks))).otherwise(F.col(text))
+
+
+def _words(line: str) -> Column:
+    return F.array_remove(F.split(_spaced(line, BREAKS), " "), "")
 
 
 def _bucket(hashed: Column) -> Column:
@@ -50,22 +60,27 @@ def _bucket(hashed: Column) -> Column:
 
 
 def _rarity(docs: DataFrame) -> Column:
-    """An array by hash bucket: how common its tokens are, on a logarithmic scale, above the hash bits."""
-    words = docs.select(F.explode(F.split("text", r"[ \t\n\x0B\f\r]+")).alias("word"))
+    """An array by hash bucket: how common its tokens are, on a logarithmic scale.
+
+    Every plan with ranked tokens holds it as text, so its numbers are kept short.
+    """
+    words = docs.select(F.explode(F.split(F.translate("text", "\n" + BREAKS, " " * 5), " ")).alias("word"))
     counted = words.groupBy(_bucket(F.xxhash64("word")).alias("bucket")).count()
     common = [0] * RARITY_BUCKETS
     for row in counted.collect():  # one small row per bucket
-        common[row["bucket"]] = int(8 * math.log2(1 + row["count"])) << _HASH_BITS
-    return F.split(F.lit(",".join(map(str, common))), ",").cast("array<long>")
+        common[row["bucket"]] = int(8 * math.log2(1 + row["count"]))
+    return F.split(F.lit(",".join(map(str, common))), ",").cast("array<int>")
 
 
-def _ranked(line: Column | str, rarity: Column) -> Column:
+def _ranked(line: str, rarity: Column) -> Column:
     """The token set of a line as numbers, rarest first: bucket frequency above, hash below."""
     low = F.lit((1 << _HASH_BITS) - 1)
 
     def rank(word: Column) -> Column:
         hashed = F.xxhash64(word)
-        return F.get(rarity, _bucket(hashed)).bitwiseOR(hashed.bitwiseAND(low))
+        # Numbers that may not be NULL are sorted as plain ones, in less time.
+        level = F.coalesce(F.get(rarity, _bucket(hashed)), F.lit(0)).cast("long")
+        return F.shiftleft(level, _HASH_BITS).bitwiseOR(hashed.bitwiseAND(low))
 
     return F.sort_array(F.array_distinct(F.transform(_words(line), rank)))
 
@@ -75,16 +90,40 @@ def _common(n: Column, m: Column, percent: int) -> Column:
     return F.ceil((n + m) * percent / (100 + percent) - 1e-9)
 
 
-def _parity(tokens: str) -> Column:
-    """64 bits, each telling whether an odd number of tokens falls on it.
-
-    Where the bits of two sets differ, their tokens differ: so many of them at least.
-    """
+def _fold(tokens: Column) -> Column:
+    """64 bits, each telling whether an odd number of tokens falls on it."""
     one = F.lit(1).cast("long")
     flip = lambda bits, t: bits.bitwiseXOR(F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int")))
     return F.aggregate(tokens, F.lit(0).cast("long"), flip)
 
 
+def _parity(tokens: str) -> list[Column]:
+    """The columns PARITY: 64 parity bits, and what halves and quarters them, NULL for sets too small for it.
+
+    A pair of bits that `odd` holds for some of its tokens, `parity ^ odd` holds for the others: 128 bits in all;
+    `odd_high` and `even_high` split these again. Where the bits of two sets differ, their tokens differ: so
+    many of them at least.
+    """
+    at = lambda mask, value: F.filter(tokens, lambda t: t.bitwiseAND(F.lit(mask)) == value)
+    n = F.size(tokens)
+    columns = [
+        _fold(F.col(tokens)),
+        F.when(n >= HALVES, _fold(at(64, 64))),
+        F.when(n >= QUARTERS, _fold(at(192, 192))),
+        F.when(n >= QUARTERS, _fold(at(192, 128))),
+    ]
+    return [column.alias(name) for column, name in zip(columns, PARITY)]
+
+
+def _differing(x: str, y: str) -> Column:
+    """In how many parity bits two sets differ, of as many as both have."""
+    whole, odd, odd_high, even_high = (F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}")) for c in PARITY)
+    even = whole.bitwiseXOR(odd)
+    halves = F.bit_count(odd) + F.bit_count(even)
+    quarters = [odd_high, odd.bitwiseXOR(odd_high), even_high, even.bitwiseXOR(even_high)]
+    return F.coalesce(sum(map(F.bit_count, quarters[1:]), F.bit_count(quarters[0])), halves, F.bit_count(whole))
+
+
 def _prefix(tokens: Column, percent: int) -> Column:
     """The rarest tokens of a set: as many as it may lack against a match, and one more."""
     n = F.size(tokens)
@@ -96,10 +135,9 @@ def _may_match(x: str, y: str, percent: int) -> Column:
     n, m = F.col(f"{x}.size"), F.col(f"{y}.size")
     near = 100 * F.least(n, m) >= percent * F.greatest(n, m)
     after = F.least(n - F.col(f"{x}.place"), m - F.col(f"{y}.place"))
-    differ = F.bit_count(F.col(f"{x}.parity").bitwiseXOR(F.col(f"{y}.parity")))
     common = _common(n, m, percent)
     same = F.col(f"{x}.token") == F.col(f"{y}.token")
-    return same & near & (1 + after >= common) & (differ <= n + m - 2 * common)
+    return same & near & (1 + after >= common) & (_differing(x, y) <= n + m - 2 * common)
 
 
 def _with_candidates(docs: DataFrame, rarity: Column, percent: int) -> DataFrame:
@@ -109,18 +147,18 @@ def _with_candidates(docs: DataFrame, rarity: Column, percent: int) -> DataFrame
     """
     ranked = _lines(docs).select("cls", _ranked("line", rarity).alias("tokens"))
     ranked = ranked.select(
-        "cls", F.size("tokens").alias("size"), _parity("tokens").alias("parity"), _prefix(F.col("tokens"), percent).alias("prefix")
+        "cls", F.size("tokens").alias("size"), *_parity("tokens"), _prefix(F.col("tokens"), percent).alias("prefix")
     )
-    classes = ranked.groupBy("cls").agg(*[F.first(c).alias(c) for c in ("size", "parity", "prefix")])
-    listed = classes.select("cls", "size", "parity", F.posexplode("prefix").alias("at", "token"))
-    listed = listed.select("token", "cls", "size", "parity", (F.col("at") + 1).alias("place"))
+    classes = ranked.groupBy("cls").agg(*[F.first(c).alias(c) for c in ("size", *PARITY, "prefix")])
+    listed = classes.select("cls", "size", *PARITY, F.posexplode("prefix").alias("at", "token"))
+    listed = listed.select("token", "cls", "size", *PARITY, (F.col("at") + 1).alias("place"))
     # Both sides are the same frame, so its rows are dealt out by token once. No pairs are made here.
     met = _may_match("x", "y", percent) & (F.col("x.cls") != F.col("y.cls"))
     return listed.alias("x").join(listed.alias("y"), met, "left_semi").select("cls").distinct()
 
 
 def _signatures(sets: DataFrame) -> DataFrame:
-    """ord, n, and SIGNATURE columns of 64 parity bits each: long sets need more bits than `_parity` has."""
+    """ord, n, and SIGNATURE columns of 64 parity bits each: the longest sets need more bits than `_parity` has."""
     each = sets.select("ord", F.explode("tokens").alias("t"))
     word = F.shiftright("t", 6).bitwiseAND(F.lit(SIGNATURE - 1))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("t").bitwiseAND(F.lit(63)).cast("int"))
@@ -148,10 +186,10 @@ def _alike(pairs: DataFrame, sets: DataFrame, signatures: DataFrame, percent: in
 def _repeated_classes(sets: DataFrame, percent: int) -> DataFrame:
     """Numbers of the classes that match an earlier one. `sets`: ord (in order of first lines), tokens."""
     listed = sets.select(
-        "ord", F.size("tokens").alias("size"), _parity("tokens").alias("parity"),
+        "ord", F.size("tokens").alias("size"), *_parity("tokens"),
         F.posexplode(_prefix(F.col("tokens"), percent)).alias("at", "token"),
     )
-    listed = listed.select("token", "ord", "size", (F.col("at") + 1).alias("place"), "parity")
+    listed = listed.select("token", "ord", "size", (F.col("at") + 1).alias("place"), *PARITY)
     # First against the earliest class of each token, which settles most variants of a line. The rows
     # of a token are brought together once, for all that follows; tokens of one class are left out.
     of_token = Window.partitionBy("token")

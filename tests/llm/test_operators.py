@@ -133,6 +133,28 @@ def test_line_dedup_edges(empty, twice):
         assert "Python" not in df._jdf.queryExecution().toString()
 
 
+def test_long_lines_meet_no_strangers(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    strangers = [(i, " ".join(rng.sample(words, 100))) for i in range(150)]
+    lines = spark.createDataFrame(strangers, "doc_id long, text string")
+    assert line_dedup._with_candidates(lines, line_dedup._rarity(lines), 80).count() == 0
+
+
+def test_long_lines_around_the_threshold(spark):
+    rng = random.Random(6)
+    data = []
+    for n in (44, 47, 48, 52, 100, 110, 119, 120, 125, 140, 260, 300):
+        first = [f"n{n}w{i}" for i in range(n)]
+        data.append(" ".join(first))
+        for lacking, own in ((n // 5, 0), (n // 5 + 1, 0), (n // 9, n // 9), (0, n // 4), (0, n // 4 + 1), (n // 3, 1)):
+            edited = rng.sample(first, n - lacking) + [f"n{n}e{lacking}x{i}" for i in range(own)]
+            data.append("\t".join(edited[: n // 2]) + "\x0b " + "\f".join(edited[n // 2 :]))
+    rows = list(enumerate(data))
+    found = line_dedup.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert by_id(found, "n_lines", "removed") == {i: v for i, v in brute.removed_lines(rows).items() if v[0]}
+
+
 # -- 2 BPE ------------------------------------------------------------------------------------
 
 
