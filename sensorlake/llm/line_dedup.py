@@ -42,7 +42,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     """doc_id, version (of the text), line_no from 0, line, cls (hash of the line)."""
     split = F.posexplode(F.split("text", "\n")).alias("line_no", "line")
     lines = docs.select("doc_id", F.xxhash64("text").alias("version"), split)
-    return lines.where(F.col("line").rlike(r"[^ \t\x0B\f\r]")).withColumn("cls", F.xxhash64("line"))
+    return lines.where(F.ltrim("line", F.lit(" " + BREAKS)) != "").withColumn("cls", F.xxhash64("line"))
 
 
 def _spaced(text: str, breaks: str) -> Column:
@@ -64,7 +64,8 @@ def _rarity(docs: DataFrame) -> Column:
 
     Every plan with ranked tokens holds it as text, so its numbers are kept short.
     """
-    words = docs.select(F.explode(F.split(F.translate("text", "\n" + BREAKS, " " * 5), " ")).alias("word"))
+    flat = F.replace(_spaced("text", BREAKS), F.lit("\n"), F.lit(" "))
+    words = docs.select(F.explode(F.split(flat, " ")).alias("word"))
     counted = words.groupBy(_bucket(F.xxhash64("word")).alias("bucket")).count()
     common = [0] * RARITY_BUCKETS
     for row in counted.collect():  # one small row per bucket
@@ -143,7 +144,8 @@ def _may_match(x: str, y: str, percent: int) -> Column:
 def _with_candidates(docs: DataFrame, rarity: Column, percent: int) -> DataFrame:
     """Classes (cls) that have a candidate: one that shares one of their rarest tokens and may match.
 
-    Equal lines are put together first, so that a line of many documents is one row for each token.
+    Equal lines are put together first, so that a line of many documents is one row for each token. They are ranked
+    before that: prefixes are less to shuffle than texts.
     """
     ranked = _lines(docs).select("cls", _ranked("line", rarity).alias("tokens"))
     ranked = ranked.select(
