@@ -16,6 +16,7 @@ U+FFFD; the strings of special tokens encode to their ids; repeated rows give re
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -217,30 +218,32 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def _in_pieces(encoder: Encoder, column: pa.Array):
-    """Ids and counts of some texts of a column at a time, or of one long one."""
+def _parts(column: pa.Array) -> Iterator[pa.Array]:
+    """Some texts of a column at a time, or one long one."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
     start = 0
     while start < len(column):
         before = sizes[start - 1] if start else 0
         end = max(int(np.searchsorted(sizes, before + _SLICE_BYTES, "right")), start + 1)
-        yield encoder.encode([text or "" for text in column.slice(start, end - start).to_pylist()])
+        yield column.slice(start, end - start)
         start = end
 
 
+def _encoded(tables: Vocabulary, columns: Iterator[pa.Array]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and counts of the texts, part by part: what a task holds does not follow Spark's batches."""
+    encoder = Encoder(tables)
+    for column in columns:
+        for part in _parts(column):
+            yield encoder.encode([text or "" for text in part.to_pylist()])
+
+
 def encode(text: Column | str, path: str) -> Column:
     """The ids of a text (array of int) under the vocabulary file at `path`."""
     tables = vocabulary(path)
-    kept: list[Encoder] = []
 
-    def run(column: pa.Array) -> pa.Array:
-        if not kept:
-            kept.append(Encoder(tables))
-        ids, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-        for made in _in_pieces(kept[0], column):
-            ids.append(made[0])
-            counts.append(made[1])
-        return tx.lists(np.concatenate(ids), np.concatenate(counts), pa.int32())
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for ids, counts in _encoded(tables, columns):
+            yield tx.lists(ids, counts, pa.int32())
 
     return F.arrow_udf(run, "array<int>").asNondeterministic()(text)
 
@@ -248,19 +251,11 @@ def encode(text: Column | str, path: str) -> Column:
 def round_trip(text: Column | str, path: str) -> Column:
     """The ids of a text, and the text that these decode to, in one pass: struct of ids, decoded."""
     tables = vocabulary(path)
-    kept: list[Encoder] = []
-
-    def run(column: pa.Array) -> pa.Array:
-        if not kept:
-            kept.append(Encoder(tables))
-        ids, counts, back = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], []
-        for made in _in_pieces(kept[0], column):
-            ids.append(made[0])
-            counts.append(made[1])
-            back.append(pa.array(decoded(tables, *made), pa.string()))
-        lists = tx.lists(np.concatenate(ids), np.concatenate(counts), pa.int32())
-        texts = pa.concat_arrays(back) if back else pa.array([], pa.string())
-        return pa.StructArray.from_arrays([lists, texts], ["ids", "decoded"])
+
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for ids, counts in _encoded(tables, columns):
+            back = pa.array(decoded(tables, ids, counts), pa.string())
+            yield pa.StructArray.from_arrays([tx.lists(ids, counts, pa.int32()), back], ["ids", "decoded"])
 
     return F.arrow_udf(run, "ids array<int>, decoded string").asNondeterministic()(text)
 
@@ -269,18 +264,17 @@ def decode(ids: Column | str, path: str) -> Column:
     """The text of an array of ids."""
     tables = vocabulary(path)
 
-    def run(column: pa.Array) -> pa.Array:
-        made: list[bytes] = []
-        for start in range(0, len(column), 64):
-            part = column.slice(start, 64)
-            if part.null_count or part.flatten().null_count:
-                kept = [[i for i in x or () if i is not None] for x in part.to_pylist()]
-                counts = np.array([len(x) for x in kept])
-                flat = np.array([i for x in kept for i in x], np.int64)
-            else:
-                counts = np.diff(part.offsets.to_numpy())
-                flat = part.flatten().to_numpy(zero_copy_only=False)
-            made += [text.encode() for text in decoded(tables, flat, counts)]
-        return pa.array(made, pa.binary()).cast(pa.string())
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            for start in range(0, len(column), 64):
+                part = column.slice(start, 64)
+                if part.null_count or part.flatten().null_count:
+                    kept = [[i for i in x or () if i is not None] for x in part.to_pylist()]
+                    counts = np.array([len(x) for x in kept])
+                    flat = np.array([i for x in kept for i in x], np.int64)
+                else:
+                    counts = np.diff(part.offsets.to_numpy())
+                    flat = part.flatten().to_numpy(zero_copy_only=False)
+                yield pa.array(decoded(tables, flat, counts), pa.string())
 
     return F.arrow_udf(run, "string").asNondeterministic()(ids)

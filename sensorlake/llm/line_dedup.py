@@ -263,4 +263,5 @@ def remove_lines(docs: DataFrame, repeated: DataFrame, *, doc_id: str = "doc_id"
     met = (row[doc_id] == found["doc_id"]) & (F.xxhash64(row[text]) == found["version"])
     kept = F.filter(F.split(row[text], "\n"), lambda line, at: ~F.array_contains(found["removed"], at))
     cut = F.when(found.isNotNull(), F.array_join(kept, "\n")).otherwise(row[text])
-    return rows.join(named, met, "left").select(*[(cut if c == text else row[c]).alias(c) for c in docs.columns])
+    # The named lines follow the documents: they are merged with them at any size, never broadcast.
+    return rows.join(named.hint("merge"), met, "left").select(*[(cut if c == text else row[c]).alias(c) for c in docs.columns])

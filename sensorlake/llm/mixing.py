@@ -241,7 +241,8 @@ def mix(
             F.col(source).cast("string").alias("source"),
             length(text).alias("size"),
             F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text)).alias("draw"),
-        )
+        ),
+        batch=staging.TEXTS,
     )
     targets = source_targets(sizes, "source", weights, share, most)
     by_length = sizes.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))

@@ -184,7 +184,8 @@ def near_duplicates(
     Documents are linked when `percent` of the union of their shingle sets is common to both.
     """
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    drawn = staging.stage(plain.select("doc_id", sketch("text", size, kept).alias("s")).select("doc_id", "s.*"))
+    drawn = plain.select("doc_id", sketch("text", size, kept).alias("s")).select("doc_id", "s.*")
+    drawn = staging.stage(drawn, batch=staging.TEXTS)
     prints = ["print_1", "print_2", "n"]
     sets = staging.stage(
         drawn.where("n > 0 AND doc_id IS NOT NULL")
@@ -200,7 +201,8 @@ def near_duplicates(
     full = staging.stage(
         plain.join(wanted, "doc_id")
         .select("doc_id", shingles("text", size).alias("values"))
-        .select(F.col("doc_id").alias("node"), F.size("values").cast("long").alias("n"), "values")
+        .select(F.col("doc_id").alias("node"), F.size("values").cast("long").alias("n"), "values"),
+        batch=staging.TEXTS,
     )
     in_sketch = sets.where(F.col("n") <= kept).select("node", "n", F.col("low").alias("values"))
     full = in_sketch.unionByName(full)

@@ -14,6 +14,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _FREEING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS = 1_000  # whole texts handed to an Arrow function at once
 _of_thread = threading.local()
 
 
@@ -61,13 +63,34 @@ def freeing(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_FREEING, before)
 
 
-def stage(df: DataFrame, path: str | None = None) -> DataFrame:
-    """Write `df` once and return a frame that reads it back."""
+@contextmanager
+def _batches_of(spark: SparkSession, rows: int | None) -> Iterator[None]:
+    """Have Spark hand rows to Arrow functions so many at a time, or fewer where it is set so already."""
+    before = spark.conf.get(_BATCH, None)
+    if rows is None or before is not None and 0 < int(before) <= rows:
+        yield
+        return
+    spark.conf.set(_BATCH, str(rows))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH)
+        else:
+            spark.conf.set(_BATCH, before)
+
+
+def stage(df: DataFrame, path: str | None = None, *, batch: int | None = None) -> DataFrame:
+    """Write `df` once and return a frame that reads it back.
+
+    `batch` rows at most go to an Arrow function at once: whole texts in Spark's 10,000 take both the
+    executor and its Python workers a hundred MB and more.
+    """
     if path is None:
         path = new_path(df.sparkSession)
     elif _open_scopes():
         _open_scopes()[-1].append(path)
-    with freeing(df.sparkSession):
+    with freeing(df.sparkSession), _batches_of(df.sparkSession, batch):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

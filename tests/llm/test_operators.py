@@ -155,6 +155,14 @@ def test_long_lines_around_the_threshold(spark):
     assert by_id(found, "n_lines", "removed") == {i: v for i, v in brute.removed_lines(rows).items() if v[0]}
 
 
+def test_lines_are_cut_by_a_merge_at_any_size(spark):
+    docs = spark.createDataFrame([(1, "one line\nanother"), (2, "one line\nits own")], "doc_id long, text string")
+    cut = line_dedup.remove_lines(docs, staging.stage(line_dedup.repeated_lines(docs)))
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert by_id(cut, "text") == {1: ("one line\nanother",), 2: ("its own",)}
+
+
 # -- 2 BPE ------------------------------------------------------------------------------------
 
 
@@ -191,6 +199,23 @@ def test_bpe_odd_texts(path):
         assert bpe.decoded(vocabulary, ids, counts) == [library.decode(x, skip_special_tokens=False) for x in expected]
 
 
+def test_bpe_hands_out_some_texts_at_a_time(spark, path, monkeypatch):
+    handed = []
+    monkeypatch.setattr(bpe.F, "arrow_udf", lambda run, kind: handed.append(run) or F.udf(lambda x: x))
+    for made in (bpe.encode, bpe.round_trip, bpe.decode):
+        made("text", path)
+    texts = [f"word{i} " * 20_000 for i in range(40)] + [None, ""]
+    encode, round_trip, decode = handed
+    ids = list(encode(iter([pa.array(texts[:30]), pa.array(texts[30:])])))
+    both = list(round_trip(iter([pa.array(texts)])))
+    back = list(decode(iter(ids)))
+    assert sum(map(len, ids)) == sum(map(len, both)) == sum(map(len, back)) == len(texts)
+    assert [t for part in back for t in part.to_pylist()] == [t or "" for t in texts]
+    assert [t for part in both for t in part.field("decoded").to_pylist()] == [t or "" for t in texts]
+    # Not a whole batch at once: what a task holds follows neither its rows nor their number in a batch.
+    assert len(ids) > 4 and max(part.nbytes for part in both) < sum(part.nbytes for part in both) / 4
+
+
 def test_bpe_forgets_words_and_decodes_nulls(spark, path, monkeypatch):
     monkeypatch.setattr(bpe, "MAX_WORDS", 3)
     encoder = bpe.Encoder(bpe.vocabulary(path))

@@ -3,6 +3,7 @@
 import os
 import random
 
+import pyarrow as pa
 import pytest
 from llm import brute
 from pyspark.sql import functions as F
@@ -99,3 +100,16 @@ def test_run_gives_the_rows_of_the_stages(spark, sf_dir):
     again = corpus_pipeline.run(spark, sf_dir)
     assert sorted(map(str, rows.collect())) == sorted(map(str, again.collect()))
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_the_mix_is_merged_with_its_texts_at_any_size(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    plan = corpus_pipeline.mix(spark, docs, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_staged_texts_go_to_functions_in_small_batches(spark):
+    texts = spark.range(5_000).repartition(1).select(F.col("id").cast("string").alias("text"))
+    sizes = F.arrow_udf(lambda column: pa.array([len(column)] * len(column)), "int")
+    assert staging.stage(texts.select(sizes("text").alias("n")), batch=700).agg(F.max("n")).first()[0] == 700
+    assert texts.select(sizes("text").alias("n")).agg(F.max("n")).first()[0] == 5_000
