@@ -51,10 +51,6 @@ def _spaced(text: str, breaks: str) -> Column:
     return F.when(reduce(or_, held), F.translate(text, breaks, " " * len(breaks))).otherwise(F.col(text))
 
 
-def _words(line: str) -> Column:
-    return F.array_remove(F.split(_spaced(line, BREAKS), " "), "")
-
-
 def _bucket(hashed: Column) -> Column:
     return F.shiftrightunsigned(hashed, 48).cast("int")  # the upper 16 bits
 
@@ -74,16 +70,21 @@ def _rarity(docs: DataFrame) -> Column:
 
 
 def _ranked(line: str, rarity: Column) -> Column:
-    """The token set of a line as numbers, rarest first: bucket frequency above, hash below."""
+    """The token set of a line as numbers, rarest first: bucket frequency above, hash below.
+
+    Words are told apart by their hash, which is taken once, and only distinct ones are ranked.
+    """
     low = F.lit((1 << _HASH_BITS) - 1)
+    parts = F.split(_spaced(line, BREAKS), " ")
+    hashes = F.array_distinct(F.transform(parts, lambda word: F.xxhash64(word)))
+    hashes = F.array_remove(hashes, F.xxhash64(F.lit("")))  # between two spaces there is no word
 
-    def rank(word: Column) -> Column:
-        hashed = F.xxhash64(word)
+    def rank(hashed: Column) -> Column:
         # Numbers that may not be NULL are sorted as plain ones, in less time.
         level = F.coalesce(F.get(rarity, _bucket(hashed)), F.lit(0)).cast("long")
         return F.shiftleft(level, _HASH_BITS).bitwiseOR(hashed.bitwiseAND(low))
 
-    return F.sort_array(F.array_distinct(F.transform(_words(line), rank)))
+    return F.sort_array(F.transform(hashes, rank))
 
 
 def _common(n: Column, m: Column, percent: int) -> Column:
@@ -185,13 +186,18 @@ def _alike(pairs: DataFrame, sets: DataFrame, signatures: DataFrame, percent: in
     return both.where(100 * shared >= percent * union).select("ord").distinct()
 
 
+def _listed(sets: DataFrame, percent: int) -> DataFrame:
+    """The sets under each token of their prefix."""
+    # Beside an explode, a column is computed for each of its rows: the bits are made below it.
+    prefix = _prefix(F.col("tokens"), percent).alias("prefix")
+    signed = sets.select("ord", F.size("tokens").alias("size"), *_parity("tokens"), prefix)
+    each = signed.select("ord", "size", *PARITY, F.posexplode("prefix").alias("at", "token"))
+    return each.select("token", "ord", "size", (F.col("at") + 1).alias("place"), *PARITY)
+
+
 def _repeated_classes(sets: DataFrame, percent: int) -> DataFrame:
     """Numbers of the classes that match an earlier one. `sets`: ord (in order of first lines), tokens."""
-    listed = sets.select(
-        "ord", F.size("tokens").alias("size"), *_parity("tokens"),
-        F.posexplode(_prefix(F.col("tokens"), percent)).alias("at", "token"),
-    )
-    listed = listed.select("token", "ord", "size", (F.col("at") + 1).alias("place"), *PARITY)
+    listed = _listed(sets, percent)
     # First against the earliest class of each token, which settles most variants of a line. The rows
     # of a token are brought together once, for all that follows; tokens of one class are left out.
     of_token = Window.partitionBy("token")

@@ -155,6 +155,23 @@ def test_long_lines_around_the_threshold(spark):
     assert by_id(found, "n_lines", "removed") == {i: v for i, v in brute.removed_lines(rows).items() if v[0]}
 
 
+def test_bits_of_a_set_are_made_once_not_for_each_of_its_rare_tokens(spark):
+    tokens = F.sequence(F.lit(1), F.col("id") + 60).alias("tokens")
+    sets = spark.range(3).select(F.col("id").alias("ord"), tokens)
+    plan = line_dedup._listed(sets, 80)._jdf.queryExecution().optimizedPlan().toString()
+    above, _, below = plan.partition("Generate")
+    assert "aggregate(" not in above and "aggregate(" in below
+
+
+def test_words_of_a_line_are_ranked_once_each(spark):
+    lines = ["a b a", "  b\ta\x0b\x0bb ", "a", "é", "a  b c"]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    ranked = docs.select("doc_id", line_dedup._ranked("text", line_dedup._rarity(docs)).alias("t"))
+    made = {r.doc_id: r.t for r in ranked.collect()}
+    assert [len(made[i]) for i in range(5)] == [2, 2, 1, 1, 3] and made[0] == made[1]
+    assert all(t == sorted(set(t)) for t in made.values()) and set(made[2]) < set(made[0]) < set(made[4])
+
+
 def test_lines_are_cut_by_a_merge_at_any_size(spark):
     docs = spark.createDataFrame([(1, "one line\nanother"), (2, "one line\nits own")], "doc_id long, text string")
     cut = line_dedup.remove_lines(docs, staging.stage(line_dedup.repeated_lines(docs)))
