@@ -21,10 +21,13 @@ document with several texts; rows without a doc_id are linked with nothing, are
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorlake import staging
 from sensorlake.llm import texts as tx
@@ -38,6 +41,7 @@ TINY = 8
 TINY_RUN = 2
 SHORT_LIST = 32  # lists up to this length are compared in full
 SLACK = 0.2  # by how much the estimate may fall below the threshold
+COUNTERS = 1 << 18  # at most, for the elements of one group of long lists
 
 
 def _sets(t: tx.Texts, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -257,6 +261,61 @@ def _on_short_lists(short: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("node").alias("a"), F.col("node_2").alias("b"))
 
 
+def _counters(each: DataFrame) -> DataFrame:
+    """Per lead: `levels`, how many differences `d` hold the elements of a bucket, on a logarithmic scale.
+
+    An element's bucket is its lowest bits; there are as many buckets, a power of two, as keep them sparse, COUNTERS
+    at most. Level 0 means one difference. Elements are counted within their tasks: what is shuffled is a row of counts for
+    each batch and lead, and these are summed as they come.
+    """
+    lead = each.schema["lead"].dataType
+    longs = T.ArrayType(T.LongType())
+    counts = T.StructType([T.StructField("lead", lead), T.StructField("bucket", longs), T.StructField("held", longs)])
+    levels = T.StructType([T.StructField("lead", lead), T.StructField("levels", T.ArrayType(T.ByteType()))])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lead = batch.column("lead").dictionary_encode()
+            d = batch.column("d")
+            group = np.repeat(lead.indices.to_numpy().astype(np.int64), d.value_lengths().to_numpy())
+            bucket = d.flatten().to_numpy() & (COUNTERS - 1)
+            found, held = np.unique(group * COUNTERS + bucket, return_counts=True)
+            n = np.bincount(found // COUNTERS, minlength=len(lead.dictionary))
+            columns = [lead.dictionary, tx.lists(found % COUNTERS, n, pa.int64()), tx.lists(held, n, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["lead", "bucket", "held"])
+
+    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            np.add.at(total, batch.column("bucket").flatten().to_numpy(), batch.column("held").flatten().to_numpy())
+        size = min(COUNTERS, 1 << (4 * int(total.sum())).bit_length())
+        level = (4 * np.log2(np.maximum(total.reshape(-1, size).sum(axis=0), 1))).astype(np.int8)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([key[0].as_py()], batch.schema.field("lead").type), tx.lists(level, np.array([size]), pa.int8())],
+            ["lead", "levels"],
+        )
+
+    counted = each.select("lead", "d").where(F.size("d") > 0).mapInArrow(count, counts)
+    return counted.groupBy("lead").applyInArrow(add, levels)
+
+
+def _rare_elements(each: DataFrame, reach: Column) -> DataFrame:
+    """The rarest elements of each difference, all but `reach - 1`, that another member may hold as well.
+
+    Their `place` counts all elements of the difference. An element alone in its bucket is held by no other
+    member and gets no row.
+    """
+    # Levels are mostly zeros and small on disk, not in memory: they are merged at any size, never broadcast.
+    with_levels = each.withColumn("reach", reach).join(staging.stage(_counters(each)).hint("merge"), "lead")
+    bucket = lambda item: item.bitwiseAND(F.size("levels").cast("long") - 1).cast("int")
+    by_level = F.sort_array(F.transform("d", lambda item: F.struct(F.get("levels", bucket(item)).alias("level"), item.alias("item"))))
+    first = F.slice(by_level, F.lit(1), (F.col("a") - F.col("reach") + 1).cast("int"))
+    placed = F.transform(first, lambda e, at: F.struct(e["item"].alias("item"), (at + 1).alias("place"), e["level"].alias("level")))
+    kept = ["lead", "node", "n", "component", "apart", "a"]
+    listed = with_levels.select(*kept, F.filter(placed, lambda e: e["level"] > 0).alias("elements"))
+    return listed.select(*kept, F.explode("elements").alias("e")).select(*kept, "e.item", "e.place")
+
+
 def _by_difference(long: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Candidates among the members of long lists: pairs that differ from a common set in the same way.
 
@@ -267,7 +326,8 @@ def _by_difference(long: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     say, does not reach it with the centre, hence c > b (1 - r) / 2, and as c <= b,
     c >= a - r (|X| + |Y|). So the rarest elements of both differences, all but c - 1 of each, have one
     in common. Edits that only one copy has come first there, which keeps a large group of copies from
-    meeting pairwise.
+    meeting pairwise. Rarity is that of an element's bucket in `_counters`: any order that the members of a group
+    share is exact, and rare elements alone become rows.
     """
     r = (100 - percent) / (100 + percent)
     held = long.groupBy("key", "component").agg(F.count(F.lit(1)).alias("held"))
@@ -280,16 +340,11 @@ def _by_difference(long: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     each = each.withColumn("a", F.size("d")).withColumn("apart", F.col("a") > r * (F.col("n") + F.col("p")) + 1e-6)
     each = staging.stage(each)
     near = each.where("NOT apart AND component <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"))
-    each = each.select("lead", "node", "n", "component", "apart", "a", F.explode("d").alias("item"))
-    spread = each.groupBy("lead", "item").agg(F.count(F.lit(1)).alias("spread")).where("spread > 1")
-    place = F.row_number().over(Window.partitionBy("lead", "node", "n").orderBy("spread", "item"))
-    unshared = F.col("a") - F.count(F.lit(1)).over(Window.partitionBy("lead", "node", "n"))
-    ranked = each.join(spread, ["lead", "item"]).withColumn("place", unshared + place).drop("spread")
     least_x = F.greatest(F.lit(1), F.ceil(F.col("a") - r * F.col("n") * (1 + 100 / percent) - 1e-6))
     least_y = F.greatest(F.lit(1), F.ceil(F.col("a") * (1 - r) / 2 - 1e-6))
     reach = F.when(F.col("apart"), F.least(least_x, least_y)).otherwise(least_y)
     ranked = staging.stage(
-        ranked.where(F.col("place") <= F.col("a") - reach + 1)
+        _rare_elements(each, reach)
         .withColumn("as_x", F.col("apart") & (F.col("place") <= F.col("a") - least_x + 1))
         .withColumn("as_y", F.col("place") <= F.col("a") - least_y + 1)
     )

@@ -286,6 +286,22 @@ def test_copies_that_meet_on_long_lists_alone(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected
 
 
+def test_rare_elements_alone_become_rows(spark):
+    # 60 members with 200 elements of their own, one that two members share, and three that all hold.
+    rng = random.Random(2)
+    every, pair = [rng.getrandbits(62) for _ in range(3)], rng.getrandbits(62)
+    data = [(i % 2, i, [rng.getrandbits(62) for _ in range(200)] + every + [pair] * (i in (4, 8))) for i in range(60)]
+    each = spark.createDataFrame(data, "lead long, node long, d array<long>").selectExpr(
+        "*", "205L AS n", "node AS component", "true AS apart", "size(d) AS a"
+    )
+    found = [(r.node, r.item, r.place) for r in near_dups._rare_elements(each.repartition(7), F.lit(4)).collect()]
+    # All but the three that come last. Some of their own are in another's bucket by chance, and may follow the pair's.
+    assert {(x[0], 100 < x[2] <= 201) for x in found if x[1] == pair} == {(4, True), (8, True)}
+    assert sum(item in every for _, item, _ in found) < 6 and len(found) < 60 * 200 / 2
+    all_places = [(r.node, r.item, r.place) for r in near_dups._rare_elements(each, F.lit(1)).collect()]
+    assert len([x for x in all_places if x[1] in every and x[2] > 190]) == 180
+
+
 def test_near_duplicates_edges(empty, twice):
     assert near_dups.near_duplicates(empty).count() == 0
     rows = near_dups.near_duplicates(twice).collect()
