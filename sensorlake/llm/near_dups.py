@@ -269,8 +269,8 @@ def _counters(each: DataFrame) -> DataFrame:
     each batch and lead, and these are summed as they come.
     """
     lead = each.schema["lead"].dataType
-    longs = T.ArrayType(T.LongType())
-    counts = T.StructType([T.StructField("lead", lead), T.StructField("bucket", longs), T.StructField("held", longs)])
+    ints = T.ArrayType(T.IntegerType())
+    counts = T.StructType([T.StructField("lead", lead), T.StructField("bucket", ints), T.StructField("held", ints)])
     levels = T.StructType([T.StructField("lead", lead), T.StructField("levels", T.ArrayType(T.ByteType()))])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,7 +281,7 @@ def _counters(each: DataFrame) -> DataFrame:
             bucket = d.flatten().to_numpy() & (COUNTERS - 1)
             found, held = np.unique(group * COUNTERS + bucket, return_counts=True)
             n = np.bincount(found // COUNTERS, minlength=len(lead.dictionary))
-            columns = [lead.dictionary, tx.lists(found % COUNTERS, n, pa.int64()), tx.lists(held, n, pa.int64())]
+            columns = [lead.dictionary, tx.lists(found % COUNTERS, n, pa.int32()), tx.lists(held, n, pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, ["lead", "bucket", "held"])
 
     def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,8 +305,9 @@ def _rare_elements(each: DataFrame, reach: Column) -> DataFrame:
     Their `place` counts all elements of the difference. An element alone in its bucket is held by no other
     member and gets no row.
     """
+    levels = staging.stage(_counters(each), batch=staging.TEXTS)
     # Levels are mostly zeros and small on disk, not in memory: they are merged at any size, never broadcast.
-    with_levels = each.withColumn("reach", reach).join(staging.stage(_counters(each)).hint("merge"), "lead")
+    with_levels = each.withColumn("reach", reach).join(levels.hint("merge"), "lead")
     bucket = lambda item: item.bitwiseAND(F.size("levels").cast("long") - 1).cast("int")
     by_level = F.sort_array(F.transform("d", lambda item: F.struct(F.get("levels", bucket(item)).alias("level"), item.alias("item"))))
     first = F.slice(by_level, F.lit(1), (F.col("a") - F.col("reach") + 1).cast("int"))
