@@ -133,13 +133,17 @@ def _prefix(tokens: Column, percent: int) -> Column:
 
 
 def _may_match(x: str, y: str, percent: int) -> Column:
-    """Filters on a token that two sets share: by length, by its places, by the parity of the sets."""
-    n, m = F.col(f"{x}.size"), F.col(f"{y}.size")
-    near = 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    after = F.least(n - F.col(f"{x}.place"), m - F.col(f"{y}.place"))
-    common = _common(n, m, percent)
+    """Filters on a token that two sets share: by length, by its places, by the parity of the sets.
+
+    They are tried on every two rows of a token, so the first ones are plain products of whole numbers: `least`,
+    `greatest` and `_common` say the same at some times the cost.
+    """
+    n, m = F.col(f"{x}.size").cast("long"), F.col(f"{y}.size").cast("long")
+    near = (100 * n >= percent * m) & (100 * m >= percent * n)
+    least = percent * (n + m)  # what two sets share at least, times 100 + percent
+    enough = [(100 + percent) * (1 + size - F.col(f"{s}.place")) >= least for s, size in ((x, n), (y, m))]
     same = F.col(f"{x}.token") == F.col(f"{y}.token")
-    return same & near & (1 + after >= common) & (_differing(x, y) <= n + m - 2 * common)
+    return same & near & enough[0] & enough[1] & (_differing(x, y) <= n + m - 2 * _common(n, m, percent))
 
 
 def _with_candidates(docs: DataFrame, rarity: Column, percent: int) -> DataFrame:
@@ -246,9 +250,9 @@ def repeated_lines(
     # Numbered in the order of their first lines.
     numbered = staging.stage(staging.stage(needed).orderBy("first", "cls").withColumn("ord", F.monotonically_increasing_id()))
     sets = bucketed(_token_sets(docs, numbered, rarity), "ord", dealt=True)
-    dropped = numbered.select("ord", "cls").join(_repeated_classes(sets, percent), "ord")
-    dropped = dropped.select("cls", F.lit(True).alias("dropped"))
-    decided = firsts.join(dropped, "cls", "left").where("held > 1 OR dropped").select("cls", "first", "dropped")
+    dropped = numbered.join(_repeated_classes(sets, percent), "ord").select("cls", "first", F.lit(True).alias("dropped"))
+    held = firsts.where("held > 1").select("cls", "first", F.lit(False).alias("dropped"))
+    decided = held.union(dropped).groupBy("cls").agg(F.min("first").alias("first"), F.max("dropped").alias("dropped"))
 
     judged = lines.join(staging.stage(decided), "cls", "left")
     after = F.struct("doc_id", "line_no") > F.struct("first.doc_id", "first.line_no")

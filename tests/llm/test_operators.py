@@ -163,6 +163,24 @@ def test_bits_of_a_set_are_made_once_not_for_each_of_its_rare_tokens(spark):
     assert "aggregate(" not in above and "aggregate(" in below
 
 
+def test_two_sets_of_a_token_are_filtered_by_products_alone(spark):
+    places = [(1, n, place, 0, None, None, None) for n in range(1, 22) for place in range(1, n + 1)]
+    kinds = ", ".join(f"{name} long" for name in line_dedup.PARITY)
+    listed = spark.createDataFrame(places, f"token long, size int, place int, {kinds}")
+    for percent in (80, 85):
+        both = listed.alias("x").join(listed.alias("y"), line_dedup._may_match("x", "y", percent))
+        plan = both._jdf.queryExecution().optimizedPlan().toString()
+        assert "least(" not in plan and "greatest(" not in plan and plan.lower().count("ceil(") == 1
+        met = both.select("x.size", "x.place", "y.size", "y.place").collect()
+        assert len(met) == len(set(met)) and set(map(tuple, met)) == {
+            (n, i, m, j)
+            for _, n, i, *_ in places
+            for _, m, j, *_ in places
+            if 100 * min(n, m) >= percent * max(n, m)
+            and 1 + min(n - i, m - j) >= -(-percent * (n + m) // (100 + percent))
+        }
+
+
 def test_words_of_a_line_are_ranked_once_each(spark):
     lines = ["a b a", "  b\ta\x0b\x0bb ", "a", "é", "a  b c"]
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
