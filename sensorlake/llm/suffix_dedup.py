@@ -6,9 +6,12 @@ anchor are dealt to shards by anchor, and every shard can judge its strings by i
 suffixes of its runs (suffixes.py), and neighbours with a common prefix of `size` bytes are equal
 strings. Anchors that occur once take no part; equal runs are sorted once, for their first place.
 
-An anchor with more runs than a shard should hold is dealt over several shards. Each of these emits its
-distinct strings of that anchor with their first places; they are dealt by range, and the sorted runs of
-the shards are merged by binary search.
+A common line or phrase makes an anchor frequent: its runs differ in what stands around it, and there are
+more of them the larger the input. Runs of an anchor that would fill a good part of a shard are cut again, at
+the lowest-hashed string nearly as long as `size`; what surrounds the phrase then tells most of them apart,
+and the rest are runs like any others. An anchor that is frequent even so is dealt over several shards. Each
+of these emits its distinct strings of that anchor with their first places; they are dealt by range, and the
+sorted runs of the shards are merged, all at once.
 
 Defined cases: a NULL text has no bytes; a text shorter than `size` bytes stays; rows without a doc_id
 stay whole and are not compared; rows with equal doc_id and text have equal results, neither being
@@ -35,49 +38,80 @@ SHARD_BYTES = 1 << 20  # bytes of runs that a shard holds, about
 SLICE_BYTES = 1 << 19  # bytes of texts handled at once
 
 
-def _grams(eight: np.ndarray) -> np.ndarray:
-    """A hash of the ANCHOR bytes from each place, given the eight bytes from each."""
-    if len(eight) < ANCHOR:
+def _grams(eight: np.ndarray, width: int) -> np.ndarray:
+    """A hash of the `width` bytes (a multiple of 8) from each place, given the eight bytes from each."""
+    if len(eight) < width:
         return np.zeros(0, np.uint64)
-    count = len(eight) - ANCHOR + 1
+    count = len(eight) - width + 1
     value = np.zeros(count, np.uint64)
-    for step in range(0, ANCHOR, 8):
+    for step in range(0, width, 8):
         value = tx.mix(value + eight[step : step + count])
     return value
 
 
+def _runs_of(t: tx.Texts, size: int, width: int) -> tuple[np.ndarray, ...]:
+    """The runs of some texts, with anchors of `width` bytes: text, anchor, body, start byte, number of strings."""
+    eight = suffixes.packed(t.data)
+    grams = _grams(eight, width)
+    owner, start, n, low = paths_of(grams, t.offsets, size, width)
+    # A run is known by the eight bytes from every eighth place, and the last eight.
+    length = np.abs(n) + size - 1
+    words = -(-length // 8)
+    at = np.repeat(start, words) + 8 * tx.ragged(np.zeros(len(words), np.int64), words)
+    at = np.minimum(at, np.repeat(start + length - 8, words))
+    body = body_hashes(eight[at], np.cumsum(words) - words, words)
+    body = tx.mix(body + length.astype(np.uint64))
+    return owner, grams[low].view(np.int64), body.view(np.int64), start - t.offsets[owner], n
+
+
+_RUNS = "array<struct<anchor: long, body: long, start: int, n: int>>"
+
+
+def _run_lists(parts: list[tuple[np.ndarray, ...]], counts: list[np.ndarray]) -> pa.Array:
+    """An Arrow column of `_RUNS` from (anchor, body, start, n), and the number of runs of each text."""
+    anchor, body, start, n = (np.concatenate(p) for p in zip((np.zeros(0, np.int64),) * 4, *parts))
+    fields = [
+        pa.array(anchor, pa.int64()),
+        pa.array(body, pa.int64()),
+        pa.array(start.astype(np.int32), pa.int32()),
+        pa.array(n.astype(np.int32), pa.int32()),
+    ]
+    struct = pa.StructArray.from_arrays(fields, ["anchor", "body", "start", "n"])
+    offsets = np.concatenate(([0], np.cumsum(np.concatenate([np.zeros(0, np.int64), *counts])))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), struct)
+
+
 def runs(text: Column | str, size: int) -> Column:
     """The runs of a text: array of (anchor, body, start byte, number of strings)."""
 
     def run(column: pa.Array) -> pa.Array:
-        parts = [(np.zeros(0, np.int64),) * 4]
-        counts = [np.zeros(0, np.int64)]
+        parts, counts = [], []
         for _, t in tx.slices(tx.flat(column), SLICE_BYTES):
-            eight = suffixes.packed(t.data)
-            grams = _grams(eight)
-            owner, start, n, low = paths_of(grams, t.offsets, size, ANCHOR)
-            # A run is known by the eight bytes from every eighth place, and the last eight.
-            length = np.abs(n) + size - 1
-            words = -(-length // 8)
-            at = np.repeat(start, words) + 8 * tx.ragged(np.zeros(len(words), np.int64), words)
-            at = np.minimum(at, np.repeat(start + length - 8, words))
-            body = body_hashes(eight[at], np.cumsum(words) - words, words)
-            body = tx.mix(body + length.astype(np.uint64))
-            parts.append((grams[low].view(np.int64), body.view(np.int64), start - t.offsets[owner], n))
+            owner, *found = _runs_of(t, size, ANCHOR)
+            parts.append(tuple(found))
             counts.append(np.bincount(owner, minlength=len(t)))
-        anchor, body, start, n = (np.concatenate(p) for p in zip(*parts))
-        fields = [
-            pa.array(anchor, pa.int64()),
-            pa.array(body, pa.int64()),
-            pa.array(start.astype(np.int32), pa.int32()),
-            pa.array(n.astype(np.int32), pa.int32()),
-        ]
-        struct = pa.StructArray.from_arrays(fields, ["anchor", "body", "start", "n"])
-        offsets = np.concatenate(([0], np.cumsum(np.concatenate(counts)))).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), struct)
+        return _run_lists(parts, counts)
+
+    return F.arrow_udf(run, _RUNS).asNondeterministic()(text)
+
+
+def finer_runs(text: Column | str, spans: Column | str, size: int, width: int) -> Column:
+    """The runs in `spans` (start, n) cut again, with anchors of `width` bytes: as `runs`."""
+
+    def run(column: pa.Array, wanted: pa.Array) -> pa.Array:
+        parts, counts = [], []
+        owner, start, n = _flat_spans(wanted, len(column))
+        for base, t in tx.slices(tx.flat(column), SLICE_BYTES):
+            mine = (owner >= base) & (owner < base + len(t))
+            own, begin, lengths = owner[mine] - base, start[mine], n[mine] + size - 1
+            # Each span is a text of its own.
+            data = t.data[tx.ragged(t.offsets[own] + begin, lengths)]
+            of, anchor, body, at, count = _runs_of(tx.Texts(data, np.append(0, np.cumsum(lengths))), size, width)
+            parts.append((anchor, body, begin[of] + at, count))
+            counts.append(np.bincount(own[of], minlength=len(t)))
+        return _run_lists(parts, counts)
 
-    kind = "array<struct<anchor: long, body: long, start: int, n: int>>"
-    return F.arrow_udf(run, kind).asNondeterministic()(text)
+    return F.arrow_udf(run, _RUNS).asNondeterministic()(text, spans)
 
 
 def _bytes_of(text: Column | str, spans: Column | str, size: int) -> Column:
@@ -163,62 +197,78 @@ def _judge_shard(shard: pd.DataFrame, size: int) -> pd.DataFrame:
 
 def _merge(batches, size: int):
     """Of the sorted strings of several shards, those that another shard holds earlier."""
-    rows = [batch.to_pandas() for batch in batches]
-    rows = pd.concat(rows, ignore_index=True) if rows else pd.DataFrame()
-    if rows.empty:
+    batches = [batch for batch in batches if batch.num_rows]
+    if not batches:
         return
-    parts = [part for _, part in rows.groupby("shard")]
-    strings = [np.array(part["string"].tolist(), dtype=f"S{size}") for part in parts]
+    rows = pa.Table.from_batches(batches)
+    column = rows["string"].cast(pa.large_binary()).combine_chunks()
+    _, ends, data = column.buffers()
+    begin = np.frombuffer(ends, np.int64)[column.offset]
     # numpy drops zero bytes at the end of strings; equal length makes that harmless, save for order.
-    sorts = [np.argsort(s, kind="stable") for s in strings]
-    merged = np.zeros(0, f"S{size}")
-    doc, start = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for part, string, sort in zip(parts, strings, sorts):
-        string, part = string[sort], part.iloc[sort]
-        own_doc, own_start = part["doc_id"].to_numpy(np.int64), part["start"].to_numpy(np.int64)
-        at = np.searchsorted(merged, string)
-        met = at < len(merged)
-        met[met] = merged[at[met]] == string[met]
-        hit = at[met]
-        less = (own_doc[met] < doc[hit]) | ((own_doc[met] == doc[hit]) & (own_start[met] < start[hit]))
-        doc[hit] = np.where(less, own_doc[met], doc[hit])
-        start[hit] = np.where(less, own_start[met], start[hit])
-        new = ~met
-        merged = np.insert(merged, at[new], string[new])
-        doc = np.insert(doc, at[new], own_doc[new])
-        start = np.insert(start, at[new], own_start[new])
-    for part, string in zip(parts, strings):
-        at = np.searchsorted(merged, string)
-        later = (part["doc_id"].to_numpy(np.int64) != doc[at]) | (part["start"].to_numpy(np.int64) != start[at])
-        out = part.loc[later, ["doc_id", "version", "start", "n"]]
-        yield pa.RecordBatch.from_pandas(out.astype({"start": "int32", "n": "int32"}), preserve_index=False)
-
-
-def repeated_strings(docs: DataFrame, size: int, shard_bytes: int) -> DataFrame:
-    """doc_id, version, start, n: runs of strings that also start earlier. `docs`: doc_id, version, text."""
+    strings = np.frombuffer(data, f"S{size}", len(column), begin)
+    # A stable sort of strings finds the sorted runs of the shards and merges them, with binary searches.
+    order = np.argsort(strings, kind="stable")
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = strings[order[1:]] != strings[order[:-1]]
+    kind = np.empty(len(order), np.int64)
+    kind[order] = np.cumsum(fresh) - 1
+    doc, start = (rows[name].to_numpy().astype(np.int64) for name in ("doc_id", "start"))
+    order = np.lexsort((start, doc, kind))
+    lead = order[np.append(True, np.diff(kind[order]) > 0)]  # the first place of each string
+    later = (doc != doc[lead][kind]) | (start != start[lead][kind])
+    out = rows.select(["doc_id", "version", "start", "n"]).filter(pa.array(later))
+    yield from out.to_batches()
+
+
+def _compacted(every: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Of the runs staged at `path`, which go then: copies of earlier runs, and those whose strings are yet to
+    be compared, once each (anchor, body, n, first)."""
     at = ["doc_id", "version"]
-    # Texts are cut into runs once; these are read for the counts and for the join, and then dropped.
-    spark = docs.sparkSession
-    path = staging.new_path(spark)
-    every = staging.stage(docs.select(*at, F.explode(runs("text", size)).alias("r")).select(*at, "r.*"), path)
     twice = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least"))
     twice = twice.where("m > 1 OR least < 0").select("anchor")
     held = staging.stage(every.join(twice, "anchor"))
-    staging.drop(spark, path)
+    staging.drop(every.sparkSession, path)
     place = F.struct("doc_id", "start", "version")
     bodies = staging.stage(held.groupBy("anchor", "body", "n").agg(F.min(place).alias("first")))
     again = held.join(bodies, ["anchor", "body", "n"]).where(
         F.struct("doc_id", "start") > F.struct("first.doc_id", "first.start")
     )
     copies = again.select(*at, "start", F.abs("n").alias("n"))
-
-    # Shards of several anchors; an anchor with many runs is dealt over several shards.
     open_ = bodies.join(branching(bodies).select("anchor"), "anchor").withColumn("n", F.abs("n"))
+    return copies, open_
+
+
+def _weights(open_: DataFrame, size: int) -> DataFrame:
+    return open_.groupBy("anchor").agg(F.sum(F.col("n") + size - 1).alias("weight"))
+
+
+def repeated_strings(docs: DataFrame, size: int, shard_bytes: int) -> DataFrame:
+    """doc_id, version, start, n: runs of strings that also start earlier. `docs`: doc_id, version, text."""
+    at = ["doc_id", "version"]
+    # Texts are cut into runs once; these are read for the counts and for the join, and then dropped.
+    spark = docs.sparkSession
+    path = staging.new_path(spark)
+    every = staging.stage(docs.select(*at, F.explode(runs("text", size)).alias("r")).select(*at, "r.*"), path)
+    copies, open_ = _compacted(every, path)
     open_ = staging.stage(open_)
-    weights = staging.stage(open_.groupBy("anchor").agg(F.sum(F.col("n") + size - 1).alias("weight")))
-    total = weights.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
-    shards = max(-(-int(total) // shard_bytes), 1)
+
+    # Shards of several anchors; an anchor with many runs is dealt over several shards.
     ways = F.ceil(F.col("weight") * 4 / shard_bytes)
+    weights = staging.stage(_weights(open_, size))
+    total, most = weights.agg(F.coalesce(F.sum("weight"), F.lit(0)), F.max(ways)).first()
+    width = (size - 8) // 8 * 8
+    if (most or 0) > 1 and width > ANCHOR:
+        often = weights.where(ways > 1).select("anchor")
+        wanted = open_.join(often, "anchor").select("first.*", "n").groupBy(*at)
+        wanted = wanted.agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+        finer = docs.join(wanted, at).select(*at, F.explode(finer_runs("text", "spans", size, width)).alias("r"))
+        path = staging.new_path(spark)
+        more, rest = _compacted(staging.stage(finer.select(*at, "r.*"), path), path)
+        copies = copies.unionByName(more)
+        open_ = staging.stage(open_.join(often, "anchor", "left_anti").unionByName(rest))
+        weights = staging.stage(_weights(open_, size))
+        (total,) = weights.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()
+    shards = max(-(-int(total) // shard_bytes), 1)
     salt = F.when(ways > 1, F.pmod(F.xxhash64("body"), ways)).otherwise(0)
     dealt = open_.join(weights, "anchor").select(
         "first.*", "n", "anchor", (ways > 1).alias("split"), F.pmod(F.xxhash64("anchor", salt), F.lit(shards)).alias("shard")

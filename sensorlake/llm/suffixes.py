@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-_LANES = 4096
+_LANES = 1 << 14
 
 
 def packed(data: np.ndarray) -> np.ndarray:
@@ -66,25 +66,31 @@ def common_prefixes(order: np.ndarray, eight: np.ndarray, depth: int) -> np.ndar
         return np.zeros(0, np.int64)
     before = np.full(total, -1)
     before[order[1:]] = order[:-1]
+    rank = np.full(total + 1, -1)
+    rank[order] = np.arange(total)
     shared = np.zeros(total, np.int64)
     lane = max(-(-total // _LANES), 1)
     starts = np.arange(0, total, lane)
     length = np.zeros(len(starts), np.int64)
+    other = np.full(len(starts), -1)
     padded = np.append(eight, np.zeros(depth + 8, np.uint64))
     for step in range(lane):
         here = starts + step
         here = here[here < total]
         length = length[: len(here)]
-        # Suffixes that agree to the full depth are in no order further on, so nothing follows.
-        length = np.where(length >= depth, 0, np.maximum(length - 1, 0))
+        # Suffixes that agree to the full depth are in no order further on, so what follows the one before
+        # may not come before what follows this one.
+        follows = (length < depth) | (rank[other[: len(here)] + 1] < rank[here])
+        length = np.where(follows, np.maximum(length - 1, 0), 0)
         other = before[here]
         length[other < 0] = 0
         active = np.flatnonzero((other >= 0) & (length < depth))
         while len(active):
             reach = length[active]
             differ = padded[here[active] + reach] ^ padded[other[active] + reach]
-            same = sum(((differ >> np.uint64(64 - 8 * k)) == 0).astype(np.int64) for k in range(1, 8))
-            length[active] = reach + np.where(differ == 0, 8, same)
+            # The highest bit as a float's exponent; the next one is cleared, so that it is not rounded up.
+            high = (differ & ~(differ >> np.uint64(1))).astype(np.float64).view(np.int64) >> 52
+            length[active] = reach + np.where(differ == 0, 8, (1023 + 63 - high) >> 3)
             active = active[(differ == 0) & (reach + 8 < depth)]
         length = np.minimum(length, depth)
         # Beyond the end there are only the zeros of the padding.
